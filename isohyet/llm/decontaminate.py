@@ -152,6 +152,20 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def clean_ids(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Rows of docs (doc_id, text) without any hit word."""
-    return find_leaks(docs, items, keep_text=True).filter(F.size("runs") == 0).select("doc_id", "text")
+def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that have no hit word; texts are scanned where they lie."""
+    for block in blocks(items):
+        docs = _filtered(docs, block)
+    return docs
+
+
+def _filtered(docs: DataFrame, block: dict[bytes, set[str]]) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(block)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = automaton(shared.value)
+        for batch in batches:
+            clean = [not scan(made, text or b"")[1] for text in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(work, docs.schema)

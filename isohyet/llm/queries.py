@@ -7,16 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isohyet.llm import chat, decontaminate, mixing, sharding, simhash, spotsigs, substrings
+from isohyet.llm import chat, cotraining, decontaminate, mixing, ppm, sharding, simhash, spotsigs, substrings, tagpaths
 from isohyet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op2_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tagpaths.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -26,6 +34,10 @@ def op5_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "text", "lang", "source", "n_chars", "n_copies", F.round("rate", 9).alias("rate"), "copy", "shuffle_key")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet.llm.common import global_row_number, mix64
@@ -105,3 +105,20 @@ def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFra
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "row_number",
     )
+
+
+def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
+    """All columns of docs with row_number, shard and slot; repeated rows take the places of their number.
+
+    Only digests are ranked and permuted.  The places of a key (doc_id, checksum,
+    size) come back as one short list, and the n-th row of the key takes the n-th
+    of them; numbering the rows and meeting the lists need one shuffle of texts.
+    """
+    key = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_size": (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long"), "_crc": F.crc32(F.coalesce("text", F.lit("")))}
+    light = docs.select(*[made.alias(name) for name, made in key.items()])
+    dealt = assign_shards(light, ["_id", "_crc", "_size"], shards, seed)
+    places = dealt.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("row_number", "shard", "slot"))).alias("_places"))
+    numbered = docs.withColumns(key).withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
+    place = F.get("_places", F.col("_n") - 1)
+    met = numbered.join(places, list(key)).withColumn("_place", place)
+    return met.select(*docs.columns, "_place.row_number", "_place.shard", "_place.slot")
