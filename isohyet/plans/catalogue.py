@@ -108,29 +108,30 @@ def rh(q: str) -> str:
     return f"least(greatest(100 * ({q} * {KPA} / (0.622e0 + {q}) / {svp(TC)}), 0e0), 100e0)"
 
 
-tc, speed = th.kelvin_to_celsius("tair_k"), th.wind_speed("wind_e", "wind_n")
-mix = th.vapor_pressure_mixing("qair", "psurf_pa")
-dew = th.dewpoint_august_roche_magnus("qair", "psurf_pa")
+tc = lambda: th.kelvin_to_celsius("tair_k")
+speed = lambda: th.wind_speed("wind_e", "wind_n")
+mix = lambda: th.vapor_pressure_mixing("qair", "psurf_pa")
+dew = lambda: th.dewpoint_august_roche_magnus("qair", "psurf_pa")
 clear = lambda: rad.clearsky_geometric(F.col("time"), "lat")
 sun = lambda: rad.solar_elevation(F.col("time"), "lat", "lon")
 
 ROWS: dict[str, tuple[str, Callable[[], dict[str, Column]], dict[str, str]]] = {
-    "temp_convert": ("cells", lambda: {"c": tc, "f": th.kelvin_to_fahrenheit("tair_k")}, {"c": TC, "f": f"{TC} * 9 / 5 + 32"}),
-    "wind_speed_adjust": ("cells", lambda: {"speed": speed, "log_2m": th.adjust_wind_height(speed), "power_2m": th.adjust_wind_height(speed, method="power_law")}, {"speed": SPEED, "log_2m": f"{SPEED} * (ln(67.8e0 * 2 - 5.42e0) / ln(67.8e0 * 10 - 5.42e0))", "power_2m": f"{SPEED} * pow(0.2e0, 1e0 / 7)"}),
-    "wind_functions": ("cells", lambda: {"kohler": th.wind_function_kohler(speed), "fao56": th.wind_function_fao56(speed, tc)}, {"kohler": f"0.005e0 + 0.00085e0 * 3.6e0 * {SPEED}", "fao56": f"37e0 / ({TC} + 273) * {SPEED}"}),
-    "latent_heat_psychro": ("cells", lambda: {"latent": th.latent_heat_linear(tc), "gamma": th.psychrometric_constant_dynamic(F.col("psurf_pa") / 1000, th.latent_heat_linear(tc))}, {"latent": f"2.501e0 - 0.002361e0 * {TC}", "gamma": f"0.00163e0 * {KPA} / (2.501e0 - 0.002361e0 * {TC})"}),
-    "vapor_pressures": ("cells", lambda: {"magnus": th.vapor_pressure_magnus(tc), "lamoreux": th.vapor_pressure_lamoreux(th.kelvin_to_fahrenheit("tair_k")), "mixing": mix}, {"magnus": svp(TC), "lamoreux": lamoreux(f"({TC} * 9 / 5 + 32)"), "mixing": MIX}),
-    "delta_svp": ("cells", lambda: {"delta": th.delta_svp(tc)}, {"delta": DELTA}),
-    "dewpoint_magnus": ("cells", lambda: {"dew": th.dewpoint_magnus(mix)}, {"dew": DEW}),
+    "temp_convert": ("cells", lambda: {"c": tc(), "f": th.kelvin_to_fahrenheit("tair_k")}, {"c": TC, "f": f"{TC} * 9 / 5 + 32"}),
+    "wind_speed_adjust": ("cells", lambda: {"speed": speed(), "log_2m": th.adjust_wind_height(speed()), "power_2m": th.adjust_wind_height(speed(), method="power_law")}, {"speed": SPEED, "log_2m": f"{SPEED} * (ln(67.8e0 * 2 - 5.42e0) / ln(67.8e0 * 10 - 5.42e0))", "power_2m": f"{SPEED} * pow(0.2e0, 1e0 / 7)"}),
+    "wind_functions": ("cells", lambda: {"kohler": th.wind_function_kohler(speed()), "fao56": th.wind_function_fao56(speed(), tc())}, {"kohler": f"0.005e0 + 0.00085e0 * 3.6e0 * {SPEED}", "fao56": f"37e0 / ({TC} + 273) * {SPEED}"}),
+    "latent_heat_psychro": ("cells", lambda: {"latent": th.latent_heat_linear(tc()), "gamma": th.psychrometric_constant_dynamic(F.col("psurf_pa") / 1000, th.latent_heat_linear(tc()))}, {"latent": f"2.501e0 - 0.002361e0 * {TC}", "gamma": f"0.00163e0 * {KPA} / (2.501e0 - 0.002361e0 * {TC})"}),
+    "vapor_pressures": ("cells", lambda: {"magnus": th.vapor_pressure_magnus(tc()), "lamoreux": th.vapor_pressure_lamoreux(th.kelvin_to_fahrenheit("tair_k")), "mixing": mix()}, {"magnus": svp(TC), "lamoreux": lamoreux(f"({TC} * 9 / 5 + 32)"), "mixing": MIX}),
+    "delta_svp": ("cells", lambda: {"delta": th.delta_svp(tc())}, {"delta": DELTA}),
+    "dewpoint_magnus": ("cells", lambda: {"dew": th.dewpoint_magnus(mix())}, {"dew": DEW}),
     "dewpoint_cc": ("cells", lambda: {"dew": th.dewpoint_from_specific_humidity_cc("qair", "psurf_pa")}, {"dew": f"1e0 / (1e0 / 273.15e0 - 0.0001844e0 * ln({MIX} / 0.6113e0)) - 273.15e0"}),
-    "dewpoint_arm": ("cells", lambda: {"dew": dew}, {"dew": DEW}),
+    "dewpoint_arm": ("cells", lambda: {"dew": dew()}, {"dew": DEW}),
     "dewpoint_bolton": ("cells", lambda: {"dew": th.dewpoint_from_specific_humidity("qair", "psurf_pa")}, {"dew": f"243.5e0 * ln({MIX} * 10 / 6.112e0) / (17.67e0 - ln({MIX} * 10 / 6.112e0))"}),
-    "specific_humidity": ("cells", lambda: {"q": th.specific_humidity(dew, "psurf_pa")}, {"q": SH}),
-    "relative_humidity": ("cells", lambda: {"from_q": th.relative_humidity_from_specific_humidity(tc, "qair", "psurf_pa"), "from_dew": th.relative_humidity(tc, dew, "psurf_pa")}, {"from_q": rh("qair"), "from_dew": rh(SH)}),
-    "net_radiation": ("cells", lambda: {"net": rad.net_radiation("swdown", "lwdown", tc), "arm": rad.net_radiation_arm("swdown", tc, dew)}, {"net": RN, "arm": f"swdown * (1 - 0.23e0) - {SBT4} * (0.34e0 - 0.14e0 * sqrt({svp(DEW, '237.7e0', '0.6112e0')}))"}),
-    "net_longwave_direct": ("cells", lambda: {"net": rad.net_longwave_direct(tc, "lwdown")}, {"net": f"0.98e0 * {SBT4} - lwdown"}),
-    "net_longwave_brutsaert": ("cells", lambda: {"net": rad.net_longwave_brutsaert(tc, mix)}, {"net": f"0.98e0 * {SBT4} - 1.24e0 * pow(10 * greatest({MIX}, 0e0) / ({TC} + 273.15e0), 1e0 / 7) * {SBT4}"}),
-    "net_longwave_brunt": ("cells", lambda: {"net": rad.net_longwave_brunt(tc, mix)}, {"net": f"{SBT4} * (0.34e0 - 0.14e0 * sqrt({MIX}))"}),
+    "specific_humidity": ("cells", lambda: {"q": th.specific_humidity(dew(), "psurf_pa")}, {"q": SH}),
+    "relative_humidity": ("cells", lambda: {"from_q": th.relative_humidity_from_specific_humidity(tc(), "qair", "psurf_pa"), "from_dew": th.relative_humidity(tc(), dew(), "psurf_pa")}, {"from_q": rh("qair"), "from_dew": rh(SH)}),
+    "net_radiation": ("cells", lambda: {"net": rad.net_radiation("swdown", "lwdown", tc()), "arm": rad.net_radiation_arm("swdown", tc(), dew())}, {"net": RN, "arm": f"swdown * (1 - 0.23e0) - {SBT4} * (0.34e0 - 0.14e0 * sqrt({svp(DEW, '237.7e0', '0.6112e0')}))"}),
+    "net_longwave_direct": ("cells", lambda: {"net": rad.net_longwave_direct(tc(), "lwdown")}, {"net": f"0.98e0 * {SBT4} - lwdown"}),
+    "net_longwave_brutsaert": ("cells", lambda: {"net": rad.net_longwave_brutsaert(tc(), mix())}, {"net": f"0.98e0 * {SBT4} - 1.24e0 * pow(10 * greatest({MIX}, 0e0) / ({TC} + 273.15e0), 1e0 / 7) * {SBT4}"}),
+    "net_longwave_brunt": ("cells", lambda: {"net": rad.net_longwave_brunt(tc(), mix())}, {"net": f"{SBT4} * (0.34e0 - 0.14e0 * sqrt({MIX}))"}),
     "clearsky_geometric": ("cells", lambda: {"clear": clear()}, {"clear": GEOMETRIC}),
     "clearsky_hww": ("daily_met", lambda: {"clear": rad.clearsky_hww(F.col("date"), "lat")}, {"clear": hww("date")}),
     "clearsky_fao56": ("daily_met", lambda: {"clear": rad.clearsky_fao56(rad.extra_radiation(F.col("date"), "lat"), "elevation_m")}, {"clear": f"(0.75e0 + 2e-5 * elevation_m) * {extra('date')}"}),
@@ -145,8 +146,8 @@ ROWS: dict[str, tuple[str, Callable[[], dict[str, Column]], dict[str, str]]] = {
     "pet_knb": ("daily_met", lambda: {"pet": ev.penman_knb("temp_mean_c", "temp_dew_c", "wind_ms", "solar_mj")}, {"pet": KNB}),
     "pet_oudin": ("daily_met", lambda: {"pet": ev.oudin(F.col("date"), "temp_mean_c", "lat")}, {"pet": f"greatest({extra('date')} / 2.45e0 / 100 * (temp_mean_c + 5), 0e0)"}),
     "pet_hargreaves": ("daily_met", lambda: {"pet": ev.hargreaves(F.col("date"), "temp_min_c", "temp_max_c", "lat")}, {"pet": f"greatest(0.0023e0 * ({extra('date')} / 2.45e0) * ((temp_min_c + temp_max_c) / 2 + 17.8e0) * sqrt(greatest(temp_max_c - temp_min_c, 0e0)), 0e0)"}),
-    "pet_penman_monteith": ("cells", lambda: {"pet": ev.penman_monteith_asce("swdown", "lwdown", tc, dew, speed, "psurf_pa")}, {"pet": PM}),
-    "hspf_units": ("cells", lambda: recipes.hspf_units(tc, dew, speed, "swdown", F.col("qair") * 50, "rainf", "rainf"), {"temperature_f": f"{TC} * 9 / 5 + 32", "dewpoint_f": f"{DEW} * 9 / 5 + 32", "wind_speed_mph": f"{SPEED} * 2.23694e0", "shortwave_langley": "swdown / 11.63e0", "shortwave_mj_day": "swdown * 0.0864e0", "cloud_cover_tenths": "qair * 50 * 10", "pet_in": "rainf / 25.4e0", "precip_in": "rainf / 25.4e0"}),
+    "pet_penman_monteith": ("cells", lambda: {"pet": ev.penman_monteith_asce("swdown", "lwdown", tc(), dew(), speed(), "psurf_pa")}, {"pet": PM}),
+    "hspf_units": ("cells", lambda: recipes.hspf_units(tc(), dew(), speed(), "swdown", F.col("qair") * 50, "rainf", "rainf"), {"temperature_f": f"{TC} * 9 / 5 + 32", "dewpoint_f": f"{DEW} * 9 / 5 + 32", "wind_speed_mph": f"{SPEED} * 2.23694e0", "shortwave_langley": "swdown / 11.63e0", "shortwave_mj_day": "swdown * 0.0864e0", "cloud_cover_tenths": "qair * 50 * 10", "pet_in": "rainf / 25.4e0", "precip_in": "rainf / 25.4e0"}),
     "lon_wrap": ("cells", lambda: {"lon180": sp.wrap_longitude(F.col("lon") + 360.0), "again": sp.wrap_longitude(F.col("lon"))}, {"lon180": "lon", "again": "lon"}),
 }
 
@@ -343,10 +344,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "fine_gaps").join(view(spark, sf_dir, "coarse"), ["zone", "time"], "left_semi").select("zone", "time")
 
 
-@query("missing_dates_anti", "SELECT CAST(d AS DATE) AS date FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)")
+@query("missing_dates_anti", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     have = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.to_date("l_shipdate").alias("date"))
-    return ti.missing_labels(have, "1995-01-01", "2001-12-31")
+    return ti.missing_labels(have, "1995-01-01", "2001-12-31").select(F.col("date").cast("string").alias("date"))
 
 
 @query("dsn_lookup", f"{ctes('polygons')} SELECT polygon_index, CAST('10' || CAST(polygon_index AS VARCHAR) AS INT) AS prec_dsn, CAST('16' || CAST(polygon_index AS VARCHAR) AS INT) AS atem_dsn FROM polygons")
@@ -367,7 +368,7 @@ DAY = "CAST(date_trunc('day', time) AS TIMESTAMP)"
 
 @query("daily_stats", f"{ctes('cells')} SELECT lat_idx, lon_idx, {DAY} AS time, round(avg({TC}), 6) AS tmean, round(min({TC}), 6) AS tmin, round(max({TC}), 6) AS tmax FROM cells GROUP BY 1, 2, 3")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    made = [F.round(f(tc), 6).alias(n) for n, f in (("tmean", F.avg), ("tmin", F.min), ("tmax", F.max))]
+    made = [F.round(f(tc()), 6).alias(n) for n, f in (("tmean", F.avg), ("tmin", F.min), ("tmax", F.max))]
     return ti.resample(view(spark, sf_dir, "cells"), ["lat_idx", "lon_idx"], made)
 
 
@@ -455,12 +456,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _days(spark: SparkSession, sf_dir: str, table: str, column: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(F.to_date(column).alias("date"))
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet").select(F.to_date(column).cast("string").alias("date"))
 
 
 for _name, _op, _method in (("set_difference", "EXCEPT", "subtract"), ("set_intersect", "INTERSECT", "intersect"), ("set_union", "UNION", "union")):
 
-    @query(_name, f"SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem {_op} SELECT CAST(o_orderdate AS DATE) FROM orders")
+    @query(_name, f"SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS date FROM lineitem {_op} SELECT CAST(CAST(o_orderdate AS DATE) AS VARCHAR) FROM orders")
     def _(spark: SparkSession, sf_dir: str, method: str = _method) -> DataFrame:
         return getattr(_days(spark, sf_dir, "lineitem", "l_shipdate"), method)(_days(spark, sf_dir, "orders", "o_orderdate")).distinct()
 
@@ -533,9 +534,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(dis.disaggregate_pevt(_pet_daily(spark, sf_dir), ["zone"], "pet_mm"), "pevt_hourly")
 
 
-@query("pevt_static", f"{PET_DAILY} SELECT zone, time, round(pet_mm * (1e0 / 24), 6) AS pevt_hourly FROM hours")
+@query("pevt_static", f"{PET_DAILY} SELECT zone, time, round(pet_mm * (1e0 / 24), 9) AS pevt_hourly FROM hours")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(dis.disaggregate_pevt(_pet_daily(spark, sf_dir), ["zone"], "pet_mm", "static"), "pevt_hourly")
+    made = dis.disaggregate_pevt(_pet_daily(spark, sf_dir), ["zone"], "pet_mm", "static")
+    return made.select("zone", "time", F.round("pevt_hourly", 9).alias("pevt_hourly"))
 
 
 @query("pet_daily_to_hourly_solar", f"""{PET_DAILY}, s AS (SELECT *, CASE WHEN hour(time) BETWEEN 7 AND 17 AND dayofyear(time) % 5 <> 0 THEN (hour(time) * 7 % 11) * 1e1 ELSE 0e0 END AS lit FROM hours),
