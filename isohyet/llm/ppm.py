@@ -64,6 +64,8 @@ def _codes(data: np.ndarray, length: int, size: int) -> np.ndarray:
 
 def train(texts: dict[str, list[bytes]], order: int = ORDER, table_cells: int = TABLE_CELLS) -> Model:
     languages = sorted(texts)
+    if not languages:
+        return Model([], np.full(256, OTHER, np.uint8), [], np.zeros((0, 0), np.float32))
     seen = np.zeros(256, bool)
     for parts in texts.values():
         for x in parts:

@@ -1,0 +1,291 @@
+"""Each operator against brute force on a small fixture with nulls, empty and long texts, ties, repeated rows and clashing names."""
+
+import hashlib
+import html
+import re
+from collections import Counter
+
+import ahocorasick  # noqa: F401
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from isohyet.llm import chat, common, cotraining, decontaminate, graph, mixing, ppm, sharding, simhash, spotsigs, substrings, tagpaths
+
+SF = "/root/testdata/sf0.001"
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, part int, rate double, shard int, h long, _bucket int"
+LONG = " ".join(f"word{i % 997}x{i % 13}" for i in range(30_000))
+PASSAGE = " ".join(f"shared{i}" for i in range(40))
+
+
+def fixture():
+    texts = [None, "", "   \n\t", "a", "The cat sat on the mat and the dog ran to the house. " * 5, "The cat sat on the mat and the dog ran to the house. " * 5, LONG, LONG + " end"]
+    texts += [f"intro{i} {PASSAGE} outro{i} the end of it" for i in range(6)] + ["ÀÉ über straße ñandú 中文 字 🙂 x <|im_end|>"] + [f"unique{i} and the other{i} of it" for i in range(5)]
+    rows = [(i, t, None if i % 5 == 0 else ("en", "de")[i % 2], None if i % 7 == 0 else f"s{i % 3}", len(t or ""), i, 1.0, 2, 3, 4) for i, t in enumerate(texts)]
+    return [*rows, rows[4], rows[9], rows[9]]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(fixture(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+
+
+def test_op4_brute_force(docs, empty):
+    rows = fixture()
+    least = {}
+    for i, t, *_ in rows:
+        w = words(t)
+        for k in range(len(w) - 12):
+            key = tuple(w[k : k + 13])
+            least[key] = min(least.get(key, i), i)
+    want = Counter()
+    for i, t, *_ in rows:
+        w = words(t)
+        gone = {p for k in range(len(w) - 12) if least[tuple(w[k : k + 13])] < i for p in range(k, k + 13)}
+        want[i, len(w), len(gone), hashlib.sha256(b" ".join(x for p, x in enumerate(w) if p not in gone)).hexdigest()] += 1
+    for size in (1 << 10, 1 << 22):
+        assert Counter(map(tuple, substrings.remove_repeats(docs, part_bytes=size).collect())) == want
+    assert substrings.remove_repeats(empty).count() == 0
+
+
+def fold(text):
+    return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
+
+
+def test_op7_brute_force(spark, docs, empty):
+    items = [(1, PASSAGE.upper()), (10, "shared1 shared2 shared3"), (2, None), (3, "..."), (None, "dog ran"), (10, "straße"), (5, PASSAGE)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = Counter()
+    for i, t, *_ in fixture():
+        w, hit, ids = fold(t), set(), set()
+        for name, text in items:
+            x = fold(text)
+            for a in range(max(1, len(x) - 9)) if x else ():
+                key = x[a : a + 10]
+                for k in range(len(w) - len(key) + 1):
+                    if w[k : k + len(key)] == key:
+                        hit.update(range(k, k + len(key)))
+                        ids.update([] if name is None else [str(name)])
+        want[i, len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit)] += 1
+    assert Counter(tuple(r)[:6] for r in decontaminate.decontaminate(docs, bench).collect()) == want
+    small = decontaminate.find_leaks(docs, bench, block_words=7)
+    assert Counter((r.doc_id, tuple(r["items"]), tuple(r.runs)) for r in small.collect()) == Counter((r.doc_id, tuple(r["items"]), tuple(r.runs)) for r in decontaminate.find_leaks(docs, bench).collect())
+    text = fixture()[8][1]
+    spans = [r.spans for r in small.filter("doc_id = 8").collect()][0]
+    assert text[spans[0].start : spans[0].stop] == PASSAGE
+    assert decontaminate.decontaminate(empty, bench).count() == 0
+    assert decontaminate.decontaminate(docs, bench.limit(0)).filter("contaminated").count() == 0
+    assert decontaminate.clean_rows(docs, bench).count() == sum(n for k, n in want.items() if not k[5])
+
+
+def test_op10_brute_force(spark, docs, empty):
+    def fp(text):
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        if not w:
+            return 0
+        hs = [xxhash.xxh64_intdigest(b" ".join(w[k : k + 3]), seed=42) for k in range(max(1, len(w) - 2))]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+    near = [(100 + k, f"{PASSAGE} tail{k}", None, None, 0, 0, 0.0, 0, 0, 0) for k in range(30)]
+    rows = fixture() + near
+    made = spark.createDataFrame(rows, SCHEMA)
+    prints = {r[0]: fp(r[1]) for r in rows}
+    root = {i: i for i in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in prints:
+        for b in prints:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= 2:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    got = simhash.near_duplicates(made).collect()
+    assert len(got) == len(rows)
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in got} == {(i, f"{p:016x}", find(i)) for i, p in prints.items()}
+    assert simhash.near_duplicates(empty).count() == 0
+
+
+def test_links_of_a_wide_list():
+    rng = np.random.default_rng(5)
+    fp = np.unique(rng.integers(0, 1 << 16, 3000)).astype(np.int64)
+    rep = np.arange(len(fp)) + 7
+    a, b = simhash._links(np.zeros(len(fp), np.int64), fp, rep)
+    root = np.arange(len(fp))
+    for k in range(len(fp)):
+        near = np.flatnonzero(np.bitwise_count((fp ^ fp[k]).view(np.uint64)) <= 2)
+        least = root[near].min()
+        root[np.isin(root, root[near])] = least
+    label = dict(zip(rep.tolist(), rep.tolist(), strict=True)) | dict(zip(a.tolist(), b.tolist(), strict=True))
+    assert [label[int(r)] for r in rep] == (root + 7).tolist()
+
+
+def test_components(spark):
+    chain = [(k, k + 1) for k in range(40)] + [(100, 99), (101, 100), (7, 7)]
+    got = {r.node: r.component for r in graph.connected_components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert got == {k: 0 for k in range(41)} | {99: 99, 100: 99, 101: 99}
+    assert graph.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
+def test_feistel(n):
+    x = np.arange(n, dtype=np.uint64)
+    y = sharding.permute(x, n, 3)
+    assert sorted(y.tolist()) == x.tolist()
+    assert (sharding.permute(y, n, 3, inverse=True) == x).all()
+    shard, slot = sharding.locate(x, n, 7, 3)
+    assert (sharding.rank_at(shard, slot, n, 7, 3) == x).all()
+
+
+def test_op9(docs, empty):
+    got = sharding.shard_documents(docs).collect()
+    sizes = Counter(r.shard for r in got)
+    assert len(got) == len(fixture()) and max(sizes.values()) - min([*sizes.values(), *([0] if len(sizes) < 40 else [])]) <= 1
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in sizes.items())
+    assert {(r.doc_id, r.size) for r in got} == {(i, len((t or "").encode()) + 16) for i, t, *_ in fixture()}
+    assert sorted(map(tuple, got), key=str) == sorted(map(tuple, sharding.shard_documents(docs.repartition(2)).collect()), key=str)
+    rows = sharding.shard_rows(docs.drop("shard"))
+    assert sorted((r.shard, r.slot) for r in rows.collect()) == sorted((r.shard, r.slot) for r in got)
+    assert sharding.shard_documents(empty).count() == 0
+
+
+def test_op5(spark, docs, empty):
+    got = mixing.mix(docs).collect()
+    assert all(r.copy <= r.n_copies for r in got)
+    again = mixing.mix(docs.repartition(2)).collect()
+    assert Counter((r.doc_id, r.copy) for r in got) == Counter((r.doc_id, r.copy) for r in again)
+    assert mixing.mix(empty).count() == 0
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("abcd").alias("text"), F.lit("s").alias("source"))
+    for epochs in (0.5, 3.0, 200.0):
+        n = [r.n for r in mixing.mix(many, epochs=epochs).groupBy("doc_id").agg(F.count("*").alias("n")).collect()]
+        n += [0] * (3000 - len(n))
+        assert np.mean(n) == pytest.approx(epochs, rel=0.08) and np.var(n) == pytest.approx(epochs, rel=0.15)
+    weighted = mixing.mix(docs, {"s0": 3.0, "s1": 1.0})
+    assert {r.source for r in weighted.select("source").distinct().collect()} <= {"s0", "s1"}
+    held, mixing.BROADCAST_SOURCES = mixing.BROADCAST_SOURCES, 0
+    try:
+        assert Counter((r.doc_id, r.copy) for r in mixing.mix(docs).collect()) == Counter((r.doc_id, r.copy) for r in got)
+    finally:
+        mixing.BROADCAST_SOURCES = held
+
+
+def test_op8_round_trip(spark):
+    odd = ["", None, "<|im_start|>user\nhi<|im_end|>\n", "<\\|x", "<\\\\|<|", "<", "|<", "🙂 é", chat.PROBE]
+    rows = [(c, t, ("user", "assistant", None, "sys\n\\n<|im_end|>")[(t + c) % 4], odd[(t * 3 + c) % len(odd)]) for c in range(5) for t in range(9)] + [(1, 2, "user", "tie"), (1, 2, "user", "tie"), (None, 0, "assistant", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: r for r in chat.chat_digest(turns).collect()}
+    for conv in {r[0] for r in rows} | {-1}:
+        said = sorted([(t, r or "", x or "") for c, t, r, x in [*rows, (-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)] if c == conv])
+        loss = "".join(x for _, r, x in said if r == "assistant")
+        assert got[conv].n_turns == len(said)
+        assert got[conv].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in said).encode()).hexdigest()
+        assert (got[conv].loss_chars, got[conv].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat.chat_digest(turns.limit(0)).count() == 1
+    part = "struct<kind:string,text:string,ref:string,tokens:int>"
+    typed = spark.createDataFrame([(1, 0, "user", [("text", "see <|image|>", None, None), ("image", None, "a.png", 3), ("audio", None, "b.wav", None)])], f"conv_id long, turn long, role string, parts array<{part}>")
+    row = chat.format_conversations(typed).first()
+    assert row.n_tokens_expanded == 4 and [a.ref for a in row.attachments] == ["a.png", "b.wav"]
+    assert row.formatted[row.attachments[0].offset :].startswith("<|image|><|image|><|image|><|audio|>")
+
+
+def test_op2(spark, docs, empty):
+    got = {r.doc_id: r for r in spotsigs.fingerprint_documents(docs).collect()}
+    rows = sorted(fixture(), key=lambda r: (-r[0], r[1] or ""))
+    ids = [r[0] for r in rows]
+    for k, (i, t, *_) in enumerate(rows):
+        if ids.count(i) > 1:
+            continue
+        t, x = t or "", rows[(k + 1) % len(rows)][1] or ""
+        n = len(t) // 3
+        assert got[i].edited_sha256 == hashlib.sha256((t[: len(t) - n] + x[:n]).encode()).hexdigest()
+        assert got[i].n_chars == len(t) and 0 <= got[i].near_edited <= 1
+    assert got[4].fingerprint == got[5].fingerprint and got[0].fingerprint == ""
+    small = spotsigs.with_next(docs, rows_per_bucket=1).collect()
+    assert Counter((r.doc_id, r.next.text) for r in small) == Counter((r.doc_id, r.next.text) for r in spotsigs.with_next(docs).collect())
+    assert spotsigs.fingerprint_documents(empty).count() == 0
+    prints = common.table(spark, SF, "documents").select("doc_id", spotsigs.signatures(F.col("text")).alias("sigs"))
+    sets = {}
+    for r in prints.collect():
+        sets.setdefault(tuple(r.sigs), r.doc_id)
+        sets[tuple(r.sigs)] = min(sets[tuple(r.sigs)], r.doc_id)
+    items = [(i, set(s)) for s, i in sets.items() if s]
+    want = {(min(a, b), max(a, b)) for a, s in items for b, t in items if a < b and len(s & t) / len(s | t) >= 0.8}
+    assert {(r.id_a, r.id_b) for r in spotsigs.near_duplicates(prints).collect()} == want
+
+
+def test_op1(spark, docs, empty):
+    model = ppm.train({"a": [b"abab abab abab"], "b": [b"bcbc bcbc \xc3\xa9"]}, order=3)
+    prob = np.exp2(-model.bits.reshape(len(model.children[0]), -1, 2).astype(float))
+    assert prob[:, 1:, :].sum(1) == pytest.approx(1, abs=1e-5)
+    whole, block = [b"abab" * 50, b"", b"bcbcz"], ppm.BLOCK
+    bits = ppm.code_lengths(model, whole)
+    ppm.BLOCK = 7
+    try:
+        assert ppm.code_lengths(model, whole) == pytest.approx(bits)
+    finally:
+        ppm.BLOCK = block
+    assert bits[0].argmin() == 0 and bits[2].argmin() == 1 and not bits[1].any()
+    got = {r.doc_id: r for r in ppm.identify_languages(docs).collect()}
+    assert got[0].lang_pred == got[1].lang_pred == got[2].lang_pred == "und" and got[0].score == 0
+    assert {r.lang_pred for r in got.values()} <= {"und", "en", "de"}
+    assert ppm.identify_languages(empty).count() == 0
+    full = common.table(spark, "/root/testdata/sf0.01", "documents")
+    told = ppm.identify_languages(full).join(full.select("doc_id", "lang"), "doc_id").filter("held_out").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert told > 0.95
+
+
+def test_op6(spark, docs, empty):
+    full, labels = common.table(spark, "/root/testdata/sf0.01", "documents"), common.table(spark, "/root/testdata/sf0.01", "labels")
+    got = cotraining.classify(full, labels).join(labels, "doc_id")
+    share = {(r.quality, r.toxic): r.k for r in got.groupBy("quality", "toxic").agg(F.avg(F.col("keep").cast("int")).alias("k")).collect()}
+    assert share[1, 0] > 0.95 and share[0, 0] < 0.1 and share[1, 1] < 0.4
+    plain = cotraining.classify(docs, labels.limit(0)).collect()
+    assert {r.keep for r in plain if r.doc_id < 3} == {False} and all(r.keep for r in plain if r.doc_id >= 3)
+    assert cotraining.classify(empty, labels).count() == 0
+
+
+def test_op3(spark):
+    rows = common.table(spark, "/root/testdata/sf0.01", "pages").collect()
+    for r in rows:
+        inner = r.html[r.html.index("<article>") + 9 : r.html.index("</article>")]
+        blocks = [" ".join(html.unescape(re.sub("<[^>]*>", " ", x)).split()) for x in re.split("</?p>|</?h1>", inner)]
+        assert tagpaths.main_text(r.html) == "\n".join(x for x in blocks if x)
+    page = "<body><div class='cookie-notice'>We use cookies, a lot.</div><aside>Side text, here.</aside><div><p>One &amp; two,  three.<p>Four<br>five; six.<ul><li>A</ul></div><form>Name: x</form><div id=comments><p>I agree, fully.</p></div>"
+    assert tagpaths.main_text(page) == "One & two, three.\nFour five; six.\nA"
+    odd = spark.createDataFrame([(1, "u", None, 1), (1, "u", None, 1), (2, None, "", 1), (3, "u", "<script>x", 1), (4, "u", "<a \"<p>" * 2000, 1)], "page_id long, url string, html string, text int")
+    got = tagpaths.extract(odd).collect()
+    assert len(got) == 5 and all(r.n_chars == len(r.text) for r in got) and [r.text for r in got if r.page_id < 4] == [""] * 4
+    assert tagpaths.extract(odd.limit(0)).count() == 0
+
+
+def test_pipeline(spark):
+    docs = common.table(spark, "/root/testdata/sf0.001", "documents")
+    now, before = docs, {r.doc_id: r.text for r in docs.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        made = stage(spark, now, SF)
+        rows = made.collect()
+        assert set(corpus_pipeline.COLUMNS) <= set(made.columns)
+        assert all(before[r.doc_id] == r.text for r in rows)
+        if name == "SimHash near-dedup":
+            texts = [r.text for r in rows]
+            assert len(set(texts)) == len(texts)
+            assert {r.text for r in now.collect()} >= set(texts)
+        if name == "benchmark decontamination":
+            assert decontaminate.decontaminate(made, common.table(spark, SF, "benchmark")).filter("contaminated").count() == 0
+        now = common.checkpoint(made)
+    n = now.count()
+    assert sorted((r.shard, r.slot) for r in now.collect()) == sorted((k % 40, k // 40) for k in range(n))
+    assert corpus_pipeline.run(spark, SF).count() == n
