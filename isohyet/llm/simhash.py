@@ -18,7 +18,7 @@ id; an empty table gives no rows; extra columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.llm.common import checkpoint
+from isohyet.llm.common import checkpoint, mix64
 from isohyet.llm.graph import connected_components
 
 SHINGLE = 3
@@ -138,19 +138,24 @@ def _links(key: np.ndarray, fp: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray
     return pairs[0], pairs[1]
 
 
-def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come sorted by key; the last list of a batch waits for the next one."""
-    wait = [np.zeros(0, np.int64)] * 3
+def _by_list(batches: Iterator[pa.RecordBatch], names: tuple[str, ...], links: Callable[..., tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows come sorted by key, the first name; the last list of a batch waits for the next one."""
+    wait: list[np.ndarray] = []
     for batch in batches:
-        got = [np.concatenate([w, batch.column(n).to_numpy()]) for w, n in zip(wait, ("key", "fp", "rep"), strict=True)]
+        got = [batch.column(n).to_numpy() for n in names]
         if not len(got[0]):
             continue
+        got = [np.concatenate(x) for x in zip(wait, got, strict=True)] if wait else got
         cut = np.searchsorted(got[0], got[0][-1])
         wait = [x[cut:] for x in got]
         if cut:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _links(*[x[:cut] for x in got])], ["a", "b"])
-    if len(wait[0]):
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in _links(*wait)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in links(*[x[:cut] for x in got])], ["a", "b"])
+    if wait:
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in links(*wait)], ["a", "b"])
+
+
+def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _by_list(batches, ("key", "fp", "rep"), _links)
 
 
 def linked(prints: DataFrame) -> DataFrame:
@@ -169,8 +174,135 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return linked(prints).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+# The stage: near copies of five-word shingles as well ------------------------------------------
+
+#: Seeds of the word-set fingerprints, the bits that two may differ in, and the verified similarity.
+WORD_SEEDS = (1, 2, 3)
+WORD_RADIUS = 4
+WORD_CHOICES = tuple(combinations(range(8), 8 - WORD_RADIUS))
+SIMILAR, WORDS_A_SHINGLE = 0.8, 5
+#: Candidate pairs up to this many are broadcast to the texts (16 bytes each); beyond, the join is shuffled.
+BROADCAST_PAIRS = 1_000_000
+
+
+def word_fingerprints(text: bytes) -> list[int]:
+    """SimHashes of the set of a text's words, one per seed."""
+    words = set(text.lower().split())
+    if not words:
+        return [0] * len(WORD_SEEDS)
+    base = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    found = []
+    for seed in WORD_SEEDS:
+        hashes = mix64(base + np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+        counts = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), BLOCK):
+            counts += np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        found.append(int(np.packbits(2 * counts > len(hashes)).view(np.int64)[0]))
+    return found
+
+
+def _both_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
+        prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints), pa.array([word_fingerprints(t) for t in texts], pa.list_(pa.int64()))], ["doc_id", "fp", "words"])
+
+
+def _word_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per seed and choice of positions: the bytes there with the choice's number as key, the other bytes as rest."""
+    for batch in batches:
+        prints = np.array(batch.column("words").to_pylist(), np.int64).reshape(-1, len(WORD_SEEDS))
+        for seed in range(len(WORD_SEEDS)):
+            parts = np.ascontiguousarray(prints[:, seed]).view(np.uint8).reshape(-1, 8)
+            for number, at in enumerate(WORD_CHOICES):
+                key, rest = np.zeros((len(parts), 8), np.uint8), np.zeros((len(parts), 4), np.uint8)
+                key[:, : len(at)] = parts[:, at]
+                key[:, 6:] = seed, number
+                rest[:, :WORD_RADIUS] = parts[:, [k for k in range(8) if k not in at]]
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).reshape(-1)), pa.array(rest.view(np.int32).reshape(-1)), batch.column("rep")], ["key", "rest", "rep"])
+
+
+def _word_pairs(key: np.ndarray, rest: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Candidate pairs of whole lists: each member with the least of its component (small lists) or of its list (large ones, verified later)."""
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.append(new, len(key)))
+    many = np.repeat(size > 1, size)
+    key, rest, rep, size = key[many], rest[many], rep[many], size[size > 1]
+    if not len(size):
+        return rep[:0], rep[:0]
+    begin = np.concatenate(([0], np.cumsum(size)[:-1]))
+    small = np.repeat(size <= SMALL_LIST, size)
+    label = np.where(small, rep, np.repeat(np.minimum.reduceat(rep, begin), size))
+    left, right = [rep[:0]], [rep[:0]]
+    for step in range(1, min(SMALL_LIST, int(size.max()))):
+        at = np.flatnonzero((key[step:] == key[:-step]) & small[:-step])
+        at = at[np.bitwise_count((rest[at] ^ rest[at + step]).view(np.uint32)) <= WORD_RADIUS]
+        left.append(at)
+        right.append(at + step)
+    i, j = np.concatenate(left), np.concatenate(right)
+    while len(i):
+        least, before = np.minimum(label[i], label[j]), label.copy()
+        np.minimum.at(label, i, least)
+        np.minimum.at(label, j, least)
+        if (label == before).all():
+            break
+    off = label != rep
+    pairs = np.unique(np.stack([rep[off], label[off]]), axis=1)
+    return pairs[0], pairs[1]
+
+
+def _word_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _by_list(batches, ("key", "rest", "rep"), _word_pairs)
+
+
+def similarity(a: bytes, b: bytes) -> float:
+    """Jaccard measure of the sets of five-word shingles; a shorter text is one shingle."""
+    made = []
+    for text in (a, b):
+        words = text.lower().split()
+        made.append(set(zip(*[words[k:] for k in range(WORDS_A_SHINGLE)], strict=False)) if len(words) >= WORDS_A_SHINGLE else {tuple(words)})
+    return len(made[0] & made[1]) / len(made[0] | made[1])
+
+
+def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [[x or b"" for x in batch.column(n).cast(pa.binary()).to_pylist()] for n in ("text_a", "text_b")]
+        good = pa.array([similarity(a, b) >= SIMILAR for a, b in zip(*texts, strict=True)], pa.bool_())
+        yield batch.select(["a", "b"]).filter(good)
+
+
+def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of doc_ids whose texts reach SIMILAR; only texts of pairs are shuffled."""
+    pairs = checkpoint(pairs)
+    told = F.broadcast(pairs) if pairs.count() <= BROADCAST_PAIRS else pairs
+    sides = [docs.select(F.col("doc_id").cast("long").alias(n), F.col("text").alias(f"text_{n}")).join(told, n) for n in ("a", "b")]
+    return sides[0].join(sides[1], ["a", "b"]).select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """doc_id and component_id by both kinds of links: fingerprints of at most RADIUS bits, and verified five-word similarity.
+
+    Near copies of a similarity of 0.8 differ in more bits than RADIUS on
+    three-word shingles.  The representatives of the first components are
+    therefore indexed again, by three fingerprints of their sets of words, under
+    every choice of four positional bytes (the guaranteed minimum for four
+    bits), and each candidate pair is verified on the whole texts.
+    """
+    prints = checkpoint(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_both_prints, "doc_id long, fp long, words array<long>"))
+    first = checkpoint(linked(prints.select("doc_id", "fp")))
+    reps = first.filter("doc_id = component_id").select("doc_id").distinct()
+    marks = prints.join(reps, "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("words").alias("words"))
+    posted = marks.mapInArrow(_word_postings, "key long, rest int, rep long")
+    edges = posted.repartition("key").sortWithinPartitions("key").mapInArrow(_word_link, "a long, b long").distinct()
+    again = connected_components(verified(docs, edges))
+    joined = first.join(again, first["component_id"] == again["node"], "left")
+    return joined.select("doc_id", F.coalesce("component", "component_id").alias("component_id"))
+
+
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents whose doc_id names their component: one of each group of near copies (one row, if the row repeats)."""
-    kept = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    chosen = docs.join(kept, "doc_id", "left_semi")
-    return chosen.dropDuplicates(["doc_id"])
+    """The document with the least doc_id of each group of near copies (one row, if the row repeats).
+
+    Rows without a doc_id cannot be told apart and go.
+    """
+    kept = near_copies(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])

@@ -289,3 +289,25 @@ def test_pipeline(spark):
     n = now.count()
     assert sorted((r.shard, r.slot) for r in now.collect()) == sorted((k % 40, k // 40) for k in range(n))
     assert corpus_pipeline.run(spark, SF).count() == n
+
+
+def test_near_copies_are_verified(spark, empty):
+    base = [f"w{k * 7919 % 5003}" for k in range(300)]
+    rows = [(0, " ".join(base)), (9, None), (None, None)]
+    for k in range(1, 7):
+        w = list(base)
+        for j in range(k):
+            w[37 * j + k] = f"edit{k}x{j}"
+        rows.append((k, " ".join(w)))
+    rows += [(20 + k, " ".join(f"other{k}w{j * k % 211}" for j in range(120))) for k in range(6)]
+    rows.append(rows[-1])
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(docs).collect()}
+    texts = dict(rows)
+    for k in range(1, 7):
+        if simhash.similarity(texts[0].encode(), texts[k].encode()) >= 0.9:
+            assert got[k] == 0
+    assert all(got[20 + k] == 20 + k for k in range(6))
+    kept = simhash.keep_one(docs).collect()
+    assert Counter(r.doc_id for r in kept) == Counter({i for i, c in got.items() if i is not None and i == c})
+    assert simhash.keep_one(empty).count() == 0
