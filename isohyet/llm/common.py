@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,6 +59,13 @@ def global_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     )
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Views of few rows, so that only so many texts are Python objects at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser, element by element."""
     x = x.astype(np.uint64, copy=True)

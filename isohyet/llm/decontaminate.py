@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.llm.common import checkpoint
+from isohyet.llm.common import checkpoint, slices
 
 WINDOW = 10
 BLOCK_WORDS = 50_000
@@ -110,7 +110,7 @@ def _pass(docs: DataFrame, block: dict[bytes, set[str]], carried: bool, keep_tex
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = automaton(shared.value) if shared.value else None
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             counts, runs, items, spans = [], [], [], []
             for k, text in enumerate(texts):
@@ -164,7 +164,7 @@ def _filtered(docs: DataFrame, block: dict[bytes, set[str]]) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = automaton(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             clean = [not scan(made, text or b"")[1] for text in batch.column("text").cast(pa.binary()).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
 

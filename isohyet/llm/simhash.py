@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.llm.common import checkpoint, mix64
+from isohyet.llm.common import checkpoint, mix64, slices
 from isohyet.llm.graph import connected_components
 
 SHINGLE = 3
@@ -60,7 +60,7 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = batch.column("text").cast(pa.binary())
         prints = np.fromiter((fingerprint(x.as_py() or b"") for x in texts), np.uint64, len(texts))
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
@@ -202,7 +202,7 @@ def word_fingerprints(text: bytes) -> list[int]:
 
 
 def _both_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
         prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints), pa.array([word_fingerprints(t) for t in texts], pa.list_(pa.int64()))], ["doc_id", "fp", "words"])
@@ -265,7 +265,7 @@ def similarity(a: bytes, b: bytes) -> float:
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [[x or b"" for x in batch.column(n).cast(pa.binary()).to_pylist()] for n in ("text_a", "text_b")]
         good = pa.array([similarity(a, b) >= SIMILAR for a, b in zip(*texts, strict=True)], pa.bool_())
         yield batch.select(["a", "b"]).filter(good)
