@@ -183,6 +183,8 @@ WORD_CHOICES = tuple(combinations(range(8), 8 - WORD_RADIUS))
 SIMILAR, WORDS_A_SHINGLE = 0.8, 5
 #: Candidate pairs up to this many are broadcast to the texts (16 bytes each); beyond, the join is shuffled.
 BROADCAST_PAIRS = 1_000_000
+#: Found members that a step of the search in a long list compares at once.
+TREE_BLOCK = 64
 
 
 def word_fingerprints(text: bytes) -> list[int]:
@@ -222,8 +224,30 @@ def _word_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).reshape(-1)), pa.array(rest.view(np.int32).reshape(-1)), batch.column("rep")], ["key", "rest", "rep"])
 
 
+def _tree(rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Root and parent of each member of one long list, by a breadth-first search over near members.
+
+    Blocks of found members meet the members not found yet, so that memory stays
+    at a block's rows and no pair is held.
+    """
+    root, parent = np.arange(len(rest)), np.arange(len(rest))
+    left = np.arange(len(rest))
+    while len(left):
+        start, front, left = left[0], left[:1], left[1:]
+        while len(front) and len(left):
+            block, front = front[:TREE_BLOCK], front[TREE_BLOCK:]
+            near = np.bitwise_count((rest[block][:, None] ^ rest[left][None, :]).view(np.uint32)) <= WORD_RADIUS
+            hit = near.any(axis=0)
+            found = left[hit]
+            root[found], parent[found] = start, block[near.argmax(axis=0)[hit]]
+            front, left = np.concatenate([front, found]), left[~hit]
+    return root, parent
+
+
 def _word_pairs(key: np.ndarray, rest: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of whole lists: each member with the least of its component (small lists) or of its list (large ones, verified later)."""
+    """Candidate pairs of whole lists, two a member at most: with the least of its component, and with a near member that is less or nearer to the least."""
+    order = np.lexsort((rep, key))
+    key, rest, rep = key[order], rest[order], rep[order]
     new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     size = np.diff(np.append(new, len(key)))
     many = np.repeat(size > 1, size)
@@ -232,22 +256,28 @@ def _word_pairs(key: np.ndarray, rest: np.ndarray, rep: np.ndarray) -> tuple[np.
         return rep[:0], rep[:0]
     begin = np.concatenate(([0], np.cumsum(size)[:-1]))
     small = np.repeat(size <= SMALL_LIST, size)
-    label = np.where(small, rep, np.repeat(np.minimum.reduceat(rep, begin), size))
-    left, right = [rep[:0]], [rep[:0]]
+    label, beside = np.arange(len(rep)), np.arange(len(rep))
+    left, right = [], []
     for step in range(1, min(SMALL_LIST, int(size.max()))):
         at = np.flatnonzero((key[step:] == key[:-step]) & small[:-step])
         at = at[np.bitwise_count((rest[at] ^ rest[at + step]).view(np.uint32)) <= WORD_RADIUS]
         left.append(at)
         right.append(at + step)
-    i, j = np.concatenate(left), np.concatenate(right)
+    i, j = (np.concatenate(x) if x else label[:0] for x in (left, right))
+    np.minimum.at(beside, j, i)
     while len(i):
         least, before = np.minimum(label[i], label[j]), label.copy()
         np.minimum.at(label, i, least)
         np.minimum.at(label, j, least)
         if (label == before).all():
             break
-    off = label != rep
-    pairs = np.unique(np.stack([rep[off], label[off]]), axis=1)
+    for k in np.flatnonzero(size > SMALL_LIST):
+        whole = slice(begin[k], begin[k] + size[k])
+        root, parent = _tree(rest[whole])
+        label[whole], beside[whole] = root + begin[k], parent + begin[k]
+    own = np.arange(len(rep))
+    pairs = np.concatenate([np.stack([rep[own != to], rep[to[own != to]]]) for to in (label, beside)], axis=1)
+    pairs = np.unique(pairs, axis=1)
     return pairs[0], pairs[1]
 
 
