@@ -176,10 +176,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 # The stage: near copies of five-word shingles as well ------------------------------------------
 
-#: Seeds of the word-set fingerprints, the bits that two may differ in, and the verified similarity.
+#: Seeds of the word-set fingerprints, the positional bytes in which two may differ, the bits that may differ in them, and the verified similarity.
 WORD_SEEDS = (1, 2, 3)
-WORD_RADIUS = 4
-WORD_CHOICES = tuple(combinations(range(8), 8 - WORD_RADIUS))
+WORD_FREE = 4
+WORD_RADIUS = 2 * WORD_FREE
+WORD_CHOICES = tuple(combinations(range(8), 8 - WORD_FREE))
 SIMILAR, WORDS_A_SHINGLE = 0.8, 5
 #: Candidate pairs up to this many are broadcast to the texts (16 bytes each); beyond, the join is shuffled.
 BROADCAST_PAIRS = 1_000_000
@@ -220,7 +221,7 @@ def _word_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 key, rest = np.zeros((len(parts), 8), np.uint8), np.zeros((len(parts), 4), np.uint8)
                 key[:, : len(at)] = parts[:, at]
                 key[:, 6:] = seed, number
-                rest[:, :WORD_RADIUS] = parts[:, [k for k in range(8) if k not in at]]
+                rest[:, :WORD_FREE] = parts[:, [k for k in range(8) if k not in at]]
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).reshape(-1)), pa.array(rest.view(np.int32).reshape(-1)), batch.column("rep")], ["key", "rest", "rep"])
 
 
@@ -315,8 +316,9 @@ def near_copies(docs: DataFrame) -> DataFrame:
     Near copies of a similarity of 0.8 differ in more bits than RADIUS on
     three-word shingles.  The representatives of the first components are
     therefore indexed again, by three fingerprints of their sets of words, under
-    every choice of four positional bytes (the guaranteed minimum for four
-    bits), and each candidate pair is verified on the whole texts.
+    every choice of four positional bytes (the guaranteed minimum of matches when
+    four of the eight may differ), and candidate pairs, of at most two differing
+    bits a free byte, are verified on the whole texts.
     """
     prints = checkpoint(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_both_prints, "doc_id long, fp long, words array<long>"))
     first = checkpoint(linked(prints.select("doc_id", "fp")))
