@@ -13,7 +13,8 @@ A document is good if its quality label is 1 and it is not labelled toxic.
 
 Training takes a bounded sample in the order of a hash of doc_id: at most
 ``LABELLED`` labelled rows and ``POOL`` others, of texts up to ``SAMPLE_BYTES``
-each.  Scoring reads all documents' whole texts.
+each.  It is gathered in one task, which trains there and returns the model, so
+the driver never holds the sample.  Scoring reads all documents' whole texts.
 
 Defined cases: a text without words scores 0 and is rejected; without labels of
 both classes every text with words scores 1; null lang and source are values of
@@ -24,6 +25,7 @@ alike; empty tables give no rows; extra columns are not read.
 from __future__ import annotations
 
 import operator
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -43,6 +45,8 @@ LEAST_LIFT = 1.2
 PREFIXES = (4, 5)
 ACCEPT = 0.5
 NAMES = 24
+#: Ranges of hashes that the choice of tokens counts one after the other.
+RANGES = 16
 _SYMBOLS = re.compile(rb"[!-/:-@\[-`{-~]{2,}|[|#*%$&~^=+<>]")
 _WORDS = bytes(c + 32 if 0x41 <= c <= 0x5A else 0x20 if c < 0x80 and not chr(c).isalnum() else c for c in range(256))
 #: Character classes: other, lower, upper, digit, space, line break, punctuation of prose, symbol.
@@ -88,11 +92,11 @@ class Logistic:
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, standard: bool = True, steps: int = 300) -> Logistic:
-    """By accelerated gradient steps on the mean loss with an L2 term."""
+    """By accelerated gradient steps on the mean loss with an L2 term; without ``standard`` the columns are 0 or 1."""
     x, y = np.asarray(x, np.float64), np.asarray(y, np.float64)
     mean = x.mean(0) if standard else np.zeros(x.shape[1])
     scale = np.where(x.std(0) > 1e-9, x.std(0), 1.0) if standard else np.ones(x.shape[1])
-    z = np.clip((x - mean) / scale, -6, 6)
+    z = np.clip((x - mean) / scale, -6, 6) if standard else x
     n = max(1, len(y))
     weights, bias = np.zeros(x.shape[1]), float(np.log((y.sum() + 1) / (n - y.sum() + 1)))
     v, vb, t = weights.copy(), bias, 1.0
@@ -149,16 +153,22 @@ class Model:
 def _choose(hashes: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     """Tokens whose document frequency differs between the classes, by a two-sample z value."""
     n1, n0 = max(1, int(y.sum())), max(1, int((1 - y).sum()))
-    token, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *hashes]), return_inverse=True)
-    owner = np.repeat(y, [len(h) for h in hashes])
-    good = np.bincount(place, weights=owner, minlength=len(token))
-    every = np.bincount(place, minlength=len(token))
-    share = every / (n1 + n0)
-    z = (good / n1 - (every - good) / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
-    lift = np.log((good + 0.5) / (every - good + 0.5) * n0 / n1)
-    z[(every < LEAST_DF) | (np.abs(z) < LEAST_Z) | (np.abs(lift) < LEAST_LIFT)] = 0
-    order = np.argsort(-np.abs(z), kind="stable")[:TOKENS]
-    return np.sort(token[order[z[order] != 0]])
+    edges = np.arange(1, RANGES, dtype=np.uint64) << np.uint64(64 - (RANGES - 1).bit_length())
+    cuts = [[0, *np.searchsorted(h, edges).tolist(), len(h)] for h in hashes]
+    found, strength = [], []
+    for k in range(RANGES):
+        held = [h[c[k] : c[k + 1]] for h, c in zip(hashes, cuts, strict=True)]
+        token, place = np.unique(np.concatenate([np.zeros(0, np.uint64), *held]), return_inverse=True)
+        good = np.bincount(place, weights=np.repeat(y, [len(h) for h in held]), minlength=len(token))
+        every = np.bincount(place, minlength=len(token))
+        share = every / (n1 + n0)
+        z = np.abs(good / n1 - (every - good) / n0) / np.sqrt(np.maximum(share * (1 - share), 1e-12) * (1 / n1 + 1 / n0))
+        lift = np.log((good + 0.5) / (every - good + 0.5) * n0 / n1)
+        fit = (every >= LEAST_DF) & (z >= LEAST_Z) & (np.abs(lift) >= LEAST_LIFT)
+        found.append(token[fit])
+        strength.append(z[fit])
+    order = np.argsort(-np.concatenate(strength), kind="stable")[:TOKENS]
+    return np.sort(np.concatenate(found)[order])
 
 
 def co_train(hashes: list[np.ndarray], layouts: list[list[float]], langs: list[str | None], sources: list[str | None], labels: np.ndarray) -> Model:
@@ -214,7 +224,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in ("doc_id", "lang", "source", "label")], pa.array(held, pa.binary()), pa.array(made, pa.list_(pa.float64()))], ["doc_id", "lang", "source", "label", "hashes", "layout"])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> pa.Table:
+def training_rows(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> DataFrame:
     """Features and label (1, 0, -1) of the sample."""
     marked = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_q"), F.max(F.coalesce("toxic", F.lit(0))).alias("_t"))
     n_labels, n_docs = marked.count(), docs.count()
@@ -227,17 +237,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED,
     known = rows.filter("label >= 0").orderBy("_rank", "doc_id", "text").limit(labelled)
     free = rows.filter("label < 0").orderBy("_rank", "doc_id", "text").limit(pool)
     chosen = known.unionByName(free).select(F.col("doc_id").cast("long"), "lang", "source", "label", "text")
-    made = chosen.mapInArrow(_features, "doc_id long, lang string, source string, label int, hashes binary, layout array<double>")
-    return made.toArrow().sort_by([("label", "ascending"), ("doc_id", "ascending")])
+    return chosen.mapInArrow(_features, "doc_id long, lang string, source string, label int, hashes binary, layout array<double>")
+
+
+def _train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One pickled model of all rows, mixed by a hash of doc_id, so that every third row is a fair sample of either class."""
+    ids, langs, sources, labels, layouts, hashes = [], [], [], [], [], []
+    for batch in batches:
+        for held, name in ((ids, "doc_id"), (langs, "lang"), (sources, "source"), (labels, "label"), (layouts, "layout")):
+            held.extend(batch.column(name).to_pylist())
+        hashes.extend(np.frombuffer(x.as_buffer(), np.uint64) for x in batch.column("hashes"))
+    mixed = [xxhash.xxh3_64_intdigest(str(x).encode()) for x in ids]
+    order = sorted(range(len(ids)), key=lambda i: (mixed[i], labels[i], layouts[i]))
+    ordered = ([x[i] for i in order] for x in (hashes, layouts, langs, sources))
+    model = co_train(*ordered, np.array([labels[i] for i in order], int))
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
 
 
 def train(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, pool: int = POOL) -> Model:
-    rows = training_rows(docs, labels, labelled, pool)
-    # Mixed by a hash of doc_id, so that every third row is a fair sample of either class.
-    order = np.argsort([xxhash.xxh3_64_intdigest(str(x).encode()) for x in rows.column("doc_id").to_pylist()], kind="stable")
-    rows = rows.take(pa.array(order, pa.int64()))
-    hashes = [np.frombuffer(x, np.uint64) for x in rows.column("hashes").to_pylist()]
-    return co_train(hashes, rows.column("layout").to_pylist(), rows.column("lang").to_pylist(), rows.column("source").to_pylist(), np.array(rows.column("label").to_pylist(), int))
+    made = training_rows(docs, labels, labelled, pool).repartition(1).mapInArrow(_train, "model binary").first()
+    return pickle.loads(made["model"]) if made else Model()
 
 
 def score_texts(model: Model, texts: list[bytes], langs: list[str | None], sources: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
