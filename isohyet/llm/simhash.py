@@ -176,55 +176,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 # The stage: near copies of five-word shingles as well ------------------------------------------
 
-#: Seeds of the word-set fingerprints, the positional bytes in which two may differ, the bits that may differ in them, and the verified similarity.
-WORD_SEEDS = (1, 2, 3)
-WORD_FREE = 4
-WORD_RADIUS = 2 * WORD_FREE
-WORD_CHOICES = tuple(combinations(range(8), 8 - WORD_FREE))
+#: The verified similarity, and the bits that may differ in a member of a list of ``_word_pairs``.
+WORD_RADIUS = 8
 SIMILAR, WORDS_A_SHINGLE = 0.8, 5
 #: Candidate pairs up to this many are broadcast to the texts (16 bytes each); beyond, the join is shuffled.
 BROADCAST_PAIRS = 1_000_000
+#: One text in so many is read for common shingles, of which so many are held at most (16 bytes each).
+SAMPLE, COMMON = 16, 500_000
 #: Found members that a step of the search in a long list compares at once.
 TREE_BLOCK = 64
 
 
-def word_fingerprints(text: bytes) -> list[int]:
-    """SimHashes of the set of a text's words, one per seed."""
-    words = set(text.lower().split())
-    if not words:
-        return [0] * len(WORD_SEEDS)
-    base = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-    found = []
-    for seed in WORD_SEEDS:
-        hashes = mix64(base + np.uint64(seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-        counts = np.zeros(64, np.int64)
-        for at in range(0, len(hashes), BLOCK):
-            counts += np.unpackbits(hashes[at : at + BLOCK].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-        found.append(int(np.packbits(2 * counts > len(hashes)).view(np.int64)[0]))
-    return found
-
-
-def _both_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        texts = [x or b"" for x in batch.column("text").cast(pa.binary()).to_pylist()]
-        prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts)).view(np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints), pa.array([word_fingerprints(t) for t in texts], pa.list_(pa.int64()))], ["doc_id", "fp", "words"])
-
-
-def _word_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per seed and choice of positions: the bytes there with the choice's number as key, the other bytes as rest."""
-    for batch in batches:
-        prints = np.array(batch.column("words").to_pylist(), np.int64).reshape(-1, len(WORD_SEEDS))
-        for seed in range(len(WORD_SEEDS)):
-            parts = np.ascontiguousarray(prints[:, seed]).view(np.uint8).reshape(-1, 8)
-            for number, at in enumerate(WORD_CHOICES):
-                key, rest = np.zeros((len(parts), 8), np.uint8), np.zeros((len(parts), 4), np.uint8)
-                key[:, : len(at)] = parts[:, at]
-                key[:, 6:] = seed, number
-                rest[:, :WORD_FREE] = parts[:, [k for k in range(8) if k not in at]]
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64).reshape(-1)), pa.array(rest.view(np.int32).reshape(-1)), batch.column("rep")], ["key", "rest", "rep"])
-
-
 def _tree(rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Root and parent of each member of one long list, by a breadth-first search over near members.
 
@@ -282,10 +244,6 @@ def _word_pairs(key: np.ndarray, rest: np.ndarray, rep: np.ndarray) -> tuple[np.
     return pairs[0], pairs[1]
 
 
-def _word_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return _by_list(batches, ("key", "rest", "rep"), _word_pairs)
-
-
 def similarity(a: bytes, b: bytes) -> float:
     """Jaccard measure of the sets of five-word shingles; a shorter text is one shingle."""
     made = []
@@ -302,33 +260,221 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(good)
 
 
+def shingle_hashes(text: bytes) -> np.ndarray:
+    """Sorted hashes of the set of five-word shingles that ``similarity`` compares."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(1, np.uint64)
+    base = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    width = min(WORDS_A_SHINGLE, len(words))
+    found = np.full(len(words) - width + 1, width, np.uint64)
+    for k in range(width):
+        found = mix64(found + base[k : k + len(found)])
+    return np.unique(found)
+
+
+def prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
+    """The shingles under which a set is posted, rare ones first, and how many of them it is posted under as the smaller set of a pair.
+
+    A pair of SIMILAR = 4/5 shares 4/5 of the larger and 8/9 of the smaller set at
+    least.  Under any one order of all shingles, the larger set's first n - 4n/5 + 1
+    and the smaller set's first n - 8n/9 + 1 therefore have a shingle in common.
+    """
+    n = len(hashes)
+    if len(common):
+        at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+        hashes = hashes[np.lexsort((hashes, np.where(common[at] == hashes, counts[at], 0)))]
+    return hashes[: n + (-4 * n) // 5 + 1], n + (-8 * n) // 9 + 1
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        found = [shingle_hashes(x.as_py() or b"") for x in batch.column("text").cast(pa.binary())]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64))], ["h"])
+
+
+def common_shingles(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes and counts of the most common shingles in a sample of the texts; they only set the order, so that a sample will do."""
+    counted = texts.filter(F.pmod("node", F.lit(SAMPLE)) == 0).select("text").mapInArrow(_sampled, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    counted = checkpoint(counted.filter("n > 2"))
+    least = 2
+    while counted.filter(f"n > {least}").count() > COMMON:
+        least *= 2
+    got = counted.filter(f"n > {least}").toArrow()
+    hashes, counts = got.column("h").to_numpy().view(np.uint64), got.column("n").to_numpy()
+    order = np.argsort(hashes)
+    return hashes[order], counts[order]
+
+
+def prefix_postings(texts: DataFrame) -> DataFrame:
+    """key (a shingle of the prefix), node, size (twice the number of shingles, plus one where the smaller set of a pair is posted)."""
+    sent = texts.sparkSession.sparkContext.broadcast(common_shingles(texts))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 64):
+            keys, sizes, many = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
+            for x in batch.column("text").cast(pa.binary()):
+                hashes = shingle_hashes(x.as_py() or b"")
+                key, short = prefix(hashes, *sent.value)
+                keys.append(key)
+                sizes.append(2 * len(hashes) + (np.arange(len(key)) < short))
+                many.append(len(key))
+            node = np.repeat(batch.column("node").to_numpy(), many)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(node), pa.array(np.concatenate(sizes).astype(np.int32))], ["key", "node", "size"])
+
+    return texts.select("node", "text").mapInArrow(work, "key long, node long, size int")
+
+
+def _lists(batches: Iterator[pa.RecordBatch], names: tuple[str, ...]) -> Iterator[list[np.ndarray]]:
+    """Columns of whole lists, from rows that are sorted by key, the first name."""
+    wait: list[list[np.ndarray]] = []
+    for batch in batches:
+        got = [batch.column(n).to_numpy() for n in names]
+        if not len(got[0]):
+            continue
+        if wait and got[0][-1] == wait[-1][0][-1]:
+            cut = np.searchsorted(got[0], got[0][-1])
+            if not cut:
+                wait.append(got)
+                continue
+        cut = np.searchsorted(got[0], got[0][-1])
+        if wait or cut:
+            whole = [np.concatenate(x) for x in zip(*wait, [g[:cut] for g in got], strict=True)]
+            if len(whole[0]):
+                yield whole
+        wait = [[g[cut:] for g in got]]
+    if wait:
+        yield [np.concatenate(x) for x in zip(*wait, strict=True)]
+
+
+def _spans(key: np.ndarray) -> np.ndarray:
+    """The length of each row's list."""
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.append(new, len(key)))
+    return np.repeat(size, size)
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of more than one node, each node once; rows come sorted by key, size and node."""
+    for key, node, size in _lists(batches, ("key", "node", "size")):
+        once = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
+        key, node, size = key[once], node[once], size[once]
+        many = _spans(key) > 1
+        yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (key, node, size)], ["key", "node", "size"])
+
+
+def open_lists(done: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Lists of several components in which members further than ``done`` apart have not met."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("key", "node", "size", "component")
+        for key, node, size, component in _lists(batches, names):
+            spans = _spans(key)
+            begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+            mixed = np.minimum.reduceat(component, begin) != np.maximum.reduceat(component, begin)
+            keep = np.repeat(mixed, spans[begin]) & (spans > done + 1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, node, size, component)], list(names))
+
+    return work
+
+
+def candidates(done: int, upto: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pairs of a list more than ``done`` and at most ``upto`` apart, of different components, that may reach SIMILAR by their sizes.
+
+    With ``upto`` = 0, each member with the least node of its list.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, node, size, component in _lists(batches, ("key", "node", "size", "component")):
+            count, small = size.astype(np.int64) >> 1, size & 1
+            if not upto:
+                begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+                order = np.lexsort((node, key))[begin]
+                lead = np.repeat(order, _spans(key)[begin])
+                at = np.flatnonzero((component != component[lead]) & (5 * np.minimum(count, count[lead]) >= 4 * np.maximum(count, count[lead])))
+                yield _pairs([node[at]], [node[lead[at]]])
+                continue
+            left, right, held = [], [], 0
+            for step in range(done + 1, min(upto + 1, int(_spans(key).max()))):
+                at = np.flatnonzero((key[step:] == key[:-step]) & (component[step:] != component[:-step]) & (small[:-step] == 1) & (5 * count[:-step] >= 4 * count[step:]))
+                left.append(node[at])
+                right.append(node[at + step])
+                held += len(at)
+                if held > 1 << 20:
+                    yield _pairs(left, right)
+                    left, right, held = [], [], 0
+            if held:
+                yield _pairs(left, right)
+
+    return work
+
+
+def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
+    a, b = np.concatenate(left), np.concatenate(right)
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of doc_ids whose texts reach SIMILAR; only texts of pairs are shuffled."""
-    pairs = checkpoint(pairs)
-    told = F.broadcast(pairs) if pairs.count() <= BROADCAST_PAIRS else pairs
-    sides = [docs.select(F.col("doc_id").cast("long").alias(n), F.col("text").alias(f"text_{n}")).join(told, n) for n in ("a", "b")]
+    """The pairs (a, b) of nodes whose texts reach SIMILAR, of docs (node, text); only texts of pairs are shuffled."""
+    few = pairs.count() <= BROADCAST_PAIRS
+    told = F.broadcast(pairs) if few else pairs
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    texts = docs.select("node", "text").join(F.broadcast(nodes) if few else nodes, "node", "left_semi").dropDuplicates(["node"])
+    sides = [texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}")).join(told, n) for n in ("a", "b")]
     return sides[0].join(sides[1], ["a", "b"]).select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
-    """doc_id and component_id by both kinds of links: fingerprints of at most RADIUS bits, and verified five-word similarity.
-
-    Near copies of a similarity of 0.8 differ in more bits than RADIUS on
-    three-word shingles.  The representatives of the first components are
-    therefore indexed again, by three fingerprints of their sets of words, under
-    every choice of four positional bytes (the guaranteed minimum of matches when
-    four of the eight may differ), and candidate pairs, of at most two differing
-    bits a free byte, are verified on the whole texts.
+def _node_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        texts = batch.column("text").cast(pa.binary())
+        prints = np.fromiter((fingerprint(x.as_py() or b"") for x in texts), np.uint64, len(texts))
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc_id"), pa.array(prints.view(np.int64))], ["node", "doc_id", "fp"])
+
+
+def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows (node, doc_id, fp), where a node is the 64-bit hash of a text, and node, component of every distinct text.
+
+    Distinct texts are linked by fingerprints of at most RADIUS bits and by
+    verified five-word similarity.  Candidates come from an exact rule (see
+    ``prefix``): texts meet in the lists of their rarest shingles, where every
+    pair is verified unless it has come into one component before.  First each
+    member meets the least of its list, then those up to 8, 64, ... places apart
+    in the order of sizes; so a large group of near copies costs a few pairs a
+    member, and only lists that still hold several components go on.
     """
-    prints = checkpoint(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_both_prints, "doc_id long, fp long, words array<long>"))
-    first = checkpoint(linked(prints.select("doc_id", "fp")))
-    reps = first.filter("doc_id = component_id").select("doc_id").distinct()
-    marks = prints.join(reps, "doc_id").groupBy(F.col("doc_id").alias("rep")).agg(F.min("words").alias("words"))
-    posted = marks.mapInArrow(_word_postings, "key long, rest int, rep long")
-    edges = posted.repartition("key").sortWithinPartitions("key").mapInArrow(_word_link, "a long, b long").distinct()
-    again = connected_components(verified(docs, edges))
-    joined = first.join(again, first["component_id"] == again["node"], "left")
-    return joined.select("doc_id", F.coalesce("component", "component_id").alias("component_id"))
+    docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("node", F.xxhash64("text"))
+    rows = checkpoint(docs.mapInArrow(_node_prints, "node long, doc_id long, fp long"))
+    nodes = checkpoint(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")))
+    first = checkpoint(linked(nodes.select(F.col("node").alias("doc_id"), "fp")).select(F.col("doc_id").alias("node"), F.col("component_id").alias("component")))
+    links = first.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    copied = nodes.filter("n > 1").select(F.col("node").alias("_node"), F.col("least").alias("_least"))
+    copied = F.broadcast(copied) if copied.count() <= BROADCAST_PAIRS else copied
+    texts = docs.join(copied, F.col("node") == F.col("_node"), "left").filter("_node is null or doc_id <=> _least").select("node", "text")
+    lists = checkpoint(prefix_postings(texts).repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared, "key long, node long, size int"))
+    component, tested, done, upto = first, None, 0, 0
+    while True:
+        told = lists.join(component, "node").select("key", "node", "size", "component").repartition("key").sortWithinPartitions("key", "size", "node")
+        lists = checkpoint(told.mapInArrow(open_lists(done), "key long, node long, size int, component long"))
+        if lists.isEmpty():
+            return rows, component
+        pairs = lists.mapInArrow(candidates(done, upto), "a long, b long").distinct()
+        pairs = checkpoint(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        good = checkpoint(verified(docs, pairs))
+        if not good.isEmpty():
+            links = links.unionByName(good)
+            found = connected_components(links)
+            component = checkpoint(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+        lists = lists.drop("component")
+        done, upto = upto, 8 * max(upto, 1)
+
+
+def near_copies(docs: DataFrame) -> DataFrame:
+    """doc_id of every row and component_id, the least doc_id of its group of near copies (see ``grouped``)."""
+    rows, component = grouped(docs)
+    least = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(component, "node").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(component.join(least, "component").select("node", "component_id"), "node").select("doc_id", "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -344,3 +344,31 @@ def test_near_copies_are_verified(spark, empty):
     kept = simhash.keep_one(docs).collect()
     assert Counter(r.doc_id for r in kept) == Counter({i for i, c in got.items() if i is not None and i == c})
     assert simhash.keep_one(empty).count() == 0
+
+
+def copies(spark, texts):
+    return spark.createDataFrame([(i, t, None, None, 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+
+
+def all_pairs_components(texts):
+    label = list(range(len(texts)))
+    prints = [simhash.fingerprint(t.encode()) for t in texts]
+    for i in range(len(texts)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= simhash.RADIUS or simhash.similarity(texts[i].encode(), texts[j].encode()) >= simhash.SIMILAR:
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    return dict(enumerate(label))
+
+
+def test_near_copies_of_one_vocabulary(spark):
+    """Many texts of the same words in other orders, of which two are near copies: the first partner of a list is the wrong one."""
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(200)]
+    texts = [" ".join(rng.permutation(base)) for _ in range(40)]
+    for k in (7, 23):
+        w = texts[k].split()
+        texts.append(" ".join(w[20:] + w[:20]))
+        texts.append(" ".join(w[8:100] + w[:8] + w[100:]))
+    want = all_pairs_components(texts)
+    assert want[40] == 7 and want[42] == 23
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(copies(spark, texts)).collect()} == want
