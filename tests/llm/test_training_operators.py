@@ -372,3 +372,15 @@ def test_near_copies_of_one_vocabulary(spark):
     want = all_pairs_components(texts)
     assert want[40] == 7 and want[42] == 23
     assert {r.doc_id: r.component_id for r in simhash.near_copies(copies(spark, texts)).collect()} == want
+
+
+def test_near_copies_with_appended_and_cut_blocks(spark):
+    """Every pair of five-word similarity 0.8 and more is found, down to the limit."""
+    texts = []
+    for k in range(120):
+        w = [f"a{k}x{j}" for j in range(100 + 3 * k)]
+        more = int(len(w) * (0.02 + 0.26 * k / 120))
+        texts += [" ".join(w), " ".join(w + [f"b{k}x{j}" for j in range(more)]) if k % 2 else " ".join(w[more * 4 // 5 :])]
+    want = all_pairs_components(texts)
+    assert 80 < sum(i != c for i, c in want.items()) < 120
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(copies(spark, texts)).collect()} == want
