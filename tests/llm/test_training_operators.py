@@ -384,3 +384,14 @@ def test_near_copies_with_appended_and_cut_blocks(spark):
     want = all_pairs_components(texts)
     assert 80 < sum(i != c for i, c in want.items()) < 120
     assert {r.doc_id: r.component_id for r in simhash.near_copies(copies(spark, texts)).collect()} == want
+
+
+def test_near_copies_of_members_with_one_fingerprint(spark):
+    """A text that shares its fingerprint with a lesser one, but not its words, has a near copy of its own."""
+    phrase = "over and over " * 400
+    rests = [" ".join(f"{c}{j}" for j in range(60)) for c in "rm"]
+    texts = [phrase + rests[0], phrase + rests[1], "over and over " * 2 + rests[1]]
+    prints = [simhash.fingerprint(t.encode()) for t in texts]
+    assert prints[0] == prints[1] and (prints[1] ^ prints[2]).bit_count() > simhash.RADIUS
+    assert simhash.similarity(texts[0].encode(), texts[2].encode()) < 0.8 <= simhash.similarity(texts[1].encode(), texts[2].encode())
+    assert {r.doc_id: r.component_id for r in simhash.near_copies(copies(spark, texts)).collect()} == {0: 0, 1: 0, 2: 0}
