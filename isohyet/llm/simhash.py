@@ -480,7 +480,15 @@ def near_copies(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The document with the least doc_id of each group of near copies (one row, if the row repeats).
 
-    Rows without a doc_id cannot be told apart and go.
+    Rows are told apart by doc_id and text together, so that rows without a
+    doc_id, and different texts under one doc_id, stay unless they are near
+    copies; a row without a doc_id stands for a group where no row has one.
     """
-    kept = near_copies(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rows, component = grouped(docs)
+    row = [F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("node").alias("_node")]
+    least = rows.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(component, "node")
+    kept = least.groupBy("component").agg(F.min(F.struct(*row)).alias("row")).select("row.*")
+    own = F.col("doc_id").cast("long")
+    keyed = docs.withColumns({"_none": own.isNull(), "_id": F.coalesce(own, F.lit(0)), "_node": F.xxhash64("text")})
+    names = ["_none", "_id", "_node"]
+    return keyed.join(kept, names, "left_semi").dropDuplicates(names).drop(*names)

@@ -395,3 +395,12 @@ def test_near_copies_of_members_with_one_fingerprint(spark):
     assert prints[0] == prints[1] and (prints[1] ^ prints[2]).bit_count() > simhash.RADIUS
     assert simhash.similarity(texts[0].encode(), texts[2].encode()) < 0.8 <= simhash.similarity(texts[1].encode(), texts[2].encode())
     assert {r.doc_id: r.component_id for r in simhash.near_copies(copies(spark, texts)).collect()} == {0: 0, 1: 0, 2: 0}
+
+
+def test_keep_one_without_ids_of_its_own(spark):
+    """Rows without a doc_id and different texts under one doc_id stay; near copies and repeated rows go."""
+    texts = [" ".join(f"t{k}x{j}" for j in range(60)) for k in range(8)]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (5, texts[3]), (7, texts[4] + " end"), (None, texts[4]), (None, None), (0, texts[5])]
+    docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    got = Counter((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
+    assert got == Counter([(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (7, texts[4] + " end"), (None, None), (0, texts[5])])
