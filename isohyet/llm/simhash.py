@@ -183,6 +183,8 @@ SIMILAR, WORDS_A_SHINGLE = 0.8, 5
 BROADCAST_PAIRS = 1_000_000
 #: One text in so many is read for common shingles, of which so many are held at most (16 bytes each).
 SAMPLE, COMMON = 16, 500_000
+#: The growth, round by round, of the places up to which members of a list meet.
+STEPS = 64
 #: Found members that a step of the search in a long list compares at once.
 TREE_BLOCK = 64
 
@@ -355,10 +357,12 @@ def _spans(key: np.ndarray) -> np.ndarray:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lists of more than one node, each node once; rows come sorted by key, size and node."""
+    """Lists of more than one node, each node once, in the order of sizes; rows come sorted by key and node."""
     for key, node, size in _lists(batches, ("key", "node", "size")):
         once = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
         key, node, size = key[once], node[once], size[once]
+        order = np.lexsort((node, size, key))
+        key, node, size = key[order], node[order], size[order]
         many = _spans(key) > 1
         yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (key, node, size)], ["key", "node", "size"])
 
@@ -439,7 +443,7 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     verified five-word similarity.  Candidates come from an exact rule (see
     ``prefix``): texts meet in the lists of their rarest shingles, where every
     pair is verified unless it has come into one component before.  First each
-    member meets the least of its list, then those up to 8, 64, ... places apart
+    member meets the least of its list, then those up to 64, 4096, ... places apart
     in the order of sizes; so a large group of near copies costs a few pairs a
     member, and only lists that still hold several components go on.
     """
@@ -454,7 +458,11 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lists = checkpoint(prefix_postings(texts).repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared, "key long, node long, size int"))
     component, tested, done, upto = first, None, 0, 0
     while True:
-        told = lists.join(component, "node").select("key", "node", "size", "component").repartition("key").sortWithinPartitions("key", "size", "node")
+        joined = component.filter("node <> component")
+        few = joined.count() <= BROADCAST_PAIRS
+        told = lists.join(F.broadcast(joined) if few else joined, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+        if not few:  # a broadcast side leaves the lists whole and in order
+            told = told.repartition("key").sortWithinPartitions("key", "size", "node")
         lists = checkpoint(told.mapInArrow(open_lists(done), "key long, node long, size int, component long"))
         if lists.isEmpty():
             return rows, component
@@ -467,7 +475,7 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             found = connected_components(links)
             component = checkpoint(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
         lists = lists.drop("component")
-        done, upto = upto, 8 * max(upto, 1)
+        done, upto = upto, STEPS * max(upto, 1)
 
 
 def near_copies(docs: DataFrame) -> DataFrame:
