@@ -1,6 +1,7 @@
 """Main text of web pages by tag-path ratios.
 
-Every text node of a page has a path of tags from the root.  Per path the length
+Every text node of a page has a path of tags from the root to its innermost block,
+so that links and emphasis stay with their block.  Per path the length
 and punctuation of its texts are summed and divided by the number of its nodes.
 Both ratios are laid along the page in node order, smoothed by a Gaussian, fused
 by a geometric mean with the spread of the path's text lengths, and averaged
@@ -43,12 +44,20 @@ WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert newsletter subscribe signup popup modal overlay "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer masthead comment comments disqus replies related share sharing social toolbar pagination pager login".split()
 )
+LAYOUT = frozenset("no not has have with without hide hidden show".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
 _NAMED = re.compile(r"""\b(class|id|role|aria-hidden|hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_NAMELESS = re.compile(r"""\b(?:class|id)\b\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _PARTS = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[.,;:!?…¿¡。、，]")
 
 
+def _shunned_token(token: str) -> bool:
+    """Whether a class or id names what holds no content; one that tells of a layout (no-sidebar, has-sidebar, with-menu) does not."""
+    parts = _PARTS.findall(token)
+    return not WORDS.isdisjoint(parts) and LAYOUT.isdisjoint(parts)
+
+
 def _shunned(tag: str, attributes: str, inside: bool) -> bool:
     """Whether an element holds no content; ``inside``: an article or main is open."""
     if tag in ASIDE or tag == "header" and not inside:
@@ -59,7 +68,7 @@ def _shunned(tag: str, attributes: str, inside: bool) -> bool:
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "role" and value in ROLES or name == "aria-hidden" and value == "true" or name == "hidden":
             return True
-        if name in ("class", "id") and not WORDS.isdisjoint(_PARTS.findall(value)):
+        if name in ("class", "id") and any(_shunned_token(t) for t in value.split()):
             return True
     return False
 
@@ -69,12 +78,15 @@ def nodes(page: str) -> list[tuple[tuple[str, ...], int, str]]:
     stack: list[str] = []
     bad = articles = block = at = 0
     marks: list[bool] = []
+    named: list[bool] = []
+    opened = False
     out: list[tuple[tuple[str, ...], int, str]] = []
 
     def pop() -> None:
         nonlocal bad, articles, block
         tag = stack.pop()
         bad -= marks.pop()
+        named.pop()
         articles -= tag in ("article", "main")
         block += tag in BLOCK
 
@@ -86,7 +98,7 @@ def nodes(page: str) -> list[tuple[tuple[str, ...], int, str]]:
             said = m[0]
             if said[0] != "<" or said == "<":
                 if bad <= 0:
-                    out.append((tuple(stack), block, said))
+                    out.append((_cut(tuple(stack)), block, said))
             continue
         tag, closing, attributes = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
         if closing:
@@ -103,7 +115,7 @@ def nodes(page: str) -> list[tuple[tuple[str, ...], int, str]]:
         if tag in VOID:
             block += tag in BLOCK
             if bad <= 0 and tag == "br":
-                out.append((tuple(stack), block, " "))
+                out.append((_cut(tuple(stack)), block, " "))
             continue
         if tag in BLOCK and "p" in stack:
             while stack[-1] != "p":
@@ -121,8 +133,16 @@ def nodes(page: str) -> list[tuple[tuple[str, ...], int, str]]:
         if attributes.rstrip().endswith("/") and tag not in BLOCK:
             continue
         wrong = _shunned(tag, attributes, articles > 0)
+        if tag == "main" or tag == "article" and not opened:
+            # a wrapper that only its class or id marks holds the article after all
+            for k, around in enumerate(stack):
+                if marks[k] and around not in ASIDE and named[k]:
+                    marks[k] = False
+                    bad -= 1
+        opened |= tag in ("article", "main")
         stack.append(tag)
         marks.append(wrong)
+        named.append(wrong and not _shunned(tag, _NAMELESS.sub("", attributes), articles > 0))
         bad += wrong
         articles += tag in ("article", "main")
     return out
@@ -144,6 +164,14 @@ def _container(path: tuple[str, ...]) -> tuple[tuple[str, ...], str]:
     return (), ""
 
 
+def _cut(path: tuple[str, ...]) -> tuple[str, ...]:
+    """A path up to its innermost block, so that inline elements are part of the block's path."""
+    for k in range(len(path) - 1, -1, -1):
+        if path[k] in BLOCK:
+            return path[: k + 1]
+    return path[:0]
+
+
 def content_paths(found: list[tuple[tuple[str, ...], int, str]]) -> set[tuple[str, ...]]:
     number: dict[tuple[str, ...], int] = {}
     full = [(number.setdefault(p, len(number)), " ".join(html.unescape(t).split())) for p, _, t in found if t.strip()]
@@ -160,9 +188,10 @@ def content_paths(found: list[tuple[tuple[str, ...], int, str]]) -> set[tuple[st
     level = LEVEL * math.sqrt(float(((fused - fused.mean()) ** 2).mean()))
     chosen = {p for p, k in number.items() if mean[k] >= level and text_ratio[k] >= 0.02 * text_ratio.max()}
     inner = {c for c, _ in map(_container, chosen) if len(c) > 2}
+    beside = {c for c, _ in map(_container, chosen) if c and c[-1] == "body"}
     for p in number:
         around, tag = _container(p)
-        if p not in chosen and tag in LEAF and any(around[: len(c)] == c for c in inner):
+        if p not in chosen and tag in LEAF and (around in beside or any(around[: len(c)] == c for c in inner)):
             chosen.add(p)
     return chosen
 

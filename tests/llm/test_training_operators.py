@@ -404,3 +404,17 @@ def test_keep_one_without_ids_of_its_own(spark):
     docs = spark.createDataFrame([(i, t, None, None, 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     got = Counter((r.doc_id, r.text) for r in simhash.keep_one(docs).collect())
     assert got == Counter([(None, texts[0]), (None, texts[1]), (5, texts[2]), (5, texts[3]), (7, texts[4] + " end"), (None, None), (0, texts[5])])
+
+
+def test_op3_keeps_whole_blocks():
+    """Inline text stays in its block, short blocks laid in body stay, and a wrapper that tells of a layout is no sidebar."""
+    said = "This is a sentence of the article, and it goes on for a while; then it ends. " * 4
+    tidy = " ".join(said.split())
+    for page, want in (
+        (f"<html><body><main><div>{said}<b>it</b> more</div></main></body></html>", f"{tidy} it more"),
+        (f"<html><body><div>{said}<a href=x>link</a> and, so on.</div><div>{said}</div></body></html>", f"{tidy} link and, so on.\n{tidy}"),
+        (f"<html><body><h1>Title</h1><p>{said}</p><p>Short <em>one</em>.</p></body></html>", f"Title\n{tidy}\nShort one."),
+        *((f"<html><body><div class='{c}'><article><p>{said}</p></article></div></body></html>", tidy) for c in ("no-sidebar", "page has-sidebar", "with-menu", "sidebar-left")),
+        (f"<html><body><div class='site-sidebar'><p>{said}</p></div><article><p>{said}</p></article><div id='comments'><article><p>{said}</p></article></div></body></html>", tidy),
+    ):
+        assert tagpaths.main_text(page) == want
