@@ -606,12 +606,20 @@ for _name, _keep, _else in (("precip_hybrid", True, "0e0"), ("precip_hybrid_keep
 
 
 RUNS = 20
-MONTE = f"""{HYBRID}, days AS (SELECT zone, time, value, r AS realization FROM src, range(1, {RUNS + 1}) x(r)), {cascade_sql('days', 'realization', ', realization')},
+
+
+def monte_sql(runs: int) -> str:
+    return f"""{HYBRID}, days AS (SELECT zone, time, value, r AS realization FROM src, range(1, {runs + 1}) x(r)), {cascade_sql('days', 'realization', ', realization')},
 full_ AS (SELECT d.zone, d.time AS period, d.realization, h AS hour, coalesce(c.value, 0e0) AS v FROM days d CROSS JOIN range(24) r(h) LEFT JOIN drawn c ON c.zone = d.zone AND c.period = d.time AND c.realization = d.realization AND c.time = d.time + INTERVAL 1 HOUR * h)"""
 
 
-def _monte_carlo(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return cas.monte_carlo(*_hybrid_inputs(spark, sf_dir), "zone", "precip_mm", RUNS, 0.1, offset_hours=12)
+MONTE = monte_sql(RUNS)
+#: The realisations of the operator's default and of the reference.
+ALL_RUNS = 500
+
+
+def _monte_carlo(spark: SparkSession, sf_dir: str, runs: int = RUNS) -> tuple[DataFrame, DataFrame]:
+    return cas.monte_carlo(*_hybrid_inputs(spark, sf_dir), "zone", "precip_mm", runs, 0.1, offset_hours=12)
 
 
 @query("monte_carlo_summary", f"{MONTE} SELECT zone, period AS day, CAST(hour AS INT) AS hour, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(quantile_cont(v, 0.05e0), 6) AS q05, round(quantile_cont(v, 0.5e0), 6) AS q50, round(quantile_cont(v, 0.95e0), 6) AS q95 FROM full_ GROUP BY 1, 2, 3")
@@ -627,6 +635,19 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.select("zone", "day", *[F.round(c, 6).alias(c) for c in daily.columns if c not in ("zone", "day")])
 
 
+@query("monte_carlo_summary_500", f"{monte_sql(ALL_RUNS)} SELECT zone, period AS day, CAST(hour AS INT) AS hour, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(CASE WHEN avg(v) > 0 THEN stddev_pop(v) / nullif(avg(v), 0) END, 6) AS cv, round(quantile_cont(v, 0.05e0), 6) AS q05, round(quantile_cont(v, 0.25e0), 6) AS q25, round(quantile_cont(v, 0.5e0), 6) AS q50, round(quantile_cont(v, 0.75e0), 6) AS q75, round(quantile_cont(v, 0.95e0), 6) AS q95 FROM full_ GROUP BY 1, 2, 3")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hourly, _ = _monte_carlo(spark, sf_dir, ALL_RUNS)
+    return hourly.select("zone", "day", "hour", *[F.round(c, 6).alias(c) for c in ("mean", "std", "cv", "q05", "q25", "q50", "q75", "q95")])
+
+
+@query("monte_carlo_daily_500", f"""{monte_sql(ALL_RUNS)}, runs AS (SELECT zone, period, realization, max(v) AS peak, arg_max(hour, (v, -hour)) AS peak_hour, sum(CASE WHEN v >= 0.1e0 THEN 1 ELSE 0 END) AS wet FROM full_ GROUP BY 1, 2, 3)
+SELECT zone, period AS day, round(avg(peak), 6) AS peak_mean, round(stddev_pop(peak), 6) AS peak_std, round(avg(peak_hour), 6) AS peak_hour_mean, round(stddev_pop(peak_hour), 6) AS peak_hour_std, round(avg(wet), 6) AS wet_hours_mean, round(stddev_pop(wet), 6) AS wet_hours_std FROM runs GROUP BY 1, 2""")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, daily = _monte_carlo(spark, sf_dir, ALL_RUNS)
+    return daily.select("zone", "day", *[F.round(c, 6).alias(c) for c in daily.columns if c not in ("zone", "day")])
+
+
 @query("cascade_fit")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cas.fit_parameters(cas.moment_scaling(fine(spark, sf_dir), "zone", "precip_mm"), "zone")
