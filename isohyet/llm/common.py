@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +26,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage through the shared folder that the session names.
 
-    Only where neither the session nor the context names one (tests) is a
-    temporary folder set.
+    Only where neither the session nor the context names one is a temporary
+    folder set, and only on a local master: on a cluster each machine would write
+    to its own disk.  Old checkpoints go with their DataFrames where the session
+    sets spark.cleaner.referenceTracking.cleanCheckpoints.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not re.match(r"local(\[|$)", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="isohyet-checkpoint-"))
     return df.checkpoint(eager=True)
 
@@ -59,11 +65,20 @@ def global_row_number(df: DataFrame, order: list[str], name: str) -> DataFrame:
     )
 
 
-def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Views of few rows, so that only so many texts are Python objects at once."""
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 256, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """Views of few rows and few bytes, so that only so much text is Python objects at once; a longer row comes alone."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        long = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                long += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        end = np.cumsum(long)
+        at = 0
+        while at < batch.num_rows:
+            held = end[at - 1] if at else 0
+            stop = min(at + rows, max(at + 1, int(np.searchsorted(end, held + size, side="right"))))
+            yield batch.slice(at, stop - at)
+            at = stop
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

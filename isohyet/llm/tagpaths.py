@@ -1,216 +1,326 @@
 """Main text of web pages by tag-path ratios.
 
-Every text node of a page has a path of tags from the root to its innermost block,
-so that links and emphasis stay with their block.  Per path the length
-and punctuation of its texts are summed and divided by the number of its nodes.
-Both ratios are laid along the page in node order, smoothed by a Gaussian, fused
-by a geometric mean with the spread of the path's text lengths, and averaged
-again per path; paths at or above ``LEVEL`` standard deviations hold content.
-Headings and list items beside chosen paths, in the same inner container, belong
-to the same content and come along.  Nodes under elements that by their tag,
-role, class or id are navigation, page headers, footers, sidebars, notices,
-adverts, forms, scripts, styles or reader comments never take part.
-
-The parser is forgiving: one regular expression cuts the page into tags, text and
-comments; unclosed tags are closed by their container, p by the next block.
+Every block of a page (the text between two block boundaries) has a path of block
+tags from the root.  Per path the length of its blocks, without that of links,
+and their punctuation are summed and divided by the number of its blocks.  Both
+ratios are laid along the page in block order and smoothed by a Gaussian over
+near blocks of near paths (a neighbour counts less with every edit between the
+paths), fused by a geometric mean with the spread of the path's lengths and its
+share of the page's text, and averaged again per path; paths at or above ``LEVEL``
+times the mean of the page's text hold content.  A div or section counts with its
+class (or id), so that a rail of links and the article are different paths.  What
+lies in the container of a chosen path, deeper than body, belongs to the same
+content and comes along: headings, list items, cells and quotations, and of inner
+divisions the paths whose text is not mostly links.
+
+The ratios decide alone where markup says nothing.  Where it does, lists of names
+settle what text statistics cannot tell (a long reader comment reads like the
+article): text under elements that by their tag, role, class or id are navigation,
+page headers, footers, sidebars, notices, adverts, forms or reader comments takes
+no part, and blocks of any kind come along inside an article element;
+``lists=False`` leaves the lists out.
+
+The parser is forgiving and linear in the page, however deep it is nested: one
+regular expression cuts it into tags, text and comments; paths are numbers of a
+tree; unclosed tags are closed by their container, p by the next block, an
+unclosed script or style by the page's end, and any other unclosed element
+without text of its own (svg, object, title) by the next block.
 
 Defined cases: null or empty html, and pages without content, give an empty text;
-text outside any tag counts as a path of its own; unknown or unclosed markup is
-passed over; repeated rows give the same text; extra columns are not read.
+text outside any tag counts as a path of its own; unknown markup is passed over;
+pages of any length and depth are read whole, few bytes at a time as Python
+objects; repeated rows give the same text; extra columns are not read.
 """
 
 from __future__ import annotations
 
 import html
-import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from isohyet.llm.common import slices
+
 LEVEL = 0.5
-RADIUS = 1
+RADIUS = 2
+#: Paths further apart than so many edits don't smooth each other.
+EDITS = 6
 # Element names of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe svg math object canvas audio video textarea select title".split())
-BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split())
+BLOCK = frozenset(
+    "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html "
+    "legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul".split()
+)
 LEAF = frozenset("h1 h2 h3 h4 h5 h6 p li dd dt blockquote pre td th caption figcaption summary".split())
 ASIDE = frozenset("head nav footer aside form button dialog menu fieldset".split())
-CLOSES = {"li": frozenset(["li"]), "dd": frozenset(["dd", "dt"]), "dt": frozenset(["dd", "dt"]), "tr": frozenset(["tr", "td", "th"]), "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"])}
+CLOSES = {
+    "li": ("li",), "dd": ("dd", "dt"), "dt": ("dd", "dt"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",),
+}
+LISTS, TABLES = ("ul", "ol", "dl", "table", "select", "menu"), ("table", "td", "th", "caption", "button")
+#: Elements whose class or id is part of a path, and those that divide a container.
+CLASSED = frozenset("div section main".split())
+DIVIDES = frozenset("div section main article details form".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert dialog menu menubar form toolbar".split())
 WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert newsletter subscribe signup popup modal overlay "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer masthead comment comments disqus replies related share sharing social toolbar pagination pager login".split()
 )
 LAYOUT = frozenset("no not has have with without hide hidden show".split())
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S)
-_NAMED = re.compile(r"""\b(class|id|role|aria-hidden|hidden)\b\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_NAMELESS = re.compile(r"""\b(?:class|id)\b\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S
+)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[a-z]+")
 _MARKS = re.compile(r"[.,;:!?…¿¡。、，]")
 
 
-def _shunned_token(token: str) -> bool:
+def _names_boilerplate(token: str) -> bool:
     """Whether a class or id names what holds no content; one that tells of a layout (no-sidebar, has-sidebar, with-menu) does not."""
     parts = _PARTS.findall(token)
     return not WORDS.isdisjoint(parts) and LAYOUT.isdisjoint(parts)
 
 
-def _shunned(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether an element holds no content; ``inside``: an article or main is open."""
-    if tag in ASIDE or tag == "header" and not inside:
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    for m in _NAMED.finditer(attributes):
-        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if name == "role" and value in ROLES or name == "aria-hidden" and value == "true" or name == "hidden":
-            return True
-        if name in ("class", "id") and any(_shunned_token(t) for t in value.split()):
-            return True
-    return False
-
-
-def nodes(page: str) -> list[tuple[tuple[str, ...], int, str]]:
-    """Path, block number and raw text of the text nodes that may be content, in page order."""
-    stack: list[str] = []
-    bad = articles = block = at = 0
-    marks: list[bool] = []
-    named: list[bool] = []
-    opened = False
-    out: list[tuple[tuple[str, ...], int, str]] = []
-
-    def pop() -> None:
-        nonlocal bad, articles, block
-        tag = stack.pop()
-        bad -= marks.pop()
-        named.pop()
-        articles -= tag in ("article", "main")
-        block += tag in BLOCK
+def _label(attributes: str) -> str:
+    """The class of an element, else its id, without digits, so that numbered blocks have one path."""
+    held = {name.lower(): "".join(values) for name, *values in _ATTRIBUTE.findall(attributes)}
+    return re.sub(r"\d+", "", held.get("class") or held.get("id") or "")
+
+
+def _shunned(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element holds no content by its lists' names, and whether only its class or id says so; ``inside``: an article or main is open."""
+    sure = tag in ASIDE or tag == "header" and not inside
+    if not attributes or sure or tag in ("html", "body", "article", "main"):
+        return sure, False
+    named = False
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, value = name.lower(), "".join(values).lower()
+        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
+            return True, False
+        if name in ("class", "id") and any(_names_boilerplate(t) for t in value.split()):
+            named = True
+    return named, named
+
+
+@dataclass
+class Blocks:
+    """The blocks of a page in order: path number, raw text, and the text in links; and the tree of paths by number."""
+
+    path: list[int] = field(default_factory=list)
+    text: list[str] = field(default_factory=list)
+    linked: list[str] = field(default_factory=list)
+    parent: list[int] = field(default_factory=lambda: [-1])
+    tag: list[str] = field(default_factory=lambda: [""])
+    depth: list[int] = field(default_factory=lambda: [0])
+
+
+class _Parser:
+    """The open elements of a page, and the blocks found so far."""
+
+    def __init__(self, lists: bool):
+        self.lists, self.found, self.numbers = lists, Blocks(), {}
+        self.tags: list[str] = []
+        self.paths: list[int] = []
+        self.marks: list[bool] = []
+        self.named: list[bool] = []
+        self.places: dict[str, list[int]] = {}
+        self.bad = self.inside = 0
+        self.seen: set[str] = set()
+        self.block: list[str] = []
+        self.links: list[str] = []
+
+    def place(self, *tags: str) -> int:
+        """The highest place of an open element of these names, or -1."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=-1)
+
+    def say(self, text: str) -> None:
+        if self.bad <= 0:
+            self.block.append(text)
+            if self.places.get("a"):
+                self.links.append(text)
+
+    def end_block(self) -> None:
+        if self.block:
+            text = "".join(self.block)
+            if not text.isspace():
+                self.found.path.append(self.paths[-1] if self.paths else 0)
+                self.found.text.append(text)
+                self.found.linked.append("".join(self.links))
+            self.block, self.links = [], []
 
+    def pop_to(self, place: int) -> None:
+        while len(self.tags) > place:
+            if self.tags[-1] in BLOCK:
+                self.end_block()
+            tag = self.tags.pop()
+            self.paths.pop()
+            self.places[tag].pop()
+            self.bad -= self.marks.pop()
+            self.named.pop()
+            self.inside -= tag in ("article", "main")
+
+    def push(self, tag: str, attributes: str, wrong: bool = False) -> None:
+        over = self.paths[-1] if self.paths else 0
+        named = False
+        if self.lists and not wrong:
+            wrong, named = _shunned(tag, attributes, self.inside > 0)
+        if tag in ("article", "main"):
+            if tag not in self.seen and (tag == "main" or not self.seen):
+                # a wrapper that only its class or id marks holds the article after all
+                for k, marked in enumerate(self.named):
+                    if marked and self.marks[k]:
+                        self.marks[k] = False
+                        self.bad -= 1
+            self.seen.add(tag)
+            self.inside += 1
+        if tag in BLOCK:
+            self.end_block()
+            number = self.numbers.setdefault((over, tag, _label(attributes) if tag in CLASSED else ""), len(self.found.parent))
+            if number == len(self.found.parent):
+                self.found.parent.append(over)
+                self.found.tag.append(tag)
+                self.found.depth.append(self.found.depth[over] + 1)
+            over = number
+        self.places.setdefault(tag, []).append(len(self.tags))
+        self.tags.append(tag)
+        self.paths.append(over)
+        self.marks.append(wrong)
+        self.named.append(named)
+        self.bad += wrong
+
+    def open(self, tag: str, attributes: str) -> None:
+        if tag in BLOCK:
+            if (at := self.place(*RAW)) >= 0:
+                self.pop_to(at)
+            if (at := self.place("p")) > self.place(*TABLES):
+                self.pop_to(at)
+        if tag in CLOSES and (at := self.place(*CLOSES[tag])) > self.place(*LISTS):
+            self.pop_to(at)
+        if tag in VOID or attributes.rstrip().endswith("/") and tag not in BLOCK:
+            if tag in BLOCK:
+                self.end_block()
+            elif tag == "br":
+                self.say(" ")
+            return
+        self.push(tag, attributes)
+
+
+def blocks(page: str, lists: bool = True) -> Blocks:
+    """The blocks that may be content, in page order."""
+    made, at, endless = _Parser(lists), 0, set()
     while at < len(page):
         m = _TOKEN.match(page, at)
         at = m.end()
-        tag = m[2] or m[5]
+        tag = (m[2] or m[5] or "").lower()
         if not tag:
-            said = m[0]
-            if said[0] != "<" or said == "<":
-                if bad <= 0:
-                    out.append((_cut(tuple(stack)), block, said))
+            if m[0][0] != "<" or m[0] == "<":
+                made.say(m[0])
             continue
-        tag, closing, attributes = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
+        closing, attributes = m[1] or m[4], m[3] or m[6] or ""
         if closing:
-            if tag in stack:
-                while stack[-1] != tag:
-                    pop()
-                pop()
+            if (place := made.place(tag)) >= 0:
+                made.pop_to(place)
             continue
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            if not attributes.rstrip().endswith("/"):
-                at = end.end() if end else len(page)
+        if tag in RAW and not attributes.rstrip().endswith("/"):
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif tag in ("script", "style"):
+                break
+            else:
+                endless.add(tag)
+                made.push(tag, "", wrong=True)
             continue
-        if tag in VOID:
-            block += tag in BLOCK
-            if bad <= 0 and tag == "br":
-                out.append((_cut(tuple(stack)), block, " "))
-            continue
-        if tag in BLOCK and "p" in stack:
-            while stack[-1] != "p":
-                pop()
-            pop()
-        if tag in CLOSES:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k] in CLOSES[tag]:
-                    while len(stack) > k:
-                        pop()
-                    break
-                if stack[k] in ("ul", "ol", "dl", "table", "select", "menu"):
-                    break
-        block += tag in BLOCK
-        if attributes.rstrip().endswith("/") and tag not in BLOCK:
-            continue
-        wrong = _shunned(tag, attributes, articles > 0)
-        if tag == "main" or tag == "article" and not opened:
-            # a wrapper that only its class or id marks holds the article after all
-            for k, around in enumerate(stack):
-                if marks[k] and around not in ASIDE and named[k]:
-                    marks[k] = False
-                    bad -= 1
-        opened |= tag in ("article", "main")
-        stack.append(tag)
-        marks.append(wrong)
-        named.append(wrong and not _shunned(tag, _NAMELESS.sub("", attributes), articles > 0))
-        bad += wrong
-        articles += tag in ("article", "main")
-    return out
-
-
-def _smooth(values: np.ndarray, owner: np.ndarray) -> np.ndarray:
-    """A Gaussian over neighbouring nodes of the page."""
-    kernel = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / max(RADIUS, 1)) ** 2)
-    laid = values[owner]
-    padded = np.pad(laid, RADIUS, mode="edge")
-    return np.convolve(padded, kernel / kernel.sum(), mode="valid")
-
-
-def _container(path: tuple[str, ...]) -> tuple[tuple[str, ...], str]:
-    """The path around the innermost block of a path, and that block's tag."""
-    for k in range(len(path) - 1, -1, -1):
-        if path[k] in BLOCK:
-            return path[:k], path[k]
-    return (), ""
-
-
-def _cut(path: tuple[str, ...]) -> tuple[str, ...]:
-    """A path up to its innermost block, so that inline elements are part of the block's path."""
-    for k in range(len(path) - 1, -1, -1):
-        if path[k] in BLOCK:
-            return path[: k + 1]
-    return path[:0]
-
-
-def content_paths(found: list[tuple[tuple[str, ...], int, str]]) -> set[tuple[str, ...]]:
-    number: dict[tuple[str, ...], int] = {}
-    full = [(number.setdefault(p, len(number)), " ".join(html.unescape(t).split())) for p, _, t in found if t.strip()]
-    if not full:
-        return set()
-    owner = np.array([k for k, _ in full])
-    long = np.array([len(t) for _, t in full], float)
-    marks = np.array([len(_MARKS.findall(t)) for _, t in full], float)
+        made.open(tag, attributes)
+    made.pop_to(0)
+    made.end_block()
+    return made.found
+
+
+def edits(found: Blocks, a: int, b: int) -> int:
+    """Tags to drop and add between two paths, up to EDITS + 1."""
+    n = 0
+    while a != b and n <= EDITS:
+        if found.depth[a] >= found.depth[b]:
+            a = found.parent[a]
+        else:
+            b = found.parent[b]
+        n += 1
+    return n
+
+
+def smooth(values: np.ndarray, found: Blocks) -> np.ndarray:
+    """Means of values (by block) over near blocks of near paths."""
+    n = len(values)
+    total, weight = values.astype(float), np.ones(n)
+    for step in range(1, min(RADIUS, n - 1) + 1):
+        far = np.fromiter((edits(found, a, b) for a, b in zip(found.path, found.path[step:], strict=False)), float, n - step)
+        w = np.where(far > EDITS, 0.0, np.exp(-0.5 * ((step / RADIUS) ** 2 + far**2)))
+        total[step:] += w * values[:-step]
+        total[:-step] += w * values[step:]
+        weight[step:] += w
+        weight[:-step] += w
+    return total / weight
+
+
+def path_scores(found: Blocks) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
+    """Distinct paths, the fused ratio of each, the level that content reaches, and the share of each path's text outside links."""
+    paths, owner = np.unique(np.array(found.path), return_inverse=True)
+    plain = lambda text: len(" ".join(html.unescape(text).split()))
+    full = np.array([plain(t) for t in found.text], float)
+    long = np.maximum(0, full - [plain(a) for a in found.linked])
+    marks = np.array([len(_MARKS.findall(html.unescape(t))) for t in found.text], float)
     count = np.bincount(owner)
     text_ratio, mark_ratio = np.bincount(owner, long) / count, np.bincount(owner, marks) / count
     spread = np.sqrt(np.maximum(np.bincount(owner, long**2) / count - text_ratio**2, 0))
-    fused = np.sqrt(_smooth(text_ratio, owner) * (1 + _smooth(mark_ratio, owner))) * np.sqrt(1 + _smooth(spread, owner) / (1 + text_ratio.max()))
-    mean = np.bincount(owner, fused) / count
-    level = LEVEL * math.sqrt(float(((fused - fused.mean()) ** 2).mean()))
-    chosen = {p for p, k in number.items() if mean[k] >= level and text_ratio[k] >= 0.02 * text_ratio.max()}
-    inner = {c for c, _ in map(_container, chosen) if len(c) > 2}
-    beside = {c for c, _ in map(_container, chosen) if c and c[-1] == "body"}
-    for p in number:
-        around, tag = _container(p)
-        if p not in chosen and tag in LEAF and (around in beside or any(around[: len(c)] == c for c in inner)):
+    laid = [smooth(x[owner], found) for x in (text_ratio, mark_ratio, spread)]
+    share = np.bincount(owner, long) / max(1.0, long.sum())
+    fused = np.sqrt(laid[0] * (1 + laid[1])) * np.sqrt(1 + laid[2] / (1 + text_ratio.max())) * np.sqrt(share[owner])
+    level = LEVEL * float(fused @ long) / max(1.0, long.sum())
+    return paths, np.bincount(owner, fused) / count, level, np.bincount(owner, long) / np.maximum(1, np.bincount(owner, full))
+
+
+def content_paths(found: Blocks, lists: bool = True) -> set[int]:
+    """Numbers of the paths that hold content."""
+    if not found.path:
+        return set()
+    paths, score, level, own = path_scores(found)
+    chosen = set(paths[score >= max(level, 1e-9)].tolist())
+    n, parent, tag = len(found.parent), found.parent, found.tag
+    around = {parent[p] for p in chosen}
+    holds = [p in chosen for p in range(n)]
+    for c in range(n - 1, 0, -1):  # a path has a greater number than the path around it
+        holds[parent[c]] |= holds[c]
+    # 2: in the container of a chosen path, without a division between; 1: behind a division; whole: in an article element.
+    near = [2 if c in around and tag[c] not in ("", "html", "body") else 0 for c in range(n)]
+    whole = [lists and holds[c] and tag[c] == "article" for c in range(n)]
+    for c in range(1, n):
+        whole[c] |= whole[parent[c]]
+        if near[parent[c]] and not near[c]:
+            near[c] = 1 if tag[c] in DIVIDES else near[parent[c]]
+    for p, mine in zip(paths.tolist(), own.tolist(), strict=True):
+        leaf = tag[p] in LEAF
+        if whole[p] or near[p] == 2 and leaf or near[p] and mine >= 0.5 or leaf and parent[p] in around and tag[parent[p]] == "body":
             chosen.add(p)
     return chosen
 
 
-def main_text(page: str) -> str:
-    found = nodes(page)
-    chosen = content_paths(found)
-    blocks: dict[int, list[str]] = {}
-    for path, block, said in found:
-        if path in chosen:
-            blocks.setdefault(block, []).append(said)
-    lines = (" ".join(html.unescape("".join(parts)).split()) for parts in blocks.values())
+def main_text(page: str, lists: bool = True) -> str:
+    found = blocks(page, lists)
+    chosen = content_paths(found, lists)
+    lines = (" ".join(html.unescape(text).split()) for path, text in zip(found.path, found.text, strict=True) if path in chosen)
     return "\n".join(x for x in lines if x)
 
 
 def _work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [main_text(x.as_py() or "") for x in batch.column("html")]
-        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
+        made = [pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())]
+        yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), *made], ["page_id", "url", "text", "n_chars"])
 
 
 def extract(pages: DataFrame) -> DataFrame:
