@@ -226,10 +226,63 @@ def test_op2(spark, docs, empty):
     assert {(r.id_a, r.id_b) for r in spotsigs.near_duplicates(prints).collect()} == want
 
 
+def naive_code_length(trained, text, order, symbols):
+    """PPM with exclusion by dictionaries: bits of text after training on whole texts, contexts of all lengths that were seen twice."""
+    counts = Counter()
+    for t in trained:
+        for i in range(len(t)):
+            for k in range(min(order, i) + 1):
+                counts[t[i - k : i], t[i]] += 1
+    seen = {}
+    for (context, c), n in counts.items():
+        seen.setdefault(context, {})[c] = n
+
+    def probability(context, c):
+        held = seen.get(context, {})
+        lower = (lambda x: probability(context[1:], x)) if context else (lambda x: 1 / symbols)
+        n, q = sum(held.values()), len(held)
+        rest = {x: lower(x) for x in range(-1, symbols - 1) if x not in held}
+        mass = sum(rest.values())
+        whole = n + (q if mass > 1e-12 else 0)
+        return held[c] / whole if c in held else q / whole * rest[c] / mass
+
+    total = 0.0
+    for i, c in enumerate(text):
+        context = max((text[i - k : i] for k in range(min(order, i) + 1) if k == 0 or sum(seen.get(text[i - k : i], {}).values()) >= 2), key=len)
+        total -= np.log2(probability(context, c))
+    return total
+
+
+def test_op1_code_lengths_equal_brute_force():
+    texts = {"a": [b"abracadabra abracadabra", b"cadabra a bar"], "b": [b"barbar bac bac dab", b"abab bar"]}
+    letters = sorted({c for parts in texts.values() for t in parts for c in t})
+    number = {c: k for k, c in enumerate(letters)}  # -1 stands for every other byte
+    model = ppm.train(texts, order=3)
+    for text in (b"abracadabra", b"bar zz cad", b"bacdab ab rac", b"a" * 30):
+        got = ppm.code_lengths(model, [text])[0]
+        for k, lang in enumerate(("a", "b")):
+            trained = [tuple(number[c] for c in t) for t in texts[lang]]
+            want = naive_code_length(trained, tuple(number.get(c, -1) for c in text), 3, len(letters) + 1)
+            assert got[k] == pytest.approx(want, rel=1e-4)
+
+
+def test_op1_ties_and_long_training_texts(spark):
+    """Languages of the same texts tie: the first by name wins; a text longer than a piece gives one piece from inside it."""
+    rows = [(i, "same text of both", ("zz", "aa")[i % 2], None, 0) for i in range(40)]
+    docs = spark.createDataFrame(rows + rows[:3], "doc_id long, text string, lang string, source string, n_chars long")
+    model = ppm.train({"zz": [b"same text of both"], "aa": [b"same text of both"]})
+    got = ppm.identify(docs, model).collect()
+    assert len(got) == 43 and {(r.lang_pred, r.score) for r in got} == {("aa", 0.5)}
+    long = spark.createDataFrame([(1, "".join(chr(97 + i % 26) for i in range(1000)), "aa")], "doc_id long, text string, lang string")
+    (piece,) = ppm.training_sample(long, piece=50)["aa"]
+    assert len(piece) == 50 and piece in long.first().text.encode()
+
+
 def test_op1(spark, docs, empty):
     model = ppm.train({"a": [b"abab abab abab"], "b": [b"bcbc bcbc \xc3\xa9"]}, order=3)
-    prob = np.exp2(-model.bits.reshape(len(model.children[0]), -1, 2).astype(float))
-    assert prob[:, 1:, :].sum(1) == pytest.approx(1, abs=1e-5)
+    for tree in model.trees:
+        prob = np.exp2(-tree.bits.reshape(-1, model.size).astype(float))
+        assert prob[:, 1:].sum(1) == pytest.approx(1, abs=1e-5)
     whole, block = [b"abab" * 50, b"", b"bcbcz"], ppm.BLOCK
     bits = ppm.code_lengths(model, whole)
     ppm.BLOCK = 7
