@@ -13,6 +13,10 @@ def _state(edges: DataFrame) -> tuple:
     return row["n"], row["x"], row["s"]
 
 
+#: Rows of an edge table in a partition, so that shrinking tables don't keep their many partitions.
+ROWS = 200_000
+
+
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, component (the least node reachable) for every node that has an edge.
 
@@ -21,14 +25,16 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     number of rounds that grows with the logarithm of the longest chain.  Each
     step is an aggregation, which combines before the shuffle, and a join whose
     one side has a row per node, so that a hub can be split between tasks.
+    Edges with a null node are not read.
     """
     greater, less = F.greatest(a, b).alias("u"), F.least(a, b).alias("v")
     now = checkpoint(edges.filter(F.col(a) != F.col(b)).select(greater, less).distinct())
     state = _state(now)
     while state[0]:
+        now = now.coalesce(max(8, -(-state[0] // ROWS)))
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         joined = large.join(low, "u")
         small = joined.filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v"))).distinct()

@@ -158,12 +158,16 @@ def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _by_list(batches, ("key", "fp", "rep"), _links)
 
 
+def near_fingerprints(reps: DataFrame) -> DataFrame:
+    """Edges (a, b) between the ids of reps (fp, rep), of fingerprints of at most RADIUS bits; a row per member and list at most."""
+    posted = reps.filter("rep is not null").mapInArrow(_postings, "key long, fp long, rep long")
+    return posted.repartition("key").sortWithinPartitions("key").mapInArrow(_link, "a long, b long")
+
+
 def linked(prints: DataFrame) -> DataFrame:
     """prints (doc_id, fp) with component_id, the least doc_id reachable by links of at most RADIUS bits."""
     reps = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    posted = reps.filter("rep is not null").mapInArrow(_postings, "key long, fp long, rep long")
-    edges = posted.repartition("key").sortWithinPartitions("key").mapInArrow(_link, "a long, b long")
-    found = connected_components(edges)
+    found = connected_components(near_fingerprints(reps))
     groups = reps.join(found, reps["rep"] == found["node"], "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
     return prints.join(groups, "fp").select("doc_id", "fp", "component_id")
 
@@ -176,8 +180,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 # The stage: near copies of five-word shingles as well ------------------------------------------
 
-#: The verified similarity, and the bits that may differ in a member of a list of ``_word_pairs``.
-WORD_RADIUS = 8
+#: The verified similarity of sets of shingles.
 SIMILAR, WORDS_A_SHINGLE = 0.8, 5
 #: Candidate pairs up to this many are broadcast to the texts (16 bytes each); beyond, the join is shuffled.
 BROADCAST_PAIRS = 1_000_000
@@ -185,65 +188,6 @@ BROADCAST_PAIRS = 1_000_000
 SAMPLE, COMMON = 16, 500_000
 #: The growth, round by round, of the places up to which members of a list meet.
 STEPS = 64
-#: Found members that a step of the search in a long list compares at once.
-TREE_BLOCK = 64
-
-
-def _tree(rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Root and parent of each member of one long list, by a breadth-first search over near members.
-
-    Blocks of found members meet the members not found yet, so that memory stays
-    at a block's rows and no pair is held.
-    """
-    root, parent = np.arange(len(rest)), np.arange(len(rest))
-    left = np.arange(len(rest))
-    while len(left):
-        start, front, left = left[0], left[:1], left[1:]
-        while len(front) and len(left):
-            block, front = front[:TREE_BLOCK], front[TREE_BLOCK:]
-            near = np.bitwise_count((rest[block][:, None] ^ rest[left][None, :]).view(np.uint32)) <= WORD_RADIUS
-            hit = near.any(axis=0)
-            found = left[hit]
-            root[found], parent[found] = start, block[near.argmax(axis=0)[hit]]
-            front, left = np.concatenate([front, found]), left[~hit]
-    return root, parent
-
-
-def _word_pairs(key: np.ndarray, rest: np.ndarray, rep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate pairs of whole lists, two a member at most: with the least of its component, and with a near member that is less or nearer to the least."""
-    order = np.lexsort((rep, key))
-    key, rest, rep = key[order], rest[order], rep[order]
-    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    size = np.diff(np.append(new, len(key)))
-    many = np.repeat(size > 1, size)
-    key, rest, rep, size = key[many], rest[many], rep[many], size[size > 1]
-    if not len(size):
-        return rep[:0], rep[:0]
-    begin = np.concatenate(([0], np.cumsum(size)[:-1]))
-    small = np.repeat(size <= SMALL_LIST, size)
-    label, beside = np.arange(len(rep)), np.arange(len(rep))
-    left, right = [], []
-    for step in range(1, min(SMALL_LIST, int(size.max()))):
-        at = np.flatnonzero((key[step:] == key[:-step]) & small[:-step])
-        at = at[np.bitwise_count((rest[at] ^ rest[at + step]).view(np.uint32)) <= WORD_RADIUS]
-        left.append(at)
-        right.append(at + step)
-    i, j = (np.concatenate(x) if x else label[:0] for x in (left, right))
-    np.minimum.at(beside, j, i)
-    while len(i):
-        least, before = np.minimum(label[i], label[j]), label.copy()
-        np.minimum.at(label, i, least)
-        np.minimum.at(label, j, least)
-        if (label == before).all():
-            break
-    for k in np.flatnonzero(size > SMALL_LIST):
-        whole = slice(begin[k], begin[k] + size[k])
-        root, parent = _tree(rest[whole])
-        label[whole], beside[whole] = root + begin[k], parent + begin[k]
-    own = np.arange(len(rep))
-    pairs = np.concatenate([np.stack([rep[own != to], rep[to[own != to]]]) for to in (label, beside)], axis=1)
-    pairs = np.unique(pairs, axis=1)
-    return pairs[0], pairs[1]
 
 
 def similarity(a: bytes, b: bytes) -> float:
@@ -275,6 +219,38 @@ def shingle_hashes(text: bytes) -> np.ndarray:
     return np.unique(found)
 
 
+def sketch(hashes: np.ndarray) -> bytes:
+    """Parities of a set in as many bits as it has members (a power of two, 64 at least): bit h mod m changes with every member h."""
+    m = max(64, 1 << (len(hashes) - 1).bit_length())
+    odd = np.bincount((hashes & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_be_similar(a: bytes, b: bytes, size_a: int, size_b: int) -> bool:
+    """False only for sets that cannot reach SIMILAR.
+
+    Each member that one set alone holds changes one parity, so the parities differ
+    in no more places than the sets have such members, and sets of SIMILAR = 4/5
+    have a ninth of their sizes together at most.  The longer sketch folds to the
+    shorter one.
+    """
+    x, y = (int.from_bytes(v, "little") for v in (a, b))
+    bits = [8 * len(a), 8 * len(b)]
+    while bits[0] != bits[1]:
+        k = int(bits[1] > bits[0])
+        bits[k] //= 2
+        low = (1 << bits[k]) - 1
+        x, y = ((x >> bits[0]) ^ (x & low), y) if not k else (x, (y >> bits[1]) ^ (y & low))
+    return 9 * (x ^ y).bit_count() <= size_a + size_b
+
+
+def _hopeful(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = [batch.column(n).to_pylist() for n in ("sketch_a", "sketch_b", "size_a", "size_b")]
+        good = [may_be_similar(*x) for x in zip(*columns, strict=True)]
+        yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+
 def prefix(hashes: np.ndarray, common: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, int]:
     """The shingles under which a set is posted, rare ones first, and how many of them it is posted under as the smaller set of a pair.
 
@@ -367,19 +343,17 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x[many]) for x in (key, node, size)], ["key", "node", "size"])
 
 
-def open_lists(done: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Lists of several components in which members further than ``done`` apart have not met."""
+def _open(key: np.ndarray, component: np.ndarray) -> np.ndarray:
+    """The length of each row's list, 0 where all of it is one component."""
+    spans = _spans(key)
+    begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    mixed = np.minimum.reduceat(component, begin) != np.maximum.reduceat(component, begin)
+    return np.where(np.repeat(mixed, spans[begin]), spans, 0)
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ("key", "node", "size", "component")
-        for key, node, size, component in _lists(batches, names):
-            spans = _spans(key)
-            begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-            mixed = np.minimum.reduceat(component, begin) != np.maximum.reduceat(component, begin)
-            keep = np.repeat(mixed, spans[begin]) & (spans > done + 1)
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (key, node, size, component)], list(names))
 
-    return work
+def _longest_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    most = max((int(_open(key, component).max()) for key, component in _lists(batches, ("key", "component"))), default=0)
+    yield pa.RecordBatch.from_arrays([pa.array([most], pa.int64())], ["n"])
 
 
 def candidates(done: int, upto: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -390,11 +364,14 @@ def candidates(done: int, upto: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, node, size, component in _lists(batches, ("key", "node", "size", "component")):
+            open_ = _open(key, component) > done + 1
+            key, node, size, component = (x[open_] for x in (key, node, size, component))
+            if not len(key):
+                continue
             count, small = size.astype(np.int64) >> 1, size & 1
             if not upto:
                 begin = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-                order = np.lexsort((node, key))[begin]
-                lead = np.repeat(order, _spans(key)[begin])
+                lead = np.repeat(np.lexsort((node, key))[begin], _spans(key)[begin])
                 at = np.flatnonzero((component != component[lead]) & (5 * np.minimum(count, count[lead]) >= 4 * np.maximum(count, count[lead])))
                 yield _pairs([node[at]], [node[lead[at]]])
                 continue
@@ -419,21 +396,29 @@ def _pairs(left: list[np.ndarray], right: list[np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["a", "b"])
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose texts reach SIMILAR, of docs (node, text); only texts of pairs are shuffled."""
+def _beside(pairs: DataFrame, table: DataFrame, columns: list[str]) -> DataFrame:
+    """pairs (a, b) with the columns of table (node, ...) for either side; only rows of pairs are shuffled."""
     few = pairs.count() <= BROADCAST_PAIRS
     told = F.broadcast(pairs) if few else pairs
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = docs.select("node", "text").join(F.broadcast(nodes) if few else nodes, "node", "left_semi").dropDuplicates(["node"])
-    sides = [texts.select(F.col("node").alias(n), F.col("text").alias(f"text_{n}")).join(told, n) for n in ("a", "b")]
-    return sides[0].join(sides[1], ["a", "b"]).select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
+    held = table.select("node", *columns).join(F.broadcast(nodes) if few else nodes, "node", "left_semi").dropDuplicates(["node"])
+    sides = [held.select(F.col("node").alias(n), *[F.col(c).alias(f"{c}_{n}") for c in columns]).join(told, n) for n in ("a", "b")]
+    return sides[0].join(sides[1], ["a", "b"])
+
+
+def verified(docs: DataFrame, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose texts reach SIMILAR, of docs (node, text); texts travel only for pairs that their sketches let pass."""
+    hopeful = checkpoint(_beside(pairs, nodes, ["sketch", "size"]).mapInArrow(_hopeful, "a long, b long"))
+    return _beside(hopeful, docs, ["text"]).select("a", "b", "text_a", "text_b").mapInArrow(_verify, "a long, b long")
 
 
 def _node_prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        texts = batch.column("text").cast(pa.binary())
-        prints = np.fromiter((fingerprint(x.as_py() or b"") for x in texts), np.uint64, len(texts))
-        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc_id"), pa.array(prints.view(np.int64))], ["node", "doc_id", "fp"])
+        texts = [x.as_py() or b"" for x in batch.column("text").cast(pa.binary())]
+        prints = np.fromiter(map(fingerprint, texts), np.uint64, len(texts))
+        sets = [shingle_hashes(x) for x in texts]
+        made = [pa.array(prints.view(np.int64)), pa.array([len(x) for x in sets], pa.int32()), pa.array([sketch(x) for x in sets], pa.binary())]
+        yield pa.RecordBatch.from_arrays([batch.column("node"), batch.column("doc_id"), *made], ["node", "doc_id", "fp", "size", "sketch"])
 
 
 def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -448,33 +433,41 @@ def grouped(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     member, and only lists that still hold several components go on.
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text").withColumn("node", F.xxhash64("text"))
-    rows = checkpoint(docs.mapInArrow(_node_prints, "node long, doc_id long, fp long"))
-    nodes = checkpoint(rows.groupBy("node").agg(F.min("doc_id").alias("least"), F.min("fp").alias("fp"), F.count(F.lit(1)).alias("n")))
-    first = checkpoint(linked(nodes.select(F.col("node").alias("doc_id"), "fp")).select(F.col("doc_id").alias("node"), F.col("component_id").alias("component")))
-    links = first.filter("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+    rows = checkpoint(docs.mapInArrow(_node_prints, "node long, doc_id long, fp long, size int, sketch binary"))
+    first = F.min(F.struct("fp", "size", "sketch")).alias("of")
+    nodes = checkpoint(rows.groupBy("node").agg(F.min("doc_id").alias("least"), first, F.count(F.lit(1)).alias("n")).select("node", "least", "n", "of.*"))
+    reps = nodes.groupBy("fp").agg(F.min("node").alias("rep"))
+    same = nodes.join(reps, "fp").filter("node <> rep").select(F.col("node").alias("a"), F.col("rep").alias("b"))
     copied = nodes.filter("n > 1").select(F.col("node").alias("_node"), F.col("least").alias("_least"))
     copied = F.broadcast(copied) if copied.count() <= BROADCAST_PAIRS else copied
     texts = docs.join(copied, F.col("node") == F.col("_node"), "left").filter("_node is null or doc_id <=> _least").select("node", "text")
     lists = checkpoint(prefix_postings(texts).repartition("key").sortWithinPartitions("key", "node").mapInArrow(_shared, "key long, node long, size int"))
-    component, tested, done, upto = first, None, 0, 0
+    links = near_fingerprints(reps).unionByName(same)
+    component, tested, done, upto = None, None, 0, 0
     while True:
-        joined = component.filter("node <> component")
-        few = joined.count() <= BROADCAST_PAIRS
-        told = lists.join(F.broadcast(joined) if few else joined, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
-        if not few:  # a broadcast side leaves the lists whole and in order
-            told = told.repartition("key").sortWithinPartitions("key", "size", "node")
-        lists = checkpoint(told.mapInArrow(open_lists(done), "key long, node long, size int, component long"))
-        if lists.isEmpty():
-            return rows, component
-        pairs = lists.mapInArrow(candidates(done, upto), "a long, b long").distinct()
+        if component is None:
+            told = lists.withColumn("component", F.col("node"))
+        else:
+            joined = component.filter("node <> component")
+            few = joined.count() <= BROADCAST_PAIRS
+            told = lists.join(F.broadcast(joined) if few else joined, "node", "left").select("key", "node", "size", F.coalesce("component", "node").alias("component"))
+            if not few:  # a broadcast side leaves the lists whole and in order
+                told = told.repartition("key").sortWithinPartitions("key", "size", "node")
+            if (told.mapInArrow(_longest_open, "n long").agg(F.max("n")).first()[0] or 0) <= done + 1:
+                return rows, component
+        pairs = told.mapInArrow(candidates(done, upto), "a long, b long").distinct()
         pairs = checkpoint(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
         tested = pairs if tested is None else tested.unionByName(pairs)
-        good = checkpoint(verified(docs, pairs))
-        if not good.isEmpty():
-            links = links.unionByName(good)
-            found = connected_components(links)
+        good = verified(docs, nodes, pairs)
+        if component is None:
+            found = connected_components(links.unionByName(good))
             component = checkpoint(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
-        lists = lists.drop("component")
+        else:
+            of = lambda n: component.select(F.col("node").alias(n), F.col("component").alias(f"_{n}"))
+            between = checkpoint(good.join(of("a"), "a").join(of("b"), "b").select("_a", "_b"))
+            if not between.isEmpty():
+                found = connected_components(between, "_a", "_b").select(F.col("node").alias("component"), F.col("component").alias("_to"))
+                component = checkpoint(component.join(found, "component", "left").select("node", F.coalesce("_to", "component").alias("component")))
         done, upto = upto, STEPS * max(upto, 1)
 
 
