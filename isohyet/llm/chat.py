@@ -16,11 +16,14 @@ The loss mask lists code-point spans [start, stop) of the formatted string, one
 per assistant turn.  ``read_back`` recovers turns and masked texts from the
 formatted string and its mask alone.
 
-Defined cases: null texts and roles are empty; turns are ordered by turn, then
-role, then content (nulls first); repeated rows stay; empty tables give no rows;
-a null conv_id is a conversation of its own; unknown part kinds are treated as
-documents; part token counts that are null or below 1 count as 1.  One
-conversation is one string, so a conversation must fit a task.
+Defined cases: null texts and roles are empty, as are null lists of parts, which
+leave no attachment; turns are ordered by turn (nulls first), then role, then text
+(the flattened content where there are parts); repeated rows stay; empty tables
+give no rows; a null conv_id is a conversation of its own; unknown part kinds are
+treated as documents; part token counts that are null or below 1 count as 1.  One
+conversation is one string, so a conversation must fit a task; texts of any length
+are carried whole.  Finding the masked turns takes time with the square of a
+conversation's turns, with a small factor (see the README).
 """
 
 from __future__ import annotations
@@ -82,7 +85,8 @@ def attachments(parts: Column) -> Column:
         found = F.when(F.coalesce(part["kind"], F.lit("text")) != "text", F.concat(state["found"], record)).otherwise(state["found"])
         return F.struct((state["at"] + F.char_length(_visit(part))).alias("at"), found.alias("found"))
 
-    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("found")), visit, lambda s: s["found"])
+    made = F.aggregate(parts, F.struct(F.lit(0).alias("at"), empty.alias("found")), visit, lambda s: s["found"])
+    return F.coalesce(made, empty)
 
 
 def format_conversations(turns: DataFrame) -> DataFrame:
@@ -94,14 +98,15 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     parts = F.col("parts") if typed else text_part(F.col("text"))
     records = attachments(F.col("_parts")) if typed else F.array().cast("array<struct<kind:string,ref:string,tokens:int,offset:int>>")
     rows = (
-        turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("_role"), parts.alias("_parts"))
+        turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("_role"), parts.alias("_parts"), (F.lit(None) if typed else F.col("text")).cast("string").alias("_text"))
         .withColumn("_content", flatten_parts(F.col("_parts")))
+        .withColumn("_tie", F.coalesce("_text", F.lit("")) if not typed else F.col("_content"))
         .withColumn("_head", F.concat(F.lit(START), escape_role(F.col("_role")), F.lit("\n")))
         .withColumn("_said", F.concat("_head", "_content", F.lit(f"{END}\n")))
         .withColumn("_found", records)
-        .select("conv_id", "turn", "_role", "_content", "_said", "_found", F.char_length("_head").cast("long").alias("_skip"), F.char_length("_said").cast("long").alias("_long"), F.char_length("_content").cast("long").alias("_inner"))
+        .select("conv_id", "turn", "_role", "_tie", "_said", "_found", F.char_length("_head").cast("long").alias("_skip"), F.char_length("_said").cast("long").alias("_long"), F.char_length("_content").cast("long").alias("_inner"))
     )
-    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "_role", "_content")
+    order = Window.partitionBy("conv_id").orderBy(F.asc_nulls_first("turn"), "_role", "_tie")
     so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = rows.withColumn("_at", F.sum("_long").over(so_far) - F.col("_long")).withColumn("_n", F.row_number().over(order))
     one = F.struct(
@@ -121,7 +126,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """conv_id, turns (role, text) and loss_text, from formatted and loss_spans alone.
 
     The string is cut at its turn marks once; a turn is under the mask where the
-    offset of its content begins a span, so the work stays linear in the text.
+    offset of its content begins a span.
     """
     cut = F.slice(F.split("formatted", r"<\|im_start\|>"), 2, 2_000_000_000)
     raw = F.transform(cut, lambda p: F.struct(F.substring_index(p, "\n", 1).alias("role"), p.alias("piece")))

@@ -7,14 +7,17 @@ item is one window), each between spaces, and passes once over a text.  Matches
 are mapped to word numbers and, through the words' own offsets, to spans of code
 points of the original text.
 
-The automaton is held by every task, so its size is bounded: items are taken in
-blocks of at most ``BLOCK_WORDS`` words (an item that is longer alone is cut at
-window granularity), one pass each, and the passes' hits are merged per row.
+The automaton is held by every task, so its size is bounded: a benchmark of more
+than ``BLOCK_WORDS`` windows (about 2 KB of automaton each) is cut into shards of
+so many.  The texts are still read once: a task holds ``CHUNK`` bytes of texts and
+passes every shard over them in turn, one automaton at a time, and merges the
+hits.  All shards are broadcast as lists of windows.
 
 Defined cases: null texts and items have no words; items without words have no
 window; repeated item_ids count once; windows of an item without id hit words
-but name no item; repeated rows stay; empty tables give no rows or no hits;
-extra columns are not read.
+but name no item; texts of any length are scanned whole, few bytes at a time as
+Python objects; repeated rows stay; empty tables give no rows or no hits; extra
+columns are not read.
 """
 
 from __future__ import annotations
@@ -29,10 +32,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.llm.common import checkpoint, slices
+from isohyet.llm.common import slices
 
 WINDOW = 10
 BLOCK_WORDS = 50_000
+CHUNK = 32 << 20
 _KEEP = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _FOLD = bytes(c + 32 if 0x41 <= c <= 0x5A else c if c in _KEEP else 0x20 for c in range(256))
 _SCHEMA = "doc_id long, n_words long, runs array<int>, items array<string>, spans array<struct<start:long,stop:long>>"
@@ -50,7 +54,7 @@ def windows_of(words: list[bytes], window: int = WINDOW) -> list[bytes]:
 
 
 def blocks(items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> Iterator[dict[bytes, set[str]]]:
-    """Windows with the ids of their items, in blocks whose window count is bounded; the driver holds one block at a time."""
+    """Windows with the ids of their items, in shards whose window count is bounded; the driver holds one at a time."""
     block: dict[bytes, set[str]] = defaultdict(set)
     for row in items.select(F.col("item_id").cast("string"), "text").toLocalIterator():
         for key in windows_of(words_of((row["text"] or "").encode()), window):
@@ -89,11 +93,11 @@ def spans_of(text: bytes, runs: list[tuple[int, int]]) -> list[dict[str, int]]:
     return [{"start": int(points[found[a][0]]), "stop": int(points[found[b - 1][1]])} for a, b in runs]
 
 
-def scan(made: ahocorasick.Automaton, text: bytes) -> tuple[int, list[tuple[int, int]], set[str]]:
-    """Word count, runs [start, stop) of hit words, and ids of the items found."""
+def scan(made: ahocorasick.Automaton, text: bytes) -> tuple[list[tuple[int, int]], set[str]]:
+    """Runs [start, stop) of hit words, and ids of the items found."""
     words = words_of(text)
     if not words:
-        return 0, [], set()
+        return [], set()
     flat = b" " + b" ".join(words) + b" "
     runs, ids, gaps = [], set(), None
     for end, (length, names) in made.iter(flat.decode("latin-1")):
@@ -102,44 +106,61 @@ def scan(made: ahocorasick.Automaton, text: bytes) -> tuple[int, list[tuple[int,
         last = int(np.searchsorted(gaps, end))
         runs.append((last - length, last))
         ids.update(names)
-    return len(words), _merge(runs), ids
+    return _merge(runs), ids
 
 
-def _pass(docs: DataFrame, block: dict[bytes, set[str]], carried: bool, keep_text: bool) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+class Shards:
+    """The broadcast shards of a benchmark; one automaton stands at a time."""
+
+    def __init__(self, docs: DataFrame, items: DataFrame, window: int, block_words: int):
+        self.held = [docs.sparkSession.sparkContext.broadcast(block) for block in blocks(items, window, block_words)]
+
+    def __iter__(self) -> Iterator[ahocorasick.Automaton]:
+        if len(self.held) == 1:
+            if not hasattr(self, "one"):
+                self.one = automaton(self.held[0].value)
+            yield self.one
+        else:
+            yield from (automaton(block.value) for block in self.held)
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], shards: Shards) -> Iterator[tuple[pa.RecordBatch, list[tuple[list[tuple[int, int]], set[str]]]]]:
+    """Slices of few texts with the runs of hit words and the item ids of each text, after all shards."""
+
+    def passed(chunk: list[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list]]:
+        found = [[([], set()) for _ in range(part.num_rows)] for part in chunk]
+        for made in shards:
+            for part, held in zip(chunk, found, strict=True):
+                for k, text in enumerate(part.column("text").cast(pa.binary())):
+                    runs, ids = scan(made, text.as_py() or b"")
+                    if runs:
+                        held[k] = (_merge(held[k][0] + runs), held[k][1] | ids)
+        return zip(chunk, found, strict=True)
+
+    chunk, size = [], 0
+    for part in slices(batches):
+        chunk.append(part)
+        size += part.nbytes
+        if len(shards.held) == 1 or size >= CHUNK:
+            yield from passed(chunk)
+            chunk, size = [], 0
+    yield from passed(chunk)
+
+
+def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, n_words, runs (word numbers, start and stop in turn), items, spans of every row of docs."""
+    shards = Shards(docs, items, window, block_words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = automaton(shared.value) if shared.value else None
-        for batch in slices(batches):
-            texts = batch.column("text").cast(pa.binary()).to_pylist()
-            counts, runs, items, spans = [], [], [], []
-            for k, text in enumerate(texts):
-                n, hit, ids = scan(made, text or b"") if made else (len(words_of(text or b"")), [], set())
-                if carried:
-                    old = batch.column("runs")[k].as_py()
-                    hit, ids = _merge(hit + list(zip(old[::2], old[1::2], strict=True))), ids | set(batch.column("items")[k].as_py())
-                counts.append(n)
-                runs.append([x for r in hit for x in r])
-                items.append(sorted(ids))
-                spans.append(spans_of(text or b"", hit))
-            arrays = [batch.column("doc_id"), pa.array(counts, pa.int64()), pa.array(runs, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPANS)]
-            names = ["doc_id", "n_words", "runs", "items", "spans"]
-            if keep_text:
-                arrays, names = [*arrays, batch.column("text")], [*names, "text"]
-            yield pa.RecordBatch.from_arrays(arrays, names)
-
-    columns = ["doc_id", "text", *(["runs", "items"] if carried else [])]
-    return docs.select(*columns).mapInArrow(work, _SCHEMA + (", text string" if keep_text else ""))
-
-
-def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, keep_text: bool = False) -> DataFrame:
-    """doc_id, n_words, runs (word numbers, start and stop in turn), items, spans of every row of docs; text too with keep_text."""
-    now, carried, waiting = docs.select(F.col("doc_id").cast("long"), "text"), False, None
-    for block in blocks(items, window, block_words):
-        if waiting is not None:
-            now, carried = checkpoint(_pass(now, waiting, carried, True)), True
-        waiting = block
-    return _pass(now, waiting or {}, carried, keep_text)
+        for part, found in _scanned(batches, shards):
+            texts = [x or b"" for x in part.column("text").cast(pa.binary()).to_pylist()]
+            arrays = [
+                part.column("doc_id"), pa.array([len(words_of(x)) for x in texts], pa.int64()), pa.array([[x for r in runs for x in r] for runs, _ in found], pa.list_(pa.int32())),
+                pa.array([sorted(ids) for _, ids in found], pa.list_(pa.string())), pa.array([spans_of(x, runs) for x, (runs, _) in zip(texts, found, strict=True)], _SPANS),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n_words", "runs", "items", "spans"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, _SCHEMA)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
@@ -152,20 +173,12 @@ def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def clean_rows(docs: DataFrame, items: DataFrame) -> DataFrame:
+def clean_rows(docs: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of docs, with all their columns, that have no hit word; texts are scanned where they lie."""
-    for block in blocks(items):
-        docs = _filtered(docs, block)
-    return docs
-
-
-def _filtered(docs: DataFrame, block: dict[bytes, set[str]]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(block)
+    shards = Shards(docs, items, WINDOW, block_words)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = automaton(shared.value)
-        for batch in slices(batches):
-            clean = [not scan(made, text or b"")[1] for text in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        for part, found in _scanned(batches, shards):
+            yield part.filter(pa.array([not runs for runs, _ in found], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)

@@ -6,13 +6,16 @@ that mean at a uniform number made from md5(seed, doc_id), so it is the same on
 every run and under every partitioning.  Rates above ``MAX_MEAN`` are drawn as
 the sum of several Poisson parts, which has the same distribution and never
 underflows.  Copies are then dealt to partitions, and sorted in them, by a hash.
+Where a rate is so high that one document has more than ``CHUNK`` copies, runs of
+so many are dealt to partitions first and copied there, so that no task makes all
+copies of a document.
 
 Defined cases: a null source is a source of its own; null texts weigh nothing
 but take part; a source without bytes has rate 0 unless all are empty; sources
 without a target weight get none when weights are given, else all weigh the
-same; repeated rows with one doc_id get the same count; other columns go along, save
-those whose names this operator adds (copy, n_copies, rate, shuffle_key), which
-it replaces.
+same; repeated rows with one doc_id get the same count; empty tables give no rows;
+texts of any length are carried whole; other columns go along, save those whose
+names this operator adds (copy, n_copies, rate, shuffle_key), which it replaces.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ MAX_MEAN = 64.0
 #: Up to so many sources the rates are broadcast (some MB); beyond, both sides are salted and shuffled.
 BROADCAST_SOURCES = 20_000
 SALTS = 64
+CHUNK = 1024
 TWO_52 = 4503599627370496.0
 
 
@@ -34,13 +38,13 @@ def uniform(*parts: Column | str) -> Column:
 
 
 def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None, epochs: float = 1.0) -> DataFrame:
-    """One row per source: rate, draws, and the cumulative Poisson probabilities of one draw."""
+    """One row per source: _mix_source, _mix_rate, _mix_draws, and _mix_cdf, the cumulative Poisson probabilities of one draw."""
     sizes = docs.groupBy("source").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).cast("double").alias("bytes"))
     if weights is None:
         sizes = sizes.withColumn("weight", F.lit(1.0))
     else:
-        given = docs.sparkSession.createDataFrame([(k, float(v)) for k, v in weights.items()], "_source string, weight double")
-        sizes = sizes.join(given, F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source").na.fill({"weight": 0.0})
+        given = docs.sparkSession.createDataFrame([(k, float(v)) for k, v in weights.items()], "_mix_source string, weight double")
+        sizes = sizes.join(given, F.col("source").eqNullSafe(F.col("_mix_source")), "left").drop("_mix_source").na.fill({"weight": 0.0})
     total = sizes.agg(F.sum("bytes").alias("b"), F.sum("weight").alias("w")).first()
     all_bytes, all_weights = total["b"] or 0.0, total["w"] or 1.0
     rate = F.when(F.col("bytes") > 0, F.col("weight") / F.lit(all_weights) * F.lit(epochs * all_bytes) / F.col("bytes")).otherwise(F.lit(0.0 if all_bytes else float(epochs)))
@@ -57,33 +61,39 @@ def source_rates(docs: DataFrame, weights: dict[str | None, float] | None = None
         sizes.withColumn("rate", rate)
         .withColumn("draws", F.greatest(F.lit(1), F.ceil(F.col("rate") / F.lit(MAX_MEAN))).cast("int"))
         .withColumn("cdf", cdf)
-        .select(F.col("source").alias("_source"), "rate", "draws", "cdf")
+        .select(F.col("source").alias("_mix_source"), F.col("rate").alias("_mix_rate"), F.col("draws").alias("_mix_draws"), F.col("cdf").alias("_mix_cdf"))
     )
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, epochs: float = 1.0, seed: int = 20) -> DataFrame:
     """Every column of docs, with copy (from 1), n_copies, rate and shuffle_key, in shuffled order."""
-    docs = docs.drop("copy", "n_copies", "rate", "shuffle_key", "_source", "draws", "cdf")
+    docs = docs.drop("copy", "n_copies", "rate", "shuffle_key")
     rates = source_rates(docs, weights, epochs)
-    n_sources = docs.select("source").distinct().count()
-    if n_sources <= BROADCAST_SOURCES:
-        joined = docs.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("_source")))
+    facts = rates.agg(F.count(F.lit(1)).alias("n"), F.max("_mix_rate").alias("top")).first()
+    if facts["n"] <= BROADCAST_SOURCES:
+        joined = docs.join(F.broadcast(rates), F.col("source").eqNullSafe(F.col("_mix_source")))
     else:
-        salted = rates.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        salted = rates.withColumn("_mix_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")
-        joined = docs.withColumn("_salt_of", salt).join(salted, F.col("source").eqNullSafe(F.col("_source")) & (F.col("_salt_of") == F.col("_salt"))).drop("_salt", "_salt_of")
-    one = lambda j: F.size(F.filter(F.col("cdf"), lambda c: c <= uniform(F.lit(seed), F.col("doc_id"), j)))
+        joined = docs.withColumn("_mix_salt_of", salt).join(salted, F.col("source").eqNullSafe(F.col("_mix_source")) & (F.col("_mix_salt_of") == F.col("_mix_salt"))).drop("_mix_salt", "_mix_salt_of")
+    one = lambda j: F.size(F.filter(F.col("_mix_cdf"), lambda c: c <= uniform(F.lit(seed), F.col("doc_id"), j)))
     # The common single draw takes the bare expression, which leaves the lambda over draws out of the plan's hot path.
-    several = F.aggregate(F.sequence(F.lit(1), F.col("draws")), F.lit(0), lambda n, j: n + one(j))
-    drawn = joined.withColumn("n_copies", F.when(F.col("draws") == 1, _count(seed)).otherwise(several)).filter("n_copies > 0")
-    copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
+    several = F.aggregate(F.sequence(F.lit(1), F.col("_mix_draws")), F.lit(0), lambda n, j: n + one(j))
+    drawn = joined.withColumn("n_copies", F.when(F.col("_mix_draws") == 1, _count(seed)).otherwise(several)).filter("n_copies > 0").withColumnRenamed("_mix_rate", "rate").drop("_mix_source", "_mix_draws", "_mix_cdf")
+    if (facts["top"] or 0.0) * 2 > CHUNK:
+        runs = drawn.withColumn("_mix_run", F.explode(F.sequence(F.lit(0), F.floor((F.col("n_copies") - 1) / CHUNK).cast("int"))))
+        dealt = runs.repartition(F.xxhash64("doc_id", "text", "_mix_run"))
+        first = F.col("_mix_run") * CHUNK
+        copies = dealt.withColumn("copy", F.explode(F.sequence(first + 1, F.least(first + CHUNK, F.col("n_copies"))))).drop("_mix_run")
+    else:
+        copies = drawn.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
     key = F.md5(F.concat_ws("|", F.lit(f"order{seed}"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
-    return copies.withColumn("shuffle_key", key).drop("_source", "draws", "cdf").repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+    return copies.withColumn("shuffle_key", key).repartition("shuffle_key").sortWithinPartitions("shuffle_key")
 
 
 def _count(seed: int) -> Column:
     u = uniform(F.lit(seed), F.col("doc_id"), F.lit(1))
-    return F.aggregate(F.col("cdf"), F.struct(F.lit(0).alias("n"), u.alias("u")), lambda s, c: F.struct((s["n"] + F.when(c <= s["u"], 1).otherwise(0)).alias("n"), s["u"].alias("u")), lambda s: s["n"])
+    return F.aggregate(F.col("_mix_cdf"), F.struct(F.lit(0).alias("n"), u.alias("u")), lambda s, c: F.struct((s["n"] + F.when(c <= s["u"], 1).otherwise(0)).alias("n"), s["u"].alias("u")), lambda s: s["n"])
 
 
 #: The same rows in DuckDB, for equal weights, one epoch and seed 20.

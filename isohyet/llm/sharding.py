@@ -9,7 +9,9 @@ from a shard and slot, without any table.
 
 Defined cases: a null text has size 16 and checksum 0; null doc_ids come first;
 repeated rows get ranks of their own, in an order that equal digests cannot
-tell apart; an empty table gives no rows; other columns are not read.
+tell apart; an empty table gives no rows; other columns are not read, and
+``shard_rows`` carries them, save those named row_number, shard and slot, which it
+replaces.  A key of any number of rows is dealt over many partitions.
 Equal texts are spread like any other rows, as the row law asks.
 """
 
@@ -19,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isohyet.llm.common import global_row_number, mix64
@@ -91,11 +93,11 @@ def assign_shards(rows: DataFrame, order: list[str], shards: int = 40, seed: int
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, size and text_crc32: all that the order of rows needs."""
-    return docs.select(
-        "doc_id",
-        (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long").alias("size"),
-        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-    )
+    return docs.select("doc_id", *[made.alias(name) for name, made in _digests().items()])
+
+
+def _digests() -> dict[str, Column]:
+    return {"size": (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long"), "text_crc32": F.crc32(F.coalesce("text", F.lit("")))}
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
@@ -108,17 +110,14 @@ def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFra
 
 
 def shard_rows(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
-    """All columns of docs with row_number, shard and slot; repeated rows take the places of their number.
+    """All columns of docs with row_number, shard and slot, the same places as by ``shard_documents``.
 
-    Only digests are ranked and permuted.  The places of a key (doc_id, checksum,
-    size) come back as one short list, and the n-th row of the key takes the n-th
-    of them; numbering the rows and meeting the lists need one shuffle of texts.
+    The whole rows are dealt by range of their keys once and numbered where they
+    lie; rows of one key are told apart by a random number, which the numbering's
+    checkpoint pins, so that they spread over many partitions.
     """
-    key = {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "_size": (F.coalesce(F.octet_length("text"), F.lit(0)) + 16).cast("long"), "_crc": F.crc32(F.coalesce("text", F.lit("")))}
-    light = docs.select(*[made.alias(name) for name, made in key.items()])
-    dealt = assign_shards(light, ["_id", "_crc", "_size"], shards, seed)
-    places = dealt.groupBy(*key).agg(F.array_sort(F.collect_list(F.struct("row_number", "shard", "slot"))).alias("_places"))
-    numbered = docs.withColumns(key).withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0))))
-    place = F.get("_places", F.col("_n") - 1)
-    met = numbered.join(places, list(key)).withColumn("_place", place)
-    return met.select(*docs.columns, "_place.row_number", "_place.shard", "_place.slot")
+    docs = docs.drop("row_number", "shard", "slot")
+    names = {"size": "_shard_size", "text_crc32": "_shard_crc"}
+    keyed = docs.withColumns({names[name]: made for name, made in _digests().items()} | {"_shard_salt": F.rand(seed)})
+    dealt = assign_shards(keyed, ["doc_id", "_shard_crc", "_shard_size", "_shard_salt"], shards, seed)
+    return dealt.drop("_shard_crc", "_shard_size", "_shard_salt")

@@ -10,14 +10,21 @@ only sets that share one of their rarest signatures meet.
 Defined cases: a null text is empty and has the empty fingerprint; two empty
 fingerprints are alike 1, an empty and a full one 0; a text without any anchor
 takes every word as one; a chain that the text's end cuts short is kept short;
-the order of equal doc_ids is that of their texts; extra columns are not read.
+equal doc_ids are in the order of a hash of their texts, rows without doc_id come
+last; repeated rows stay; texts of any length are read whole; an empty table gives
+no rows; extra columns are not read.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import pairwise
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isohyet.llm.common import shuffle_partitions
+
 # Common function words of English, German, French and Spanish.
 ANCHORS = (
     "the of and to in is that it was for with as are on be at by this from or an he which not but they have had his her were there been their "
@@ -26,9 +33,8 @@ ANCHORS = (
     "el los las del por con no una su para al lo como más pero sus ya y o a"
 ).split()
 CHAIN = 2
-SPLITS = 128
-ROWS_PER_BUCKET = 1000
-MAX_BUCKETS = 65_536
+#: Quantiles of doc_id that the ranges follow, and ranges for each shuffle partition.
+SPLITS, RANGES = 256, 8
 
 
 def signatures(text: Column, chain: int = CHAIN, anchors: list[str] | None = None) -> Column:
@@ -84,41 +90,60 @@ def near_duplicates(prints: DataFrame, id_column: str = "doc_id", threshold: flo
     return pairs.join(a, "id_a").join(b, "id_b").withColumn("jaccard", likeness(F.col("_a"), F.col("_b"))).filter(F.col("jaccard") >= threshold - 1e-9).select("id_a", "id_b", "jaccard")
 
 
-def _buckets(docs: DataFrame, rows_per_bucket: int) -> tuple[Column, int]:
-    """A bucket number that never falls as doc_id grows, from quantiles of all doc_ids (SPLITS of them) cut evenly."""
-    at = docs.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("doc_id", [i / SPLITS for i in range(SPLITS + 1)], 10_000).alias("q"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    if not at["q"]:
-        return F.lit(0), 1
-    cuts = sorted({at["lo"], *at["q"], at["hi"] + 1})
-    parts = max(1, min(MAX_BUCKETS, -(-at["n"] // rows_per_bucket)) // (len(cuts) - 1) or 1)
-    lows = F.array(*[F.lit(int(c)) for c in cuts])
-    k = F.size(F.filter(lows, lambda c: c <= F.coalesce(F.col("doc_id"), F.lit(int(cuts[0]))))) - 1
-    low, high = F.get(lows, k), F.get(lows, k + 1)
-    inside = F.floor((F.coalesce(F.col("doc_id"), low) - low).cast("double") / (high - low).cast("double") * F.lit(float(parts)))
-    return (k * parts + F.least(inside, F.lit(parts - 1))).cast("int"), parts * (len(cuts) - 1)
-
+def _buckets(docs: DataFrame, buckets: int) -> Column:
+    """A number of about ``buckets`` that never falls as doc_id grows; nulls have the least.
 
-def with_next(docs: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET, more: dict[str, Column] | None = None) -> DataFrame:
+    Ranges between quantiles of all doc_ids are cut evenly; a doc_id that is a
+    quantile more than once, and the rows without one, are cut by the texts' hash.
+    """
+    quantiles = F.percentile_approx("doc_id", [i / SPLITS for i in range(SPLITS + 1)], 100_000)
+    at = docs.agg(F.count(F.lit(1)).alias("n"), F.count("doc_id").alias("ids"), quantiles.alias("q"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    parts = lambda rows: max(1, round(buckets * rows / max(1, at["n"])))
+    none = parts(at["n"] - at["ids"])
+    by_hash = lambda n: F.floor(F.pmod(F.col("_h"), F.lit(1 << 30)).cast("double") / (1 << 30) * n)
+    if not at["ids"]:
+        return by_hash(F.lit(none)).cast("int")
+    held = [at["lo"], *at["q"], at["hi"]]
+    heavy = {v for v, n in Counter(held[1:-1]).items() if n > 2}
+    cuts = sorted({*held, *heavy, *[v + 1 for v in heavy], at["hi"] + 1})
+    counts = [parts(at["ids"] * sum(low <= v < high for v in held[1:-1]) / (SPLITS + 1)) for low, high in pairwise(cuts)]
+    first = [none + sum(counts[:k]) for k in range(len(counts))]
+    table = F.array(*[
+        F.struct(F.lit(low).cast("double").alias("low"), F.lit(float(high) - float(low)).alias("wide"), F.lit(n).alias("n"), F.lit(at_).alias("first"), F.lit(low in heavy).alias("heavy"))
+        for (low, high), n, at_ in zip(pairwise(cuts), counts, first, strict=True)
+    ])
+    lows = F.array(*[F.lit(int(c)) for c in cuts[:-1]])
+    of = F.get(table, F.size(F.filter(lows, lambda c: c <= F.col("doc_id"))) - 1)
+    inside = lambda s: F.when(s["heavy"], by_hash(s["n"])).otherwise(F.floor((F.col("doc_id").cast("double") - s["low"]) / s["wide"] * s["n"]))
+    number = F.get(F.transform(F.array(of), lambda s: s["first"] + F.greatest(F.lit(0), F.least(inside(s), s["n"] - 1))), F.lit(0))
+    return F.when(F.col("doc_id").isNull(), by_hash(F.lit(none))).otherwise(number).cast("int")
+
+
+def with_next(docs: DataFrame, buckets: int | None = None, more: dict[str, Column] | None = None) -> DataFrame:
     """Each document with the one after it in descending doc_id as struct ``next`` (text and ``more``); the first follows the last.
 
-    Documents are dealt by ranges of doc_id and the first rows of each range go
-    to the range before as well, so the texts are shuffled once and no task sees
-    more than its range.  Null doc_ids come last.
+    Documents are dealt by ranges of doc_id, some for each shuffle partition, and
+    the first rows of each range go to the range before as well, so the texts are
+    shuffled once and no task sees more than its ranges.
     """
-    bucket, _ = _buckets(docs, rows_per_bucket)
-    placed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_bucket", bucket)
-    first = [r for r in placed.groupBy("_bucket").agg(F.max("doc_id").alias("top")).orderBy(F.desc("_bucket")).collect()]
-    halo = [(r["_bucket"], r["top"], first[i - 1]["_bucket"]) for i, r in enumerate(first)]
-    tops = docs.sparkSession.createDataFrame(halo, "_bucket int, _top long, _before int")
-    sent = placed.join(F.broadcast(tops), "_bucket", "left").withColumn(
-        "_to", F.explode(F.when(F.col("doc_id").eqNullSafe(F.col("_top")), F.array(F.struct(F.col("_bucket").alias("b"), F.lit(0).alias("halo")), F.struct(F.col("_before").alias("b"), F.lit(1).alias("halo")))).otherwise(F.array(F.struct(F.col("_bucket").alias("b"), F.lit(0).alias("halo")))))
-    )
-    dealt = sent.select("doc_id", "text", F.col("_to.b").alias("_b"), F.col("_to.halo").alias("_halo")).repartition("_b")
+    placed = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
+    placed = placed.withColumn("_h", F.xxhash64("text"))
+    placed = placed.withColumn("_bucket", _buckets(placed, buckets or RANGES * shuffle_partitions(docs.sparkSession)))
+    # Without nulls and ascending: the complement of a doc_id falls as it grows.
+    order = [F.col("doc_id").isNull().alias("none"), F.coalesce(F.bitwise_not("doc_id"), F.lit(0)).alias("down"), F.col("_h").alias("h")]
+    first = placed.groupBy("_bucket").agg(F.min(F.struct(*order)).alias("top")).collect()
+    first.sort(key=lambda r: tuple(r["top"]))
+    halo = [(r["_bucket"], *r["top"], first[i - 1]["_bucket"]) for i, r in enumerate(first)]
+    tops = docs.sparkSession.createDataFrame(halo, "_bucket int, _none boolean, _down long, _top long, _before int")
+    here, there = (F.struct(F.col(name).alias("b"), F.lit(k).alias("halo")) for k, name in enumerate(("_bucket", "_before")))
+    at_top = (order[0] == F.col("_none")) & (order[1] == F.col("_down")) & (F.col("_h") == F.col("_top"))
+    sent = placed.join(F.broadcast(tops), "_bucket", "left").withColumn("_to", F.explode(F.when(at_top, F.array(here, there)).otherwise(F.array(here))))
+    dealt = sent.select("doc_id", "text", "_h", F.col("_to.b").alias("_b"), F.col("_to.halo").alias("_halo")).repartition("_b")
     for name, made in (more or {}).items():
         dealt = dealt.withColumn(name, made)
-    order = Window.partitionBy("_b").orderBy("_halo", F.desc_nulls_last("doc_id"), "text")
-    following = F.lead(F.struct("text", *(more or {}))).over(order)
-    return dealt.withColumn("next", following).filter("_halo = 0").drop("_b", "_halo")
+    held = Window.partitionBy("_b").orderBy("_halo", F.desc_nulls_last("doc_id"), "_h", "text")
+    following = F.lead(F.struct("text", *(more or {}))).over(held)
+    return dealt.withColumn("next", following).filter("_halo = 0").drop("_b", "_halo", "_h")
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 A window is ``WINDOW`` consecutive words.  Seeds are winnowed anchors: of the
 ``WINDOW - SEED + 1`` runs of ``SEED`` words in each window the one with the
 least hash, so equal windows always have equal seeds.  The join works by
-messages between parts of the documents (a few MB of text each, dealt by doc_id)
-and the hash space:
+messages between parts of the documents (a few MB of text each, dealt by a hash
+of doc_id, text and the input's partition, so that rows of one doc_id, or without
+any, and copies of one row spread over parts) and the hash space:
 
 1. each part sends its distinct seeds; seeds known to two parts are reported back;
 2. around each shared seed the part extends both ways, to every window that the
@@ -20,8 +21,8 @@ steps reuse that exchange.  Windows are compared by 64-bit hashes.
 
 Defined cases: null texts have no words; documents of fewer than ``WINDOW``
 words lose none; equal doc_ids (repeated rows) don't cover each other; a null
-doc_id counts as the largest; empty tables give no rows; extra columns are not
-read.
+doc_id counts as the largest; texts of any length are read whole; empty tables
+give no rows; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -122,8 +123,6 @@ def _unsigned(column: pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy().view(np.uint64)
 
 
-
-
 def _send_seeds(window: int, seed: int) -> Callable[[pa.Table], pa.Table]:
     def send(docs: pa.Table) -> pa.Table:
         found = np.unique(Part(docs, window, seed).seeds())
@@ -216,7 +215,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED, part
         raise ValueError("a seed has at least one word and no more than a window")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-size // part_bytes))
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int"))
+    dealt = docs.select(F.col("doc_id").cast("long"), "text").withColumn("part", F.pmod(F.xxhash64("doc_id", "text", F.spark_partition_id()), F.lit(parts)).cast("int"))
     seeds = dealt.groupBy("part").applyInArrow(_send_seeds(window, seed), "h long, part int")
     shared = seeds.repartition("h").sortWithinPartitions("h").mapInArrow(_shared, "part int, h long")
     windows = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_send_windows(window, seed), "h long, part int, least long")

@@ -3,11 +3,13 @@
 import hashlib
 import html
 import re
+import zlib
 from collections import Counter
 
 import ahocorasick  # noqa: F401
 import numpy as np
 import pytest
+import regex
 import xxhash
 from pyspark.sql import functions as F
 
@@ -59,6 +61,17 @@ def test_op4_brute_force(docs, empty):
     assert substrings.remove_repeats(empty).count() == 0
 
 
+def test_op4_of_one_repeated_row(spark):
+    """Repeated rows, and rows of one doc_id or none, spread over parts and don't cover each other; the exchange of texts is made once."""
+    rows = spark.range(300).select(F.when(F.col("id") % 3 > 0, 7).alias("doc_id"), F.lit(PASSAGE).alias("text")).repartition(4)
+    rows = rows.unionByName(spark.createDataFrame([(9, f"x {PASSAGE} y")], rows.schema))
+    made = substrings.remove_repeats(rows, part_bytes=1 << 12)
+    got = Counter((r.doc_id, r.n_removed) for r in made.collect())
+    assert got == {(7, 0): 200, (None, 40): 100, (9, 40): 1}
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 2
+
+
 def fold(text):
     return re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode()))
 
@@ -86,7 +99,9 @@ def test_op7_brute_force(spark, docs, empty):
     assert text[spans[0].start : spans[0].stop] == PASSAGE
     assert decontaminate.decontaminate(empty, bench).count() == 0
     assert decontaminate.decontaminate(docs, bench.limit(0)).filter("contaminated").count() == 0
-    assert decontaminate.clean_rows(docs, bench).count() == sum(n for k, n in want.items() if not k[5])
+    for size in (7, 50_000):
+        assert decontaminate.clean_rows(docs, bench, block_words=size).count() == sum(n for k, n in want.items() if not k[5])
+    assert decontaminate.clean_rows(docs, bench.limit(0)).count() == len(fixture())
 
 
 def test_op10_brute_force(spark, docs, empty):
@@ -157,9 +172,21 @@ def test_op9(docs, empty):
     assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in sizes.items())
     assert {(r.doc_id, r.size) for r in got} == {(i, len((t or "").encode()) + 16) for i, t, *_ in fixture()}
     assert sorted(map(tuple, got), key=str) == sorted(map(tuple, sharding.shard_documents(docs.repartition(2)).collect()), key=str)
-    rows = sharding.shard_rows(docs.drop("shard"))
+    assert {(r.doc_id, r.text_crc32, r.law, r.grown_shard) for r in got} == {(i, zlib.crc32((t or "").encode()), "rows", None) for i, t, *_ in fixture()}
+    rows = sharding.shard_rows(docs.withColumn("slot", F.lit(9)))
     assert sorted((r.shard, r.slot) for r in rows.collect()) == sorted((r.shard, r.slot) for r in got)
-    assert sharding.shard_documents(empty).count() == 0
+    places = lambda found: Counter((r.doc_id, r.row_number, r.shard, r.slot) for r in found)
+    assert places(rows.collect()) == places(got)
+    assert sharding.shard_documents(empty).count() == 0 and sharding.shard_rows(empty).count() == 0
+
+
+def test_op9_of_one_repeated_row(spark):
+    """A row that is repeated ten thousand times spreads over the partitions that number it, and every copy has a place of its own."""
+    rows = spark.range(10_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("the same text").alias("text"), F.col("id").alias("_id"))
+    got = sharding.shard_rows(rows.unionByName(spark.createDataFrame([(None, None, -1), (None, "x", -2)], "doc_id long, text string, _id long")))
+    assert got.select("row_number").distinct().count() == 10_002 and set(got.columns) == {"doc_id", "text", "_id", "row_number", "shard", "slot"}
+    assert got.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 5_000
+    assert got.filter("_id < 0").agg(F.max("row_number")).first()[0] == 1
 
 
 def test_op5(spark, docs, empty):
@@ -175,6 +202,11 @@ def test_op5(spark, docs, empty):
         assert np.mean(n) == pytest.approx(epochs, rel=0.08) and np.var(n) == pytest.approx(epochs, rel=0.15)
     weighted = mixing.mix(docs, {"s0": 3.0, "s1": 1.0})
     assert {r.source for r in weighted.select("source").distinct().collect()} <= {"s0", "s1"}
+    rare = spark.createDataFrame([(1, "ab", "rare", 1, 1.0), (1, "ab", "rare", 2, 2.0), *[(k, "x" * 100, "big", 3, 3.0) for k in range(2, 400)]], "doc_id long, text string, source string, _rate int, cdf double")
+    whole = mixing.mix(rare)
+    few = Counter((r.doc_id, r["_rate"], r.cdf, r.copy) for r in whole.filter("source = 'rare'").collect())
+    assert len(few) > 9000 and set(few.values()) == {1} and max(k[3] for k in few) == whole.filter("doc_id = 1").first().n_copies
+    assert "_mix_run" in whole._jdf.queryExecution().toString()
     held, mixing.BROADCAST_SOURCES = mixing.BROADCAST_SOURCES, 0
     try:
         assert Counter((r.doc_id, r.copy) for r in mixing.mix(docs).collect()) == Counter((r.doc_id, r.copy) for r in got)
@@ -199,6 +231,12 @@ def test_op8_round_trip(spark):
     row = chat.format_conversations(typed).first()
     assert row.n_tokens_expanded == 4 and [a.ref for a in row.attachments] == ["a.png", "b.wav"]
     assert row.formatted[row.attachments[0].offset :].startswith("<|image|><|image|><|image|><|audio|>")
+    some = typed.unionByName(spark.createDataFrame([(1, 1, "assistant", None), (1, 2, None, [])], typed.schema))
+    row = chat.format_conversations(some).first()
+    assert row.n_turns == 3 and row.n_tokens_expanded == 4 and len(row.attachments) == 2
+    ties = [(1, 0, "assistant", "<|a"), (1, 0, "assistant", "<z"), (1, 0, "assistant", None)]
+    got = chat.chat_digest(spark.createDataFrame(ties, "conv_id long, turn long, role string, text string")).filter("conv_id = 1").first()
+    assert got.loss_sha256 == hashlib.sha256(b"<z<|a").hexdigest()
 
 
 def test_op2(spark, docs, empty):
@@ -213,8 +251,9 @@ def test_op2(spark, docs, empty):
         assert got[i].edited_sha256 == hashlib.sha256((t[: len(t) - n] + x[:n]).encode()).hexdigest()
         assert got[i].n_chars == len(t) and 0 <= got[i].near_edited <= 1
     assert got[4].fingerprint == got[5].fingerprint and got[0].fingerprint == ""
-    small = spotsigs.with_next(docs, rows_per_bucket=1).collect()
-    assert Counter((r.doc_id, r.next.text) for r in small) == Counter((r.doc_id, r.next.text) for r in spotsigs.with_next(docs).collect())
+    small = spotsigs.with_next(docs, buckets=1).collect()
+    for n in (3, 40, 1000):
+        assert Counter((r.doc_id, r.next.text) for r in small) == Counter((r.doc_id, r.next.text) for r in spotsigs.with_next(docs, buckets=n).collect())
     assert spotsigs.fingerprint_documents(empty).count() == 0
     prints = common.table(spark, SF, "documents").select("doc_id", spotsigs.signatures(F.col("text")).alias("sigs"))
     sets = {}
@@ -253,6 +292,48 @@ def naive_code_length(trained, text, order, symbols):
     return total
 
 
+def naive_signatures(text):
+    """The set of (anchor, chain) of a text, by a loop over its words."""
+    words = [w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w]
+    common = set(spotsigs.ANCHORS)
+    chain = lambda k, able: tuple([w for w in words[k + 1 :] if able(w)][: spotsigs.CHAIN])
+    spots = [k for k, w in enumerate(words) if w in common]
+    if spots:
+        return {(words[k], chain(k, lambda w: w not in common)) for k in spots}
+    return {(words[k], tuple(words[k + 1 : k + 1 + spotsigs.CHAIN])) for k in range(len(words))}
+
+
+def test_op2_likenesses_equal_brute_force(spark):
+    docs = common.table(spark, SF, "documents")
+    odd = [(-5, None), (-6, ""), (-7, "no anchored words stand here"), (-8, "the"), (-9, "the end of the first and the second"), (None, "of the null"), (None, "of the other null")]
+    docs = docs.select("doc_id", "text").unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    rows = [(r.doc_id, r.text or "", r.h) for r in docs.select("doc_id", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect()]
+    rows.sort(key=lambda r: (r[0] is None, -(r[0] or 0), r[2]))
+    got = {(r.doc_id, r.n_chars, r.edited_sha256): r for r in spotsigs.fingerprint_documents(docs).collect()}
+    like = lambda a, b: 1.0 if not a and not b else len(a & b) / len(a | b)
+    for k, (i, t, _) in enumerate(rows):
+        x = rows[(k + 1) % len(rows)][1]
+        n = len(t) // 3
+        edited = t[: len(t) - n] + x[:n]
+        r = got[i, len(t), hashlib.sha256(edited.encode()).hexdigest()]
+        mine = naive_signatures(t)
+        assert r.n_signatures == len(mine)
+        assert r.near_edited == pytest.approx(like(mine, naive_signatures(edited)))
+        assert r.near_next == pytest.approx(like(mine, naive_signatures(x)))
+        assert len({*r.fingerprint.split(",")} - {""}) == len(mine)
+
+
+def test_op2_of_one_id_and_of_nulls(spark):
+    """Half of the rows have one doc_id, a quarter none: they spread over ranges, and every row has its next one."""
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 4 == 0, None).when(F.col("id") % 2 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.concat(F.lit("the text of "), F.col("id").cast("string")).alias("text")
+    )
+    got = spotsigs.with_next(rows, buckets=64).collect()
+    assert len(got) == 4000 and len({r.next.text for r in got}) == 4000
+    sizes = Counter(r["b"] for r in rows.withColumn("_h", F.xxhash64("text")).withColumn("b", spotsigs._buckets(rows, 64)).select("b").collect())
+    assert max(sizes.values()) < 400
+
+
 def test_op1_code_lengths_equal_brute_force():
     texts = {"a": [b"abracadabra abracadabra", b"cadabra a bar"], "b": [b"barbar bac bac dab", b"abab bar"]}
     letters = sorted({c for parts in texts.values() for t in parts for c in t})
