@@ -62,14 +62,28 @@ def solar_elevation(time: Column, lat: Number, lon: Number) -> Column:
     return true + F.when(true > -1.0, 1.02 / F.tan(F.radians(true + 10.3 / (true + 5.11))) / 60).otherwise(0.0)
 
 
-def clearsky_ineichen(elevation_deg: Number, day: Column, turbidity: float = 3.0, altitude_m: float = 0.0) -> Column:
-    """The published Ineichen and Perez global irradiance, for one turbidity and altitude."""
-    fh1, fh2 = math.exp(-altitude_m / 8000), math.exp(-altitude_m / 1250)
-    cg1, cg2 = 5.09e-5 * altitude_m + 0.868, 3.92e-5 * altitude_m + 0.0387
+def is_daytime(elevation_deg: Number, least: float = 10.0) -> Column:
+    """Whether the sun stands at least so high."""
+    return col(elevation_deg) >= least
+
+
+def extra_radiation_hourly(time: Column, elevation_deg: Number) -> Column:
+    """Radiation above the atmosphere on a level plane at an instant, W per m2 (Spencer's distance, 1366.1 W per m2)."""
+    g = 2 * math.pi / 365 * (F.dayofyear(time) - 1).cast("double")
+    distance = 1.00011 + 0.034221 * F.cos(g) + 0.00128 * F.sin(g) + 0.000719 * F.cos(2 * g) + 0.000077 * F.sin(2 * g)
+    return 1366.1 * distance * clip(F.sin(F.radians(col(elevation_deg))), 0.0)
+
+
+def clearsky_ineichen(elevation_deg: Number, day: Column, turbidity: Number = 3.0, altitude_m: Number = 0.0) -> Column:
+    """The published Ineichen and Perez global irradiance; turbidity and altitude may be columns."""
+    high, haze = col(altitude_m), col(turbidity)
+    fh1, fh2 = F.exp(-high / 8000), F.exp(-high / 1250)
+    cg1, cg2 = 5.09e-5 * high + 0.868, 3.92e-5 * high + 0.0387
     up = clip(F.sin(F.radians(col(elevation_deg))), 0.0)
     mass = ratio(1.0, up + 0.50572 * F.pow(clip(col(elevation_deg), 0.0) + 6.07995, -1.6364))
     outside = 1367.0 * (1 + 0.033 * F.cos(2 * math.pi / 365 * F.dayofyear(day).cast("double")))
-    return F.when(col(elevation_deg) > 0, cg1 * outside * up * F.exp(-cg2 * mass * (fh1 + fh2 * (turbidity - 1))) * F.exp(0.01 * F.pow(mass, 1.8))).when(col(elevation_deg).isNotNull(), 0.0)
+    made = cg1 * outside * up * F.exp(-cg2 * mass * (fh1 + fh2 * (haze - 1))) * F.exp(0.01 * F.pow(mass, 1.8))
+    return F.when(col(elevation_deg) > 0, made).when(col(elevation_deg).isNotNull(), 0.0)
 
 
 def cloud_cover_davis(sw: Number, clearsky: Number, elevation_deg: Number, k: float = 0.65, least: float = 10.0) -> Column:

@@ -1,9 +1,14 @@
 """Random cascades of daily precipitation to hours, reproducible under any partitioning.
 
 Each value splits in two, five times (45-minute steps), by log-Poisson weights
-and wet or dry draws; every draw is a hash of (seed, key, day, level, place,
-number).  Thirds of the 45-minute steps then add up to hours, so that a day keeps
-its total.
+and wet or dry draws; the five draws of a split are 24 bits each of one hash of
+(seed, key, day, level, place).  Thirds of the 45-minute steps then add up to
+hours, so that a day keeps its total.
+
+The parameters are either one set for all, or a table with a row per key, as
+``fit_parameters`` makes it from the moment scaling of each key's fine series; keys
+that the table lacks, and series that are all dry or too short to fit, take
+``DEFAULT``.
 """
 
 from __future__ import annotations
@@ -16,8 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from isohyet.functions.cols import hash_uniform
-from isohyet.operators.disaggregate import normalise, with_period
+from isohyet.operators.disaggregate import conserve_sum, normalise, with_period
 from isohyet.operators.time import hours
 
 LEVELS = 5
@@ -32,12 +36,6 @@ class CascadeParameters:
     beta: float = 0.4
     tau0: float = 0.3
 
-    @property
-    def dry(self) -> float:
-        p = 1 - 2 ** (self.tau0 - 1)
-        return min(max(p * (1 + p), 0.0), 1.0)
-
-
 #: Used where a series is all dry or too short to fit.
 DEFAULT = CascadeParameters()
 
@@ -54,27 +52,47 @@ def poisson_one(u: Column) -> Column:
     return made
 
 
-def _split(df: DataFrame, key: str, level: int, p: CascadeParameters, seed: Column) -> DataFrame:
-    u = lambda k: hash_uniform(seed, F.col(key), F.unix_seconds(F.col("time").cast("timestamp")), F.lit(level), F.col("idx"), F.lit(k))
-    drawn = df.select("*", *[u(k).alias(f"_u{k}") for k in range(5)])
-    w = lambda k: F.lit(p.amplitude) * F.pow(F.lit(p.beta), poisson_one(F.col(f"_u{k}")).cast("double"))
-    wet0, wet1 = F.col("_u2") < 1 - p.dry, F.col("_u3") < 1 - p.dry
+def with_parameters(df: DataFrame, key: str, parameters: CascadeParameters | DataFrame) -> DataFrame:
+    """df with _amplitude, _beta and _wet, the chance that a half is wet."""
+    fixed = parameters if isinstance(parameters, CascadeParameters) else DEFAULT
+    if isinstance(parameters, DataFrame):
+        told = parameters.select(key, *[F.col(c).alias(f"_{c}") for c in ("amplitude", "beta", "tau0")])
+        df = df.join(told, key, "left")
+    else:
+        df = df.withColumns({f"_{c}": F.lit(None).cast("double") for c in ("amplitude", "beta", "tau0")})
+    df = df.withColumns({f"_{c}": F.coalesce(F.col(f"_{c}"), F.lit(getattr(fixed, c))) for c in ("amplitude", "beta", "tau0")})
+    p = 1.0 - F.pow(F.lit(2.0), F.col("_tau0") - 1.0)
+    return df.withColumn("_wet", 1.0 - F.least(F.greatest(p * (1.0 + p), F.lit(0.0)), F.lit(1.0))).drop("_tau0")
+
+
+def _split(df: DataFrame, key: str, level: int, seed: Column) -> DataFrame:
+    day = F.unix_seconds(F.col("time").cast("timestamp"))
+    said = df.withColumn("_md5", F.md5(F.concat_ws("|", *[x.cast("string") for x in (seed, F.col(key), day, F.lit(level), F.col("idx"))])))
+    u = lambda k: F.conv(F.substring("_md5", 6 * k + 1, 6), 16, 10).cast("double") / F.lit(16777216.0)
+    drawn = said.select("*", *[u(k).alias(f"_u{k}") for k in range(5)])
+    w = lambda k: F.col("_amplitude") * F.pow(F.col("_beta"), poisson_one(F.col(f"_u{k}")).cast("double"))
+    wet0, wet1 = F.col("_u2") < F.col("_wet"), F.col("_u3") < F.col("_wet")
     none = ~wet0 & ~wet1
     first = F.when(wet0 | (none & (F.col("_u4") < 0.5)), w(0)).otherwise(0.0)
     second = F.when(wet1 | (none & (F.col("_u4") >= 0.5)), w(1)).otherwise(0.0)
     halves = drawn.select("*", first.alias("_w0"), second.alias("_w1"))
     share = F.when(F.col("_w0") + F.col("_w1") > 0, F.col("_w0") / (F.col("_w0") + F.col("_w1"))).otherwise(0.5)
-    both = F.array(F.struct((F.col("idx") * 2).alias("idx"), (F.col("value") * share).alias("value")), F.struct((F.col("idx") * 2 + 1).alias("idx"), (F.col("value") * (1 - share)).alias("value")))
+    parts = halves.withColumn("_share", share)
+    both = F.array(
+        F.struct((F.col("idx") * 2).alias("idx"), (F.col("value") * F.col("_share")).alias("value")),
+        F.struct((F.col("idx") * 2 + 1).alias("idx"), (F.col("value") * (1 - F.col("_share"))).alias("value")),
+    )
     rest = [c for c in df.columns if c not in ("idx", "value")]
-    return halves.select(*rest, F.explode(both).alias("_h")).select(*rest, "_h.idx", "_h.value")
+    return parts.select(*rest, F.explode(both).alias("_h")).select(*rest, "_h.idx", "_h.value")
 
 
-def cascade(daily: DataFrame, key: str, value: str, parameters: CascadeParameters = DEFAULT, seed: int | Column = 0, levels: int = LEVELS) -> DataFrame:
+def cascade(daily: DataFrame, key: str, value: str, parameters: CascadeParameters | DataFrame = DEFAULT, seed: int | Column = 0, levels: int = LEVELS) -> DataFrame:
     """key, time (day), idx, value of the 2**levels parts of each positive day."""
-    now = daily.filter(F.col(value) > 0).select(*[c for c in daily.columns if c != value], F.lit(0).cast("long").alias("idx"), F.col(value).alias("value"))
+    wet = daily.filter(F.col(value) > 0).select(*[c for c in daily.columns if c != value], F.lit(0).cast("long").alias("idx"), F.col(value).alias("value"))
+    now = with_parameters(wet, key, parameters)
     for level in range(levels):
-        now = _split(now, key, level, parameters, seed if isinstance(seed, Column) else F.lit(seed))
-    return now
+        now = _split(now, key, level, seed if isinstance(seed, Column) else F.lit(seed))
+    return now.drop("_amplitude", "_beta", "_wet")
 
 
 def to_hours(parts: DataFrame, key: str, value: str) -> DataFrame:
@@ -146,7 +164,7 @@ def fit_parameters(moments: DataFrame, key: str) -> DataFrame:
     return moments.groupBy(key).applyInPandas(fit, f"{key} {dict(moments.dtypes)[key]}, amplitude double, beta double, tau0 double, fitted boolean")
 
 
-def hybrid(coarse: DataFrame, fine: DataFrame, key: str, value: str, parameters: CascadeParameters = DEFAULT, seed: int | Column = 0, offset_hours: int = 0, enforce_coarse_mass: bool = True, more: tuple[str, ...] = ()) -> DataFrame:
+def hybrid(coarse: DataFrame, fine: DataFrame, key: str, value: str, parameters: CascadeParameters | DataFrame = DEFAULT, seed: int | Column = 0, offset_hours: int = 0, enforce_coarse_mass: bool = True, more: tuple[str, ...] = ()) -> DataFrame:
     """Per period: by the fine pattern where it has rain, else by the cascade; dry coarse periods stay dry or keep the pattern.
 
     Only periods that need it go through the cascade.  ``more`` names further
@@ -165,22 +183,34 @@ def hybrid(coarse: DataFrame, fine: DataFrame, key: str, value: str, parameters:
     return met.withColumn(value, made).drop("_w", "_fine", "_sum", "_coarse", "_cascade", "_period")
 
 
-def disaggregate_precipitation(coarse: DataFrame, fine: DataFrame, key: str, value: str, method: str = "hybrid", parameters: CascadeParameters = DEFAULT, seed: int = 0, offset_hours: int = 0) -> DataFrame:
-    """method: proportional, molnar_burlando, olsson (an even-handed cascade, approximate) or hybrid."""
+def fitted(fine: DataFrame, key: str, value: str) -> DataFrame:
+    """Cascade parameters of each key, fitted to its fine series."""
+    return fit_parameters(moment_scaling(fine.withColumn(value, F.coalesce(F.col(value), F.lit(0.0))), key, value), key)
+
+
+def even_handed(parameters: CascadeParameters | DataFrame) -> CascadeParameters | DataFrame:
+    """The same chances of dry halves, with wet halves of equal weight."""
+    if isinstance(parameters, DataFrame):
+        return parameters.withColumns({"amplitude": F.lit(1.0), "beta": F.lit(1.0)})
+    return CascadeParameters(1.0, 1.0, parameters.tau0)
+
+
+def disaggregate_precipitation(coarse: DataFrame, fine: DataFrame, key: str, value: str, method: str = "hybrid", parameters: CascadeParameters | DataFrame | None = None, seed: int = 0, offset_hours: int = 0) -> DataFrame:
+    """method: proportional, molnar_burlando, olsson (an even-handed cascade, approximate) or hybrid; parameters are fitted to fine unless given."""
+    if method not in ("proportional", "molnar_burlando", "olsson", "hybrid"):
+        raise ValueError("method must be proportional, molnar_burlando, olsson or hybrid")
+    if method == "proportional":
+        weights = normalise(fine, [key], F.col(value), offset_hours=offset_hours).drop(value)
+        return conserve_sum(coarse, weights, [key], value, offset_hours=offset_hours)
+    parameters = fitted(fine, key, value) if parameters is None else parameters
     if method == "hybrid":
         return hybrid(coarse, fine, key, value, parameters, seed, offset_hours)
-    if method == "proportional":
-        from isohyet.operators.disaggregate import conserve_sum
-
-        return conserve_sum(coarse, normalise(fine, [key], F.col(value), offset_hours=offset_hours).drop(value), [key], value, offset_hours=offset_hours)
-    if method in ("molnar_burlando", "olsson"):
-        chosen = parameters if method == "molnar_burlando" else CascadeParameters(1.0, 0.999, parameters.tau0)
-        drawn = to_hours(cascade(coarse.select(key, "time", value), key, value, chosen, seed), key, value).drop("_period")
-        return fine.select(key, "time").join(drawn, [key, "time"], "left").na.fill({value: 0.0})
-    raise ValueError("method must be proportional, molnar_burlando, olsson or hybrid")
+    chosen = parameters if method == "molnar_burlando" else even_handed(parameters)
+    drawn = to_hours(cascade(coarse.select(key, "time", value), key, value, chosen, seed), key, value).drop("_period")
+    return fine.select(key, "time").join(drawn, [key, "time"], "left").na.fill({value: 0.0})
 
 
-def monte_carlo(coarse: DataFrame, fine: DataFrame, key: str, value: str, realizations: int = 500, wet_threshold: float = 0.1, parameters: CascadeParameters = DEFAULT, offset_hours: int = 0) -> tuple[DataFrame, DataFrame]:
+def monte_carlo(coarse: DataFrame, fine: DataFrame, key: str, value: str, realizations: int = 500, wet_threshold: float = 0.1, parameters: CascadeParameters | DataFrame = DEFAULT, offset_hours: int = 0) -> tuple[DataFrame, DataFrame]:
     """Hourly ensemble statistics, and daily peak and wet-hour statistics, of cascade days.
 
     Each realisation has a seed of its own; realisations come by exploding a
@@ -196,6 +226,10 @@ def monte_carlo(coarse: DataFrame, fine: DataFrame, key: str, value: str, realiz
     mean = F.avg("_v")
     hourly = full.groupBy(key, F.col("_period").alias("day"), "hour").agg(mean.alias("mean"), F.stddev_pop("_v").alias("std"), F.when(mean > 0, F.stddev_pop("_v") / mean).alias("cv"), points.alias("_q"))
     hourly = hourly.select(key, "day", "hour", "mean", "std", "cv", *[F.get("_q", F.lit(k)).alias(n) for k, n in enumerate(("q05", "q25", "q50", "q75", "q95"))])
-    runs = full.groupBy(key, F.col("_period").alias("day"), "realization").agg(F.max("_v").alias("peak"), F.max_by("hour", F.struct("_v", -F.col("hour"))).alias("peak_hour"), F.sum((F.col("_v") >= wet_threshold).cast("int")).alias("wet_hours"))
+    # Hours whose rain differs by rounding alone tie; the first of them is the peak.
+    even = F.round("_v", 9)
+    runs = full.groupBy(key, F.col("_period").alias("day"), "realization").agg(
+        F.max("_v").alias("peak"), F.max_by("hour", F.struct(even, -F.col("hour"))).alias("peak_hour"), F.sum((even >= wet_threshold).cast("int")).alias("wet_hours")
+    )
     daily = runs.groupBy(key, "day").agg(*[made.alias(f"{name}_{kind}") for name in ("peak", "peak_hour", "wet_hours") for kind, made in (("mean", F.avg(name)), ("std", F.stddev_pop(name)))])
     return hourly, daily

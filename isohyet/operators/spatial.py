@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isohyet.functions.cols import clip, ratio
@@ -110,24 +110,48 @@ def rectangle_coverage(overlaps: DataFrame, key: str) -> DataFrame:
     return overlaps.groupBy(key).agg(F.coalesce(ratio(F.sum("overlap_area"), F.first(whole)), F.lit(0.0)).alias("coverage"))
 
 
-def build_weights(overlaps: DataFrame, key: str, min_coverage: float = 0.99, on_low_coverage: str = "zero", normalize: bool = True) -> DataFrame:
+def build_weights(overlaps: DataFrame, key: str, min_coverage: float = 0.99, on_low_coverage: str = "zero", normalize: bool = True, valid: DataFrame | None = None) -> DataFrame:
     """key, lat_idx, lon_idx, weight, coverage; weights of a polygon sum to 1.
 
     Polygons covered less than min_coverage lose their weights ("zero"), keep
-    them ("keep") or stop the query ("error").
+    them ("keep") or stop the query ("error"); with "error" a polygon without any
+    cell cannot be told from one that is not there, so ask ``uncovered`` for those.
+    ``valid`` (lat_idx, lon_idx) names the cells that hold data: the others' weights
+    go after the weights were made to sum to 1.
     """
     if on_low_coverage not in ("zero", "keep", "error"):
         raise ValueError("on_low_coverage must be zero, keep or error")
-    joined = overlaps.join(rectangle_coverage(overlaps, key), key)
+    whole = (F.col("east") - F.col("west")) * (authalic(F.col("north")) - authalic(F.col("south")))
+    of = Window.partitionBy(key)
+    joined = overlaps.withColumns({"coverage": F.coalesce(ratio(F.sum("overlap_area").over(of), F.first(whole).over(of)), F.lit(0.0)), "_total": F.sum("overlap").over(of)})
     low = F.col("coverage") < min_coverage
     if on_low_coverage == "zero":
         joined = joined.filter(~low)
     elif on_low_coverage == "error":
         joined = joined.withColumn("coverage", F.when(low, F.raise_error(F.concat(F.lit("low coverage of "), F.col(key).cast("string")))).otherwise(F.col("coverage")))
-    if not normalize:
-        return joined.select(key, "lat_idx", "lon_idx", F.col("overlap").alias("weight"), "coverage")
-    total = joined.groupBy(key).agg(F.sum("overlap").alias("_total"))
-    return joined.join(total, key).select(key, "lat_idx", "lon_idx", ratio("overlap", "_total").alias("weight"), "coverage")
+    weight = ratio("overlap", "_total") if normalize else F.col("overlap")
+    made = joined.select(key, "lat_idx", "lon_idx", weight.alias("weight"), "coverage")
+    return made.join(valid.select("lat_idx", "lon_idx").distinct(), ["lat_idx", "lon_idx"], "left_semi").select(*made.columns) if valid is not None else made
+
+
+def uncovered(rectangles: DataFrame, weights: DataFrame, key: str) -> DataFrame:
+    """Polygons without any weight."""
+    return rectangles.join(weights.select(key).distinct(), key, "left_anti")
+
+
+def polygon_weights(rectangles: DataFrame, grid: Grid, key: str, name: object, min_coverage: float = 0.99) -> DataFrame:
+    """The weights of one polygon."""
+    return build_weights(rectangle_overlaps(rectangles.filter(F.col(key) == F.lit(name)), grid), key, min_coverage)
+
+
+def contained(box: BoundingBox) -> Column:
+    """Whether a row's rectangle (west, south, east, north) lies in the box, edges included."""
+    return (F.col("west") >= box.west) & (F.col("south") >= box.south) & (F.col("east") <= box.east) & (F.col("north") <= box.north)
+
+
+def region_fractions(overlaps: DataFrame, key: str) -> DataFrame:
+    """Shares of each region's own area by cell, which sum to 1 (not shares of cells)."""
+    return overlaps.withColumn("fraction", ratio("overlap_area", F.sum("overlap_area").over(Window.partitionBy(key)))).select(key, "lat_idx", "lon_idx", "fraction")
 
 
 def dissolve(overlaps: DataFrame, key: str) -> DataFrame:
@@ -136,15 +160,15 @@ def dissolve(overlaps: DataFrame, key: str) -> DataFrame:
     return added.select(key, "lat_idx", "lon_idx", F.least("_sum", F.lit(1.0)).alias("overlap"), (F.col("_sum") > 1 + 1e-9).alias("capped"))
 
 
-def zonal_sum(cells: DataFrame, weights: DataFrame, key: str, values: list[str], time: str = "time", renormalize: bool = False, n_weights: int | None = None) -> DataFrame:
-    """Weighted sums by key and time; cells without a value add 0, or, with renormalize, leave the mean.
-
-    Weights are broadcast up to a checked number of rows; beyond it the join is
-    shuffled by cell.
-    """
+def with_weights(cells: DataFrame, weights: DataFrame, n_weights: int | None = None) -> DataFrame:
+    """Cells beside the weights of every polygon that they touch; weights are broadcast up to a checked number of rows."""
     n = weights.count() if n_weights is None else n_weights
-    side = F.broadcast(weights) if n <= BROADCAST_WEIGHTS else weights
-    joined = cells.join(side, ["lat_idx", "lon_idx"])
+    return cells.join(F.broadcast(weights) if n <= BROADCAST_WEIGHTS else weights, ["lat_idx", "lon_idx"])
+
+
+def zonal_sum(cells: DataFrame, weights: DataFrame, key: str, values: list[str], time: str = "time", renormalize: bool = False, n_weights: int | None = None) -> DataFrame:
+    """Weighted sums by key and time; cells without a value add 0, or, with renormalize, leave the mean."""
+    joined = with_weights(cells, weights, n_weights)
     made = []
     for v in values:
         total = F.sum(F.col(v) * F.col("weight"))
@@ -219,10 +243,44 @@ def bilinear_weights(targets: DataFrame, grid: Grid) -> DataFrame:
 
 def lambert_forward(lat: Column, lon: Column, lat_1: float = 50.0, lat_2: float = 50.0, lat_0: float = 50.0, lon_0: float = -107.0, radius: float = 6_371_229.0) -> tuple[Column, Column]:
     """x and y of the spherical Lambert conformal conic projection."""
+    n, f, origin = _lambert(lat_1, lat_2, lat_0, radius)
+    rho = f / F.pow(F.tan(math.pi / 4 + F.radians(lat) / 2), n)
+    theta = n * F.radians(wrap_longitude(lon - lon_0))
+    return rho * F.sin(theta), origin - rho * F.cos(theta)
+
+
+def regrid(cells: DataFrame, targets: DataFrame, grid: Grid, values: list[str], time: str = "time") -> DataFrame:
+    """Bilinear values at targets (target_id, lat, lon) from a regular grid; a target that lacks a source value has none."""
+    joined = with_weights(cells, bilinear_weights(targets, grid))
+    made = [F.when(F.abs(F.sum(F.when(F.col(v).isNotNull(), F.col("weight"))) - 1) < 1e-9, F.sum(F.col(v) * F.col("weight"))).alias(v) for v in values]
+    return joined.groupBy("target_id", time).agg(*made)
+
+
+def on_conformal(targets: DataFrame, **projection: float) -> DataFrame:
+    """Targets (target_id, lat, lon) with the projected y and x in place of lat and lon, for weights on a conformal grid."""
+    x, y = lambert_forward(F.col("lat"), F.col("lon"), **projection)
+    return targets.select("target_id", y.alias("lat"), x.alias("lon"))
+
+
+def clip_conformal(cells: DataFrame, box: BoundingBox, **projection: float) -> DataFrame:
+    """Cells (x, y in metres) in the projected rectangle that holds the box's corners and edge middles."""
+    lats, lons = (box.south, (box.south + box.north) / 2, box.north), (box.west, (box.west + box.east) / 2, box.east)
+    xs, ys = zip(*[lambert_point(a, b, **projection) for a in lats for b in lons], strict=True)
+    return cells.filter(F.col("x").between(min(xs), max(xs)) & F.col("y").between(min(ys), max(ys)))
+
+
+def lambert_point(lat: float, lon: float, lat_1: float = 50.0, lat_2: float = 50.0, lat_0: float = 50.0, lon_0: float = -107.0, radius: float = 6_371_229.0) -> tuple[float, float]:
+    """``lambert_forward`` of one point."""
+    n, f, origin = _lambert(lat_1, lat_2, lat_0, radius)
+    rho = f / math.tan(math.pi / 4 + math.radians(lat) / 2) ** n
+    theta = n * math.radians((lon - lon_0 + 180) % 360 - 180)
+    return rho * math.sin(theta), origin - rho * math.cos(theta)
+
+
+def _lambert(lat_1: float, lat_2: float, lat_0: float, radius: float) -> tuple[float, float, float]:
+    """Cone constant, scaled radius and the origin's distance from the pole."""
     p1, p2, p0 = (math.radians(v) for v in (lat_1, lat_2, lat_0))
     half = lambda p: math.tan(math.pi / 4 + p / 2)
     n = math.sin(p1) if abs(p1 - p2) < 1e-12 else math.log(math.cos(p1) / math.cos(p2)) / math.log(half(p2) / half(p1))
-    f = math.cos(p1) * half(p1) ** n / n
-    rho = radius * f / F.pow(F.tan(math.pi / 4 + F.radians(lat) / 2), n)
-    theta = n * F.radians(wrap_longitude(lon - lon_0))
-    return rho * F.sin(theta), radius * f / half(p0) ** n - rho * F.cos(theta)
+    f = radius * math.cos(p1) * half(p1) ** n / n
+    return n, f, f / half(p0) ** n

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +40,20 @@ def compact(spark: SparkSession, source: str, target: str, time: str = "time", r
 
 def append_new(spark: SparkSession, batch: DataFrame, target: str, keys: list[str]) -> None:
     """Appends the rows of a batch whose keys the store lacks."""
+    have = existing(spark, target)
+    if have is not None:
+        batch = batch.join(have.select(*keys).distinct(), keys, "left_anti")
+    batch.write.mode("append").parquet(target)
+
+
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at a path, or None where there is none yet."""
     try:
-        have = spark.read.parquet(target).select(*keys).distinct()
-        batch = batch.join(have, keys, "left_anti")
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
-    batch.write.mode("append").parquet(target)
+        return None
 
 
 def update(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
@@ -54,11 +64,73 @@ def update(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def audit(df: DataFrame, unit: Column, least_steps: int = 24) -> DataFrame:
-    """Units (files, days) with too few steps or with other cells than the unit that has the most."""
-    cells = F.sort_array(F.collect_set(F.struct("lat_idx", "lon_idx")))
-    seen = df.groupBy(unit.alias("unit")).agg(F.count_distinct("time").alias("steps"), F.hash(cells).alias("_shape"), F.size(cells).alias("cells"))
-    best = seen.agg(F.max_by("_shape", F.struct("cells", F.col("unit").cast("string"))).alias("_best"))
-    return seen.join(F.broadcast(best), how="cross").select("unit", "steps", "cells", ((F.col("steps") < least_steps) | (F.col("_shape") != F.col("_best"))).alias("bad"))
+    """Units (files, days) with too few steps or with other cells than the unit that has the most (the last of these by name).
+
+    Cell sets are equal if their sizes and two sums of 64-bit hashes are, which
+    needs no list of cells.
+    """
+    cell = lambda k: F.xxhash64("lat_idx", "lon_idx", F.lit(k)).cast("decimal(38,0)")
+    steps = df.groupBy(unit.alias("unit")).agg(F.count_distinct("time").alias("steps"))
+    cells = df.select(unit.alias("unit"), "lat_idx", "lon_idx").distinct()
+    shapes = cells.groupBy("unit").agg(F.count(F.lit(1)).cast("int").alias("cells"), F.sum(cell(0)).alias("_a"), F.sum(cell(1)).alias("_b"))
+    seen = steps.join(shapes, "unit")
+    best = seen.agg(F.max_by(F.struct("cells", "_a", "_b"), F.struct("cells", F.col("unit").cast("string"))).alias("best")).first()["best"]
+    same = F.lit(True) if best is None else (F.col("cells") == best["cells"]) & (F.col("_a") == F.lit(best["_a"])) & (F.col("_b") == F.lit(best["_b"]))
+    return seen.select("unit", "steps", "cells", ((F.col("steps") < least_steps) | ~same).alias("bad"))
+
+
+def changed_by_day(spark: SparkSession, path: str) -> DataFrame:
+    """Files below a path by the day of their last change: day, files (their number), paths (sorted)."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", F.to_date("modificationTime").alias("day"))
+    return files.groupBy("day").agg(F.count(F.lit(1)).alias("files"), F.array_sort(F.collect_list("path")).alias("paths"))
+
+
+def file_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of every Parquet file below a path; only footers and the metadata column are read."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(path).select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def save_weights(weights: DataFrame, path: str, key: str) -> None:
+    """A weight table, the cells of a polygon together."""
+    weights.repartition(key).sortWithinPartitions(key, "lat_idx", "lon_idx").write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+# The read-through store -----------------------------------------------------------------------------
+
+
+def lacking(wanted: DataFrame, have: DataFrame) -> DataFrame:
+    """The (date, variable) pairs of wanted that are not among those of have."""
+    return wanted.join(have.select("date", "variable").distinct(), ["date", "variable"], "left_anti")
+
+
+def missing_units(spark: SparkSession, manifest: str, wanted: DataFrame) -> DataFrame:
+    """The (date, variable) pairs of wanted that a store's manifest lacks."""
+    have = existing(spark, manifest)
+    return wanted if have is None else lacking(wanted, have)
+
+
+def read_through(spark: SparkSession, path: str, wanted: DataFrame, load: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of the wanted (date, variable) pairs; what the store lacks is loaded once and kept.
+
+    The store holds tidy rows (date, variable, ...) in folders of a date, and a
+    manifest of the pairs that were loaded, so that a pair without rows is not
+    loaded again.  ``load`` makes the rows of the missing pairs.  Rows are written
+    before the manifest: a run that dies between loads its pairs again, and those
+    whose rows are there already are not written twice.
+    """
+    rows, manifest = f"{path}/rows", f"{path}/manifest"
+    absent = missing_units(spark, manifest, wanted.select("date", "variable").distinct())
+    if not absent.isEmpty():
+        loaded = load(absent).join(absent, ["date", "variable"], "left_semi")
+        have = existing(spark, rows)
+        if have is not None:
+            loaded = loaded.join(have.select("date", "variable").distinct(), ["date", "variable"], "left_anti")
+        loaded.write.mode("append").partitionBy("date").parquet(rows)
+        absent.write.mode("append").parquet(manifest)
+    have = existing(spark, rows)
+    if have is None:
+        return load(wanted.limit(0))
+    return have.withColumn("date", F.col("date").cast("date")).join(wanted.select("date", "variable").distinct(), ["date", "variable"], "left_semi")
 
 
 def dsn(kind: Column, zone: Column) -> Column:

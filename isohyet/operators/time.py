@@ -6,9 +6,11 @@ with the greatest label at or before a time wins even if its value is missing.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from isohyet.functions.cols import ratio
+
 DAY = "INTERVAL '1' DAY"
 
 
@@ -23,12 +25,24 @@ def period_start(time: Column, unit: str = "day", offset_hours: int = 0) -> Colu
     return label + hours(offset_hours) if offset_hours else label
 
 
+#: Steps that one row explodes to.
+STEPS = 10_000
+
+
 def spine(df: DataFrame, keys: list[str], time: str = "time", step: str = "INTERVAL '1' HOUR", until: str | None = None) -> DataFrame:
-    """Every step from the least to the greatest time of all rows, for each key."""
-    ends = df.agg(F.min(time).alias("_a"), F.max(until or time).alias("_b"))
-    steps = ends.select(F.explode(F.sequence("_a", "_b", F.expr(step))).alias(time))
-    named = df.select(*keys).distinct()
-    return named.join(F.broadcast(steps), how="cross") if keys else steps
+    """Every step from the least to the greatest time of all rows, for each key; runs of steps are dealt out before they are made."""
+    ends = df.agg(F.min(time).alias("a"), F.max(until or time).alias("b")).first()
+    named = df.select(*keys).distinct() if keys else df.sparkSession.range(1).drop("id")
+    if ends["a"] is None:
+        return named.withColumn(time, F.lit(None).cast("timestamp_ntz")).limit(0)
+    seconds = df.sparkSession.sql(f"SELECT unix_seconds(TIMESTAMP'1970-01-01 00:00:00+00:00' + {step}) AS s").first()["s"]
+    whole = int((ends["b"] - ends["a"]).total_seconds()) // seconds
+    second = lambda n: F.lit(ends["a"]).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)"))
+    runs = named.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(whole // STEPS).cast("long"))))
+    if whole >= STEPS:
+        runs = runs.repartition(*keys, "_run")
+    steps = runs.withColumn("_n", F.explode(F.sequence(F.col("_run") * STEPS, F.least(F.col("_run") * STEPS + (STEPS - 1), F.lit(whole).cast("long")))))
+    return steps.select(*keys, second(F.col("_n") * seconds).alias(time))
 
 
 def resample(df: DataFrame, keys: list[str], aggregates: list[Column], unit: str = "day", offset_hours: int = 0, time: str = "time") -> DataFrame:
@@ -41,28 +55,62 @@ def complete(df: DataFrame, keys: list[str], fill: dict[str, float], time: str =
     return full.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
 
 
-def asof(fine: DataFrame, coarse: DataFrame, keys: list[str], values: list[str], time: str = "time", label: str | None = None) -> DataFrame:
-    """Backward as-of join by label, without tolerance, as one pass over the union of both sides."""
+#: Days of a bucket of the as-of joins.
+BUCKET_DAYS = 32
+
+
+def _bucket(time: Column) -> Column:
+    return F.floor(F.unix_seconds(time.cast("timestamp")) / (86_400 * BUCKET_DAYS))
+
+
+def _both(fine: DataFrame, coarse: DataFrame, keys: list[str], values: list[str], time: str) -> tuple[DataFrame, DataFrame]:
+    """The union of both sides by time bucket, with _told (label and values) in the coarse rows; and, by key and bucket, the labels _carry before and _ahead after it.
+
+    A key of any length is dealt over its buckets; between them only the edges'
+    labels are carried, a row for each bucket.
+    """
     told = F.struct(F.col(time).alias("_label"), *values)
-    mixed = fine.withColumns({"_told": F.lit(None).cast(coarse.select(told.alias("x")).schema["x"].dataType), "_fine": F.lit(1)}).unionByName(
+    kind = coarse.select(told.alias("x")).schema["x"].dataType
+    rows = fine.withColumns({"_told": F.lit(None).cast(kind), "_fine": F.lit(1)}).unionByName(
         coarse.select(*keys, time, told.alias("_told"), F.lit(0).alias("_fine")), allowMissingColumns=True
     )
-    order = Window.partitionBy(*keys).orderBy(time, "_fine").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = mixed.withColumn("_got", F.last("_told", ignorenulls=True).over(order)).filter("_fine = 1")
+    rows = rows.withColumn("_at", _bucket(F.col(time)))
+    label = F.when(F.col("_fine") == 0, F.col(time))
+    edges = rows.groupBy(*keys, "_at").agg(F.max_by("_told", label).alias("_last"), F.min_by("_told", label).alias("_first"))
+    held = Window.partitionBy(*keys).orderBy("_at")
+    before, after = held.rowsBetween(Window.unboundedPreceding, -1), held.rowsBetween(1, Window.unboundedFollowing)
+    carry = F.last("_last", ignorenulls=True).over(before).alias("_carry")
+    return rows, edges.select(*keys, "_at", carry, F.first("_first", ignorenulls=True).over(after).alias("_ahead"))
+
+
+def asof(fine: DataFrame, coarse: DataFrame, keys: list[str], values: list[str], time: str = "time", label: str | None = None) -> DataFrame:
+    """Backward as-of join by label, without tolerance, over the union of both sides in time buckets."""
+    rows, carried = _both(fine, coarse, keys, values, time)
+    order = Window.partitionBy(*keys, "_at").orderBy(time, "_fine").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = rows.join(carried, [*keys, "_at"]).withColumn("_got", F.coalesce(F.last("_told", ignorenulls=True).over(order), "_carry")).filter("_fine = 1")
     made = found.withColumns({v: F.col(f"_got.{v}") for v in values})
-    return (made.withColumn(label, F.col("_got._label")) if label else made).drop("_told", "_fine", "_got")
+    return (made.withColumn(label, F.col("_got._label")) if label else made).drop("_told", "_fine", "_got", "_at", "_carry", "_ahead")
+
+
+def asof_forward(fine: DataFrame, coarse: DataFrame, keys: list[str], values: list[str], time: str = "time") -> DataFrame:
+    """As-of join to the least label at or after a time (backward fill)."""
+    rows, carried = _both(fine, coarse, keys, values, time)
+    order = Window.partitionBy(*keys, "_at").orderBy(time, F.desc("_fine")).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    found = rows.join(carried, [*keys, "_at"]).withColumn("_got", F.coalesce(F.first("_told", ignorenulls=True).over(order), "_ahead")).filter("_fine = 1")
+    return found.withColumns({v: F.col(f"_got.{v}") for v in values}).drop("_told", "_fine", "_got", "_at", "_carry", "_ahead")
 
 
 def asof_nearest(fine: DataFrame, coarse: DataFrame, keys: list[str], value: str, time: str = "time") -> DataFrame:
     """The value of the nearest label; the earlier one if both are as far."""
-    mixed = fine.withColumns({"_told": F.lit(None).cast(f"struct<t:timestamp_ntz,v:{dict(coarse.dtypes)[value]}>"), "_fine": F.lit(1)}).unionByName(
-        coarse.select(*keys, time, F.struct(F.col(time).alias("t"), F.col(value).alias("v")).alias("_told"), F.lit(0).alias("_fine")), allowMissingColumns=True
-    )
-    back = Window.partitionBy(*keys).orderBy(time, "_fine").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = Window.partitionBy(*keys).orderBy(time, F.desc("_fine")).rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    found = mixed.withColumns({"_p": F.last("_told", ignorenulls=True).over(back), "_n": F.first("_told", ignorenulls=True).over(ahead)}).filter("_fine = 1")
-    earlier = F.col("_n").isNull() | (F.col("_p").isNotNull() & ((F.col(time) - F.col("_p.t")) <= (F.col("_n.t") - F.col(time))))
-    return found.withColumn(value, F.when(earlier, F.col("_p.v")).otherwise(F.col("_n.v"))).drop("_told", "_fine", "_p", "_n")
+    rows, carried = _both(fine, coarse, keys, [value], time)
+    back = Window.partitionBy(*keys, "_at").orderBy(time, "_fine").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = Window.partitionBy(*keys, "_at").orderBy(time, F.desc("_fine")).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    met = rows.join(carried, [*keys, "_at"])
+    found = met.withColumns({
+        "_p": F.coalesce(F.last("_told", ignorenulls=True).over(back), "_carry"), "_n": F.coalesce(F.first("_told", ignorenulls=True).over(ahead), "_ahead"),
+    }).filter("_fine = 1")
+    earlier = F.col("_n").isNull() | (F.col("_p").isNotNull() & ((F.col(time) - F.col("_p._label")) <= (F.col("_n._label") - F.col(time))))
+    return found.withColumn(value, F.when(earlier, F.col(f"_p.{value}")).otherwise(F.col(f"_n.{value}"))).drop("_told", "_fine", "_p", "_n", "_at", "_carry", "_ahead")
 
 
 def upsample(df: DataFrame, keys: list[str], period_hours: int = 24, time: str = "time") -> DataFrame:
@@ -76,25 +124,68 @@ def shift_values(df: DataFrame, keys: list[str], value: str, steps: int, time: s
 
 
 def gaps(df: DataFrame, keys: list[str], time: str = "time") -> DataFrame:
-    """Largest distance of neighbouring times in hours, per key."""
-    order = Window.partitionBy(*keys).orderBy(time)
-    step = (F.unix_micros(F.col(time).cast("timestamp")) - F.unix_micros(F.lag(time).over(order).cast("timestamp"))) / 3.6e9
-    return df.select(*keys, time).distinct().withColumn("_gap", step).groupBy(*keys).agg(F.max("_gap").alias("max_gap_hours"))
+    """Largest distance of neighbouring times in hours, per key; within time buckets first, then between their edges."""
+    micros = lambda x: F.unix_micros(F.col(x).cast("timestamp"))
+    times = df.select(*keys, time).distinct().withColumn("_at", _bucket(F.col(time)))
+    step = micros(time) - F.lag(micros(time)).over(Window.partitionBy(*keys, "_at").orderBy(time))
+    inner = times.withColumn("_gap", step).groupBy(*keys, "_at").agg(F.max("_gap").alias("_gap"), F.min(micros(time)).alias("_a"), F.max(micros(time)).alias("_b"))
+    between = F.col("_a") - F.lag("_b").over(Window.partitionBy(*keys).orderBy("_at"))
+    return inner.withColumn("_edge", between).groupBy(*keys).agg((F.greatest(F.max("_gap"), F.max("_edge")) / 3.6e9).alias("max_gap_hours"))
 
 
 def infer_step_seconds(df: DataFrame, time: str = "time", fallback: int = 86_400) -> int:
-    """The one distance between neighbouring times; a single time gives the fallback, irregular times a ValueError."""
-    times = df.select(time).distinct()
-    step = F.unix_seconds(F.col(time).cast("timestamp")) - F.unix_seconds(F.lag(time).over(Window.orderBy(time)).cast("timestamp"))
-    found = times.select(step.alias("s")).filter("s is not null").agg(F.min("s").alias("a"), F.max("s").alias("b")).first()
-    if found["a"] is None:
+    """The one distance between neighbouring times; a single time gives the fallback, irregular times a ValueError.
+
+    n distinct times that are all multiples of (last - first) / (n - 1) after the
+    first are every one of them, so no order of all times is needed.
+    """
+    seconds = df.select(F.unix_seconds(F.col(time).cast("timestamp")).alias("s")).dropna().distinct()
+    ends = seconds.agg(F.count("s").alias("n"), F.min("s").alias("a"), F.max("s").alias("b")).first()
+    if ends["n"] < 2:
         return fallback
-    if found["a"] != found["b"]:
-        raise ValueError(f"times are irregular: steps of {found['a']} to {found['b']} seconds")
-    return int(found["a"])
+    step, rest = divmod(ends["b"] - ends["a"], ends["n"] - 1)
+    if rest or seconds.filter((F.col("s") - ends["a"]) % step != 0).count():
+        raise ValueError(f"times are irregular: {ends['n']} of them in {ends['b'] - ends['a']} seconds")
+    return int(step)
 
 
 def missing_labels(have: DataFrame, start: str, end: str, column: str = "date") -> DataFrame:
     """The days from start to end that ``have`` lacks."""
     expected = have.sparkSession.sql(f"SELECT explode(sequence(DATE'{start}', DATE'{end}')) AS {column}")
     return expected.join(have.select(column).distinct(), column, "left_anti")
+
+
+def between(df: DataFrame, start: str, end: str, time: str = "time") -> DataFrame:
+    """Rows of a label range, both ends included."""
+    return df.filter(F.col(time).between(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz")))
+
+
+def days(spark: SparkSession, start: str, end: str, column: str = "date") -> DataFrame:
+    """The days from start up to, but without, end."""
+    return spark.sql(f"SELECT explode(sequence(DATE'{start}', DATE'{end}' - INTERVAL '1' DAY)) AS {column}")
+
+
+def count_per_period(df: DataFrame, keys: list[str], name: str = "n", unit: str = "day", offset_hours: int = 0, time: str = "time") -> DataFrame:
+    """Every row with the number of rows in its period."""
+    placed = df.withColumn("_period", period_start(F.col(time), unit, offset_hours))
+    return placed.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys, "_period"))).drop("_period")
+
+
+def merge(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Full join of two tables of variables on their coordinates."""
+    return left.join(right, keys, "full")
+
+
+def in_index(df: DataFrame, index: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose coordinates are in the index."""
+    return df.join(index.select(*keys), keys, "left_semi")
+
+
+def long_concat(df: DataFrame, keys: list[str], values: list[str], name: str = "variable", value: str = "value") -> DataFrame:
+    """One row per key and variable."""
+    return df.unpivot(keys, values, name, value)
+
+
+def compare(df: DataFrame, target: str, calculated: str) -> DataFrame:
+    """ratio and residual of a target against a calculated column."""
+    return df.withColumns({"ratio": ratio(target, calculated), "residual": F.col(target) - F.col(calculated)})

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.functions import evaporation as ev
@@ -17,24 +18,10 @@ from isohyet.operators import spatial as sp
 from isohyet.operators import store
 from isohyet.operators import time as ti
 from isohyet.plans import recipes
-from isohyet.plans.views import GRID, ctes, fine, view
+from isohyet.plans.registry import ORACLE, QUERIES, Query, query
+from isohyet.plans.views import GRID, RAIN_GRID, ctes, fine, view
 from isohyet.sources import canonical, stations
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def held(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLE[name] = sql
-        return f
-
-    return held
-
-
 # --- formulas by row -------------------------------------------------------------------------
 
 TC = "(tair_k - 273.15e0)"
@@ -83,6 +70,14 @@ SUN_TRUE = f"degrees(asin(least(greatest(sin(radians(lat)) * sin({SUN_DECL}) + c
 SUN = f"(SELECT t + CASE WHEN t > -1e0 THEN 1.02e0 / tan(radians(t + 10.3e0 / (t + 5.11e0))) / 60e0 ELSE 0e0 END FROM (SELECT {SUN_TRUE} AS t))"
 
 
+def ineichen(sun: str, turbidity: str = "3e0", altitude: str = "0e0") -> str:
+    up = f"greatest(sin(radians({sun})), 0e0)"
+    mass = f"(1e0 / ({up} + 0.50572e0 * pow(greatest({sun}, 0e0) + 6.07995e0, -1.6364e0)))"
+    loss = f"((3.92e-5 * {altitude} + 0.0387e0) * {mass} * (exp(-({altitude}) / 8000) + exp(-({altitude}) / 1250) * ({turbidity} - 1)))"
+    outside = "(1367e0 * (1 + 0.033e0 * cos(2 * pi() / 365 * CAST(dayofyear(time) AS DOUBLE))))"
+    return f"(CASE WHEN {sun} > 0 THEN (5.09e-5 * {altitude} + 0.868e0) * {outside} * {up} * exp(-{loss}) * exp(0.01e0 * pow({mass}, 1.8e0)) WHEN {sun} IS NOT NULL THEN 0e0 END)"
+
+
 def lamoreux(f: str) -> str:
     return f"(6413252e0 * exp(-7482.6e0 / ({f} + 398.36e0)))"
 
@@ -138,9 +133,9 @@ ROWS: dict[str, tuple[str, Callable[[], dict[str, Column]], dict[str, str]]] = {
     "extra_radiation": ("daily_met", lambda: {"ra": rad.extra_radiation(F.col("date"), "lat")}, {"ra": extra("date")}),
     "solar_elevation": ("cells", lambda: {"elevation": sun()}, {"elevation": SUN}),
     "cloud_factor_fao56": ("cells", lambda: {"factor": rad.cloud_factor_fao56("swdown", clear())}, {"factor": f"1.35e0 * least(greatest(CASE WHEN {GEOMETRIC} > 0 THEN swdown / nullif({GEOMETRIC}, 0) ELSE 1e0 END, 0.25e0), 1e0) - 0.35e0"}),
-    "cloud_cover_davis": ("cells", lambda: {"cover": rad.cloud_cover_davis("swdown", clear(), sun())}, {"cover": f"CASE WHEN {SUN} >= 10 THEN {clipped(f'sqrt((1 - {clipped(f"swdown / nullif({GEOMETRIC}, 0)", "0e0", "1e0")}) / 0.65e0)', '0e0', '1e0')} END"}),
-    "cloud_cover_thompson": ("cells", lambda: {"cover": rad.cloud_cover_thompson("swdown", clear(), sun())}, {"cover": f"CASE WHEN {SUN} >= 10 THEN {clipped(f'swdown / nullif({GEOMETRIC}, 0)', '0e0', '1e0')} END"}),
-    "cloud_cover_linear": ("cells", lambda: {"cover": rad.cloud_cover_linear("swdown", clear(), sun())}, {"cover": f"CASE WHEN {SUN} >= 10 THEN {clipped(f'1 - swdown / nullif({GEOMETRIC}, 0)', '0e0', '1e0')} END"}),
+    "cloud_cover_davis": ("sky", lambda: {"cover": rad.cloud_cover_davis("swdown", "clear", "sun")}, {"cover": f"CASE WHEN {SUN} >= 10 THEN {clipped(f'sqrt((1 - {clipped(f"swdown / nullif({GEOMETRIC}, 0)", "0e0", "1e0")}) / 0.65e0)', '0e0', '1e0')} END"}),
+    "cloud_cover_thompson": ("sky", lambda: {"cover": rad.cloud_cover_thompson("swdown", "clear", "sun")}, {"cover": f"CASE WHEN {SUN} >= 10 THEN {clipped(f'swdown / nullif({GEOMETRIC}, 0)', '0e0', '1e0')} END"}),
+    "cloud_cover_linear": ("sky", lambda: {"cover": rad.cloud_cover_linear("swdown", "clear", "sun")}, {"cover": f"CASE WHEN {SUN} >= 10 THEN {clipped(f'1 - swdown / nullif({GEOMETRIC}, 0)', '0e0', '1e0')} END"}),
     "sky_cover_thompson": ("cells", lambda: {"sky": rad.sky_cover_thompson(clear(), F.col("qair") * 50)}, {"sky": f"{GEOMETRIC} * (0.3e0 + (1 - 0.3e0) * pow(1 - least(greatest(qair * 50, 0e0), 1e0), 0.61e0))"}),
     "actual_radiation_hww": ("daily_met", lambda: {"actual": rad.actual_radiation_hww(rad.clearsky_hww(F.col("date"), "lat"), F.col("wind_ms") * 30)}, {"actual": f"{hww('date')} * (0.22e0 + 0.78e0 * least(greatest(wind_ms * 30, 0e0), 100e0) / 100)"}),
     "pet_knb": ("daily_met", lambda: {"pet": ev.penman_knb("temp_mean_c", "temp_dew_c", "wind_ms", "solar_mj")}, {"pet": KNB}),
@@ -153,17 +148,36 @@ ROWS: dict[str, tuple[str, Callable[[], dict[str, Column]], dict[str, str]]] = {
 
 
 def _rows(source: str, made: Callable[[], dict[str, Column]]) -> Query:
-    return lambda spark, sf_dir: view(spark, sf_dir, source).select("l_orderkey", "l_linenumber", *[F.round(v, 6).alias(k) for k, v in made().items()])
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        rows = view(spark, sf_dir, "cells" if source == "sky" else source)
+        rows = rows.withColumns({"sun": sun(), "clear": clear()}) if source == "sky" else rows
+        return rows.select("l_orderkey", "l_linenumber", *[F.round(v, 6).alias(k) for k, v in made().items()])
+
+    return run
 
 
 for _name, (_source, _made, _sql) in ROWS.items():
     QUERIES[_name] = _rows(_source, _made)
-    ORACLE[_name] = f"{ctes(_source)} SELECT l_orderkey, l_linenumber, {', '.join(f'round({v}, 6) AS {k}' for k, v in _sql.items())} FROM {_source}"
+    _table = "cells" if _source == "sky" else _source
+    ORACLE[_name] = f"{ctes(_table)} SELECT l_orderkey, l_linenumber, {', '.join(f'round({v}, 6) AS {k}' for k, v in _sql.items())} FROM {_table}"
+
+
+@query("clearsky_ineichen", f"{ctes('cells')}, e AS (SELECT *, {SUN} AS sun, 2e0 + qair * 1e1 AS haze, lat * 1e1 AS high FROM cells) SELECT l_orderkey, l_linenumber, round({ineichen('sun')}, 6) AS clear, round({ineichen('sun', 'haze', 'high')}, 6) AS hazy FROM e")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    up = view(spark, sf_dir, "cells").withColumn("sun", sun())
+    hazy = rad.clearsky_ineichen("sun", F.col("time"), 2.0 + F.col("qair") * 10.0, F.col("lat") * 10.0)
+    return up.select("l_orderkey", "l_linenumber", F.round(rad.clearsky_ineichen("sun", F.col("time")), 6).alias("clear"), F.round(hazy, 6).alias("hazy"))
+
+
+@query("extra_radiation_hourly", f"{ctes('cells')}, e AS (SELECT *, {SUN} AS sun, 2 * pi() / 365 * CAST(dayofyear(time) - 1 AS DOUBLE) AS g FROM cells), r AS (SELECT lat_idx, lon_idx, time, 1366.1e0 * (1.00011e0 + 0.034221e0 * cos(g) + 0.00128e0 * sin(g) + 0.000719e0 * cos(2 * g) + 0.000077e0 * sin(2 * g)) * greatest(sin(radians(sun)), 0e0) AS w FROM e) SELECT lat_idx, lon_idx, CAST(date_trunc('day', time) AS TIMESTAMP) AS time, round(sum(w * 0.0036e0), 6) AS extra_mj FROM r GROUP BY 1, 2, 3")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    up = view(spark, sf_dir, "cells").withColumn("sun", sun()).withColumn("w", rad.extra_radiation_hourly(F.col("time"), "sun"))
+    return ti.resample(up, ["lat_idx", "lon_idx"], [F.round(F.sum(F.col("w") * 0.0036), 6).alias("extra_mj")])
 
 
-@query("clearsky_ineichen")
+@query("daytime_mask", f"{ctes('cells')} SELECT l_orderkey, l_linenumber, {SUN} >= 10 AS daytime FROM cells")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "cells").select("l_orderkey", "l_linenumber", F.round(rad.clearsky_ineichen(sun(), F.col("time")), 6).alias("clear"))
+    return view(spark, sf_dir, "cells").select("l_orderkey", "l_linenumber", rad.is_daytime(sun()).alias("daytime"))
 
 
 # --- filters and grids -------------------------------------------------------------------------
@@ -183,8 +197,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bbox_contains", f"{ctes('polygons')} SELECT polygon_index, west >= -95.5e0 AND south >= 44.2e0 AND east <= -93.5e0 AND north <= 45.8e0 AS inside FROM polygons")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    inside = (F.col("west") >= -95.5) & (F.col("south") >= 44.2) & (F.col("east") <= -93.5) & (F.col("north") <= 45.8)
-    return view(spark, sf_dir, "polygons").select("polygon_index", inside.alias("inside"))
+    return view(spark, sf_dir, "polygons").select("polygon_index", sp.contained(sp.BoundingBox(-95.5, 44.2, -93.5, 45.8)).alias("inside"))
 
 
 def _grid(name: str, box: sp.BoundingBox, step: float) -> None:
@@ -202,7 +215,7 @@ _grid("grid_cells_mrms", sp.BoundingBox(-96.0, 44.0, -95.5, 44.5), 0.01)
 
 @query("time_slice", f"{ctes('cells')} SELECT l_orderkey, l_linenumber, time FROM cells WHERE time BETWEEN TIMESTAMP '1997-01-01' AND TIMESTAMP '1997-12-31'")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "cells").filter("time BETWEEN TIMESTAMP_NTZ'1997-01-01' AND TIMESTAMP_NTZ'1997-12-31'").select("l_orderkey", "l_linenumber", "time")
+    return ti.between(view(spark, sf_dir, "cells"), "1997-01-01", "1997-12-31").select("l_orderkey", "l_linenumber", "time")
 
 
 @query("station_bbox", f"{ctes('stations')} SELECT station, network, lat, lon FROM stations WHERE lat BETWEEN 44.55e0 AND 45.05e0 AND lon BETWEEN -95.02e0 AND -94.13e0")
@@ -280,7 +293,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("weights_equi_join", f"{ctes('cells', 'polygons')}, {OVERLAPS} SELECT l_orderkey, l_linenumber, polygon_index, round(tair_k * weight, 6) AS part FROM cells JOIN weights USING (lat_idx, lon_idx)")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = view(spark, sf_dir, "cells").join(F.broadcast(_weights(spark, sf_dir)), ["lat_idx", "lon_idx"])
+    joined = sp.with_weights(view(spark, sf_dir, "cells"), _weights(spark, sf_dir))
     return joined.select("l_orderkey", "l_linenumber", "polygon_index", F.round(F.col("tair_k") * F.col("weight"), 6).alias("part"))
 
 
@@ -331,7 +344,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("merge_outer", f"{ctes('fine_gaps', 'coarse')} SELECT zone, time, round(f.precip_mm, 6) AS fine_mm, round(c.precip_mm, 6) AS coarse_mm FROM fine_gaps f FULL JOIN coarse c USING (zone, time)")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = view(spark, sf_dir, "fine_gaps").select("zone", "time", F.round("precip_mm", 6).alias("fine_mm"))
-    return a.join(view(spark, sf_dir, "coarse").select("zone", "time", F.round("precip_mm", 6).alias("coarse_mm")), ["zone", "time"], "full")
+    return ti.merge(a, view(spark, sf_dir, "coarse").select("zone", "time", F.round("precip_mm", 6).alias("coarse_mm")), ["zone", "time"])
 
 
 @query("reindex_fill_zero", f"{ctes('fine')} SELECT zone, time, round(precip_mm, 6) AS precip_mm FROM fine")
@@ -341,7 +354,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("index_semi", f"{ctes('fine_gaps', 'coarse')} SELECT zone, time FROM fine_gaps f WHERE EXISTS (SELECT 1 FROM coarse c WHERE c.zone = f.zone AND c.time = f.time)")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return view(spark, sf_dir, "fine_gaps").join(view(spark, sf_dir, "coarse"), ["zone", "time"], "left_semi").select("zone", "time")
+    return ti.in_index(view(spark, sf_dir, "fine_gaps"), view(spark, sf_dir, "coarse"), ["zone", "time"]).select("zone", "time")
 
 
 @query("missing_dates_anti", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-12-31', INTERVAL 1 DAY)) AS d) WHERE CAST(d AS DATE) NOT IN (SELECT CAST(l_shipdate AS DATE) FROM lineitem)")
@@ -387,8 +400,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("count_fine_per_coarse", f"{ctes('fine_gaps')} SELECT zone, time, count(*) OVER (PARTITION BY zone, {DAY}) AS n FROM fine_gaps")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    placed = dis.with_period(view(spark, sf_dir, "fine_gaps"))
-    return placed.select("zone", "time", F.count(F.lit(1)).over(Window.partitionBy("zone", "_period")).alias("n"))
+    return ti.count_per_period(view(spark, sf_dir, "fine_gaps"), ["zone"]).select("zone", "time", "n")
 
 
 @query("cloud_factor_ratio", f"""{ctes('cells')}, d AS (SELECT lat_idx, lon_idx, {DAY} AS time, sum(swdown) AS rs, sum({GEOMETRIC}) AS rso FROM cells GROUP BY 1, 2, 3)
@@ -415,10 +427,8 @@ for _unit, _how, _name, _trunc in (("D", "sum", "dsn_rollup_day", "day"), ("MS",
 
 @query("ratio_residual", f"{ctes('cells')}, d AS (SELECT lat_idx, {DAY} AS time, avg(swdown) AS target, avg({GEOMETRIC}) AS calc FROM cells GROUP BY 1, 2) SELECT lat_idx, time, round(target / nullif(calc, 0), 6) AS ratio, round(target - calc, 6) AS residual FROM d")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from isohyet.functions.cols import ratio
-
     both = ti.resample(view(spark, sf_dir, "cells"), ["lat_idx"], [F.avg("swdown").alias("target"), F.avg(clear()).alias("calc")])
-    return both.select("lat_idx", "time", F.round(ratio("target", "calc"), 6).alias("ratio"), F.round(F.col("target") - F.col("calc"), 6).alias("residual"))
+    return ti.compare(both, "target", "calc").select("lat_idx", "time", F.round("ratio", 6).alias("ratio"), F.round("residual", 6).alias("residual"))
 
 
 # --- windows and sets ----------------------------------------------------------------------------------
@@ -438,10 +448,8 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bfill_daily_to_hourly", f"{ctes('fine', 'coarse')} SELECT f.zone, f.time, round(c.precip_mm, 6) AS total FROM fine f ASOF LEFT JOIN coarse c ON f.zone = c.zone AND f.time <= c.time")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    told = view(spark, sf_dir, "coarse").select("zone", "time", F.col("precip_mm").alias("_v"), F.lit(1).alias("_c"))
-    both = fine(spark, sf_dir).select("zone", "time", F.lit(None).cast("double").alias("_v"), F.lit(0).alias("_c")).unionByName(told)
-    after = Window.partitionBy("zone").orderBy("time", "_c").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    return both.withColumn("total", F.first("_v", ignorenulls=True).over(after)).filter("_c = 0").select("zone", "time", F.round("total", 6).alias("total"))
+    told = view(spark, sf_dir, "coarse").withColumnRenamed("precip_mm", "total")
+    return ti.asof_forward(fine(spark, sf_dir), told, ["zone"], ["total"]).select("zone", "time", F.round("total", 6).alias("total"))
 
 
 @query("max_time_gap", f"{ctes('fine_gaps')}, g AS (SELECT zone, epoch(time) / 3600e0 - lag(epoch(time) / 3600e0) OVER (PARTITION BY zone ORDER BY time) AS gap FROM fine_gaps) SELECT zone, round(max(gap), 6) AS max_gap_hours FROM g GROUP BY 1")
@@ -468,7 +476,7 @@ for _name, _op, _method in (("set_difference", "EXCEPT", "subtract"), ("set_inte
 
 @query("distinct_stations", f"{ctes('stations')} SELECT network, count(DISTINCT station) AS n, round(min(lat), 6) AS south, round(max(lat), 6) AS north FROM stations GROUP BY 1")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    distinct = view(spark, sf_dir, "stations").dropDuplicates(["station"])
+    distinct = stations.one_per_station(view(spark, sf_dir, "stations"))
     return distinct.groupBy("network").agg(F.count(F.lit(1)).alias("n"), F.round(F.min("lat"), 6).alias("south"), F.round(F.max("lat"), 6).alias("north"))
 
 
@@ -524,9 +532,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(dis.disaggregate_pet_trapezoidal(_pet_daily(spark, sf_dir), keys=["zone"], value="pet_mm", lat="lat"), "pet_mm")
 
 
-@query("disagg_sum_solar")
+@query("disagg_sum_solar", f"{PET_DAILY}, e AS (SELECT zone, p, time, pet_mm, {SUN} AS sun FROM (SELECT *, -95e0 + zone AS lon FROM hours) h), f AS (SELECT zone, p, time, pet_mm, {ineichen('sun')} AS f FROM e) SELECT zone, time, round(pet_mm * f / sum(f) OVER (PARTITION BY zone, p), 6) AS pet_mm FROM f")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(dis.disaggregate_pet_solar(_pet_daily(spark, sf_dir), keys=["zone"], value="pet_mm", lat="lat"), "pet_mm")
+    daily = _pet_daily(spark, sf_dir).withColumn("lon", -95.0 + F.col("zone"))
+    return _rounded(dis.disaggregate_pet_solar(daily, keys=["zone"], value="pet_mm", lat="lat", lon="lon"), "pet_mm")
 
 
 @query("pevt_diurnal", f"{PET_DAILY} SELECT zone, time, round(pet_mm * ([{', '.join(f'{x}e0' for x in dis.DIURNAL)}])[hour(time) + 1] / {sum(dis.DIURNAL)!r}e0, 6) AS pevt_hourly FROM hours")
@@ -554,35 +563,47 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "stations").select("station", F.round(hash_uniform(F.lit(7), F.col("station")), 9).alias("u"))
 
 
+#: Cascade parameters that differ from zone to zone, the same in both engines.
+PARAMETERS = "cascade_parameters AS (SELECT zone, 1.2e0 + 0.1e0 * zone AS amplitude, 0.3e0 + 0.05e0 * zone AS beta, 0.1e0 + 0.1e0 * zone AS tau0 FROM (SELECT CAST(z AS INT) AS zone FROM range(4) t(z)))"
+
+
+def _parameters(spark: SparkSession) -> DataFrame:
+    """Zones 0 to 3; zone 4 takes the default."""
+    zone = F.col("id").cast("int")
+    return spark.range(4).select(zone.alias("zone"), (1.2 + 0.1 * zone).alias("amplitude"), (0.3 + 0.05 * zone).alias("beta"), (0.1 + 0.1 * zone).alias("tau0"))
+
+
 def cascade_sql(source: str, seed: str = "0", more: str = "", levels: int = 5) -> str:
-    """CTEs l0 to l<levels> over source(zone, time, value)."""
+    """CTEs l0 to l<levels> over source(zone, time, value), with the parameters of each zone."""
     p = cas.DEFAULT
-    u = lambda k, j: f"(CAST('0x' || substr(md5({seed} || '|' || zone || '|' || CAST(epoch(time) AS BIGINT) || '|{k}|' || idx || '|{j}'), 1, 8) AS UBIGINT) / 4294967296e0)"
+    u = lambda j: f"(CAST('0x' || substr(m, {6 * j + 1}, 6) AS UBIGINT) / 16777216e0)"
     total, cuts = 0.0, []
-    import math
-
     for k in range(8):
         total += math.exp(-1) / math.factorial(k)
         cuts.append(total)
     poisson = lambda x: "CASE " + " ".join(f"WHEN {x} < {c!r}e0 THEN {k}" for k, c in enumerate(cuts)) + " ELSE 8 END"
-    w = lambda x: f"({p.amplitude}e0 * pow({p.beta}e0, {poisson(x)}))"
-    out = [f"l0 AS (SELECT zone, time{more}, CAST(0 AS BIGINT) AS idx, value FROM {source} WHERE value > 0)"]
+    w = lambda x: f"(amplitude * pow(beta, {poisson(x)}))"
+    dry = "(1 - pow(2e0, tau0 - 1))"
+    told = ", ".join(f"coalesce(x.{c}, {getattr(p, c)!r}e0) AS {c}" for c in ("amplitude", "beta", "tau0"))
+    out = [PARAMETERS, f"p0 AS (SELECT s.*, {told} FROM {source} s LEFT JOIN cascade_parameters x ON x.zone = s.zone)"]
+    out.append(f"l0 AS (SELECT zone, time{more}, CAST(0 AS BIGINT) AS idx, value, amplitude, beta, 1 - least(greatest({dry} * (1 + {dry}), 0e0), 1e0) AS wet FROM p0 WHERE value > 0)")
     for k in range(levels):
-        out.append(f"u{k} AS (SELECT *, {', '.join(f'{u(k, j)} AS u{j}' for j in range(5))} FROM l{k})")
-        out.append(f"w{k} AS (SELECT *, CASE WHEN u2 < {1 - p.dry!r}e0 OR (NOT u2 < {1 - p.dry!r}e0 AND NOT u3 < {1 - p.dry!r}e0 AND u4 < 0.5e0) THEN {w('u0')} ELSE 0e0 END AS a, CASE WHEN u3 < {1 - p.dry!r}e0 OR (NOT u2 < {1 - p.dry!r}e0 AND NOT u3 < {1 - p.dry!r}e0 AND u4 >= 0.5e0) THEN {w('u1')} ELSE 0e0 END AS b FROM u{k})")
-        out.append(f"l{k + 1} AS (SELECT zone, time{more}, idx * 2 + h AS idx, value * CASE WHEN h = 0 THEN CASE WHEN a + b > 0 THEN a / nullif(a + b, 0) ELSE 0.5e0 END ELSE 1 - CASE WHEN a + b > 0 THEN a / nullif(a + b, 0) ELSE 0.5e0 END END AS value FROM w{k}, range(2) r(h))")
+        out.append(f"m{k} AS (SELECT *, md5({seed} || '|' || zone || '|' || CAST(epoch(time) AS BIGINT) || '|{k}|' || idx) AS m FROM l{k})")
+        out.append(f"u{k} AS (SELECT *, {', '.join(f'{u(j)} AS u{j}' for j in range(5))} FROM m{k})")
+        out.append(f"w{k} AS (SELECT *, CASE WHEN u2 < wet OR (NOT u2 < wet AND NOT u3 < wet AND u4 < 0.5e0) THEN {w('u0')} ELSE 0e0 END AS a, CASE WHEN u3 < wet OR (NOT u2 < wet AND NOT u3 < wet AND u4 >= 0.5e0) THEN {w('u1')} ELSE 0e0 END AS b FROM u{k})")
+        out.append(f"l{k + 1} AS (SELECT zone, time{more}, idx * 2 + h AS idx, value * CASE WHEN h = 0 THEN CASE WHEN a + b > 0 THEN a / nullif(a + b, 0) ELSE 0.5e0 END ELSE 1 - CASE WHEN a + b > 0 THEN a / nullif(a + b, 0) ELSE 0.5e0 END END AS value, amplitude, beta, wet FROM w{k}, range(2) r(h))")
     out.append(f"drawn AS (SELECT zone, time AS period{more}, time + INTERVAL 1 HOUR * CAST(floor(q / 4) AS INT) AS time, sum(value / 3e0) AS value FROM (SELECT *, idx * 3 + k AS q FROM l{levels}, range(3) r(k)) GROUP BY ALL)")
     return ", ".join(out)
 
 
 @query("cascade_split_hash", f"{ctes('coarse')}, src AS (SELECT zone, time, precip_mm AS value FROM coarse), {cascade_sql('src')} SELECT zone, time, idx, round(value, 6) AS value FROM l5")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cas.cascade(view(spark, sf_dir, "coarse"), "zone", "precip_mm").select("zone", "time", "idx", F.round("value", 6).alias("value"))
+    return cas.cascade(view(spark, sf_dir, "coarse"), "zone", "precip_mm", _parameters(spark)).select("zone", "time", "idx", F.round("value", 6).alias("value"))
 
 
 @query("cascade_45_to_60", f"{ctes('coarse')}, src AS (SELECT zone, time, precip_mm AS value FROM coarse), {cascade_sql('src')} SELECT zone, time, round(value, 6) AS precip_mm FROM drawn")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(cas.to_hours(cas.cascade(view(spark, sf_dir, "coarse"), "zone", "precip_mm"), "zone", "precip_mm"))
+    return _rounded(cas.to_hours(cas.cascade(view(spark, sf_dir, "coarse"), "zone", "precip_mm", _parameters(spark)), "zone", "precip_mm"))
 
 
 DRY = "CASE WHEN dayofyear(time - INTERVAL 12 HOUR) % 3 = 0 THEN 0e0 ELSE precip_mm END"
@@ -602,55 +623,41 @@ for _name, _keep, _else in (("precip_hybrid", True, "0e0"), ("precip_hybrid_keep
 
     @query(_name, f"{HYBRID}, {cascade_sql('src')} SELECT j.zone, j.time, round(CASE WHEN c > 0 AND s > 0 THEN c * (v / nullif(s, 0)) WHEN c > 0 THEN coalesce(d.value, 0e0) WHEN c <= 0 AND s > 0 THEN {_else} ELSE 0e0 END, 6) AS precip_mm FROM j LEFT JOIN drawn d ON d.zone = j.zone AND d.time = j.time AND d.period = j.p")
     def _(spark: SparkSession, sf_dir: str, enforce: bool = _keep) -> DataFrame:
-        return _rounded(cas.hybrid(*_hybrid_inputs(spark, sf_dir), "zone", "precip_mm", offset_hours=12, enforce_coarse_mass=enforce))
+        return _rounded(cas.hybrid(*_hybrid_inputs(spark, sf_dir), "zone", "precip_mm", _parameters(spark), offset_hours=12, enforce_coarse_mass=enforce))
 
 
-RUNS = 20
-
-
-def monte_sql(runs: int) -> str:
-    return f"""{HYBRID}, days AS (SELECT zone, time, value, r AS realization FROM src, range(1, {runs + 1}) x(r)), {cascade_sql('days', 'realization', ', realization')},
-full_ AS (SELECT d.zone, d.time AS period, d.realization, h AS hour, coalesce(c.value, 0e0) AS v FROM days d CROSS JOIN range(24) r(h) LEFT JOIN drawn c ON c.zone = d.zone AND c.period = d.time AND c.realization = d.realization AND c.time = d.time + INTERVAL 1 HOUR * h)"""
-
-
-MONTE = monte_sql(RUNS)
 #: The realisations of the operator's default and of the reference.
-ALL_RUNS = 500
+RUNS = 500
+MONTE = f"""{HYBRID}, days AS (SELECT zone, time, value, r AS realization FROM src, range(1, {RUNS + 1}) x(r)), {cascade_sql('days', 'realization', ', realization')},
+full_ AS (SELECT d.zone, d.time AS period, d.realization, h AS hour, coalesce(c.value, 0e0) AS v FROM days d CROSS JOIN range(24) r(h) LEFT JOIN drawn c ON c.zone = d.zone AND c.period = d.time AND c.realization = d.realization AND c.time = d.time + INTERVAL 1 HOUR * h)"""
 
 
-def _monte_carlo(spark: SparkSession, sf_dir: str, runs: int = RUNS) -> tuple[DataFrame, DataFrame]:
-    return cas.monte_carlo(*_hybrid_inputs(spark, sf_dir), "zone", "precip_mm", runs, 0.1, offset_hours=12)
+def _monte_carlo(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return cas.monte_carlo(*_hybrid_inputs(spark, sf_dir), "zone", "precip_mm", RUNS, 0.1, _parameters(spark), offset_hours=12)
 
 
-@query("monte_carlo_summary", f"{MONTE} SELECT zone, period AS day, CAST(hour AS INT) AS hour, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(quantile_cont(v, 0.05e0), 6) AS q05, round(quantile_cont(v, 0.5e0), 6) AS q50, round(quantile_cont(v, 0.95e0), 6) AS q95 FROM full_ GROUP BY 1, 2, 3")
+@query("monte_carlo_summary", f"{MONTE} SELECT zone, period AS day, CAST(hour AS INT) AS hour, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(CASE WHEN avg(v) > 0 THEN stddev_pop(v) / nullif(avg(v), 0) END, 6) AS cv, round(quantile_cont(v, 0.05e0), 6) AS q05, round(quantile_cont(v, 0.25e0), 6) AS q25, round(quantile_cont(v, 0.5e0), 6) AS q50, round(quantile_cont(v, 0.75e0), 6) AS q75, round(quantile_cont(v, 0.95e0), 6) AS q95 FROM full_ GROUP BY 1, 2, 3")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     hourly, _ = _monte_carlo(spark, sf_dir)
-    return hourly.select("zone", "day", "hour", *[F.round(c, 6).alias(c) for c in ("mean", "std", "q05", "q50", "q95")])
+    return hourly.select("zone", "day", "hour", *[F.round(c, 6).alias(c) for c in ("mean", "std", "cv", "q05", "q25", "q50", "q75", "q95")])
 
 
-@query("monte_carlo_daily", f"""{MONTE}, runs AS (SELECT zone, period, realization, max(v) AS peak, arg_max(hour, (v, -hour)) AS peak_hour, sum(CASE WHEN v >= 0.1e0 THEN 1 ELSE 0 END) AS wet FROM full_ GROUP BY 1, 2, 3)
+@query("monte_carlo_daily", f"""{MONTE}, runs AS (SELECT zone, period, realization, max(v) AS peak, arg_max(hour, (round(v, 9), -hour)) AS peak_hour, sum(CASE WHEN round(v, 9) >= 0.1e0 THEN 1 ELSE 0 END) AS wet FROM full_ GROUP BY 1, 2, 3)
 SELECT zone, period AS day, round(avg(peak), 6) AS peak_mean, round(stddev_pop(peak), 6) AS peak_std, round(avg(peak_hour), 6) AS peak_hour_mean, round(stddev_pop(peak_hour), 6) AS peak_hour_std, round(avg(wet), 6) AS wet_hours_mean, round(stddev_pop(wet), 6) AS wet_hours_std FROM runs GROUP BY 1, 2""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, daily = _monte_carlo(spark, sf_dir)
     return daily.select("zone", "day", *[F.round(c, 6).alias(c) for c in daily.columns if c not in ("zone", "day")])
 
 
-@query("monte_carlo_summary_500", f"{monte_sql(ALL_RUNS)} SELECT zone, period AS day, CAST(hour AS INT) AS hour, round(avg(v), 6) AS mean, round(stddev_pop(v), 6) AS std, round(CASE WHEN avg(v) > 0 THEN stddev_pop(v) / nullif(avg(v), 0) END, 6) AS cv, round(quantile_cont(v, 0.05e0), 6) AS q05, round(quantile_cont(v, 0.25e0), 6) AS q25, round(quantile_cont(v, 0.5e0), 6) AS q50, round(quantile_cont(v, 0.75e0), 6) AS q75, round(quantile_cont(v, 0.95e0), 6) AS q95 FROM full_ GROUP BY 1, 2, 3")
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hourly, _ = _monte_carlo(spark, sf_dir, ALL_RUNS)
-    return hourly.select("zone", "day", "hour", *[F.round(c, 6).alias(c) for c in ("mean", "std", "cv", "q05", "q25", "q50", "q75", "q95")])
-
-
-@query("monte_carlo_daily_500", f"""{monte_sql(ALL_RUNS)}, runs AS (SELECT zone, period, realization, max(v) AS peak, arg_max(hour, (v, -hour)) AS peak_hour, sum(CASE WHEN v >= 0.1e0 THEN 1 ELSE 0 END) AS wet FROM full_ GROUP BY 1, 2, 3)
-SELECT zone, period AS day, round(avg(peak), 6) AS peak_mean, round(stddev_pop(peak), 6) AS peak_std, round(avg(peak_hour), 6) AS peak_hour_mean, round(stddev_pop(peak_hour), 6) AS peak_hour_std, round(avg(wet), 6) AS wet_hours_mean, round(stddev_pop(wet), 6) AS wet_hours_std FROM runs GROUP BY 1, 2""")
+@query("cascade_fit")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, daily = _monte_carlo(spark, sf_dir, ALL_RUNS)
-    return daily.select("zone", "day", *[F.round(c, 6).alias(c) for c in daily.columns if c not in ("zone", "day")])
+    return cas.fitted(fine(spark, sf_dir), "zone", "precip_mm")
 
 
-@query("cascade_fit")
+@query("precip_hybrid_fitted")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cas.fit_parameters(cas.moment_scaling(fine(spark, sf_dir), "zone", "precip_mm"), "zone")
+    """The hybrid rule with each zone's cascade fitted to its own fine series."""
+    return _rounded(cas.disaggregate_precipitation(*_hybrid_inputs(spark, sf_dir), "zone", "precip_mm", offset_hours=12))
 
 
 # --- sources and texts ------------------------------------------------------------------------------------
@@ -663,13 +670,6 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "title", "lang", F.size(F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)"'))).alias("links"))
 
 
-@query("csv_units_row_cleanup", """WITH lines AS (SELECT s_suppkey AS k, s_name AS name, CAST(s_acctbal AS VARCHAR) AS v FROM supplier UNION ALL SELECT 0, '', 'Degrees F') SELECT k, name, TRY_CAST(v AS DOUBLE) AS value FROM lines WHERE regexp_matches(v, '^-?[0-9.]+$')""")
-def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark.read.parquet(f"{sf_dir}/supplier.parquet").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("name"), F.col("s_acctbal").cast("string").alias("v"))
-    dirty = rows.unionByName(spark.createDataFrame([(0, "", "Degrees F")], "k long, name string, v string"))
-    return dirty.filter(F.col("v").try_cast("double").isNotNull()).select("k", "name", F.col("v").try_cast("double").alias("value"))
-
-
 @query("geojson_explode", f"{ctes('stations')} SELECT CAST(station AS VARCHAR) AS stid, name, round(lat, 6) AS lat, round(lon, 6) AS lon, elevation_m AS elevation, CAST(network AS VARCHAR) AS network FROM stations WHERE lat BETWEEN 44.55e0 AND 45.05e0 AND lon BETWEEN -95.02e0 AND -94.13e0")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = view(spark, sf_dir, "stations")
@@ -686,7 +686,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("json_props", "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INT) AS k FROM events")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+    return spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", stations.json_field("props", "k", "int").alias("k"))
 
 
 @query("cache_audit", f"""{ctes('cells')}, u AS (SELECT {DAY} AS unit, count(DISTINCT time) AS steps, list_sort(list_distinct(list((lat_idx, lon_idx)))) AS shape FROM cells GROUP BY 1)
@@ -697,26 +697,51 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("station_codes", f"{ctes('stations')} SELECT station, lpad(CAST(station AS VARCHAR), 6, '0') AS code, CAST(substr(lpad(CAST(station AS VARCHAR), 6, '0'), 3) AS INT) AS number, strftime(DATE '2001-01-01' + CAST(station % 365 AS INT), '%Y%m%d') AS stamp FROM stations")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    code = F.lpad(F.col("station").cast("string"), 6, "0")
+    code = stations.grid_code(F.col("station"), 6)
     day = F.date_add(F.lit("2001-01-01").cast("date"), (F.col("station") % 365).cast("int"))
-    return view(spark, sf_dir, "stations").select("station", code.alias("code"), F.substring(code, 3, 6).cast("int").alias("number"), F.date_format(day, "yyyyMMdd").alias("stamp"))
+    return view(spark, sf_dir, "stations").select("station", code.alias("code"), stations.from_grid_code(code, 3, 6).alias("number"), F.date_format(day, "yyyyMMdd").alias("stamp"))
 
 
 # --- recipes ----------------------------------------------------------------------------------------------
 
-FORCING = f"""{ctes('cells', 'polygons')}, {OVERLAPS},
-raw AS (SELECT lat_idx, lon_idx, time, avg(tair_k) AS tair_k, avg(qair) AS qair, avg(psurf_pa) AS psurf_pa, avg(wind_e) AS wind_e, avg(wind_n) AS wind_n, avg(swdown) AS swdown, avg(rainf) AS rainf FROM cells GROUP BY 1, 2, 3),
-hourly AS (SELECT lat_idx, lon_idx, time, {TC} AS t, {DEW} AS d, {SPEED} * (ln(67.8e0 * 2 - 5.42e0) / ln(67.8e0 * 10 - 5.42e0)) AS u, swdown AS sw, rainf AS p FROM raw),
-stats AS (SELECT lat_idx, lon_idx, {DAY} AS time, avg(t) AS temp_mean_c, avg(d) AS temp_dew_c, avg(u) AS wind_ms, sum(sw * 0.0036e0) AS solar_mj FROM hourly GROUP BY 1, 2, 3),
+def forcing_sql(wind: str) -> str:
+    """CTEs up to shares (hourly zone values with each hour's share of its day) and pets (daily zone values)."""
+    return f"""{ctes('cells', 'polygons', 'daily_rain')}, {OVERLAPS},
+raw AS (SELECT lat_idx, lon_idx, time, avg(tair_k) AS tair_k, avg(qair) AS qair, avg(psurf_pa) AS psurf_pa, avg(wind_e) AS wind_e, avg(wind_n) AS wind_n, avg(swdown) AS swdown, avg(rainf) AS rainf,
+  44e0 + (lat_idx + 0.5e0) * 0.1e0 AS lat, -96e0 + (lon_idx + 0.5e0) * 0.1e0 AS lon FROM cells GROUP BY 1, 2, 3),
+hourly AS (SELECT lat_idx, lon_idx, lat, time, {TC} AS t, {DEW} AS d, {wind} AS u, swdown AS sw, rainf AS p, {SUN} AS sun FROM raw),
+clear AS (SELECT *, {ineichen('sun')} AS cs FROM hourly),
+covered AS (SELECT *, CASE WHEN sun >= 10 THEN {clipped(f'sqrt((1 - {clipped("sw / nullif(cs, 0)", "0e0", "1e0")}) / 0.6e0)', '0e0', '1e0')} END AS cover FROM clear),
+stats AS (SELECT lat_idx, lon_idx, lat, {DAY} AS time, avg(t) AS temp_mean_c, avg(d) AS temp_dew_c, avg(u) AS wind_ms, sum(sw * 0.0036e0) AS solar_mj, avg(cover) AS cover FROM covered GROUP BY 1, 2, 3, 4),
 zones AS (SELECT polygon_index, time, sum(t * weight) AS t, sum(d * weight) AS d, sum(u * weight) AS u, sum(sw * weight) AS sw, sum(p * weight) AS p FROM hourly JOIN weights USING (lat_idx, lon_idx) GROUP BY 1, 2),
-pets AS (SELECT polygon_index, time, sum({KNB} * weight) AS pet FROM stats JOIN weights USING (lat_idx, lon_idx) GROUP BY 1, 2),
-shares AS (SELECT *, {DAY} AS day, CASE WHEN sum(sw) OVER (PARTITION BY polygon_index, {DAY}) > 0 THEN sw / nullif(sum(sw) OVER (PARTITION BY polygon_index, {DAY}), 0) ELSE 1e0 / count(*) OVER (PARTITION BY polygon_index, {DAY}) END AS share FROM zones)
-SELECT s.polygon_index, s.time - INTERVAL 6 HOUR AS time, round(t * 9 / 5 + 32, 4) AS temperature_f, round(d * 9 / 5 + 32, 4) AS dewpoint_f, round(u * 2.23694e0, 4) AS wind_speed_mph, round(sw / 11.63e0, 4) AS shortwave_langley,
-  round(sw * 0.0864e0, 4) AS shortwave_mj_day, round(greatest(pet * share, 0e0) / 25.4e0, 4) AS pet_in, round(p / 25.4e0, 4) AS precip_in
-FROM shares s JOIN pets x ON x.polygon_index = s.polygon_index AND x.time = s.day"""
+pets AS (SELECT polygon_index, time, sum({KNB} * weight) AS pet, sum(greatest({extra('time')} / 2.45e0 / 100 * (temp_mean_c + 5), 0e0) * weight) AS oudin, coalesce(sum(cover * weight), 0e0) AS cover FROM stats JOIN weights USING (lat_idx, lon_idx) GROUP BY 1, 2),
+shares AS (SELECT *, {DAY} AS day, CASE WHEN sum(sw) OVER (PARTITION BY polygon_index, {DAY}) > 0 THEN sw / nullif(sum(sw) OVER (PARTITION BY polygon_index, {DAY}), 0) ELSE 1e0 / count(*) OVER (PARTITION BY polygon_index, {DAY}) END AS share FROM zones)"""
 
 
-@query("recipe_nldas", FORCING)
+UNITS = """round(t * 9 / 5 + 32, 4) AS temperature_f, round(d * 9 / 5 + 32, 4) AS dewpoint_f, round(u * 2.23694e0, 4) AS wind_speed_mph, round(sw / 11.63e0, 4) AS shortwave_langley,
+  round(sw * 0.0864e0, 4) AS shortwave_mj_day, round(cover * 10, 4) AS cloud_cover_tenths, round(greatest(pet * share, 0e0) / 25.4e0, 4) AS pet_in"""
+
+
+@query("recipe_nldas", f"""{forcing_sql(f"{SPEED} * (ln(67.8e0 * 2 - 5.42e0) / ln(67.8e0 * 10 - 5.42e0))")}
+SELECT s.polygon_index, s.time - INTERVAL 6 HOUR AS time, {UNITS}, round(p / 25.4e0, 4) AS precip_in, round(greatest(oudin * share, 0e0) / 25.4e0, 4) AS oudin_in
+FROM shares s JOIN pets x ON x.polygon_index = s.polygon_index AND x.time = s.day""")
 def recipe_nldas(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = recipes.forcing(view(spark, sf_dir, "cells"), view(spark, sf_dir, "polygons"), GRID)
     return made.select("polygon_index", "time", *[F.round(c, 4).alias(c) for c in made.columns if c not in ("polygon_index", "time")])
+
+
+RAIN_WEIGHTS = OVERLAPS.replace("grid AS", "rgrid AS").replace("over AS", "rover AS").replace("weights AS", "rweights AS").replace("FROM polygons, grid", "FROM polygons, rgrid").replace("FROM over", "FROM rover").replace("0.1e0", "0.2e0").replace("range(20)", "range(10)").replace("range(30)", "range(15)")
+
+
+@query("recipe_hybrid", f"""{forcing_sql(SPEED)}, {RAIN_WEIGHTS},
+totals AS (SELECT polygon_index AS zone, time, sum(precip_mm * weight) AS c FROM daily_rain JOIN rweights USING (lat_idx, lon_idx) GROUP BY 1, 2),
+placed AS (SELECT s.*, s.polygon_index AS zone, pet, cover, p AS v, {P12.replace('time', 's.time')} AS per FROM shares s JOIN pets x ON x.polygon_index = s.polygon_index AND x.time = s.day),
+summed AS (SELECT *, sum(v) OVER (PARTITION BY zone, per) AS total FROM placed),
+j AS (SELECT m.*, c FROM summed m LEFT JOIN totals o ON o.zone = m.zone AND o.time = m.per),
+src AS (SELECT DISTINCT zone, per AS time, c AS value FROM j WHERE c > 0 AND total <= 0), {cascade_sql('src')}
+SELECT j.polygon_index, j.time, {UNITS}, round(CASE WHEN c > 0 AND total > 0 THEN c * (v / nullif(total, 0)) WHEN c > 0 THEN coalesce(r.value, 0e0) WHEN c <= 0 AND total > 0 THEN v ELSE 0e0 END / 25.4e0, 4) AS precip_in
+FROM j LEFT JOIN drawn r ON r.zone = j.zone AND r.time = j.time AND r.period = j.per""")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = _parameters(spark).withColumnRenamed("zone", "polygon_index")
+    made = recipes.hybrid_forcing(view(spark, sf_dir, "cells"), view(spark, sf_dir, "daily_rain"), view(spark, sf_dir, "polygons"), GRID, RAIN_GRID, parameters=told)
+    return made.select("polygon_index", "time", *[F.round(c, 4).alias(c) for c in made.columns if c not in ("polygon_index", "time")])

@@ -5,14 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.functions.cols import Number, col
-from isohyet.functions.evaporation import penman_knb
+from isohyet.functions.cols import Number, clip, col
+from isohyet.functions.evaporation import oudin, penman_knb
+from isohyet.functions.radiation import clearsky_ineichen, cloud_cover_davis, solar_elevation
 from isohyet.functions.thermo import adjust_wind_height, celsius_to_fahrenheit, dewpoint_august_roche_magnus, kelvin_to_celsius, wind_speed
-from isohyet.operators.disaggregate import conserve_sum, normalise
-from isohyet.operators.spatial import Grid, build_weights, rectangle_overlaps, zonal_sum
+from isohyet.operators.cascade import CascadeParameters, fitted, hybrid
+from isohyet.operators.disaggregate import normalise
+from isohyet.operators.spatial import BROADCAST_WEIGHTS, Grid, build_weights, rectangle_overlaps, zonal_sum
 from isohyet.operators.time import hours, period_start
 
 HOURLY = ("temperature_c", "dewpoint_c", "wind_speed_ms", "shortwave_wm2", "longwave_wm2", "precip_mm")
+DAILY = ("pet_mm", "oudin_mm", "cloud_cover")
 
 
 def derive_hourly(cells: DataFrame, adjust_wind: bool = True) -> DataFrame:
@@ -25,17 +28,42 @@ def derive_hourly(cells: DataFrame, adjust_wind: bool = True) -> DataFrame:
     )
 
 
-def derive_daily(hourly: DataFrame) -> DataFrame:
-    """Daily statistics of each cell and the evaporation of a pan."""
-    daily = hourly.groupBy("lat_idx", "lon_idx", period_start(F.col("time")).alias("time")).agg(
+def with_cloud(hourly: DataFrame, grid: Grid, k: float = 0.6) -> DataFrame:
+    """cloud_cover of each cell and hour from shortwave against the clear sky; none while the sun is low."""
+    lat, lon = grid.south + (F.col("lat_idx") + 0.5) * grid.dlat, grid.west + (F.col("lon_idx") + 0.5) * grid.dlon
+    up = hourly.withColumn("_sun", solar_elevation(F.col("time"), lat, lon))
+    clear = up.withColumn("_clear", clearsky_ineichen("_sun", F.col("time")))
+    return clear.withColumn("cloud_cover", cloud_cover_davis("shortwave_wm2", "_clear", "_sun", k)).drop("_sun", "_clear")
+
+
+def derive_daily(hourly: DataFrame, grid: Grid) -> DataFrame:
+    """Daily statistics of each cell, the evaporation of a pan and by temperature, and the mean cloud cover."""
+    daily = with_cloud(hourly, grid).groupBy("lat_idx", "lon_idx", period_start(F.col("time")).alias("time")).agg(
         F.avg("temperature_c").alias("tmean"), F.min("temperature_c").alias("tmin"), F.max("temperature_c").alias("tmax"), F.avg("dewpoint_c").alias("tdew"),
-        F.avg("wind_speed_ms").alias("wind"), F.coalesce(F.sum(F.col("shortwave_wm2") * 0.0036), F.lit(0.0)).alias("solar_mj"),
+        F.avg("wind_speed_ms").alias("wind"), F.coalesce(F.sum(F.col("shortwave_wm2") * 0.0036), F.lit(0.0)).alias("solar_mj"), F.avg("cloud_cover").alias("cloud_cover"),
     )
-    return daily.withColumn("pet_mm", penman_knb("tmean", "tdew", "wind", "solar_mj"))
+    lat = grid.south + (F.col("lat_idx") + 0.5) * grid.dlat
+    return daily.withColumns({"pet_mm": penman_knb("tmean", "tdew", "wind", "solar_mj"), "oudin_mm": oudin(F.col("time"), "tmean", lat)})
+
+
+def zonal(cells: DataFrame, rectangles: DataFrame, grid: Grid, key: str, adjust_wind: bool) -> tuple[DataFrame, DataFrame]:
+    """Hourly and daily zone series; cells outside all polygons go before anything is shuffled, and the weights are made once."""
+    weights = build_weights(rectangle_overlaps(rectangles, grid), key).persist()
+    n = weights.count()
+    touched = weights.select("lat_idx", "lon_idx").distinct()
+    inside = cells.join(F.broadcast(touched) if n <= BROADCAST_WEIGHTS else touched, ["lat_idx", "lon_idx"], "left_semi")
+    hourly = derive_hourly(inside, adjust_wind)
+    daily = zonal_sum(derive_daily(hourly, grid), weights, key, list(DAILY), n_weights=n)
+    return zonal_sum(hourly, weights, key, list(HOURLY), n_weights=n), daily
 
 
-def zonal_hourly(cells: DataFrame, rectangles: DataFrame, grid: Grid, key: str = "polygon_index") -> DataFrame:
-    return zonal_sum(derive_hourly(cells), build_weights(rectangle_overlaps(rectangles, grid), key), key, list(HOURLY))
+def spread_daily(hourly: DataFrame, daily: DataFrame, key: str) -> DataFrame:
+    """Hourly rows with the day's evaporation by their share of shortwave, and the day's cloud cover."""
+    told = daily.select(key, F.col("time").alias("_day"), *[F.col(c).alias(f"_{c}") for c in DAILY])
+    shares = normalise(hourly, [key], F.col("shortwave_wm2"))
+    met = shares.withColumn("_day", period_start(F.col("time"))).join(told, [key, "_day"])
+    spread = {c: clip(F.col(f"_{c}") * F.col("weight"), 0.0) for c in ("pet_mm", "oudin_mm")}
+    return met.withColumns(spread | {"cloud_cover": F.col("_cloud_cover")}).drop("_day", "weight", *[f"_{c}" for c in DAILY])
 
 
 def hspf_units(temperature_c: Number, dewpoint_c: Number, wind_ms: Number, shortwave_wm2: Number, cloud: Number, pet_mm: Number, precip_mm: Number) -> dict[str, Column]:
@@ -47,13 +75,26 @@ def hspf_units(temperature_c: Number, dewpoint_c: Number, wind_ms: Number, short
 
 
 def forcing(cells: DataFrame, rectangles: DataFrame, grid: Grid, key: str = "polygon_index", shift_hours: int = -6) -> DataFrame:
-    """Hourly zone series: weights, zonal sums of hourly variables and of daily evaporation, evaporation by shortwave, model units, local labels."""
-    weights = build_weights(rectangle_overlaps(rectangles, grid), key)
-    n = weights.count()
-    hourly = derive_hourly(cells)
-    zones = zonal_sum(hourly, weights, key, list(HOURLY), n_weights=n)
-    daily = zonal_sum(derive_daily(hourly), weights, key, ["pet_mm"], n_weights=n)
-    spread = conserve_sum(daily, normalise(zones, [key], F.col("shortwave_wm2")), [key], "pet_mm")
-    units = hspf_units("temperature_c", "dewpoint_c", "wind_speed_ms", "shortwave_wm2", 0.0, "pet_mm", "precip_mm")
-    units.pop("cloud_cover_tenths")
+    """Hourly zone series: weights, zonal sums of hourly and daily variables, evaporation by shortwave, cloud cover, model units, local labels."""
+    hourly, daily = zonal(cells, rectangles, grid, key, adjust_wind=True)
+    spread = spread_daily(hourly, daily, key)
+    units = hspf_units("temperature_c", "dewpoint_c", "wind_speed_ms", "shortwave_wm2", "cloud_cover", "pet_mm", "precip_mm")
+    units["oudin_in"] = F.col("oudin_mm") / 25.4
     return spread.select(key, (F.col("time") + hours(shift_hours)).alias("time"), *[v.alias(k) for k, v in units.items()])
+
+
+def hybrid_forcing(
+    cells: DataFrame, daily_rain: DataFrame, rectangles: DataFrame, grid: Grid, rain_grid: Grid, key: str = "polygon_index", offset_hours: int = 12,
+    parameters: CascadeParameters | DataFrame | None = None,
+) -> DataFrame:
+    """As ``forcing``, with the rain of a second, daily grid (precip_mm, labelled at the start of its days): by the pattern of the
+    first grid's hours, by the cascade where these are dry, and theirs where the daily grid is dry; wind as measured, labels in UTC.
+
+    Cascade parameters are fitted to each zone's hours unless given.
+    """
+    hourly, daily = zonal(cells, rectangles, grid, key, adjust_wind=False)
+    totals = zonal_sum(daily_rain, build_weights(rectangle_overlaps(rectangles, rain_grid), key), key, ["precip_mm"])
+    parameters = fitted(hourly, key, "precip_mm") if parameters is None else parameters
+    rain = hybrid(totals, spread_daily(hourly, daily, key), key, "precip_mm", parameters, offset_hours=offset_hours, enforce_coarse_mass=False)
+    units = hspf_units("temperature_c", "dewpoint_c", "wind_speed_ms", "shortwave_wm2", "cloud_cover", "pet_mm", "precip_mm")
+    return rain.select(key, "time", *[v.alias(k) for k, v in units.items()])

@@ -44,6 +44,14 @@ SELECT l_orderkey, l_linenumber, l_shipdate AS date, l_quantity - 1e1 AS temp_me
        4.4e1 + 1e-1 * ((l_partkey % 20) + 5e-1) AS lat, CAST(200 + l_suppkey % 300 AS DOUBLE) AS elevation_m
 FROM lineitem"""
 
+#: Daily rain on a second, coarser grid, labelled at noon before the day.
+RAIN_GRID = Grid(44.0, -96.0, 0.2, 0.2, 10, 15)
+
+DAILY_RAIN = """
+SELECT CAST(l_partkey % 10 AS INT) AS lat_idx, CAST(l_suppkey % 15 AS INT) AS lon_idx, l_shipdate - INTERVAL '12' HOUR AS time,
+       avg(CASE WHEN l_quantity < 2e1 THEN 0e0 ELSE l_quantity / 5e0 END) AS precip_mm
+FROM lineitem GROUP BY 1, 2, 3"""
+
 #: Time series of hours by zone, completed with zeros.
 FINE_FULL = """
 SELECT z.zone, h.time, coalesce(f.precip_mm, 0e0) AS precip_mm
@@ -51,8 +59,8 @@ FROM (SELECT DISTINCT zone FROM fine_gaps) z
 CROSS JOIN (SELECT unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS time FROM (SELECT min(time) AS a, max(time) AS b FROM fine_gaps)) h
 LEFT JOIN fine_gaps f ON f.zone = z.zone AND f.time = h.time"""
 
-TABLES = {"cells": "lineitem", "polygons": "nation", "fine_gaps": "events", "coarse": "events", "stations": "supplier", "daily_met": "lineitem"}
-SQL = {"cells": CELLS, "polygons": POLYGONS, "fine_gaps": _FINE, "coarse": _COARSE, "stations": STATIONS, "daily_met": DAILY_MET}
+TABLES = {"cells": "lineitem", "polygons": "nation", "fine_gaps": "events", "coarse": "events", "stations": "supplier", "daily_met": "lineitem", "daily_rain": "lineitem"}
+SQL = {"cells": CELLS, "polygons": POLYGONS, "fine_gaps": _FINE, "coarse": _COARSE, "stations": STATIONS, "daily_met": DAILY_MET, "daily_rain": DAILY_RAIN}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

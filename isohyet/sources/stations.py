@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,39 +44,121 @@ def html_fields(pages: DataFrame, column: str, patterns: dict[str, str], require
     return pages.withColumns(found).dropna(subset=list(required) or None, how="any") if required else pages.withColumns(found)
 
 
-def parse_iem(spark: SparkSession, path: str, kind: str = "asos") -> DataFrame:
-    """CSV with # comments, M for missing, UTC times in valid or obtime."""
+#: Patterns of a station page: number, coordinates in degrees, elevation and period of record.
+NDAWN_PAGE = {
+    "lat": r"(?s)Latitude:.*?<td>\s*([-\d.]+)\s*&deg;", "lon": r"(?s)Longitude:.*?<td>\s*([-\d.]+)\s*&deg;",
+    "elevation_ft": r"(?s)Elevation:.*?<td>\s*([\d.]+)\s*feet", "period_of_record": r"(?s)Period of record:.*?<td>\s*(.*?)\s*</td>",
+}
+
+
+def csv_rows(lines: DataFrame, header: str, column: str = "value") -> DataFrame:
+    """String columns of CSV lines under the one header line that matches a pattern; names are cleaned, all lines are read in parallel."""
+    found = lines.filter(F.col(column).rlike(header)).select(F.rtrim(column, F.lit("\r")).alias("h")).distinct().limit(2).collect()
+    if len(found) != 1:
+        raise ValueError(f"{len(found) or 'no'} header lines like {header}: read files of one layout at a time")
+    names = [clean_name(c) for c in next(csv.reader([found[0]["h"]]))]
+    rows = lines.filter(~F.col(column).rlike(header)).withColumn(column, F.rtrim(column, F.lit("\r")))
+    return rows.select(F.from_csv(column, ", ".join(f"`{n}` string" for n in names)).alias("c")).select("c.*")
+
+
+def iem_rows(lines: DataFrame, kind: str = "asos", column: str = "value") -> DataFrame:
+    """station, valid and the network's variables from CSV lines with # comments; M and empty cells are missing, times are UTC in valid or obtime."""
     names = {"asos": ASOS, "rwis": RWIS}[kind]
-    raw = clean_columns(spark.read.option("header", True).option("comment", "#").option("nullValue", "M").csv(path))
+    raw = csv_rows(lines.filter(~F.col(column).startswith("#")), "(?i)^station,", column)
     time = "obtime" if "obtime" in raw.columns else "valid"
-    values = [(F.col(k) if k == "skyc1" else F.expr(f"try_cast(`{k}` as double)")).alias(v) for k, v in names.items() if k in raw.columns]
+    held = lambda k: F.when(~F.trim(k).isin("M", ""), F.trim(k))
+    values = [(held(k) if k == "skyc1" else held(k).try_cast("double")).alias(v) for k, v in names.items() if k in raw.columns]
     return raw.select("station", F.to_timestamp_ntz(F.substring(time, 1, 16), F.lit("yyyy-MM-dd HH:mm")).alias("valid"), *values)
 
 
-def parse_ndawn(spark: SparkSession, path: str, hourly: bool = True, preamble: int = 3) -> DataFrame:
-    """CSV after preamble lines and with a row of units; hour-ending HHMM becomes the hour's beginning (CST)."""
-    lines = spark.read.text(path, wholetext=True).select(F.split(F.regexp_replace("value", "\r", ""), "\n").alias("l"))
-    head = lines.select(F.get("l", F.lit(preamble))).first()[0]
-    names = [clean_name(c) for c in head.split(",")]
-    rows = lines.select(F.explode(F.slice("l", preamble + 2, 2_000_000_000)).alias("line")).filter(F.trim("line") != "")
-    cells = rows.select(F.split("line", ",").alias("c")).filter(F.get("c", F.lit(names.index("year"))).rlike(r"^\s*\d{4}\s*$"))
+def parse_iem(spark: SparkSession, path: str, kind: str = "asos") -> DataFrame:
+    return iem_rows(spark.read.text(path), kind)
+
+
+def ndawn_rows(lines: DataFrame, hourly: bool = True, column: str = "value") -> DataFrame:
+    """Observations from CSV lines with a preamble and a row of units, which have no year; hour-ending HHMM becomes the hour's beginning (CST)."""
+    raw = csv_rows(lines, "^Station Name,", column).filter(F.trim("year").rlike(r"^\d{4}$"))
     text = {"station_name"}
-    made = cells.select(*[(F.trim(F.get("c", F.lit(k))) if n in text else F.get("c", F.lit(k)).try_cast("double")).alias(n) for k, n in enumerate(names)])
+    made = raw.select(*[(F.trim(n) if n in text else F.trim(n).try_cast("double")).alias(n) for n in raw.columns])
     hour = (F.col("hour") / 100 - 1).cast("int") if hourly else F.lit(0)
     time = F.make_timestamp_ntz(F.col("year").cast("int"), F.col("month").cast("int"), F.col("day").cast("int"), hour, F.lit(0), F.lit(0).cast("decimal(8,6)"))
     return made.withColumn("time", time)
 
 
+def parse_ndawn(spark: SparkSession, path: str, hourly: bool = True) -> DataFrame:
+    return ndawn_rows(spark.read.text(path), hourly)
+
+
+def ndawn_links(pages: DataFrame, column: str = "html") -> DataFrame:
+    """name, internal_id and url of the stations that a map page links."""
+    areas = pages.select(F.explode(F.regexp_extract_all(column, F.lit(r"(<area[^>]*>)"))).alias("a"))
+    found = areas.select(F.regexp_extract("a", 'title="([^"]+)"', 1).alias("name"), F.regexp_extract("a", 'href="([^"]+)"', 1).alias("url"))
+    return found.select("name", F.regexp_extract("url", r"[?]station=(\d+)", 1).alias("internal_id"), "url").filter("internal_id <> ''")
+
+
+def ndawn_details(pages: DataFrame, column: str = "html") -> DataFrame:
+    """pages with lat, lon, elevation_ft and period_of_record; pages without coordinates go."""
+    found = html_fields(pages, column, NDAWN_PAGE, ("lat", "lon"))
+    return found.withColumns({c: F.col(c).try_cast("double") for c in ("lat", "lon", "elevation_ft")})
+
+
+def with_station_id(observations: DataFrame, stations: DataFrame, name: str = "station_name") -> DataFrame:
+    """Observations with the internal_id of their station's name."""
+    return observations.join(stations.select(F.col("name").alias(name), "internal_id"), name, "left")
+
+
+def one_per_station(stations: DataFrame, key: str = "station") -> DataFrame:
+    return stations.dropDuplicates([key])
+
+
+def grid_code(number: Column, width: int) -> Column:
+    """A cell or station number as text of a width, zeros in front."""
+    return F.lpad(number.cast("string"), width, "0")
+
+
+def from_grid_code(code: Column, start: int, width: int) -> Column:
+    return F.substring(code, start, width).cast("int")
+
+
+def json_field(column: str, name: str, kind: str) -> Column:
+    return F.from_json(column, f"`{name}` {kind}")[name]
+
+
 def rename_codes(df: DataFrame, names: dict[str, str]) -> DataFrame:
     """Named observation columns to their short codes."""
     back = {clean_name(v): k for k, v in names.items()}
     return df.select(*[F.col(c).alias(back.get(c, c)) for c in df.columns])
 
 
-def synoptic_stations(texts: DataFrame, column: str = "json") -> DataFrame:
-    kind = "STATION array<struct<STID:string,NAME:string,LATITUDE:string,LONGITUDE:string,ELEVATION:string,MNET_ID:string,STATUS:string>>"
-    rows = texts.select(F.explode(F.from_json(column, kind)["STATION"]).alias("s"))
-    return rows.select(F.col("s.STID").alias("stid"), F.col("s.NAME").alias("name"), F.col("s.LATITUDE").try_cast("double").alias("lat"), F.col("s.LONGITUDE").try_cast("double").alias("lon"), F.col("s.ELEVATION").try_cast("double").alias("elevation"), F.col("s.MNET_ID").alias("network"), (F.col("s.STATUS") == "ACTIVE").alias("active"))
+def synoptic_stations(texts: DataFrame, column: str = "json", box: BoundingBox | None = None, active_only: bool = False) -> DataFrame:
+    kind = "STATION array<struct<STID:string,NAME:string,LATITUDE:string,LONGITUDE:string,ELEVATION:string,MNET_ID:string,MNET_SHORTNAME:string,STATUS:string>>"
+    s = F.explode(F.from_json(column, kind)["STATION"]).alias("s")
+    number = lambda n: F.col(f"s.{n}").try_cast("double")
+    made = texts.select(s).select(
+        F.col("s.STID").alias("stid"), F.col("s.NAME").alias("name"), number("LATITUDE").alias("lat"), number("LONGITUDE").alias("lon"), number("ELEVATION").alias("elevation"),
+        F.col("s.MNET_SHORTNAME").alias("network"), F.col("s.MNET_ID").alias("mnet_id"), (F.col("s.STATUS") == "ACTIVE").alias("active"),
+    )
+    made = made.filter("active") if active_only else made
+    return in_box(made, box) if box else made
+
+
+def synoptic_hourly(texts: DataFrame, variables: list[str], column: str = "json") -> DataFrame:
+    """stid, time (UTC) and one column per variable from time series documents, whose arrays lie beside the array of times."""
+    kind = "STATION array<struct<STID:string,OBSERVATIONS:map<string,array<string>>>>"
+    s = texts.select(F.explode(F.from_json(column, kind)["STATION"]).alias("s"))
+    rows = s.select(F.col("s.STID").alias("stid"), F.col("s.OBSERVATIONS").alias("o"), F.posexplode(F.col("s.OBSERVATIONS")["date_time"]).alias("_k", "_t"))
+    time = F.to_timestamp_ntz(F.regexp_replace(F.substring("_t", 1, 16), "T", " "), F.lit("yyyy-MM-dd HH:mm"))
+    value = lambda v: F.get(F.coalesce(F.try_element_at("o", F.lit(f"{v}_set_1")), F.try_element_at("o", F.lit(v))), F.col("_k")).try_cast("double")
+    return rows.select("stid", time.alias("time"), *[value(v).alias(v) for v in variables])
+
+
+def synoptic_precipitation(texts: DataFrame, column: str = "json") -> DataFrame:
+    """stid, time (the interval's last report, UTC) and precip_mm of hourly intervals."""
+    kind = "STATION array<struct<STID:string,OBSERVATIONS:struct<precipitation:array<struct<last_report:string,total:string>>>>>"
+    s = texts.select(F.explode(F.from_json(column, kind)["STATION"]).alias("s"))
+    rows = s.select(F.col("s.STID").alias("stid"), F.explode("s.OBSERVATIONS.precipitation").alias("p"))
+    time = F.to_timestamp_ntz(F.regexp_replace(F.substring("p.last_report", 1, 16), "T", " "), F.lit("yyyy-MM-dd HH:mm"))
+    return rows.select("stid", time.alias("time"), F.col("p.total").try_cast("double").alias("precip_mm"))
 
 
 def in_box(stations: DataFrame, box: BoundingBox) -> DataFrame:
