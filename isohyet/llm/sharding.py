@@ -17,10 +17,8 @@ Equal texts are spread like any other rows, as the row law asks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,19 +74,14 @@ def assign_shards(rows: DataFrame, order: list[str], shards: int = 40, seed: int
         raise ValueError("shards must be positive")
     ranked = global_row_number(rows, order, "row_number")
     n = ranked.count()
-    fields = [f for f in ranked.schema.fields]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + ["shard int", "slot long"])
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rank = batch.column("row_number").to_numpy(zero_copy_only=False)
-            shard, slot = locate(rank, n, shards, seed)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(shard.astype(np.int32)), pa.array(slot.astype(np.int64))],
-                [*batch.schema.names, "shard", "slot"],
-            )
-
-    return ranked.mapInArrow(deal, schema)
+
+    @F.pandas_udf("struct<shard:int,slot:bigint>")
+    def deal(rank: pd.Series) -> pd.DataFrame:
+        shard, slot = locate(rank.to_numpy(), n, shards, seed)
+        return pd.DataFrame({"shard": shard.astype(np.int32), "slot": slot.astype(np.int64)})
+
+    # Only row numbers go to Python; the other columns stay where they are.
+    return ranked.withColumn("_place", deal("row_number")).select(*ranked.columns, "_place.shard", "_place.slot")
 
 
 def digest(docs: DataFrame) -> DataFrame:
