@@ -139,6 +139,32 @@ def dsn(kind: Column, zone: Column) -> Column:
     return F.concat(table[kind].cast("string"), F.coalesce(zone, F.lit(0)).cast("string")).cast("int")
 
 
+def dsn_rows(zones: DataFrame, key: str, kinds: dict[str, str], time: str = "time") -> DataFrame:
+    """dsn, time, value of zone series whose columns are of the named kinds (kind to column)."""
+    long = zones.select(key, time, *[F.col(c).cast("double").alias(k) for k, c in kinds.items()]).unpivot([key, time], list(kinds), "kind", "value")
+    return long.dropna(subset=["value"]).select(dsn(F.col("kind"), F.col(key)).alias("dsn"), time, "value")
+
+
+def export_dsn(spark: SparkSession, rows: DataFrame, path: str, mode: str = "append") -> None:
+    """Writes data sets by number: append leaves those alone that are there; update lets new values win, and is written beside and named by the caller."""
+    have = existing(spark, path)
+    if mode not in ("append", "update"):
+        raise ValueError("mode must be append or update")
+    if have is not None:
+        rows = rows.join(have.select("dsn").distinct(), "dsn", "left_anti") if mode == "append" else update(have.select("dsn", "time", "value"), rows, ["dsn", "time"])
+    if mode == "append" or have is None:
+        save_partitioned(rows, path, ["dsn"], "append")
+    else:
+        save_partitioned(rows, f"{path}-updated", ["dsn"], "overwrite")
+
+
+def dsn_summary(rows: DataFrame) -> DataFrame:
+    """dsn, kind number, zone, first and last time and the number of values of each data set."""
+    text = F.col("dsn").cast("string")
+    made = rows.groupBy("dsn").agg(F.min("time").alias("first"), F.max("time").alias("last"), F.count(F.lit(1)).alias("n"))
+    return made.withColumns({"kind": F.substring(text, 1, 2).cast("int"), "zone": F.substring(text, 3, 9).cast("int")})
+
+
 def roll_up(df: DataFrame, keys: list[str], value: str, unit: str = "D", how: str = "sum", time: str = "time") -> DataFrame:
     if unit not in ROLLUP_UNITS or how not in ROLLUPS:
         raise ValueError(f"unit must be one of {', '.join(ROLLUP_UNITS)} and how one of {', '.join(ROLLUPS)}")

@@ -113,9 +113,10 @@ def asof_nearest(fine: DataFrame, coarse: DataFrame, keys: list[str], value: str
     return found.withColumn(value, F.when(earlier, F.col(f"_p.{value}")).otherwise(F.col(f"_n.{value}"))).drop("_told", "_fine", "_p", "_n", "_at", "_carry", "_ahead")
 
 
-def upsample(df: DataFrame, keys: list[str], period_hours: int = 24, time: str = "time") -> DataFrame:
-    """Forward fill: each label's row is repeated for every hour of its period, the last one's as well."""
-    return df.withColumn(time, F.explode(F.sequence(F.col(time), F.col(time) + hours(period_hours - 1), F.expr("INTERVAL '1' HOUR"))))
+def upsample(df: DataFrame, keys: list[str], period_hours: int = 24, time: str = "time", unit: str = "day") -> DataFrame:
+    """Forward fill: each label's row is repeated for every hour of its period, the last one's as well; unit month asks for whole months."""
+    last = F.col(time) + hours(period_hours - 1) if unit == "day" else F.col(time) + F.expr("INTERVAL '1' MONTH") - hours(1)
+    return df.withColumn(time, F.explode(F.sequence(F.col(time), last, F.expr("INTERVAL '1' HOUR"))))
 
 
 def shift_values(df: DataFrame, keys: list[str], value: str, steps: int, time: str = "time") -> DataFrame:
@@ -189,3 +190,21 @@ def long_concat(df: DataFrame, keys: list[str], values: list[str], name: str = "
 def compare(df: DataFrame, target: str, calculated: str) -> DataFrame:
     """ratio and residual of a target against a calculated column."""
     return df.withColumns({"ratio": ratio(target, calculated), "residual": F.col(target) - F.col(calculated)})
+
+
+def concat(parts: list[DataFrame]) -> DataFrame:
+    """Rows of all parts; columns that a part lacks are missing there."""
+    made, *rest = parts
+    for part in rest:
+        made = made.unionByName(part, allowMissingColumns=True)
+    return made
+
+
+def first_rows(df: DataFrame, keys: list[str], values: list[str], time: str = "time") -> DataFrame:
+    """The values of each key's first row in time."""
+    found = F.min_by(F.struct(time, *values), F.struct(time, *values)).alias("_f")
+    return df.groupBy(*keys).agg(found).select(*keys, f"_f.{time}", *[f"_f.{v}" for v in values])
+
+
+def expected_but_missing(expected: DataFrame, have: DataFrame) -> DataFrame:
+    return expected.subtract(have)

@@ -460,7 +460,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("union_allow_missing", f"{ctes('fine_gaps', 'coarse')} SELECT zone, time, round(precip_mm, 6) AS precip_mm, NULL::DOUBLE AS total FROM fine_gaps UNION ALL SELECT zone, time, NULL, round(precip_mm, 6) FROM coarse")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     a = view(spark, sf_dir, "fine_gaps").select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))
-    return a.unionByName(view(spark, sf_dir, "coarse").select("zone", "time", F.round("precip_mm", 6).alias("total")), allowMissingColumns=True)
+    return ti.concat([a, view(spark, sf_dir, "coarse").select("zone", "time", F.round("precip_mm", 6).alias("total"))])
 
 
 def _days(spark: SparkSession, sf_dir: str, table: str, column: str) -> DataFrame:

@@ -215,6 +215,22 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))
 
 
+@query("disagg_monthly", f"""{ctes('fine')}, m AS (SELECT zone, CAST(date_trunc('month', time) AS TIMESTAMP) AS p, sum(precip_mm) / 2e0 AS c FROM fine GROUP BY 1, 2), w AS (SELECT zone, time, CAST(date_trunc('month', time) AS TIMESTAMP) AS p, precip_mm, sum(precip_mm) OVER (PARTITION BY zone, date_trunc('month', time)) AS s FROM fine)
+SELECT zone, time, round(c * precip_mm / nullif(s, 0), 6) AS precip_mm FROM w JOIN m USING (zone, p)""")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hourly = fine(spark, sf_dir)
+    monthly = ti.resample(hourly, ["zone"], [(F.sum("precip_mm") / 2).alias("precip_mm")], "month")
+    made = dis.disaggregate(monthly, "sum", ["zone"], "precip_mm", hourly.withColumnRenamed("precip_mm", "pattern"), "pattern", offset_hours=0, unit="month")
+    return made.select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))
+
+
+@query("disagg_monthly_static", f"{ctes('fine')}, m AS (SELECT zone, CAST(date_trunc('month', time) AS TIMESTAMP) AS p, sum(precip_mm) AS c FROM fine GROUP BY 1, 2) SELECT zone, unnest(generate_series(p, p + INTERVAL 1 MONTH - INTERVAL 1 HOUR, INTERVAL 1 HOUR)) AS time, round(c / (date_diff('hour', p, p + INTERVAL 1 MONTH)), 6) AS precip_mm FROM m")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    monthly = ti.resample(fine(spark, sf_dir), ["zone"], [F.sum("precip_mm").alias("precip_mm")], "month")
+    made = dis.disaggregate(monthly, "sum", ["zone"], "precip_mm", weight_method="static", unit="month")
+    return made.select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))
+
+
 @query("cloud_factor_hourly", f"{ctes('cells')}, h AS (SELECT lat_idx, time, avg(swdown) AS rs, avg({GEOMETRIC}) AS rso FROM cells GROUP BY 1, 2), d AS (SELECT *, sum(rs) OVER (PARTITION BY lat_idx, {DAY}) AS a, sum(rso) OVER (PARTITION BY lat_idx, {DAY}) AS b FROM h) SELECT lat_idx, time, round(1.35e0 * least(greatest(CASE WHEN b > 0 THEN a / nullif(b, 0) ELSE 1e0 END, 0.25e0), 1e0) - 0.35e0, 6) AS factor FROM d")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     clear = rad.clearsky_geometric(F.col("time"), "lat")
@@ -299,3 +315,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("days", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date FROM (SELECT unnest(generate_series(TIMESTAMP '2000-02-27', TIMESTAMP '2000-03-01', INTERVAL 1 DAY)) AS d)")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ti.days(spark, "2000-02-27", "2000-03-02").select(F.col("date").cast("string").alias("date"))
+
+
+# --- data sets by number, first rows, unions ------------------------------------------------------------
+
+
+@query("dsn_series", f"{ctes('fine_gaps', 'coarse')}, z AS (SELECT zone, time, f.precip_mm AS a, c.precip_mm AS b FROM fine_gaps f FULL JOIN coarse c USING (zone, time)) SELECT CAST('10' || zone AS INT) AS dsn, time, round(a, 6) AS value FROM z WHERE a IS NOT NULL UNION ALL SELECT CAST('13' || zone AS INT), time, round(b, 6) FROM z WHERE b IS NOT NULL")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dsn_rows(spark, sf_dir).select("dsn", "time", F.round("value", 6).alias("value"))
+
+
+def _dsn_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (view(spark, sf_dir, t).withColumnRenamed("precip_mm", c) for t, c in (("fine_gaps", "a"), ("coarse", "b")))
+    return store.dsn_rows(ti.merge(a, b, ["zone", "time"]), "zone", {"PREC": "a", "PEVT": "b"})
+
+
+@query("dsn_summary", f"{ctes('fine_gaps', 'coarse')}, z AS (SELECT zone, time, 10 AS kind FROM fine_gaps UNION ALL SELECT zone, time, 13 FROM coarse) SELECT CAST(kind || '' || zone AS INT) AS dsn, min(time) AS first, max(time) AS last, count(*) AS n, CAST(kind AS INT) AS kind, zone FROM z GROUP BY zone, kind")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store.dsn_summary(_dsn_rows(spark, sf_dir))
+
+
+@query("first_rows", f"{ctes('fine_gaps')} SELECT zone, min(time) AS time, round(arg_min(precip_mm, time), 6) AS precip_mm FROM fine_gaps GROUP BY 1")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ti.first_rows(view(spark, sf_dir, "fine_gaps"), ["zone"], ["precip_mm"]).select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))
