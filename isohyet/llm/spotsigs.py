@@ -5,7 +5,8 @@ content words after it; the fingerprint is the set of hashed signatures.  Two
 fingerprints are alike by their Jaccard measure.  ``near_duplicates`` compares
 only sets whose lengths allow the threshold: sets are partitioned by length, the
 partition bounds follow from the threshold, and inside neighbouring partitions
-only sets that share one of their rarest signatures meet.
+only sets that share one of their rarest signatures meet.  Equal sets count once;
+many sets that share a rare signature cost up to the square of their number.
 
 Defined cases: a null text is empty and has the empty fingerprint; two empty
 fingerprints are alike 1, an empty and a full one 0; a text without any anchor
@@ -24,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isohyet.llm.common import shuffle_partitions
+from isohyet.llm.graph import connected_components
 
 # Common function words of English, German, French and Spanish.
 ANCHORS = (
@@ -68,6 +70,17 @@ def length_partition(sigs: Column, threshold: float = 0.8) -> Column:
 
 
 def near_duplicates(prints: DataFrame, id_column: str = "doc_id", threshold: float = 0.8) -> DataFrame:
+    """One row per document: its id, class_id (the least id of documents that a chain of alike sets reaches, itself included)
+    and n_links, the number of other different sets that its own is alike to."""
+    pairs = alike_sets(prints, id_column, threshold)
+    found = connected_components(pairs.select("id_a", "id_b"), "id_a", "id_b")
+    links = pairs.select(F.col("id_a").alias("set_id")).unionByName(pairs.select(F.col("id_b").alias("set_id"))).groupBy("set_id").agg(F.count(F.lit(1)).alias("n_links"))
+    sets = prints.groupBy("sigs").agg(F.min(id_column).alias("set_id")).join(links, "set_id", "left").join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
+    told = sets.select("sigs", F.coalesce("component", "set_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return prints.join(told, "sigs").select(id_column, "class_id", "n_links")
+
+
+def alike_sets(prints: DataFrame, id_column: str = "doc_id", threshold: float = 0.8) -> DataFrame:
     """Pairs (id_a < id_b, jaccard) of different signature sets, between one representative of each set.
 
     ``prints`` has the id and ``sigs``.  Equal sets collapse to their least id

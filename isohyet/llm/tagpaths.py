@@ -70,19 +70,21 @@ WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert newsletter subscribe signup popup modal overlay "
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer masthead comment comments disqus replies related share sharing social toolbar pagination pager login".split()
 )
+JOINED = tuple("footer sidebar cookie newsletter advert navbar breadcrumb masthead comments disqus sponsor sidenav topnav subnav mainnav commentlist commentform adbox adslot adunit adsbygoogle".split())
 LAYOUT = frozenset("no not has have with without hide hidden show".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_PARTS = re.compile(r"[a-z]+")
+_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _MARKS = re.compile(r"[.,;:!?…¿¡。、，]")
 
 
 def _names_boilerplate(token: str) -> bool:
-    """Whether a class or id names what holds no content; one that tells of a layout (no-sidebar, has-sidebar, with-menu) does not."""
-    parts = _PARTS.findall(token)
-    return not WORDS.isdisjoint(parts) and LAYOUT.isdisjoint(parts)
+    """Whether a class or id names what holds no content (site-footer, siteFooter, sitefooter); one that tells of a layout (no-sidebar, has-sidebar, with-menu) does not."""
+    parts = [p.lower() for p in _PARTS.findall(token)]
+    named = not WORDS.isdisjoint(parts) or any(p.startswith(JOINED) or p.endswith(JOINED) for p in parts)
+    return named and LAYOUT.isdisjoint(parts)
 
 
 def _label(attributes: str) -> str:
@@ -98,8 +100,8 @@ def _shunned(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
         return sure, False
     named = False
     for name, *values in _ATTRIBUTE.findall(attributes):
-        name, value = name.lower(), "".join(values).lower()
-        if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in ROLES:
+        name, value = name.lower(), "".join(values)
+        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
             return True, False
         if name in ("class", "id") and any(_names_boilerplate(t) for t in value.split()):
             named = True

@@ -89,9 +89,9 @@ def test_ratios_drop_what_no_name_marks():
 
 
 def test_attributes_are_parsed():
-    for around in ('style="overflow:hidden"', 'data-id="nav"', 'title="a sidebar, hidden"', "data-class=comments", "onclick=\"x('nav')\""):
+    for around in ('style="overflow:hidden"', 'data-id="nav"', 'title="a sidebar, hidden"', "data-class=comments", "class=commentary", "class='Navigator'", "onclick=\"x('nav')\""):
         assert tagpaths.main_text(f"<body><div {around}><p>{SAID}</p></div></body>") == TIDY
-    for around in ("hidden", 'aria-hidden="true"', "class=sidebar", "id='comments'", "role=navigation", 'CLASS="top-nav"'):
+    for around in ("hidden", 'aria-hidden="true"', "class=sidebar", "id='comments'", "role=navigation", 'CLASS="top-nav"', "class=siteFooter", "id=sitefooter", "class='cookieBar x'"):
         assert tagpaths.main_text(f"<body><p>{SAID}</p><div {around}><p>{SAID}Gone.</p></div></body>") == TIDY
 
 
@@ -106,3 +106,13 @@ def test_deep_and_long_pages_take_seconds(page):
     began = time.process_time()
     tagpaths.main_text(page)
     assert time.process_time() - began < 20
+
+
+def test_slices_bound_rows_and_bytes():
+    import pyarrow as pa
+
+    texts = ["x" * n for n in (1, 5, 20, 1, 1, 1, 0, 30, 1, 1)] + [None]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(11)), "text": texts})
+    got = list(common.slices([batch], rows=4, size=10))
+    assert [x for part in got for x in part.column("text").to_pylist()] == texts
+    assert all(part.num_rows == 1 or part.num_rows <= 4 and sum(len(x or "") for x in part.column("text").to_pylist()) <= 10 for part in got)

@@ -262,7 +262,15 @@ def test_op2(spark, docs, empty):
         sets[tuple(r.sigs)] = min(sets[tuple(r.sigs)], r.doc_id)
     items = [(i, set(s)) for s, i in sets.items() if s]
     want = {(min(a, b), max(a, b)) for a, s in items for b, t in items if a < b and len(s & t) / len(s | t) >= 0.8}
-    assert {(r.id_a, r.id_b) for r in spotsigs.near_duplicates(prints).collect()} == want
+    assert {(r.id_a, r.id_b) for r in spotsigs.alike_sets(prints).collect()} == want
+    label = {i: i for _, i in sets.items()}
+    for _ in label:
+        for a, b in want:
+            label[a] = label[b] = min(label[a], label[b])
+    rows = spotsigs.near_duplicates(prints).collect()
+    assert len(rows) == prints.count()
+    of = {r.doc_id: sets[tuple(r.sigs)] for r in prints.collect()}
+    assert all(r.class_id == label[of[r.doc_id]] and r.n_links == sum(of[r.doc_id] in p for p in want) for r in rows)
 
 
 def naive_code_length(trained, text, order, symbols):
