@@ -1,7 +1,9 @@
 """The corpus pipeline: five stages over documents, each written and read again.
 
 Every stage works on all rows that the one before it kept and returns the columns
-of documents (the last adds its shard and slot).
+of documents (the last adds its row_number, shard and slot); other columns of its
+input are dropped, whatever their names.  Empty tables give no rows, texts of any
+length are read whole, and rows that repeat are rows each.
 """
 
 from __future__ import annotations
@@ -19,30 +21,34 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the co-trained classifier rejects."""
+    """Drops the documents that the co-trained classifier rejects, those without words among them; rows without doc_id have no label."""
     docs = docs.select(*COLUMNS)
     model = cotraining.train(docs, table(spark, sf_dir, "labels"))
     return cotraining.score_documents(docs, model, list(COLUMNS)).filter("keep").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the least doc_id of each SimHash component."""
+    """Keeps the document with the least doc_id of each group of near copies.
+
+    Texts without words are one group; different texts under one doc_id, or under
+    none, stay unless they are near copies; of a row that repeats one stays.
+    """
     return simhash.keep_one(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents in which a window of a benchmark item occurs."""
+    """Drops the documents in which a window of a benchmark item occurs; null texts have no words and stay."""
     docs = docs.select(*COLUMNS)
     return decontaminate.clean_rows(docs, table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents so that all sources come to weigh the same, in shuffled order."""
+    """Repeats or leaves out documents so that all sources, null being one, come to weigh the same, in shuffled order."""
     return mixing.mix(docs.select(*COLUMNS)).select(*COLUMNS)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds shard and slot by the Feistel permutation of row numbers."""
+    """Adds row_number, shard and slot by the Feistel permutation; null doc_ids come first."""
     docs = docs.select(*COLUMNS)
     return sharding.shard_rows(docs)
 
