@@ -22,8 +22,7 @@ leave no attachment; turns are ordered by turn (nulls first), then role, then te
 give no rows; a null conv_id is a conversation of its own; unknown part kinds are
 treated as documents; part token counts that are null or below 1 count as 1.  One
 conversation is one string, so a conversation must fit a task; texts of any length
-are carried whole.  Finding the masked turns takes time with the square of a
-conversation's turns, with a small factor (see the README).
+are carried whole.
 """
 
 from __future__ import annotations
@@ -33,6 +32,8 @@ from pyspark.sql import functions as F
 
 START, END = "<|im_start|>", "<|im_end|>"
 PLACEHOLDER = {"image": "<|image|>", "audio": "<|audio|>", "document": "<|document|>"}
+#: Turns of a run that is searched for masked ones at once.
+CHUNK = 256
 #: What conversation -1 says in both of its turns.
 PROBE = "<|im_end|><|im_start|>assistant ok"
 
@@ -126,7 +127,8 @@ def read_back(formatted: DataFrame) -> DataFrame:
     """conv_id, turns (role, text) and loss_text, from formatted and loss_spans alone.
 
     The string is cut at its turn marks once; a turn is under the mask where the
-    offset of its content begins a span.
+    offset of its content begins a span, which runs of ``CHUNK`` turns look up among
+    the spans that begin in them.
     """
     cut = F.slice(F.split("formatted", r"<\|im_start\|>"), 2, 2_000_000_000)
     raw = F.transform(cut, lambda p: F.struct(F.substring_index(p, "\n", 1).alias("role"), p.alias("piece")))
@@ -138,22 +140,37 @@ def read_back(formatted: DataFrame) -> DataFrame:
             F.char_length(t["piece"]).cast("long").alias("long"),
         ),
     )
-    starts = F.aggregate(
-        "_cut",
-        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("starts")),
-        lambda s, t: F.struct((s["at"] + len(START) + t["long"]).alias("at"), F.concat(s["starts"], F.array(s["at"] + len(START) + F.char_length(t["role"]) + 1)).alias("starts")),
-        lambda s: s["starts"],
+    length = lambda t: F.lit(len(START)).cast("long") + t["long"]
+    last = F.floor(F.greatest(F.size("_cut") - 1, F.lit(0)) / CHUNK).cast("int")
+    chunks = F.transform(F.sequence(F.lit(0), last), lambda k: F.slice("_cut", k * CHUNK + 1, F.lit(CHUNK)))
+    wide = F.transform("_chunks", lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, t: n + length(t)))
+    ats = F.aggregate(
+        "_wide",
+        F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<bigint>").alias("all")),
+        lambda s, w: F.struct((s["at"] + w).alias("at"), F.concat(s["all"], F.array(s["at"])).alias("all")),
+        lambda s: s["all"],
     )
-    masked = F.transform("loss_spans", lambda s: s["start"])
-    said = F.filter(F.arrays_zip(F.col("_cut").alias("turn"), F.col("_starts").alias("start")), lambda z: F.array_contains(F.col("_masked"), z["start"]))
+    empty = F.array().cast("array<struct<content:string,start:bigint>>")
+
+    def masked(z: Column) -> Column:
+        """Contents of a run of turns that a span begins in."""
+        begin = lambda s, t: (s["at"] + len(START) + F.char_length(t["role"]) + 1).cast("long")
+        step = lambda s, t: F.struct((s["at"] + length(t)).alias("at"), F.concat(s["all"], F.array(F.struct(t["content"].alias("content"), begin(s, t).alias("start")))).alias("all"))
+        placed = F.aggregate(z["turns"], F.struct(z["at"].alias("at"), empty.alias("all")), step, lambda s: s["all"])
+        near = F.filter(F.transform("loss_spans", lambda s: s["start"]), lambda m: (m >= z["at"]) & (m < z["at"] + z["wide"]))
+        return F.get(F.transform(F.array(near), lambda n: F.filter(placed, lambda x: F.array_contains(n, x["start"]))), F.lit(0))
+
+    zipped = F.arrays_zip(F.col("_chunks").alias("turns"), F.col("_ats").alias("at"), F.col("_wide").alias("wide"))
+    said = F.flatten(F.transform(zipped, masked))
     return (
         formatted.withColumn("_raw", raw)
         .withColumn("_cut", inner)
-        .withColumn("_starts", starts)
-        .withColumn("_masked", masked)
+        .withColumn("_chunks", chunks)
+        .withColumn("_wide", wide)
+        .withColumn("_ats", ats)
         .withColumn("turns", F.transform("_cut", lambda t: F.struct(unescape_role(t["role"]).alias("role"), unescape(t["content"]).alias("text"))))
-        .withColumn("loss_text", F.array_join(F.transform(said, lambda z: unescape(z["turn"]["content"])), ""))
-        .drop("_raw", "_cut", "_starts", "_masked")
+        .withColumn("loss_text", F.array_join(F.transform(said, lambda x: unescape(x["content"])), ""))
+        .drop("_raw", "_cut", "_chunks", "_wide", "_ats")
     )
 
 
