@@ -182,3 +182,23 @@ def clean_rows(docs: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS
             yield part.filter(pa.array([not runs for runs, _ in found], pa.bool_()))
 
     return docs.mapInArrow(work, docs.schema)
+
+
+#: The digest in DuckDB, by listing all windows of documents and items.
+ORACLE_SQL = r"""
+WITH folded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+keys AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[i:i + 9], ' ') AS k
+  FROM (SELECT item_id, ws, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS i FROM items WHERE len(ws) > 0)),
+starts AS (
+  SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM folded, (SELECT DISTINCT n FROM keys)),
+hits AS (
+  SELECT s.doc_id, s.i, s.n, k.item_id FROM starts s JOIN keys k ON k.n = s.n AND k.k = array_to_string(s.ws[s.i:s.i + s.n - 1], ' ')),
+places AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY 1),
+named AS (SELECT doc_id, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM folded LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

@@ -39,7 +39,7 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,4 +60,9 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_poisson_mixing": mixing.ORACLE_SQL, "op8_chat_formatting": chat.ORACLE_SQL, "op4_substring_dedup": substrings.ORACLE_SQL}
+    return {
+        "op4_substring_dedup": substrings.ORACLE_SQL,
+        "op5_poisson_mixing": mixing.ORACLE_SQL,
+        "op7_decontamination": decontaminate.ORACLE_SQL,
+        "op8_chat_formatting": chat.ORACLE_SQL,
+    }
