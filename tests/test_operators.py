@@ -4,7 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from isohyet.operators import cascade, disaggregate, spatial, store, time
+from isohyet.operators import cascade, disaggregate, legacy, spatial, store, time
 from isohyet.sources import canonical, gridded, stations
 from isohyet.streaming import rollup
 
@@ -185,6 +185,33 @@ def test_store(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "few")).count() == 5
 
 
+def test_data_sets_by_number(spark, tmp_path):
+    zones = spark.sql("SELECT * FROM VALUES (3, TIMESTAMP_NTZ'2001-01-01', 1e0, NULL), (3, TIMESTAMP_NTZ'2001-01-02', 2e0, 5e0) AS t(zone, time, rain, air)")
+    rows = store.dsn_rows(zones, "zone", {"PREC": "rain", "ATEM": "air"})
+    assert sorted((r.dsn, r.value) for r in rows.collect()) == [(103, 1.0), (103, 2.0), (163, 5.0)]
+    path = str(tmp_path / "sets")
+    store.export_dsn(spark, rows.filter("dsn = 103"), path)
+    store.export_dsn(spark, rows.withColumn("value", F.lit(9.0)), path)  # 103 is there and stays
+    assert sorted((r.dsn, r.value) for r in spark.read.parquet(path).collect()) == [(103, 1.0), (103, 2.0), (163, 9.0)]
+    newer = spark.sql("SELECT 103 AS dsn, TIMESTAMP_NTZ'2001-01-02' AS time, 7e0 AS value")
+    store.export_dsn(spark, newer, path, "update")
+    assert sorted((r.dsn, r.value) for r in spark.read.parquet(f"{path}-updated").collect()) == [(103, 1.0), (103, 7.0), (163, 9.0)]
+    row = store.dsn_summary(rows).filter("dsn = 103").first()
+    assert (row.kind, row.zone, row.n) == (10, 3, 2)
+    with pytest.raises(ValueError):
+        store.export_dsn(spark, rows, path, "other")
+
+
+def test_legacy_checks(spark):
+    box = spatial.BoundingBox(-96, 44, -95, 45)
+    zones = rectangle(spark, 4, 6, 4, 6).unionByName(rectangle(spark, 4, 6, 25, 28, 2))
+    day = datetime.date(2001, 1, 1)
+    said = lambda until: sorted(tuple(r) for r in legacy.run_problems(zones, "polygon_index", box, day, until).collect())
+    assert said(datetime.date(2001, 3, 1)) == [("2", "outside the extent")]
+    assert said(datetime.date(2001, 1, 20)) == [("2", "outside the extent"), ("all", "fewer than 32 days")]
+    assert said(datetime.date(2000, 1, 1))[1] == ("all", "the end is before the start")
+
+
 def test_read_through(spark, tmp_path):
     """Only pairs that the store lacks are loaded, once; a pair without rows is not asked for again."""
     asked = []
