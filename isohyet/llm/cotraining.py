@@ -58,6 +58,8 @@ LEAST_LIFT = 1.2
 UNIVERSE, WIDE_Z, WIDE_LIFT = 8192, 2.0, 0.7
 #: Bytes of the word beginnings that are tokens as well.
 PREFIXES = (4, 5)
+#: Labels up to this many are broadcast (12 bytes each); beyond, the join is shuffled.
+BROADCAST_LABELS = 1_000_000
 #: What a row that the other view labelled weighs beside a labelled one.
 TOLD_WEIGHT = 0.1
 ACCEPT = 0.5
@@ -332,7 +334,10 @@ def pool_rows(docs: DataFrame, labels: DataFrame, words: dict[bytes, int]) -> Da
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("node"), pa.array(held, pa.binary()), pa.array(made, pa.binary())], ["doc_id", "node", "held", "meta"]).filter(pa.array(full, pa.bool_()))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("node"), "text", "lang", "source").mapInArrow(work, "doc_id long, node long, held binary, meta binary")
-    free = rows.join(marked(labels).select("doc_id", "label"), "doc_id", "left")
+    known = marked(labels)
+    # Said beforehand, so that a plan changed at run time does not make the features twice.
+    known = F.broadcast(known) if known.count() <= BROADCAST_LABELS else known
+    free = rows.join(known, "doc_id", "left")
     one = free.groupBy("node").agg(F.max("label").alias("label"), F.min(F.struct("held", "meta")).alias("row"))
     return checkpoint(one.filter("label is null").select("node", "row.held", "row.meta"))
 
