@@ -30,13 +30,18 @@ STEPS = 10_000
 
 
 def spine(df: DataFrame, keys: list[str], time: str = "time", step: str = "INTERVAL '1' HOUR", until: str | None = None) -> DataFrame:
-    """Every step from the least to the greatest time of all rows, for each key; runs of steps are dealt out before they are made."""
-    ends = df.agg(F.min(time).alias("a"), F.max(until or time).alias("b")).first()
+    """Every step from the least to the greatest time of all rows, for each key; runs of steps are dealt out before they are made.
+
+    The first time travels as text and the length as an interval, so neither the
+    driver's nor the session's time zone can move it.
+    """
+    first, last = F.min(F.col(time).cast("timestamp_ntz")), F.max(F.col(until or time).cast("timestamp_ntz"))
+    ends = df.agg(first.cast("string").alias("a"), (last - first).alias("long")).first()
     named = df.select(*keys).distinct() if keys else df.sparkSession.range(1).drop("id")
     if ends["a"] is None:
         return named.withColumn(time, F.lit(None).cast("timestamp_ntz")).limit(0)
     seconds = df.sparkSession.sql(f"SELECT unix_seconds(TIMESTAMP'1970-01-01 00:00:00+00:00' + {step}) AS s").first()["s"]
-    whole = int((ends["b"] - ends["a"]).total_seconds()) // seconds
+    whole = int(ends["long"].total_seconds()) // seconds
     second = lambda n: F.lit(ends["a"]).cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), n.cast("decimal(18,6)"))
     runs = named.withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(whole // STEPS).cast("long"))))
     if whole >= STEPS:
