@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,20 +24,29 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage through the shared folder that the session names.
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path in the shared folder that the session names for checkpoints.
 
     Only where neither the session nor the context names one is a temporary
     folder set, and only on a local master: on a cluster each machine would write
-    to its own disk.  Old checkpoints go with their DataFrames where the session
-    sets spark.cleaner.referenceTracking.cleanCheckpoints.
+    to its own disk.
     """
-    sc = df.sparkSession.sparkContext
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="isohyet-checkpoint-"))
+    return f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared folder that the session names.
+
+    Old checkpoints go with their DataFrames where the session sets
+    spark.cleaner.referenceTracking.cleanCheckpoints.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isohyet.llm import chat, cotraining, decontaminate, mixing, ppm, sharding, simhash, spelling, spotsigs, substrings, tagpaths
+from isohyet.llm import chat, cotraining, decontaminate, hardneg, hnsw, mixing, ppm, sharding, simhash, spelling, spotsigs, substrings, tagpaths
 from isohyet.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,10 +54,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardneg.mine(table(spark, sf_dir, "embeddings"), hardneg.shifted_label())
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(table(spark, sf_dir, "documents"))
 
 
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     found = {name: made for name, made in globals().items() if name.startswith("op") and callable(made)}
     return dict(sorted(found.items(), key=lambda x: int(x[0][2:].split("_")[0])))
@@ -69,4 +77,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_poisson_mixing": mixing.ORACLE_SQL,
         "op7_decontamination": decontaminate.ORACLE_SQL,
         "op8_chat_formatting": chat.ORACLE_SQL,
+        "op11_hard_negatives": hardneg.ORACLE_SQL,
     }
