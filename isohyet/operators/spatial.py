@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -176,59 +176,92 @@ def zonal_sum(cells: DataFrame, weights: DataFrame, key: str, values: list[str],
     return joined.groupBy(key, time).agg(*made)
 
 
-def _clip_ring(ring: np.ndarray, west: float, south: float, east: float, north: float) -> np.ndarray:
-    """The part of a ring inside a rectangle, edge after edge."""
-    for axis, bound, sign in ((0, west, 1), (0, east, -1), (1, south, 1), (1, north, -1)):
-        if not len(ring):
-            break
-        inside = sign * (ring[:, axis] - bound) >= 0
-        out = []
-        for k in range(len(ring)):
-            a, b = ring[k - 1], ring[k]
-            if inside[k] != inside[k - 1]:
-                t = (bound - a[axis]) / (b[axis] - a[axis])
-                out.append(a + t * (b - a))
-            if inside[k]:
-                out.append(b)
-        ring = np.array(out).reshape(-1, 2)
-    return ring
-
-
-def _area(ring: np.ndarray) -> float:
-    if len(ring) < 3:
-        return 0.0
-    s = np.sin(np.radians(ring[:, 1]))
-    q = (1 - E2) * (s / (1 - E2 * s * s) - np.log((1 - E1 * s) / (1 + E1 * s)) / (2 * E1))
-    x = ring[:, 0]
-    return float(abs(np.dot(x, np.roll(q, -1)) - np.dot(q, np.roll(x, -1))) / 2)
+def authalic_number(lat: np.ndarray) -> np.ndarray:
+    """``authalic`` of numbers."""
+    s = np.sin(np.radians(lat))
+    return (1 - E2) * (s / (1 - E2 * s * s) - np.log((1 - E1 * s) / (1 + E1 * s)) / (2 * E1))
+
+
+def _pieces(ring: np.ndarray, grid: Grid) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A ring's edges cut at all grid lines: rows, columns and (x0, q0, x1, q1) of the pieces; each lies in one cell."""
+    a, b = ring, np.roll(ring, -1, axis=0)
+    start, step = np.array([grid.west, grid.south]), np.array([grid.dlon, grid.dlat])
+    ga, gb = (a - start) / step, (b - start) / step
+    edge, t = [np.arange(len(a)), np.arange(len(a))], [np.zeros(len(a)), np.ones(len(a))]
+    for axis in (0, 1):
+        low, high = np.minimum(ga[:, axis], gb[:, axis]), np.maximum(ga[:, axis], gb[:, axis])
+        first, many = np.floor(low) + 1, np.maximum(np.ceil(high) - np.floor(low) - 1, 0).astype(int)
+        row = np.repeat(np.arange(len(a)), many)
+        line = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        edge.append(row)
+        t.append((line - ga[row, axis]) / (gb[row, axis] - ga[row, axis]))
+    edge, t = np.concatenate(edge), np.concatenate(t)
+    order = np.lexsort((t, edge))
+    edge, t = edge[order], t[order]
+    at = a[edge] + t[:, None] * (b - a)[edge]
+    same = edge[1:] == edge[:-1]
+    p, r = at[:-1][same], at[1:][same]
+    middle = ((p + r) / 2 - start) / step
+    return np.floor(middle[:, 1]).astype(int), np.floor(middle[:, 0]).astype(int), np.stack([p[:, 0], authalic_number(p[:, 1]), r[:, 0], authalic_number(r[:, 1])], axis=1)
+
+
+def cell_areas(rings: list[np.ndarray], grid: Grid, first: int, last: int) -> tuple[np.ndarray, int, np.ndarray]:
+    """Rows first to last of the grid: the first column that the polygon meets, and the areas of its overlaps from there on.
+
+    Every piece of an edge adds the area between it and its cell's west side to its
+    own cell and a whole cell's width to the cells further west in its row, so a
+    running sum from the east gives all overlaps: cells inside are never clipped.
+    The first ring is counted once as positive, the others (holes) as negative.
+    """
+    parts = []
+    for k, ring in enumerate(rings):
+        turn = np.sign((ring[:, 0] * np.roll(ring[:, 1], -1) - np.roll(ring[:, 0], -1) * ring[:, 1]).sum())
+        i, j, e = _pieces(ring, grid)
+        held = (i >= first) & (i <= last) & (j >= 0)
+        parts.append((i[held], np.minimum(j[held], grid.columns), e[held], np.full(held.sum(), turn if k == 0 else -turn)))
+    i, j, e, sign = (np.concatenate(x) for x in zip(*parts, strict=True))
+    west = max(0, min((int(np.floor((r[:, 0].min() - grid.west) / grid.dlon)) for r in rings), default=0))
+    wide = max(0, int(j.max(initial=-1)) + 1 - west)
+    dq = sign * (e[:, 3] - e[:, 1])
+    cover, own = np.zeros((last - first + 1, wide + 1)), np.zeros((last - first + 1, wide + 1))
+    np.add.at(cover, (i - first, j - west), dq)
+    np.add.at(own, (i - first, j - west), dq * ((e[:, 0] + e[:, 2]) / 2 - (grid.west + j * grid.dlon)))
+    beyond = np.cumsum(cover[:, ::-1], axis=1)[:, ::-1] - cover
+    area = (own + beyond * grid.dlon)[:, : max(0, min(wide, grid.columns - west))]
+    rows = np.arange(first, last + 1)
+    cell = grid.dlon * (authalic_number(grid.south + (rows + 1) * grid.dlat) - authalic_number(grid.south + rows * grid.dlat))
+    return area, west, cell
+
+
+#: Grid rows of a polygon in one task.
+STRIP = 256
 
 
 def polygon_overlaps(polygons: DataFrame, grid: Grid, key: str) -> DataFrame:
-    """overlap of general polygons, rings array<array<struct<x,y>>> (the first outer, the rest holes), clipped cell by cell."""
-    ends = F.flatten(F.transform("rings", lambda r: r))
-    boxed = polygons.withColumns({
-        "west": F.array_min(F.transform(ends, lambda p: p["x"])), "east": F.array_max(F.transform(ends, lambda p: p["x"])),
-        "south": F.array_min(F.transform(ends, lambda p: p["y"])), "north": F.array_max(F.transform(ends, lambda p: p["y"])),
-    })
-    rows = boxed.withColumn("lat_idx", F.explode(_candidates(F.col("south"), F.col("north"), grid.south, grid.dlat, grid.rows))).select(
-        key, "rings", "lat_idx", _candidates(F.col("west"), F.col("east"), grid.west, grid.dlon, grid.columns).alias("columns")
-    )
-
-    def work(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for name, rings, i, columns in zip(frame[key], frame["rings"], frame["lat_idx"], frame["columns"], strict=True):
-                rings = [np.array([(p["x"], p["y"]) for p in r], float) for r in rings]
-                s, n = grid.south + i * grid.dlat, grid.south + (i + 1) * grid.dlat
-                for j in columns:
-                    w, e = grid.west + j * grid.dlon, grid.west + (j + 1) * grid.dlon
-                    parts = [_area(_clip_ring(r, w, s, e, n)) for r in rings]
-                    cell = _area(np.array([(w, s), (e, s), (e, n), (w, n)]))
-                    if (area := parts[0] - sum(parts[1:])) > 1e-15:
-                        out.append((name, i, j, area / cell))
-            yield pd.DataFrame(out, columns=[key, "lat_idx", "lon_idx", "overlap"])
+    """overlap of general polygons, rings array<array<struct<x,y>>> (the first outer, the rest holes).
 
-    return rows.mapInPandas(work, f"{key} {dict(polygons.dtypes)[key]}, lat_idx int, lon_idx int, overlap double")
+    A task holds a polygon and STRIP rows of the grid; its work grows with the
+    edges, the grid lines that they cross and the cells, not with their product.
+    """
+    ends = F.flatten("rings")
+    low, high = (f(F.transform(ends, lambda p: p["y"])) for f in (F.array_min, F.array_max))
+    at = lambda y: F.floor((y - grid.south) / grid.dlat).cast("int")
+    first, last = F.greatest(at(low), F.lit(0)), F.least(at(high), F.lit(grid.rows - 1))
+    boxed = polygons.select(key, "rings", first.alias("_first"), last.alias("_last")).filter("_first <= _last")
+    strips = boxed.withColumn("_strip", F.explode(F.sequence(F.col("_first"), F.col("_last"), F.lit(STRIP))))
+    rows = strips.select(key, "rings", F.col("_strip").alias("_first"), F.least(F.col("_strip") + (STRIP - 1), "_last").alias("_last"))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                rings = [np.array([(p["x"], p["y"]) for p in r], float) for r in batch["rings"][k].as_py() if r]
+                begin = batch["_first"][k].as_py()
+                area, west, cell = cell_areas(rings, grid, begin, batch["_last"][k].as_py())
+                i, j = np.nonzero(area > 1e-15)
+                told = [batch[key].take(pa.array(np.full(len(i), k))), pa.array((i + begin).astype(np.int32)), pa.array((j + west).astype(np.int32)), pa.array(area[i, j] / cell[i])]
+                yield pa.RecordBatch.from_arrays(told, names=[key, "lat_idx", "lon_idx", "overlap"])
+
+    return rows.mapInArrow(work, f"`{key}` {dict(polygons.dtypes)[key]}, lat_idx int, lon_idx int, overlap double")
 
 
 def bilinear_weights(targets: DataFrame, grid: Grid) -> DataFrame:
@@ -241,6 +274,68 @@ def bilinear_weights(targets: DataFrame, grid: Grid) -> DataFrame:
     return four.filter(inside & (clip("weight", 0.0) > 1e-12))
 
 
+def curvilinear_weights(targets: DataFrame, centres: DataFrame, step: float | None = None) -> DataFrame:
+    """Four source cells (y, x) and weights for each target (target_id, lat, lon) in a grid whose centres (y, x, lat, lon) lie anywhere.
+
+    Each quadrilateral of neighbouring centres is posted to the squares of ``step``
+    degrees that its box meets, and targets look in their own square, so both meet
+    by an equi-join.  In a quadrilateral the position (u, v) solves a quadratic
+    equation.  A target on a common edge takes the quadrilateral that comes first;
+    one outside of all has no rows.  ``step`` is by default the mean size of the
+    quadrilaterals, from one pass over them.
+    """
+    corner = lambda dy, dx, name: centres.select((F.col("y") - dy).alias("y"), (F.col("x") - dx).alias("x"), F.struct(F.col("lon").alias("x"), F.col("lat").alias("y")).alias(name))
+    quads = corner(0, 0, "a").join(corner(0, 1, "b"), ["y", "x"]).join(corner(1, 0, "c"), ["y", "x"]).join(corner(1, 1, "d"), ["y", "x"])
+    for side, f, axis in (("west", F.least, "x"), ("east", F.greatest, "x"), ("south", F.least, "y"), ("north", F.greatest, "y")):
+        quads = quads.withColumn(side, f(*[F.col(f"{p}.{axis}") for p in "abcd"]))
+    if step is None:
+        mean = quads.agg(F.avg(F.greatest(F.col("east") - F.col("west"), F.col("north") - F.col("south"))).alias("s")).first()["s"]
+        step = mean or 1.0
+    square = lambda c: F.floor(c / step)
+    posted = quads.withColumn("_i", F.explode(F.sequence(square(F.col("west")), square(F.col("east"))))).withColumn("_j", F.explode(F.sequence(square(F.col("south")), square(F.col("north")))))
+    asked = targets.select("target_id", F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), square(F.col("lon")).alias("_i"), square(F.col("lat")).alias("_j"))
+    near = asked.join(posted, ["_i", "_j"]).filter(F.col("_lon").between(F.col("west") - SLIVER, F.col("east") + SLIVER) & F.col("_lat").between(F.col("south") - SLIVER, F.col("north") + SLIVER))
+
+    def part(name: str) -> tuple[Column, Column]:
+        return F.col(f"{name}.x"), F.col(f"{name}.y")
+
+    (ax, ay), (bx, by), (cx, cy), (dx, dy) = (part(p) for p in "abcd")
+    # target = a + u e + v f + u v g
+    ex, ey, fx, fy, gx, gy = bx - ax, by - ay, cx - ax, cy - ay, ax - bx - cx + dx, ay - by - cy + dy
+    hx, hy = F.col("_lon") - ax, F.col("_lat") - ay
+    k2, k1, k0 = gx * fy - gy * fx, ex * fy - ey * fx + hx * gy - hy * gx, hx * ey - hy * ex
+    near = near.withColumns({"_k2": k2, "_k1": k1, "_k0": k0})
+    root = F.sqrt(F.greatest(F.col("_k1") * F.col("_k1") - 4 * F.col("_k0") * F.col("_k2"), F.lit(0.0)))
+    # the form without cancellation, which also holds where the quadratic term is nothing
+    q = -0.5 * (F.col("_k1") + F.when(F.col("_k1") < 0, -root).otherwise(root))
+    solved = near.withColumn("_v", F.explode(F.array(ratio(F.col("_k0"), q), F.when(F.abs("_k2") > 1e-14, ratio(q, F.col("_k2"))))))
+    across, up = ex + F.col("_v") * gx, ey + F.col("_v") * gy
+    u = F.when(F.abs(across) > F.abs(up), ratio(hx - F.col("_v") * fx, across)).otherwise(ratio(hy - F.col("_v") * fy, up))
+    inside = solved.withColumn("_u", u).filter(F.col("_u").between(-SLIVER, 1 + SLIVER) & F.col("_v").between(-SLIVER, 1 + SLIVER))
+    first = inside.groupBy("target_id").agg(F.min(F.struct("y", "x", F.col("_u").alias("u"), F.col("_v").alias("v"))).alias("q"))
+    u, v = clip(F.col("q.u"), 0.0, 1.0), clip(F.col("q.v"), 0.0, 1.0)
+    four = F.array(*[
+        F.struct((F.col("q.y") + down).alias("y"), (F.col("q.x") + right).alias("x"), ((v if down else 1 - v) * (u if right else 1 - u)).alias("weight"))
+        for down in (0, 1) for right in (0, 1)
+    ])
+    return first.select("target_id", F.explode(four).alias("w")).select("target_id", "w.*").filter("weight > 1e-12")
+
+
+def regrid_curvilinear(cells: DataFrame, targets: DataFrame, centres: DataFrame, values: list[str], time: str = "time", step: float | None = None) -> DataFrame:
+    """Bilinear values at targets from cells (y, x, time, values) of a curvilinear grid; a target that lacks a source value has none."""
+    weights = curvilinear_weights(targets, centres, step)
+    joined = cells.join(F.broadcast(weights) if weights.count() <= BROADCAST_WEIGHTS else weights, ["y", "x"])
+    made = [F.when(F.abs(F.sum(F.when(F.col(v).isNotNull(), F.col("weight"))) - 1) < 1e-9, F.sum(F.col(v) * F.col("weight"))).alias(v) for v in values]
+    return joined.groupBy("target_id", time).agg(*made)
+
+
+def regular_targets(spark: SparkSession, box: BoundingBox, step: float) -> DataFrame:
+    """target_id, lat, lon of a regular grid from the box's south-west corner up to, but without, its north and east sides."""
+    rows, columns = (math.ceil(round((b - a) / step, 9)) for a, b in ((box.south, box.north), (box.west, box.east)))
+    ids = spark.range(rows * columns)
+    return ids.select(F.col("id").alias("target_id"), (box.south + F.floor(F.col("id") / columns) * step).alias("lat"), (box.west + F.col("id") % columns * step).alias("lon"))
+
+
 def lambert_forward(lat: Column, lon: Column, lat_1: float = 50.0, lat_2: float = 50.0, lat_0: float = 50.0, lon_0: float = -107.0, radius: float = 6_371_229.0) -> tuple[Column, Column]:
     """x and y of the spherical Lambert conformal conic projection."""
     n, f, origin = _lambert(lat_1, lat_2, lat_0, radius)
