@@ -74,7 +74,23 @@ def extra_radiation_hourly(time: Column, elevation_deg: Number) -> Column:
     return 1366.1 * distance * clip(F.sin(F.radians(col(elevation_deg))), 0.0)
 
 
-def clearsky_ineichen(elevation_deg: Number, day: Column, turbidity: Number = 3.0, altitude_m: Number = 0.0) -> Column:
+#: Where no climatology tells the turbidity.
+CLEAR_TURBIDITY = 3.0
+#: Middles of the months as days of a year of 365 days.
+MONTH_MIDDLES = (16.0, 45.0, 74.5, 105.0, 135.5, 166.0, 196.5, 227.5, 258.0, 288.5, 319.0, 349.5)
+
+
+def monthly_at(day: Column, monthly: Column) -> Column:
+    """The value at a day of the year between the middles of two months, from an array of twelve; the year is a ring."""
+    day = day.cast("double")
+    before = sum((F.when(day >= m, 1).otherwise(0) for m in MONTH_MIDDLES), F.lit(0))
+    middles = F.array(*[F.lit(x) for x in (MONTH_MIDDLES[-1] - 365.0, *MONTH_MIDDLES, MONTH_MIDDLES[0] + 365.0)])
+    values = F.concat(F.slice(monthly, 12, 1), monthly, F.slice(monthly, 1, 1))
+    x0, x1, v0, v1 = F.get(middles, before), F.get(middles, before + 1), F.get(values, before), F.get(values, before + 1)
+    return v0 + (v1 - v0) * (day - x0) / (x1 - x0)
+
+
+def clearsky_ineichen(elevation_deg: Number, day: Column, turbidity: Number = CLEAR_TURBIDITY, altitude_m: Number = 0.0) -> Column:
     """The published Ineichen and Perez global irradiance; turbidity and altitude may be columns."""
     high, haze = col(altitude_m), col(turbidity)
     fh1, fh2 = F.exp(-high / 8000), F.exp(-high / 1250)

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from isohyet.functions.cols import clip, ratio
+from isohyet.functions.radiation import monthly_at
 
 E2 = 0.0066943799901413165
 E1 = math.sqrt(E2)
@@ -274,6 +275,21 @@ def bilinear_weights(targets: DataFrame, grid: Grid) -> DataFrame:
     return four.filter(inside & (clip("weight", 0.0) > 1e-12))
 
 
+def with_monthly(df: DataFrame, climate: DataFrame, grid: Grid, name: str, default: float | None = None, time: str = "time") -> DataFrame:
+    """name: the value of a monthly raster (lat_idx, lon_idx, month, name) at each row's place and day, between the middles of months.
+
+    Rows (lat, lon, time) meet the raster's cells by index arithmetic and one
+    equi-join; a cell's months are one array.  Rows outside the raster, or between
+    months of which one is missing, take the default.
+    """
+    months = climate.groupBy("lat_idx", "lon_idx").agg(F.map_from_entries(F.collect_list(F.struct("month", name))).alias("_by"))
+    table = months.select(F.col("lat_idx").alias("_r"), F.col("lon_idx").alias("_c"), F.array(*[F.col("_by")[F.lit(m)] for m in range(1, 13)]).alias("_monthly"))
+    at = df.withColumns({"_r": F.floor((F.col("lat") - grid.south) / grid.dlat).cast("int"), "_c": F.floor((F.col("lon") - grid.west) / grid.dlon).cast("int")})
+    small = F.broadcast(table) if table.count() <= BROADCAST_WEIGHTS else table
+    value = monthly_at(F.dayofyear(time), F.col("_monthly"))
+    return at.join(small, ["_r", "_c"], "left").withColumn(name, value if default is None else F.coalesce(value, F.lit(default))).drop("_r", "_c", "_monthly")
+
+
 def curvilinear_weights(targets: DataFrame, centres: DataFrame, step: float | None = None) -> DataFrame:
     """Four source cells (y, x) and weights for each target (target_id, lat, lon) in a grid whose centres (y, x, lat, lon) lie anywhere.
 

@@ -201,11 +201,17 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _grid(name: str, box: sp.BoundingBox, step: float) -> None:
+    """The cells that tile a box, with the number of positions that fall into each."""
     rows, columns = round((box.north - box.south) / step), round((box.east - box.west) / step)
+    row, column = f"CAST(floor((lat - {box.south!r}e0) / {step!r}e0) AS INT)", f"CAST(floor((lon - {box.west!r}e0) / {step!r}e0) AS INT)"
+    tiles = f"SELECT CAST(i AS INT) AS row_id, CAST(j AS INT) AS column_id, round({box.south!r}e0 + (i + 0.5e0) * {step!r}e0, 6) AS lat, round({box.west!r}e0 + (j + 0.5e0) * {step!r}e0, 6) AS lon FROM range({rows}) a(i), range({columns}) b(j)"
 
-    @query(name, f"SELECT CAST(i AS INT) AS row_id, CAST(j AS INT) AS column_id, round({box.south!r}e0 + (i + 0.5e0) * {step!r}e0, 6) AS lat, round({box.west!r}e0 + (j + 0.5e0) * {step!r}e0, 6) AS lon FROM range({rows}) a(i), range({columns}) b(j)")
+    @query(name, f"{ctes('cells')}, g AS ({tiles}), h AS (SELECT {row} AS row_id, {column} AS column_id, count(*) AS n FROM cells GROUP BY 1, 2) SELECT row_id, column_id, lat, lon, coalesce(n, 0) AS n FROM g LEFT JOIN h USING (row_id, column_id)")
     def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return sp.generate_grid(spark, box, step).select("row_id", "column_id", "lat", "lon")
+        tiles = sp.generate_grid(spark, box, step).select("row_id", "column_id", "lat", "lon")
+        at = lambda c, start: F.floor((F.col(c) - start) / step).cast("int")
+        hits = view(spark, sf_dir, "cells").groupBy(at("lat", box.south).alias("row_id"), at("lon", box.west).alias("column_id")).agg(F.count(F.lit(1)).alias("n"))
+        return tiles.join(hits, ["row_id", "column_id"], "left").na.fill({"n": 0})
 
 
 _grid("grid_cells_nldas", sp.BoundingBox(-97.5, 43.0, -89.0, 50.0), 0.125)

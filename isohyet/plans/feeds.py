@@ -312,9 +312,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return legacy.run_problems(view(spark, sf_dir, "polygons"), "polygon_index", sp.BoundingBox(-95.5, 44.2, -93.5, 45.8), date(2001, 1, 1), date(2001, 1, 20))
 
 
-@query("days", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date FROM (SELECT unnest(generate_series(TIMESTAMP '2000-02-27', TIMESTAMP '2000-03-01', INTERVAL 1 DAY)) AS d)")
+@query("days", "SELECT CAST(CAST(d AS DATE) AS VARCHAR) AS date, count(o_orderkey) AS orders FROM (SELECT unnest(generate_series(TIMESTAMP '1994-12-31', TIMESTAMP '1996-02-29', INTERVAL 1 DAY)) AS d) LEFT JOIN orders ON CAST(o_orderdate AS DATE) = CAST(d AS DATE) GROUP BY 1")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ti.days(spark, "2000-02-27", "2000-03-02").select(F.col("date").cast("string").alias("date"))
+    """Orders of every day of a range, days without any as well; its end is not in it."""
+    placed = spark.read.parquet(f"{sf_dir}/orders.parquet").select(F.to_date("o_orderdate").alias("date"), "o_orderkey")
+    counted = ti.days(spark, "1994-12-31", "1996-03-01").join(placed, "date", "left").groupBy("date").agg(F.count("o_orderkey").alias("orders"))
+    return counted.select(F.col("date").cast("string").alias("date"), "orders")
 
 
 # --- data sets by number, first rows, unions ------------------------------------------------------------

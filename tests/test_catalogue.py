@@ -1,7 +1,7 @@
 import duckdb
 import pytest
 
-from isohyet.plans import catalogue, feeds  # noqa: F401
+from isohyet.plans import catalogue, feeds, grids  # noqa: F401
 from isohyet.plans.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
