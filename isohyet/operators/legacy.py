@@ -12,9 +12,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isohyet.functions.cols import Number, acos, clip, col, ratio
+from isohyet.functions.cols import Number, clip, col, ratio
 from isohyet.functions.thermo import celsius_to_fahrenheit, dewpoint_from_specific_humidity_cc, kelvin_to_fahrenheit, vapor_pressure_lamoreux, wind_speed
 from isohyet.operators.cascade import DEFAULT, CascadeParameters, hybrid
+from isohyet.operators.disaggregate import solar_plateau
 from isohyet.operators.spatial import BoundingBox, contained
 from isohyet.operators.time import hours, period_start, upsample
 
@@ -31,15 +32,7 @@ def penman_pan(tmin_f: Number, tmax_f: Number, dew_f: Number, wind_miles: Number
 
 def day_share(time: Column, lat: Column) -> Column:
     """The hour's share of a day's evaporation, as it comes: shares of a day need not sum to 1.  Days count 30.5 to the month."""
-    hour, day = F.hour(time).cast("double"), 30.5 * (F.month(time) - 1) + F.dayofmonth(time)
-    decl = 0.40928 * F.cos(0.0172141 * (172.0 - day))
-    long = 7.6394 * acos(-F.tan(F.radians(lat)) * F.tan(decl))
-    rise, quarter, half = 12.0 - long / 2, long / 4, long / 2
-    flat = 0.66666667 / half
-    slope = flat / quarter
-    up, top, down = rise + quarter, rise + quarter + half, rise + long
-    made = F.when((hour > rise) & (hour <= up), (hour - rise) * slope).when((hour > up) & (hour <= top), flat).when((hour > top) & (hour <= down), flat - (hour - top) * slope)
-    return F.coalesce(made, F.lit(0.0))
+    return solar_plateau(F.hour(time).cast("double"), 30.5 * (F.month(time) - 1) + F.dayofmonth(time), lat, 0.66666667)
 
 
 def zone_hours(cells: DataFrame, fractions: DataFrame, key: str, utc_offset: int = 6) -> DataFrame:

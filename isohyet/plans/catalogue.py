@@ -530,9 +530,8 @@ def _pet_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return met.groupBy((F.round((F.col("lat") - 44.0) * 10 - 0.5).cast("int") % 3).alias("zone"), F.col("date").alias("time")).agg((F.avg("solar_mj") / 2.45).alias("pet_mm"), F.max("lat").alias("lat"))
 
 
-@query("disagg_sum_trapezoidal", f"""{PET_DAILY}, g AS (SELECT *, hour(time) AS h, {TRAP_LONG} AS d, 12e0 - {TRAP_LONG} / 2 AS rise FROM hours),
-t AS (SELECT *, CASE WHEN h > rise AND h <= rise + d / 4 THEN (h - rise) * ((2e0 / 3) / (d / 2) / (d / 4)) WHEN h > rise + d / 4 AND h <= rise + d / 4 + d / 2 THEN (2e0 / 3) / (d / 2)
-  WHEN h > rise + d / 4 + d / 2 AND h <= rise + d THEN (2e0 / 3) / (d / 2) - (h - (rise + d / 4 + d / 2)) * ((2e0 / 3) / (d / 2) / (d / 4)) ELSE 0e0 END AS f FROM g)
+@query("disagg_sum_trapezoidal", f"""{PET_DAILY}, g AS (SELECT *, abs(hour(time) - 12e0) AS noon, {TRAP_LONG} / 2 AS half FROM hours),
+t AS (SELECT *, CASE WHEN half > 0 THEN (2e0 / 3) / half * least(greatest((half - noon) / (half / 2), 0e0), 1e0) ELSE 0e0 END AS f FROM g)
 SELECT zone, time, round(pet_mm * f / sum(f) OVER (PARTITION BY zone, p), 6) AS pet_mm FROM t""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(dis.disaggregate_pet_trapezoidal(_pet_daily(spark, sf_dir), keys=["zone"], value="pet_mm", lat="lat"), "pet_mm")

@@ -283,8 +283,8 @@ SHARE_D = "(7.6394e0 * acos(least(greatest(-tan(radians(lat)) * tan(0.40928e0 *
 
 
 @query("legacy_hourly_pan", f"""{LEGACY}, z AS (SELECT polygon_index, (south + north) / 2 AS lat FROM polygons), u AS (SELECT p.polygon_index, lat, p.time + INTERVAL 1 HOUR * h AS time, h, pan_in FROM pans p JOIN z USING (polygon_index), range(24) r(h)),
-g AS (SELECT *, {SHARE_D} AS d, 12e0 - {SHARE_D} / 2 AS rise, 0.66666667e0 / ({SHARE_D} / 2) AS flat FROM u)
-SELECT polygon_index, time, round(pan_in * CASE WHEN h > rise AND h <= rise + d / 4 THEN (h - rise) * (flat / (d / 4)) WHEN h > rise + d / 4 AND h <= rise + d / 4 + d / 2 THEN flat WHEN h > rise + d / 4 + d / 2 AND h <= rise + d THEN flat - (h - (rise + d / 4 + d / 2)) * (flat / (d / 4)) ELSE 0e0 END, 6) AS pan_in FROM g""")
+g AS (SELECT *, abs(h - 12e0) AS noon, {SHARE_D} / 2 AS half FROM u)
+SELECT polygon_index, time, round(pan_in * CASE WHEN half > 0 THEN 0.66666667e0 / half * least(greatest((half - noon) / (half / 2), 0e0), 1e0) ELSE 0e0 END, 6) AS pan_in FROM g""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     lats = view(spark, sf_dir, "polygons").select("polygon_index", ((F.col("south") + F.col("north")) / 2).alias("lat"))
     made = legacy.spread_evaporation(_legacy_pan(spark, sf_dir), lats, "polygon_index")

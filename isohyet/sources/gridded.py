@@ -22,7 +22,7 @@ from isohyet.sources.canonical import RESOLUTION, SOURCES, canonical
 
 Loader = Callable[[DataFrame], DataFrame]
 PRISM_RESOLUTIONS = {"4km": "25m", "800m": "30s"}
-#: Words by which a radar file's precipitation is known, besides its usual names.
+# Names of a radar file's precipitation, and words by which it is known otherwise.
 RAIN_NAMES, RAIN_WORDS = ("unknown", "paramId_0", "tp", "APCP"), ("precip", "rain")
 
 
@@ -75,8 +75,8 @@ def radar(df: DataFrame) -> DataFrame:
 
 
 def wide(tidy: DataFrame, variables: list[str]) -> DataFrame:
-    """Tidy rows to a column per variable; the names are given, so that no pass looks for them."""
-    return tidy.groupBy("time", "lat", "lon").pivot("variable", variables).agg(F.first("value", ignorenulls=True))
+    """Tidy rows to a column per variable; the names are given, so that no pass looks for them.  Of rows that repeat the greatest value stays."""
+    return tidy.groupBy("time", "lat", "lon").pivot("variable", variables).agg(F.max("value"))
 
 
 def fetch(

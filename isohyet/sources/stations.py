@@ -44,11 +44,16 @@ def html_fields(pages: DataFrame, column: str, patterns: dict[str, str], require
     return pages.withColumns(found).dropna(subset=list(required) or None, how="any") if required else pages.withColumns(found)
 
 
-#: Patterns of a station page: number, coordinates in degrees, elevation and period of record.
-NDAWN_PAGE = {
-    "lat": r"(?s)Latitude:.*?<td>\s*([-\d.]+)\s*&deg;", "lon": r"(?s)Longitude:.*?<td>\s*([-\d.]+)\s*&deg;",
-    "elevation_ft": r"(?s)Elevation:.*?<td>\s*([\d.]+)\s*feet", "period_of_record": r"(?s)Period of record:.*?<td>\s*(.*?)\s*</td>",
-}
+def labelled_cell(page: Column, label: str) -> Column:
+    """What the table cell after a label says, up to the next tag; NULL where a page lacks the label or a cell after it."""
+    pieces = F.split(page, "(?i)<td[^>]*>")
+    at = F.array_position(F.transform(pieces, lambda p: p.contains(f"{label}:")), True)
+    return F.trim(F.regexp_replace(F.substring_index(F.when(at > 0, F.get(pieces, at.cast("int"))), "<", 1), r"\s+", " "))
+
+
+def leading_number(text: Column) -> Column:
+    """The number that a text begins with, whatever unit follows."""
+    return F.regexp_extract(text, r"^\s*([-+]?\d+(?:\.\d*)?)", 1).try_cast("double")
 
 
 def csv_rows(lines: DataFrame, header: str, column: str = "value") -> DataFrame:
@@ -90,16 +95,18 @@ def parse_ndawn(spark: SparkSession, path: str, hourly: bool = True) -> DataFram
 
 
 def ndawn_links(pages: DataFrame, column: str = "html") -> DataFrame:
-    """name, internal_id and url of the stations that a map page links."""
-    areas = pages.select(F.explode(F.regexp_extract_all(column, F.lit(r"(<area[^>]*>)"))).alias("a"))
-    found = areas.select(F.regexp_extract("a", 'title="([^"]+)"', 1).alias("name"), F.regexp_extract("a", 'href="([^"]+)"', 1).alias("url"))
-    return found.select("name", F.regexp_extract("url", r"[?]station=(\d+)", 1).alias("internal_id"), "url").filter("internal_id <> ''")
+    """name, internal_id and url of the stations that a map page links; links to other pages go."""
+    tags = pages.select(F.explode(F.regexp_extract_all(column, F.lit("(?i)<area\\b[^>]*>"), F.lit(0))).alias("tag"))
+    said = lambda name: F.nullif(F.regexp_extract("tag", f'(?i)\\b{name}="([^"]*)"', 1), F.lit(""))
+    found = tags.select(said("title").alias("name"), said("href").alias("url"))
+    return found.select("name", F.try_parse_url("url", F.lit("QUERY"), F.lit("station")).alias("internal_id"), "url").dropna()
 
 
 def ndawn_details(pages: DataFrame, column: str = "html") -> DataFrame:
     """pages with lat, lon, elevation_ft and period_of_record; pages without coordinates go."""
-    found = html_fields(pages, column, NDAWN_PAGE, ("lat", "lon"))
-    return found.withColumns({c: F.col(c).try_cast("double") for c in ("lat", "lon", "elevation_ft")})
+    cell = lambda label: labelled_cell(F.col(column), label)
+    found = {"lat": leading_number(cell("Latitude")), "lon": leading_number(cell("Longitude")), "elevation_ft": leading_number(cell("Elevation")), "period_of_record": cell("Period of record")}
+    return pages.withColumns(found).dropna(subset=["lat", "lon"])
 
 
 def with_station_id(observations: DataFrame, stations: DataFrame, name: str = "station_name") -> DataFrame:
