@@ -18,13 +18,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isohyet.operators import olsson
 from isohyet.operators.disaggregate import conserve_sum, normalise, with_period
-from isohyet.operators.time import hours
+from isohyet.operators.time import epoch_seconds, hours, infer_step_seconds
 
 LEVELS = 5
+#: Scales of the moments, and values of a run that holds whole blocks of all of them.
+SCALES = 6
+RUN = 1 << (SCALES - 1)
 ORDERS = tuple(0.5 * k for k in range(1, 11))
 
 
@@ -103,14 +107,29 @@ def to_hours(parts: DataFrame, key: str, value: str) -> DataFrame:
     return quarters.groupBy(*rest, F.col("time").alias("_period"), hour.alias("time")).agg(F.sum("_v").alias(value))
 
 
-def moment_scaling(series: DataFrame, key: str, value: str, time: str = "time") -> DataFrame:
-    """key, q, tau: minus the slope of log mean moments against log scale, over six dyadic scales."""
-    placed = series.withColumn("_p", F.row_number().over(Window.partitionBy(key).orderBy(time)) - 1).withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(key)))
-    whole = placed.filter(F.col("_p") < F.col("_n") - F.col("_n") % 32).select(key, "_p", F.col(value).alias("_v"))
-    scaled = whole.select(key, "_v", "_p", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("s"))
-    sums = scaled.groupBy(key, "s", F.floor(F.col("_p") / F.pow(F.lit(2.0), F.col("s"))).alias("_g")).agg(F.sum("_v").alias("_v"))
-    moments = sums.select(key, "s", "_v", F.explode(F.array(*[F.lit(q) for q in ORDERS])).alias("q")).groupBy(key, "s", "q").agg(F.avg(F.pow("_v", F.col("q"))).alias("m"))
-    return moments.filter("m > 0").groupBy(key, "q").agg((-F.regr_slope(F.log("m"), F.log(F.pow(F.lit(2.0), 5 - F.col("s"))))).alias("tau"))
+def moment_scaling(series: DataFrame, key: str, value: str, time: str = "time", step_seconds: int | None = None) -> DataFrame:
+    """key, q, tau: minus the slope of log mean moments against log scale, over six dyadic scales.
+
+    A row's place follows from its label and the step of the series (inferred
+    unless given), so nothing is ordered.  Runs of 32 neighbours are dealt out once;
+    in that dealing each scale adds up pairs of the one before it, without another
+    shuffle.  Values that are missing count as 0; the rest beyond whole runs is left out.
+    """
+    step = step_seconds or infer_step_seconds(series, time)
+    ends = series.groupBy(key).agg(F.min(epoch_seconds(time)).alias("_a"), F.max(epoch_seconds(time)).alias("_b"))
+    place, runs = ((epoch_seconds(time) - F.col("_a")) / step).cast("long"), F.floor(((F.col("_b") - F.col("_a")) / step + 1) / RUN)
+    placed = series.join(ends, key).select(key, F.floor(place / RUN).alias("_run"), (place % RUN).cast("int").alias("_at"), F.coalesce(value, F.lit(0.0)).alias("_v"), runs.alias("_runs"))
+    now = placed.filter("_run < _runs").drop("_runs").repartition(key, "_run")
+    scales = []
+    for s in range(SCALES):
+        if s:
+            now = now.groupBy(key, "_run", F.shiftright("_at", 1).alias("_at")).agg(F.sum("_v").alias("_v"))
+        scales.append(now.groupBy(key).agg(*[F.avg(F.pow("_v", F.lit(q))).alias(f"{q}") for q in ORDERS]).withColumn("s", F.lit(s)))
+    wide = scales[0]
+    for more in scales[1:]:
+        wide = wide.unionByName(more)
+    moments = wide.unpivot([key, "s"], [f"`{q}`" for q in ORDERS], "q", "m").withColumn("q", F.col("q").cast("double"))
+    return moments.filter("m > 0").groupBy(key, "q").agg((-F.regr_slope(F.log("m"), F.log(F.pow(F.lit(2.0), SCALES - 1 - F.col("s"))))).alias("tau"))
 
 
 def nelder_mead(f, start: list[float], steps: int = 400, tolerance: float = 1e-9) -> np.ndarray:
@@ -188,25 +207,22 @@ def fitted(fine: DataFrame, key: str, value: str) -> DataFrame:
     return fit_parameters(moment_scaling(fine.withColumn(value, F.coalesce(F.col(value), F.lit(0.0))), key, value), key)
 
 
-def even_handed(parameters: CascadeParameters | DataFrame) -> CascadeParameters | DataFrame:
-    """The same chances of dry halves, with wet halves of equal weight."""
-    if isinstance(parameters, DataFrame):
-        return parameters.withColumns({"amplitude": F.lit(1.0), "beta": F.lit(1.0)})
-    return CascadeParameters(1.0, 1.0, parameters.tau0)
-
-
 def disaggregate_precipitation(coarse: DataFrame, fine: DataFrame, key: str, value: str, method: str = "hybrid", parameters: CascadeParameters | DataFrame | None = None, seed: int = 0, offset_hours: int = 0) -> DataFrame:
-    """method: proportional, molnar_burlando, olsson (an even-handed cascade, approximate) or hybrid; parameters are fitted to fine unless given."""
+    """method: proportional, molnar_burlando, olsson or hybrid; parameters, or Olsson's statistics, are taken from fine unless given."""
     if method not in ("proportional", "molnar_burlando", "olsson", "hybrid"):
         raise ValueError("method must be proportional, molnar_burlando, olsson or hybrid")
     if method == "proportional":
         weights = normalise(fine, [key], F.col(value), offset_hours=offset_hours).drop(value)
         return conserve_sum(coarse, weights, [key], value, offset_hours=offset_hours)
-    parameters = fitted(fine, key, value) if parameters is None else parameters
-    if method == "hybrid":
-        return hybrid(coarse, fine, key, value, parameters, seed, offset_hours)
-    chosen = parameters if method == "molnar_burlando" else even_handed(parameters)
-    drawn = to_hours(cascade(coarse.select(key, "time", value), key, value, chosen, seed), key, value).drop("_period")
+    if method == "olsson":
+        told = olsson.statistics(fine, key, value) if parameters is None else parameters
+        parts = olsson.cascade(coarse.select(key, "time", value), key, value, told, seed)
+    else:
+        parameters = fitted(fine, key, value) if parameters is None else parameters
+        if method == "hybrid":
+            return hybrid(coarse, fine, key, value, parameters, seed, offset_hours)
+        parts = cascade(coarse.select(key, "time", value), key, value, parameters, seed)
+    drawn = to_hours(parts, key, value).drop("_period")
     return fine.select(key, "time").join(drawn, [key, "time"], "left").na.fill({value: 0.0})
 
 

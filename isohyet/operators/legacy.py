@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from isohyet.functions.cols import Number, clip, col, ratio
 from isohyet.functions.thermo import celsius_to_fahrenheit, dewpoint_from_specific_humidity_cc, kelvin_to_fahrenheit, vapor_pressure_lamoreux, wind_speed
-from isohyet.operators.cascade import DEFAULT, CascadeParameters, hybrid
+from isohyet.operators.cascade import DEFAULT, CascadeParameters, cascade, fitted, hybrid, to_hours
 from isohyet.operators.disaggregate import solar_plateau
 from isohyet.operators.spatial import BoundingBox, contained
 from isohyet.operators.time import hours, period_start, upsample
@@ -70,6 +70,18 @@ def hybrid_end_labelled(coarse: DataFrame, fine: DataFrame, key: str, value: str
     return made.withColumn("time", F.col("time") + hours(1))
 
 
+def cascade_end_labelled(daily: DataFrame, key: str, value: str, parameters: CascadeParameters | DataFrame | None = None, seed: int = 0) -> DataFrame:
+    """Hours of daily totals that end at their label, by a cascade fitted to the daily series itself unless parameters are given.
+
+    A day's hours end with its label's own; hours before the first label of a zone
+    are left out, as a series has no rows there.
+    """
+    parameters = fitted(daily, key, value) if parameters is None else parameters
+    made = to_hours(cascade(daily, key, value, parameters, seed), key, value).withColumn("time", F.col("time") - hours(23))
+    first = daily.groupBy(key).agg(F.min("time").alias("_first"))
+    return made.join(first, key).filter(F.col("time") >= F.col("_first")).select(key, "time", value)
+
+
 def percent_to_tenths(df: DataFrame, value: str, keys: list[str], period_hours: int = 3, utc_offset: int = 0) -> DataFrame:
     """Cloud cover in percent, every few hours, to hourly tenths at local labels; the last value holds for its period."""
     moved = df.withColumns({value: F.col(value) / 10.0, "time": F.col("time") - hours(utc_offset)})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -26,6 +27,21 @@ def save_results(results: DataFrame, path: str, model: str) -> DataFrame:
     return results.filter(F.col("error").isNotNull())
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared checkpoint folder, so that a plan that goes on from them in several branches stays small.
+
+    The session names the folder in spark.checkpoint.dir; a temporary one is set
+    only on a local master.
+    """
+    sc = df.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:
+        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="isohyet-checkpoint-"))
+    return df.checkpoint(eager=True)
+
+
 def read_partition(spark: SparkSession, path: str, **equal: object) -> DataFrame:
     df = spark.read.parquet(path)
     for name, value in equal.items():

@@ -25,6 +25,12 @@ def period_start(time: Column, unit: str = "day", offset_hours: int = 0) -> Colu
     return label + hours(offset_hours) if offset_hours else label
 
 
+def epoch_seconds(time: Column | str) -> Column:
+    """Whole seconds since 1970 of a time without a zone, whatever zone the session has (clocks that jump would move a cast)."""
+    at = F.col(time) if isinstance(time, str) else time
+    return F.unix_date(F.to_date(at)).cast("long") * 86_400 + F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+
+
 #: Steps that one row explodes to.
 STEPS = 10_000
 
@@ -65,7 +71,7 @@ BUCKET_DAYS = 32
 
 
 def _bucket(time: Column) -> Column:
-    return F.floor(F.unix_seconds(time.cast("timestamp")) / (86_400 * BUCKET_DAYS))
+    return F.floor(epoch_seconds(time) / (86_400 * BUCKET_DAYS))
 
 
 def _both(fine: DataFrame, coarse: DataFrame, keys: list[str], values: list[str], time: str) -> tuple[DataFrame, DataFrame]:
@@ -131,7 +137,7 @@ def shift_values(df: DataFrame, keys: list[str], value: str, steps: int, time: s
 
 def gaps(df: DataFrame, keys: list[str], time: str = "time") -> DataFrame:
     """Largest distance of neighbouring times in hours, per key; within time buckets first, then between their edges."""
-    micros = lambda x: F.unix_micros(F.col(x).cast("timestamp"))
+    micros = lambda x: epoch_seconds(x) * 1_000_000 + F.expr(f"CAST(date_format({x}, 'SSSSSS') AS LONG)")
     times = df.select(*keys, time).distinct().withColumn("_at", _bucket(F.col(time)))
     step = micros(time) - F.lag(micros(time)).over(Window.partitionBy(*keys, "_at").orderBy(time))
     inner = times.withColumn("_gap", step).groupBy(*keys, "_at").agg(F.max("_gap").alias("_gap"), F.min(micros(time)).alias("_a"), F.max(micros(time)).alias("_b"))
@@ -145,7 +151,7 @@ def infer_step_seconds(df: DataFrame, time: str = "time", fallback: int = 86_400
     n distinct times that are all multiples of (last - first) / (n - 1) after the
     first are every one of them, so no order of all times is needed.
     """
-    seconds = df.select(F.unix_seconds(F.col(time).cast("timestamp")).alias("s")).dropna().distinct()
+    seconds = df.select(epoch_seconds(time).alias("s")).dropna().distinct()
     ends = seconds.agg(F.count("s").alias("n"), F.min("s").alias("a"), F.max("s").alias("b")).first()
     if ends["n"] < 2:
         return fallback

@@ -8,13 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isohyet.functions import radiation as rad
+from isohyet.operators import cascade as cas
 from isohyet.operators import geometry as geo
+from isohyet.operators import legacy, olsson
 from isohyet.operators import spatial as sp
 from isohyet.operators import time as ti
-from isohyet.plans.catalogue import BOX, OVERLAPS, SUN, authalic, ineichen, sun
+from isohyet.plans.catalogue import BOX, OVERLAPS, SUN, _parameters, authalic, cascade_sql, ineichen, sun
 from isohyet.plans.feeds import TARGETS, _targets
 from isohyet.plans.registry import query
-from isohyet.plans.views import GRID, ctes, view
+from isohyet.plans.views import GRID, ctes, fine, view
 from isohyet.sources import canonical, decode, gridded, stations
 
 # --- binary granules ------------------------------------------------------------------------------------
@@ -190,3 +192,66 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     climate = cells.groupBy(fifth("lat_idx"), fifth("lon_idx"), F.month("time").alias("month")).agg((2.0 + 20.0 * F.avg("qair")).alias("turbidity"))
     made = sp.with_monthly(cells.withColumn("sun", sun()), climate, coarse, "turbidity", default=rad.CLEAR_TURBIDITY)
     return made.select("l_orderkey", "l_linenumber", F.round("turbidity", 6).alias("turbidity"), F.round(rad.clearsky_ineichen("sun", F.col("time"), F.col("turbidity")), 5).alias("clearsky"))
+
+
+# --- cascades -------------------------------------------------------------------------------------------
+
+
+@query(
+    "olsson_statistics",
+    f"""{ctes('fine_gaps')}, st AS (SELECT zone, CAST(floor(epoch(time) / 3600) AS BIGINT) AS tick, precip_mm AS v FROM fine_gaps WHERE precip_mm > 0),
+h AS (SELECT zone, level, CAST(floor(tick / pow(2e0, level)) AS BIGINT) AS box, sum(CASE WHEN CAST(floor(tick / pow(2e0, level - 1)) AS BIGINT) % 2 = 0 THEN v ELSE 0e0 END) AS a, sum(CASE WHEN CAST(floor(tick / pow(2e0, level - 1)) AS BIGINT) % 2 = 1 THEN v ELSE 0e0 END) AS b FROM st, range(1, 6) r(level) GROUP BY 1, 2, 3),
+n AS (SELECT *, a + b AS v, coalesce(lag(box) OVER w = box - 1, false) AS wet_before, coalesce(lead(box) OVER w = box + 1, false) AS wet_after FROM h WINDOW w AS (PARTITION BY zone, level ORDER BY box)),
+p AS (SELECT *, CASE WHEN wet_before AND wet_after THEN 'enclosed' WHEN wet_after THEN 'starting' WHEN wet_before THEN 'ending' ELSE 'isolated' END AS position FROM n),
+c AS (SELECT *, v > avg(v) OVER (PARTITION BY zone, level, position) AS above FROM p)
+SELECT zone, position, above, count(*) AS n, round(count(*) FILTER (b <= 0) * 1e0 / count(*), 6) AS first, round(count(*) FILTER (a <= 0) * 1e0 / count(*), 6) AS second,
+  {', '.join(f'count(*) FILTER (a > 0 AND b > 0 AND least(floor(a / v * 7), 6) = {k}) AS s{k}' for k in range(7))} FROM c GROUP BY 1, 2, 3""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = olsson.statistics(view(spark, sf_dir, "fine_gaps"), "zone", "precip_mm", step_seconds=3600)
+    rounded = [F.round(c, 6).alias(c) for c in ("first", "second")]
+    return made.select("zone", "position", "above", "n", *rounded, *[F.get("shares", F.lit(k)).alias(f"s{k}") for k in range(olsson.BINS)])
+
+
+@query("olsson_hours")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days to hours by the statistics of each zone's own hours; tests hold its classes and totals."""
+    made = cas.disaggregate_precipitation(_midnight(spark, sf_dir), fine(spark, sf_dir), "zone", "precip_mm", "olsson")
+    return made.select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))
+
+
+def _midnight(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily totals, labelled at midnight."""
+    return view(spark, sf_dir, "coarse").withColumn("time", F.col("time") - ti.hours(12))
+
+
+@query("olsson_totals", f"{ctes('coarse')} SELECT zone, time - INTERVAL 12 HOUR AS time, round(precip_mm, 5) AS total FROM coarse WHERE precip_mm > 0")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The days that the cascade gives back: each keeps its total."""
+    told = olsson.statistics(view(spark, sf_dir, "fine_gaps"), "zone", "precip_mm", step_seconds=3600)
+    parts = olsson.cascade(_midnight(spark, sf_dir), "zone", "precip_mm", told)
+    return parts.groupBy("zone", "time").agg(F.round(F.sum("value"), 5).alias("total"))
+
+
+@query(
+    "moment_scaling_daily",
+    f"""{ctes('coarse')}, d AS (SELECT z.zone, h.time, coalesce(c.precip_mm, 0e0) AS precip_mm FROM (SELECT DISTINCT zone FROM coarse) z CROSS JOIN (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS time FROM (SELECT min(time) AS a, max(time) AS b FROM coarse)) h LEFT JOIN coarse c ON c.zone = z.zone AND c.time = h.time),
+p AS (SELECT zone, precip_mm, row_number() OVER (PARTITION BY zone ORDER BY time) - 1 AS p, count(*) OVER (PARTITION BY zone) AS n FROM d),
+s AS (SELECT zone, s, CAST(floor(p / pow(2e0, s)) AS BIGINT) AS g, sum(precip_mm) AS v FROM p, range(6) r(s) WHERE p < n - n % 32 GROUP BY 1, 2, 3),
+m AS (SELECT zone, s, q * 0.5e0 AS q, avg(pow(v, q * 0.5e0)) AS m FROM s, range(1, 11) r(q) GROUP BY 1, 2, 3)
+SELECT zone, q, round(-regr_slope(ln(m), ln(pow(2e0, 5 - s))), 6) AS tau FROM m WHERE m > 0 GROUP BY 1, 2""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scales of 1 to 32 days of the daily series itself."""
+    whole = ti.complete(view(spark, sf_dir, "coarse"), ["zone"], {"precip_mm": 0.0}, step="INTERVAL '1' DAY")
+    return cas.moment_scaling(whole, "zone", "precip_mm").select("zone", "q", F.round("tau", 6).alias("tau"))
+
+
+@query(
+    "legacy_cascade",
+    f"""{ctes('coarse')}, src AS (SELECT zone, time - INTERVAL 12 HOUR AS time, precip_mm AS value FROM coarse), {cascade_sql('src')}
+SELECT d.zone, d.time - INTERVAL 23 HOUR AS time, round(d.value, 6) AS precip_mm FROM drawn d JOIN (SELECT zone, min(time) AS first FROM src GROUP BY 1) f ON f.zone = d.zone WHERE d.time - INTERVAL 23 HOUR >= first""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = legacy.cascade_end_labelled(_midnight(spark, sf_dir), "zone", "precip_mm", _parameters(spark))
+    return made.select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))
