@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -27,18 +28,20 @@ def save_results(results: DataFrame, path: str, model: str) -> DataFrame:
     return results.filter(F.col("error").isNotNull())
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The rows written once to the shared checkpoint folder, so that a plan that goes on from them in several branches stays small.
-
-    The session names the folder in spark.checkpoint.dir; a temporary one is set
-    only on a local master.
-    """
-    sc = df.sparkSession.sparkContext
+def scratch(spark: SparkSession) -> str:
+    """A new folder's path in the shared checkpoint folder, which the session names in spark.checkpoint.dir; a temporary one is set only on a local master."""
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        named = spark.conf.get("spark.checkpoint.dir", None)
         if not named and not sc.master.startswith("local[") and sc.master != "local":
             raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="isohyet-checkpoint-"))
+    return f"{sc.getCheckpointDir()}/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The rows written once to the shared checkpoint folder, so that a plan that goes on from them in several branches stays small."""
+    scratch(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -128,25 +131,26 @@ def missing_units(spark: SparkSession, manifest: str, wanted: DataFrame) -> Data
 def read_through(spark: SparkSession, path: str, wanted: DataFrame, load: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """The rows of the wanted (date, variable) pairs; what the store lacks is loaded once and kept.
 
-    The store holds tidy rows (date, variable, ...) in folders of a date, and a
-    manifest of the pairs that were loaded, so that a pair without rows is not
-    loaded again.  ``load`` makes the rows of the missing pairs.  Rows are written
-    before the manifest: a run that dies between loads its pairs again, and those
-    whose rows are there already are not written twice.
+    The store holds tidy rows (date, variable, ...) in folders of a run and a date,
+    and a manifest of the pairs that each run has loaded, so that a pair without
+    rows is not loaded again.  ``load`` makes the rows of the missing pairs.  Rows
+    count only once their run stands in the manifest, and of a pair that two runs
+    have loaded the first by name counts: a run that dies leaves nothing that is
+    read, and writers at the same time double nothing.
     """
     rows, manifest = f"{path}/rows", f"{path}/manifest"
-    absent = missing_units(spark, manifest, wanted.select("date", "variable").distinct())
+    absent = cut(missing_units(spark, manifest, wanted.select("date", "variable").distinct()))
     if not absent.isEmpty():
+        run = F.lit(uuid.uuid4().hex)
         loaded = load(absent).join(absent, ["date", "variable"], "left_semi")
-        have = existing(spark, rows)
-        if have is not None:
-            loaded = loaded.join(have.select("date", "variable").distinct(), ["date", "variable"], "left_anti")
-        loaded.write.mode("append").partitionBy("date").parquet(rows)
-        absent.write.mode("append").parquet(manifest)
-    have = existing(spark, rows)
-    if have is None:
+        loaded.withColumn("run", run).write.mode("append").partitionBy("run", "date").parquet(rows)
+        absent.withColumn("run", run).write.mode("append").parquet(manifest)
+    have, told = existing(spark, rows), existing(spark, manifest)
+    if have is None or told is None:
         return load(wanted.limit(0))
-    return have.withColumn("date", F.col("date").cast("date")).join(wanted.select("date", "variable").distinct(), ["date", "variable"], "left_semi")
+    chosen = told.join(wanted.select("date", "variable").distinct(), ["date", "variable"], "left_semi").groupBy("date", "variable").agg(F.min("run").alias("run"))
+    typed = have.withColumns({"date": F.col("date").cast("date"), "run": F.col("run").cast("string")})
+    return typed.join(chosen, ["date", "variable", "run"], "left_semi").drop("run")
 
 
 def dsn(kind: Column, zone: Column) -> Column:
@@ -162,16 +166,22 @@ def dsn_rows(zones: DataFrame, key: str, kinds: dict[str, str], time: str = "tim
 
 
 def export_dsn(spark: SparkSession, rows: DataFrame, path: str, mode: str = "append") -> None:
-    """Writes data sets by number: append leaves those alone that are there; update lets new values win, and is written beside and named by the caller."""
+    """Writes data sets by number: append leaves those alone that are there; update lets new values win.
+
+    An update writes the merged data sets that it touches beside the table first,
+    then puts their folders in the place of the old ones; other data sets are
+    neither read nor written.  One writer at a time.
+    """
     have = existing(spark, path)
     if mode not in ("append", "update"):
         raise ValueError("mode must be append or update")
-    if have is not None:
-        rows = rows.join(have.select("dsn").distinct(), "dsn", "left_anti") if mode == "append" else update(have.select("dsn", "time", "value"), rows, ["dsn", "time"])
-    if mode == "append" or have is None:
-        save_partitioned(rows, path, ["dsn"], "append")
-    else:
-        save_partitioned(rows, f"{path}-updated", ["dsn"], "overwrite")
+    if have is None or mode == "append":
+        new = rows if have is None else rows.join(have.select("dsn").distinct(), "dsn", "left_anti")
+        save_partitioned(new, path, ["dsn"], "append")
+        return
+    touched = have.select("dsn", "time", "value").join(rows.select("dsn").distinct(), "dsn", "left_semi")
+    merged = cut(update(touched, rows, ["dsn", "time"]))
+    merged.hint("rebalance", "dsn").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dsn").option("compression", "snappy").parquet(path)
 
 
 def dsn_summary(rows: DataFrame) -> DataFrame:

@@ -60,8 +60,13 @@ def resample(df: DataFrame, keys: list[str], aggregates: list[Column], unit: str
     return df.groupBy(*keys, period_start(F.col(time), unit, offset_hours).alias(time)).agg(*aggregates)
 
 
-def complete(df: DataFrame, keys: list[str], fill: dict[str, float], time: str = "time", step: str = "INTERVAL '1' HOUR") -> DataFrame:
-    """Adds the missing steps; the columns in fill get that value there."""
+def complete(df: DataFrame, keys: list[str], fill: dict[str, float], time: str = "time", step: str | None = "INTERVAL '1' HOUR") -> DataFrame:
+    """Adds the missing steps; the columns in fill get that value there.
+
+    Without a step it is that of all times together, which keys may lack but which
+    must be regular: irregular times are an error.
+    """
+    step = step or f"INTERVAL '{infer_step_seconds(df, time)}' SECOND"
     full = spine(df, keys, time, step).join(df, [*keys, time], "left")
     return full.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in fill.items()})
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +13,10 @@ from isohyet.operators import cascade as cas
 from isohyet.operators import geometry as geo
 from isohyet.operators import legacy, olsson
 from isohyet.operators import spatial as sp
+from isohyet.operators import store
 from isohyet.operators import time as ti
 from isohyet.plans.catalogue import BOX, OVERLAPS, SUN, _parameters, authalic, cascade_sql, ineichen, sun
-from isohyet.plans.feeds import TARGETS, _targets
+from isohyet.plans.feeds import HOUR, OBSERVED, TARGETS, _dsn_rows, _lines, _observed, _targets
 from isohyet.plans.registry import query
 from isohyet.plans.views import GRID, ctes, fine, view
 from isohyet.sources import canonical, decode, gridded, stations
@@ -255,3 +257,42 @@ SELECT d.zone, d.time - INTERVAL 23 HOUR AS time, round(d.value, 6) AS precip_mm
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = legacy.cascade_end_labelled(_midnight(spark, sf_dir), "zone", "precip_mm", _parameters(spark))
     return made.select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))
+
+
+# --- stores ---------------------------------------------------------------------------------------------
+
+
+@query("station_store", f"{ctes('stations')} SELECT CAST(station AS VARCHAR) AS station, {HOUR} + INTERVAL 53 MINUTE AS valid, CASE WHEN NOT gone THEN CAST(t AS DOUBLE) END AS air_temp_f, 'CLR' AS sky_cover_1 FROM {OBSERVED}")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations through a store that holds half of them; the loader makes the texts of the others."""
+    observed = _observed(spark, sf_dir).withColumn("station", F.col("station").cast("string"))
+
+    def load(pairs: DataFrame) -> DataFrame:
+        value = F.when(F.col("gone"), "M").otherwise(F.col("t").cast("string"))
+        asked = observed.join(pairs.select("station"), "station", "left_semi")
+        return _lines(asked, ["#DEBUG: text", "station,valid,tmpf,skyc1"], F.col("station"), F.format_string("2001-06-01 %02d:53", "h"), value, "CLR")
+
+    names, path, day = observed.select("station").distinct(), store.scratch(spark), date(2001, 6, 1)
+    stations.fetch(spark, "asos", path, names.filter("station % 2 = 0"), day, day, load)
+    return stations.fetch(spark, "asos", path, names, day, day, load).select("station", "valid", "air_temp_f", "sky_cover_1")
+
+
+@query(
+    "dsn_updated",
+    f"""{ctes('fine_gaps', 'coarse')}, z AS (SELECT CAST('10' || zone AS INT) AS dsn, time, precip_mm AS value FROM fine_gaps UNION ALL SELECT CAST('13' || zone AS INT), time, precip_mm FROM coarse),
+n AS (SELECT dsn, time + INTERVAL 2 HOUR AS time, value + 1e0 AS value FROM z WHERE dsn % 2 = 0) SELECT dsn, time, round(coalesce(n.value, z.value), 6) AS value FROM z FULL JOIN n USING (dsn, time)""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data sets written, half of them updated by rows two hours later, and read back."""
+    rows, path = _dsn_rows(spark, sf_dir), store.scratch(spark)
+    store.export_dsn(spark, rows, path)
+    newer = rows.filter("dsn % 2 = 0").select("dsn", (F.col("time") + ti.hours(2)).alias("time"), (F.col("value") + 1.0).alias("value"))
+    store.export_dsn(spark, newer, path, "update")
+    return spark.read.parquet(path).select("dsn", "time", F.round("value", 6).alias("value"))
+
+
+@query("completed_by_step", f"{ctes('coarse')}, s AS (SELECT min(time) AS a, max(time) AS b FROM coarse) SELECT z.zone, h.time, round(coalesce(c.precip_mm, 0e0), 6) AS precip_mm FROM (SELECT DISTINCT zone FROM coarse) z CROSS JOIN (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS time FROM s) h LEFT JOIN coarse c ON c.zone = z.zone AND c.time = h.time")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days by the step of the labels themselves."""
+    made = ti.complete(view(spark, sf_dir, "coarse"), ["zone"], {"precip_mm": 0.0}, step=None)
+    return made.select("zone", "time", F.round("precip_mm", 6).alias("precip_mm"))

@@ -12,6 +12,7 @@ from isohyet.functions.thermo import adjust_wind_height, celsius_to_fahrenheit,
 from isohyet.operators.cascade import CascadeParameters, fitted, hybrid
 from isohyet.operators.disaggregate import normalise
 from isohyet.operators.spatial import BROADCAST_WEIGHTS, Grid, build_weights, rectangle_overlaps, zonal_sum
+from isohyet.operators.store import cut
 from isohyet.operators.time import hours, period_start
 
 HOURLY = ("temperature_c", "dewpoint_c", "wind_speed_ms", "shortwave_wm2", "longwave_wm2", "precip_mm")
@@ -48,7 +49,8 @@ def derive_daily(hourly: DataFrame, grid: Grid) -> DataFrame:
 
 def zonal(cells: DataFrame, rectangles: DataFrame, grid: Grid, key: str, adjust_wind: bool) -> tuple[DataFrame, DataFrame]:
     """Hourly and daily zone series; cells outside all polygons go before anything is shuffled, and the weights are made once."""
-    weights = build_weights(rectangle_overlaps(rectangles, grid), key).persist()
+    weights = build_weights(rectangle_overlaps(rectangles, grid), key)
+    weights = cut(weights)  # used four times; the table is as small as its polygons' cells
     n = weights.count()
     touched = weights.select("lat_idx", "lon_idx").distinct()
     inside = cells.join(F.broadcast(touched) if n <= BROADCAST_WEIGHTS else touched, ["lat_idx", "lon_idx"], "left_semi")
@@ -94,6 +96,7 @@ def hybrid_forcing(
     """
     hourly, daily = zonal(cells, rectangles, grid, key, adjust_wind=False)
     totals = zonal_sum(daily_rain, build_weights(rectangle_overlaps(rectangles, rain_grid), key), key, ["precip_mm"])
+    hourly = cut(hourly)  # the fit, the pattern and the day's shares read it again
     parameters = fitted(hourly, key, "precip_mm") if parameters is None else parameters
     rain = hybrid(totals, spread_daily(hourly, daily, key), key, "precip_mm", parameters, offset_hours=offset_hours, enforce_coarse_mass=False)
     units = hspf_units("temperature_c", "dewpoint_c", "wind_speed_ms", "shortwave_wm2", "cloud_cover", "pet_mm", "precip_mm")

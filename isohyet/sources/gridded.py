@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from isohyet.operators.spatial import BoundingBox, clip_grid, wrap_longitude
 from isohyet.operators.store import read_through
 from isohyet.operators.time import complete
+from isohyet.sources import decode
 from isohyet.sources.canonical import RESOLUTION, SOURCES, canonical
 
 Loader = Callable[[DataFrame], DataFrame]
@@ -56,6 +57,40 @@ def granules(spark: SparkSession, path: str, start: date, end: date, pattern: st
     return found
 
 
+def granule_loader(
+    spark: SparkSession, folder: str, source: str, box: BoundingBox | None = None, pattern: str = r"(\d{8})", glob: str | None = None, rename: dict[str, str] | None = None, on_error: str = "raise",
+) -> Loader:
+    """A loader for ``fetch`` over a folder of granules, whose names hold their days.
+
+    Files of other days are not opened, and variables and the box are cut inside a
+    file before its values are unpacked.  ``rename`` maps names in files to the
+    source's; a radar field's own names are known.  Files that can't be read raise,
+    or are left out with ``on_error="skip"`` (``decode.decode`` lists them).
+    """
+    if on_error not in ("raise", "skip"):
+        raise ValueError("on_error must be raise or skip")
+    step = RESOLUTION.get(source, 0.0)
+    padded = box and BoundingBox(box.west - step / 2, box.south - step / 2, box.east + step / 2, box.north + step / 2)
+    names = dict(rename or {}) | ({n: "precip_mm" for n in RAIN_NAMES} if source == "mrms" else {})
+
+    def load(pairs: DataFrame) -> DataFrame:
+        span = pairs.agg(F.min("date").alias("a"), F.max("date").alias("b")).first()
+        wanted = {r["variable"] for r in pairs.select("variable").distinct().collect()}
+        asked = tuple(sorted(wanted | {n for n, to in names.items() if to in wanted}))
+        start, end = (span["a"], span["b"]) if span["a"] else (date.max, date.min)
+        rows = decode.decode(decode.files(spark, folder, start, end, pattern, glob), decode.Window(asked, padded))
+        if on_error == "raise":
+            bad = F.raise_error(F.concat("path", F.lit(": "), "error")).cast("string")
+            rows = rows.withColumn("variable", F.when(F.col("error").isNotNull(), bad).otherwise(F.col("variable")))
+        else:
+            rows, _ = decode.split_errors(rows)
+        variable = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in names.items() for x in pair]), F.col("variable")), "variable") if names else F.col("variable")
+        told = rows.select(decode.name_date(F.element_at(F.split("path", "/"), -1), pattern).alias("date"), variable.alias("variable"), "time", "lat", "lon", "value")
+        return told.join(pairs.select("date", "variable").distinct(), ["date", "variable"], "left_semi")
+
+    return load
+
+
 def assemble(parts: list[DataFrame], keys: list[str], time: str = "time") -> DataFrame:
     """Granules one after another by their own times; hours that none has are rows without values, never invented ones."""
     first, *rest = parts

@@ -18,6 +18,7 @@ from pyspark.sql.datasource import EqualTo, GreaterThanOrEqual, In, LessThan
 
 from isohyet.operators.spatial import BoundingBox
 from isohyet.sources import datasource, decode
+from isohyet.sources import gridded as sources
 from isohyet.sources.decode import Window
 
 LAT, LON = np.array([45.0, 44.5, 44.0]), np.array([-97.0, -96.5, -96.0, -95.5])
@@ -344,3 +345,23 @@ def test_encode_grids(spark):
     ]
     assert decode.decode(made.limit(0).withColumnRenamed("key", "path")).count() == 0
     assert pa.types.is_binary(made.toArrow()["content"].type)
+
+
+def test_fetch_through_granules(spark, folder, tmp_path):
+    """A source's table from files by the read-through store: a wider request loads what is missing alone."""
+    names = {"air": "Tair", "rain": "Rainf"}
+    box = BoundingBox(-96.6, 44.4, -95.9, 44.6)
+    load = sources.granule_loader(spark, folder, "nldas", box, glob="grid_*.nc", rename=names)
+    fetch = lambda first, last: sources.fetch(spark, "nldas", str(tmp_path), date(2024, 1, first), date(2024, 1, last), load, ["Tair", "Rainf"], box)
+    one = fetch(2, 2).orderBy("time", "lon").collect()
+    assert [(r.lat, r.lon, round(r.temperature_c + 273.15, 6), r.precip_mm) for r in one[:2]] == [(44.5, -96.5, 105.0, 12.5), (44.5, -96.0, 106.0, 13.0)]
+    assert len(one) == 4 and fetch(1, 3).count() == 12
+    radar = sources.granule_loader(spark, folder, "mrms", glob="radar_*")
+    made = sources.fetch(spark, "mrms", str(tmp_path), date(2024, 1, 2), date(2024, 1, 2), radar)
+    assert made.count() == 12 and made.agg(F.max("precip_mm")).first()[0] == 11.0
+    rain = sources.fetch(spark, "prism", str(tmp_path), date(2024, 1, 2), date(2024, 1, 2), sources.granule_loader(spark, folder, "prism", glob="prism_*"), ["ppt"], resolution="4km")
+    assert rain.count() == 35 and rain.agg(F.min("time")).first()[0] == datetime(2024, 1, 1, 12)
+    with pytest.raises(Exception, match="the file ends|ends within|20240103"):
+        sources.fetch(spark, "nldas", str(tmp_path / "x"), date(2024, 1, 3), date(2024, 1, 3), sources.granule_loader(spark, folder, "nldas", glob="*.nc", rename=names), ["Tair"]).count()
+    kept = sources.granule_loader(spark, folder, "nldas", glob="*.nc", rename=names, on_error="skip")
+    assert sources.fetch(spark, "nldas", str(tmp_path / "y"), date(2024, 1, 3), date(2024, 1, 3), kept, ["Tair"]).count() == 24

@@ -195,7 +195,7 @@ def test_data_sets_by_number(spark, tmp_path):
     assert sorted((r.dsn, r.value) for r in spark.read.parquet(path).collect()) == [(103, 1.0), (103, 2.0), (163, 9.0)]
     newer = spark.sql("SELECT 103 AS dsn, TIMESTAMP_NTZ'2001-01-02' AS time, 7e0 AS value")
     store.export_dsn(spark, newer, path, "update")
-    assert sorted((r.dsn, r.value) for r in spark.read.parquet(f"{path}-updated").collect()) == [(103, 1.0), (103, 7.0), (163, 9.0)]
+    assert sorted((r.dsn, r.value) for r in spark.read.parquet(path).collect()) == [(103, 1.0), (103, 7.0), (163, 9.0)]
     row = store.dsn_summary(rows).filter("dsn = 103").first()
     assert (row.kind, row.zone, row.n) == (10, 3, 2)
     with pytest.raises(ValueError):
@@ -236,6 +236,29 @@ def test_read_through(spark, tmp_path):
             gridded.fetch(spark, bad[0], str(tmp_path), day, day, load, bad[1], None, bad[2])
 
 
+def test_interrupted_and_doubled_loads(spark, tmp_path):
+    """Rows of a run that never reached the manifest are not read; a pair that two runs loaded counts once."""
+    wanted = spark.sql("SELECT DATE'2001-01-01' AS date, explode(array('a', 'b')) AS variable")
+    load = lambda pairs: pairs.select("date", "variable", F.lit(1.0).alias("value"))
+    assert store.read_through(spark, str(tmp_path), wanted, load).count() == 2
+    load(wanted).withColumn("run", F.lit("dead")).write.mode("append").partitionBy("run", "date").parquet(f"{tmp_path}/rows")
+    assert store.read_through(spark, str(tmp_path), wanted, load).count() == 2
+    wanted.withColumn("run", F.lit("dead")).write.mode("append").parquet(f"{tmp_path}/manifest")
+    assert store.read_through(spark, str(tmp_path), wanted, load).count() == 2
+    assert store.read_through(spark, str(tmp_path / "none"), wanted.limit(0), load).count() == 0
+
+
+def test_label_shape(spark):
+    labels = lambda *days: spark.createDataFrame([(datetime.datetime(*d),) for d in days], "time timestamp_ntz")
+    assert disaggregate.label_shape(labels((2001, 1, 1), (2001, 2, 1), (2001, 3, 1))) == (0, "month")
+    assert disaggregate.label_shape(labels((2001, 1, 1), (2001, 3, 1))) == (0, "day")  # a daily series of two days
+    assert disaggregate.label_shape(labels((2001, 1, 1, 12), (2001, 1, 2, 12), (2001, 1, 5, 12))) == (12, "day")
+    with pytest.raises(ValueError, match="irregular"):
+        disaggregate.label_shape(labels((2001, 1, 1), (2001, 1, 1, 7)))
+    with pytest.raises(ValueError, match="irregular"):
+        time.complete(labels((2001, 1, 1), (2001, 1, 2), (2001, 1, 2, 5)), [], {}, step=None)
+
+
 def test_gridded_helpers(spark, tmp_path):
     day = datetime.date(2001, 2, 3)
     assert gridded.prism_zip("ppt", day) == "prism_ppt_4km_20010203.zip" and gridded.prism_raster("tmax", day, "800m") == "prism_tmax_us_30s_20010203.tif"
