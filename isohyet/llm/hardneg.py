@@ -80,8 +80,7 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
             set_ = (axis & q) != 0
             swap = np.where(set_, 0, (axes[0] ^ axis) & low)
             axes[0] ^= np.where(set_, low, swap)
-            if axis is not axes[0]:
-                axis ^= swap
+            axis ^= swap  # nothing for the first, which is its own partner
         q >>= 1
     for k in range(1, len(axes)):
         axes[k] ^= axes[k - 1]

@@ -78,4 +78,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_decontamination": decontaminate.ORACLE_SQL,
         "op8_chat_formatting": chat.ORACLE_SQL,
         "op11_hard_negatives": hardneg.ORACLE_SQL,
+        "op12_spelling_variants": spelling.ORACLE_SQL,
     }

@@ -180,3 +180,21 @@ def group_spellings(docs: DataFrame, least_length: int = LEAST_LENGTH, least_cou
     told = checkpoint(told.select("word", "n", F.coalesce("n_near", F.lit(0)).alias("n_near"), F.when(held, F.col("_best.near")).alias("form"), F.when(held, -F.col("_best._m")).alias("form_n")))
     ends = roots(told.filter("form IS NOT NULL"))
     return told.join(ends, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+
+
+#: The same words by another way: near words share what is left when one code point goes.
+ORACLE_SQL = f"""
+WITH RECURSIVE tab AS MATERIALIZED (SELECT list(c ORDER BY b) AS t FROM (
+  SELECT b, list_reduce(CAST(range(8) AS UBIGINT[]), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(CAST(3988292384 AS UBIGINT), c >> 1) ELSE c >> 1 END, CAST(b AS UBIGINT)) AS c FROM range(256) r(b))),
+run AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[{LETTERS}]{{{LEAST_LENGTH},}}')), '{UPPER}', '{LOWER}') AS run FROM documents),
+hex AS (SELECT run, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM run),
+crc AS (SELECT run, xor(list_reduce(list_transform(range(CAST(length(x) / 2 AS BIGINT)), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS UBIGINT)), lambda c, b: xor(c >> 8, t[CAST(xor(c, b) & 255 AS INT) + 1]), CAST(4294967295 AS UBIGINT)), CAST(4294967295 AS UBIGINT)) AS h FROM hex, tab),
+told AS (SELECT CASE WHEN h % {SPOIL} = 0 THEN substr(run, 1, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word FROM crc),
+w AS MATERIALIZED (SELECT word, count(*) AS n FROM told GROUP BY 1 HAVING length(word) >= {LEAST_LENGTH} AND count(*) >= {LEAST_COUNT}),
+gone AS MATERIALIZED (SELECT word, n, i, substr(word, 1, CAST(i AS INT)) || substr(word, CAST(i AS INT) + 2) AS rest FROM w, range(100000) r(i) WHERE i < length(word)),
+pair AS (SELECT a.word, b.word AS near, b.n AS near_n FROM gone a JOIN gone b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gone a JOIN w b ON a.rest = b.word UNION SELECT b.word, a.word, a.n FROM gone a JOIN w b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, min(row(-near_n, near)) AS b FROM pair GROUP BY 1),
+f AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b[1] >= {TIMES} * w.n THEN b[2] END AS form, CASE WHEN -b[1] >= {TIMES} * w.n THEN -b[1] END AS form_n FROM w LEFT JOIN best USING (word)),
+step AS (SELECT word, word AS root, 0 AS depth FROM f UNION ALL SELECT step.word, f.form, depth + 1 FROM step JOIN f ON f.word = step.root WHERE f.form IS NOT NULL)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN (SELECT word, arg_max(root, depth) AS root FROM step GROUP BY 1) r USING (word)"""

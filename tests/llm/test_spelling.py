@@ -89,6 +89,17 @@ def test_ties_go_to_the_least_code_points(spark):
     assert got(spelling.group_spellings(spark.createDataFrame(rows, KIND), spoil=10**9)) == brute(rows, spoil=10**9)
 
 
+def test_equals_sql(spark):
+    import duckdb
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf}/documents.parquet'")
+    want = sorted(con.sql(f"SELECT word, form, root, n, n_near, form_n FROM ({spelling.ORACLE_SQL})").fetchall())
+    made = got(spelling.group_spellings(spark.read.parquet(f"{sf}/documents.parquet")))
+    assert made == want and any(r[1] is not None for r in made)
+
+
 def test_empty_table(spark):
     assert got(spelling.group_spellings(spark.createDataFrame([], KIND))) == []
     assert got(spelling.group_spellings(spark.createDataFrame([(1, None), (None, "12 34")], KIND))) == []
