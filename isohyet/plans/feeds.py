@@ -153,12 +153,12 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- space ---------------------------------------------------------------------------------------------
 
-TARGETS = "t AS (SELECT s_suppkey AS target_id, 44e0 + (s_suppkey % 37) * 0.05e0 + 0.07e0 AS lat, -96e0 + (s_suppkey % 53) * 0.05e0 + 0.03e0 AS lon FROM supplier)"
+TARGETS = "t AS (SELECT s_suppkey AS target_id, 44e0 + (s_suppkey % 37) * 0.05e0 + 0.0713e0 AS lat, -96e0 + (s_suppkey % 53) * 0.05e0 + 0.0317e0 AS lon FROM supplier)"
 
 
 def _targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
-    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(k.alias("target_id"), (44.0 + (k % 37) * 0.05 + 0.07).alias("lat"), (-96.0 + (k % 53) * 0.05 + 0.03).alias("lon"))
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").select(k.alias("target_id"), (44.0 + (k % 37) * 0.05 + 0.0713).alias("lat"), (-96.0 + (k % 53) * 0.05 + 0.0317).alias("lon"))
 
 
 @query("regrid_bilinear", f"""{ctes('cells')}, {TARGETS}, b AS (SELECT *, (lat - 44e0) / 0.1e0 - 0.5e0 AS y, (lon + 96e0) / 0.1e0 - 0.5e0 AS x FROM t),
