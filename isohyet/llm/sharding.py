@@ -94,8 +94,12 @@ def _digests() -> dict[str, Column]:
 
 
 def shard_documents(docs: DataFrame, shards: int = 40, seed: int = 0) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
-    dealt = assign_shards(digest(docs), ["doc_id", "text_crc32", "size"], shards, seed)
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document.
+
+    Rows of one key are told apart by a random number as in ``shard_rows``, so that
+    a key of any number of rows is dealt over many partitions.
+    """
+    dealt = assign_shards(digest(docs).withColumn("_salt", F.rand(seed)), ["doc_id", "text_crc32", "size", "_salt"], shards, seed)
     return dealt.select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"), "row_number",

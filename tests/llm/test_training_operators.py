@@ -155,6 +155,14 @@ def test_components(spark):
     assert graph.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_op9_one_row_repeated_spreads(spark):
+    """One row 40,000 times is numbered in many partitions, not in one."""
+    rows = spark.range(40_000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("same").alias("text"), F.rand(3).alias("_salt"))
+    dealt = rows.repartitionByRange(8, "doc_id", "text", "_salt").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    got = sharding.shard_documents(rows.drop("_salt")).groupBy("shard").agg(F.count(F.lit(1)).alias("n"), F.max("slot").alias("last")).collect()
+    assert dealt < 10_000 and len(got) == 40 and {(r.n, r.last) for r in got} == {(1000, 999)}
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 1000, 4097])
 def test_feistel(n):
     x = np.arange(n, dtype=np.uint64)
