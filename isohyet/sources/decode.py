@@ -469,8 +469,67 @@ def _unpack(data: bytes, bits: int, many: int) -> np.ndarray:
     return out
 
 
+def png_values(data: bytes) -> np.ndarray:
+    """Samples of a PNG without interlace: grey of up to 16 bits, or three or four bytes read as one number."""
+    if data[:8] != b"\x89PNG\r\n\x1a\n":
+        raise ValueError("no PNG image")
+    at, packed, head = 8, [], None
+    while at + 8 <= len(data):
+        size, kind = struct.unpack_from(">I4s", data, at)
+        if kind == b"IHDR":
+            head = struct.unpack_from(">IIBBBBB", data, at + 8)
+        elif kind == b"IDAT":
+            packed.append(data[at + 8 : at + 8 + size])
+        at += size + 12
+    if head is None:
+        raise ValueError("the PNG has no header")
+    width, height, depth, colour, _, _, interlaced = head
+    channels = {0: 1, 2: 3, 6: 4}.get(colour, 0)
+    if interlaced or not channels or (channels > 1 and depth != 8):
+        raise ValueError(f"PNG of colour type {colour} and {depth} bits is not read")
+    line, near = -(-width * channels * depth // 8), max(1, channels * depth // 8)
+    raw = np.frombuffer(zlib.decompress(b"".join(packed)), np.uint8)
+    if len(raw) < height * (line + 1):
+        raise ValueError("the PNG is short")
+    raw = raw[: height * (line + 1)].reshape(height, line + 1)
+    rows = np.zeros((height + 1, line), np.uint8)
+    for k in range(height):
+        how, told, above = raw[k, 0], raw[k, 1:], rows[k]
+        if how == 0:
+            rows[k + 1] = told
+        elif how == 1:
+            lanes = np.pad(told, (0, -line % near)).reshape(-1, near)
+            rows[k + 1] = np.cumsum(lanes, axis=0, dtype=np.uint8).ravel()[:line]
+        elif how == 2:
+            rows[k + 1] = told + above
+        elif how in (3, 4):
+            rows[k + 1] = _unfiltered(how, told.tolist(), above.tolist(), near)
+        else:
+            raise ValueError(f"PNG filter {how} is not known")
+    bytes_ = rows[1:]
+    if depth < 8:
+        parts = np.unpackbits(bytes_, axis=1).reshape(height, -1, depth)[:, :width]
+        return (parts * (1 << np.arange(depth)[::-1])).sum(axis=2).astype(np.uint32).ravel()
+    lanes = bytes_.reshape(height * width, near).astype(np.uint32)
+    return (lanes << (8 * np.arange(near)[::-1].astype(np.uint32))).sum(axis=1).astype(np.uint32)
+
+
+def _unfiltered(how: int, told: list[int], above: list[int], near: int) -> list[int]:
+    """A line by the mean of left and above (3), or by that of left, above and corner which lies next to their plane (4)."""
+    out = told[:]
+    for k in range(len(told)):
+        left, up, corner = (out[k - near] if k >= near else 0), above[k], (above[k - near] if k >= near else 0)
+        if how == 3:
+            guess = (left + up) >> 1
+        else:
+            plane = left + up - corner
+            guess = min((abs(plane - left), 0, left), (abs(plane - up), 1, up), (abs(plane - corner), 2, corner))[2]
+        out[k] = (told[k] + guess) & 255
+    return out
+
+
 def grib2_rows(content: bytes, window: Window) -> Iterator[pa.RecordBatch]:
-    """Rows of every field on a regular grid (template 3.0) with simple packing (5.0) and, if it has one, a bitmap."""
+    """Rows of every field on a regular grid (template 3.0) with simple packing (5.0) or as a PNG (5.41) and, if it has one, a bitmap."""
     at = 0
     while at < len(content):
         if content[at : at + 4] != b"GRIB":
@@ -496,11 +555,10 @@ def grib2_rows(content: bytes, window: Window) -> Iterator[pa.RecordBatch]:
             elif number == 4:
                 product = (discipline, s[9], s[10]), _forecast(s)
             elif number == 5:
-                if struct.unpack_from(">H", s, 9)[0] != 0:
-                    raise ValueError(f"packing template {struct.unpack_from('>H', s, 9)[0]} is not read")
-                many, = struct.unpack_from(">I", s, 5)
-                level, two, ten, bits = struct.unpack_from(">fHHB", s, 11)
-                packing = many, level, _signed(two, 16), _signed(ten, 16), bits
+                many, template, level, two, ten, bits = struct.unpack_from(">IHfHHB", s, 5)
+                if template not in (0, 41):
+                    raise ValueError(f"packing template {template} is not read")
+                packing = many, level, _signed(two, 16), _signed(ten, 16), bits, template == 41
             elif number == 6 and s[5] == 0:
                 bitmap = np.unpackbits(np.frombuffer(s, np.uint8, offset=6)).astype(bool)
             elif number == 6 and s[5] == 255:
@@ -509,8 +567,11 @@ def grib2_rows(content: bytes, window: Window) -> Iterator[pa.RecordBatch]:
                 name, time = GRIB_NAMES.get(product[0], "unknown"), base + product[1]
                 if window.wants(name) and window.holds_time(time):
                     lat, lon, order = grid
-                    many, level, two, ten, bits = packing
-                    value = (level + _unpack(s[5:], bits, many) * 2.0**two) / 10.0**ten
+                    many, level, two, ten, bits, image = packing
+                    stored = png_values(s[5:]) if image and bits else _unpack(s[5:], bits, many)
+                    if len(stored) != many:
+                        raise ValueError("the field has another size than told")
+                    value = (level + stored * 2.0**two) / 10.0**ten
                     if bitmap is not None:
                         full = np.full(len(lat) * len(lon), np.nan)
                         full[bitmap[: len(full)]] = value

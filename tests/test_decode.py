@@ -200,7 +200,7 @@ def test_lzw(raw, times):
     assert decode.lzw(packed_lzw(raw * times)) == raw * times
 
 
-def grib(values, bits=12, two=-1, ten=1, mode=0x00, bitmap=None, hour=5, discipline=209, numbers=(6, 1), template=0, lats=(45.0, 44.0), lons=(263.0, 264.5)):
+def grib(values, bits=12, two=-1, ten=1, mode=0x00, bitmap=None, hour=5, discipline=209, numbers=(6, 1), template=0, lats=(45.0, 44.0), lons=(263.0, 264.5), image=None):
     """One message on a regular grid; rows of values stand from the first latitude on."""
     rows, columns = values.shape
     sign = lambda v, n: (1 << (n - 1)) | -v if v < 0 else v
@@ -213,6 +213,7 @@ def grib(values, bits=12, two=-1, ten=1, mode=0x00, bitmap=None, hour=5, discipl
     level = struct.unpack(">f", struct.pack(">f", level))[0]
     codes = np.round((kept * 10.0**ten - level) / 2.0**two).astype(int)
     data = int("".join(f"{c:0{bits}b}" for c in codes).ljust(-(-bits * len(codes) // 8) * 8, "0") or "0", 2).to_bytes(-(-bits * len(codes) // 8), "big") if bits else b""
+    data = image(codes) if image else data
     part = lambda n, body: struct.pack(">IB", 5 + len(body), n) + body
     micro = lambda x: sign(round(x * 1e6), 32)
     one = part(1, struct.pack(">HHBBBHBBBBBBB", 7, 0, 2, 1, 1, 2024, 1, 2, hour, 0, 0, 0, 1))
@@ -239,11 +240,50 @@ def test_grib2_bitmap_constant_many_and_errors():
     assert [r[4] for r in rows[:12]] == [float(k) if k % 3 else None for k in range(12)]
     assert {(r[0], r[4]) for r in rows[12:]} == {("tp", 7.0)}
     assert {r[0] for r in table(decode.grib2_rows(grib(values) + grib(values, discipline=0, numbers=(1, 8)), Window(("tp",), BoundingBox(-96.6, 44.4, -96.4, 44.6))))} == {"tp"}
-    for broken in (grib(values)[:-10], grib(values, template=41), b"GRIB\0\0\0\1" + bytes(20)):
+    for broken in (grib(values)[:-10], grib(values, template=40), b"GRIB\0\0\0\1" + bytes(20)):
         with pytest.raises(ValueError):
             table(decode.grib2_rows(broken, Window()))
 
 
+def png(values, depth, how):
+    """A grey, three-byte (24) or four-byte (32) PNG whose lines all take one filter."""
+    height, width = values.shape
+    near = max(1, depth // 8)
+    if depth < 8:
+        bits = ((values[:, :, None] >> np.arange(depth)[::-1]) & 1).astype(np.uint8).reshape(height, -1)
+        lines = np.packbits(bits, axis=1)
+    else:
+        lines = ((values[:, :, None] >> (8 * np.arange(near)[::-1])) & 255).astype(np.uint8).reshape(height, -1)
+    out = b""
+    for k, line in enumerate(lines.astype(int)):
+        up = lines[k - 1].astype(int) if k else np.zeros_like(line)
+        left, corner = (np.concatenate([np.zeros(near, int), x[:-near]]) for x in (line, up))
+        plane = left + up - corner
+        apart = np.abs(np.stack([plane - left, plane - up, plane - corner]))
+        paeth = np.choose(apart.argmin(axis=0), [left, up, corner])
+        out += bytes([how]) + ((line - [0, left, up, (left + up) // 2, paeth][how]) & 255).astype(np.uint8).tobytes()
+    part = lambda kind, body: struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
+    head = struct.pack(">IIBBBBB", width, height, min(depth, 16) if depth <= 16 else 8, {24: 2, 32: 6}.get(depth, 0), 0, 0, 0)
+    packed = zlib.compress(out)
+    return b"\x89PNG\r\n\x1a\n" + part(b"IHDR", head) + part(b"IDAT", packed[:7]) + part(b"IDAT", packed[7:]) + part(b"IEND", b"")
+
+
+@pytest.mark.parametrize("depth", [1, 4, 8, 16, 24, 32])
+@pytest.mark.parametrize("how", range(5))
+def test_png(depth, how):
+    values = np.random.default_rng(depth + how).integers(0, 1 << depth, (6, 13))
+    assert decode.png_values(png(values, depth, how)).tolist() == values.ravel().tolist()
+
+
+@pytest.mark.parametrize("how", [0, 4])
+def test_grib2_png(how):
+    values = np.arange(12).reshape(3, 4) * 0.5
+    content = grib(values, 16, two=0, ten=1, template=41, image=lambda codes: png(codes.reshape(3, 4), 16, how))
+    assert [r[4] for r in table(decode.grib2_rows(content, Window()))] == pytest.approx(values.ravel().tolist())
+    with pytest.raises(ValueError):
+        table(decode.grib2_rows(grib(values, 16, template=41), Window()))
+
+
 def archive(name, content):
     held = io.BytesIO()
     with zipfile.ZipFile(held, "w") as z:
