@@ -51,14 +51,17 @@ def clearsky_fao56(extra: Number, elevation_m: Number) -> Column:
 
 
 def solar_elevation(time: Column, lat: Number, lon: Number) -> Column:
-    """Apparent elevation in degrees: Spencer's declination and equation of time, standard refraction (about 0.3 degrees)."""
-    hour = F.hour(time) + F.minute(time) / 60.0
-    g = 2 * math.pi / 365 * (F.dayofyear(time) - 1 + (hour - 12) / 24)
-    decl = 0.006918 - 0.399912 * F.cos(g) + 0.070257 * F.sin(g) - 0.006758 * F.cos(2 * g) + 0.000907 * F.sin(2 * g) - 0.002697 * F.cos(3 * g) + 0.00148 * F.sin(3 * g)
-    minutes = 229.18 * (0.000075 + 0.001868 * F.cos(g) - 0.032077 * F.sin(g) - 0.014615 * F.cos(2 * g) - 0.040849 * F.sin(2 * g))
-    angle = F.radians((hour * 60 + minutes + 4 * col(lon)) / 4 - 180)
+    """Apparent elevation in degrees at an instant (UTC), by the almanac's low-precision sun and standard refraction; good to 0.02 degrees from 1950 to 2050."""
+    hour = F.hour(time) + F.minute(time) / 60.0 + F.second(time) / 3600.0
+    days = F.unix_date(F.to_date(time)) + hour / 24.0 - 10957.5  # since noon of the first day of 2000
+    g = F.radians(357.528 + 0.9856003 * days)
+    ecliptic = F.radians(280.460 + 0.9856474 * days + 1.915 * F.sin(g) + 0.020 * F.sin(2 * g))
+    tilt = F.radians(23.439 - 0.0000004 * days)
+    turned = F.radians(280.46061837 + 15.0 * hour - 180.0 + 0.98564736629 * days + col(lon))
     phi = F.radians(col(lat))
-    true = F.degrees(F.asin(clip(F.sin(phi) * F.sin(decl) + F.cos(phi) * F.cos(decl) * F.cos(angle), -1.0, 1.0)))
+    # the sun's direction in the equator's frame, turned to the meridian of the place
+    height = F.sin(phi) * F.sin(tilt) * F.sin(ecliptic) + F.cos(phi) * (F.cos(turned) * F.cos(ecliptic) + F.sin(turned) * F.cos(tilt) * F.sin(ecliptic))
+    true = F.degrees(F.asin(clip(height, -1.0, 1.0)))
     return true + F.when(true > -1.0, 1.02 / F.tan(F.radians(true + 10.3 / (true + 5.11))) / 60).otherwise(0.0)
 
 

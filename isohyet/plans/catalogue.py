@@ -62,11 +62,14 @@ def hww(day: str) -> str:
     return f"(0.73e0 * (117.5e0 / pi() * {dr} * ({sunset} * sin(radians(lat)) * sin({decl}) + cos(radians(lat)) * cos({decl}) * sin({sunset}))))"
 
 
-HOUR = "(hour(time) + minute(time) / 60e0)"
-SUN_G = f"(2 * pi() / 365 * (dayofyear(time) - 1 + ({HOUR} - 12) / 24e0))"
-SUN_DECL = f"(0.006918e0 - 0.399912e0 * cos({SUN_G}) + 0.070257e0 * sin({SUN_G}) - 0.006758e0 * cos(2 * {SUN_G}) + 0.000907e0 * sin(2 * {SUN_G}) - 0.002697e0 * cos(3 * {SUN_G}) + 0.00148e0 * sin(3 * {SUN_G}))"
-SUN_MIN = f"(229.18e0 * (0.000075e0 + 0.001868e0 * cos({SUN_G}) - 0.032077e0 * sin({SUN_G}) - 0.014615e0 * cos(2 * {SUN_G}) - 0.040849e0 * sin(2 * {SUN_G})))"
-SUN_TRUE = f"degrees(asin(least(greatest(sin(radians(lat)) * sin({SUN_DECL}) + cos(radians(lat)) * cos({SUN_DECL}) * cos(radians(({HOUR} * 60 + {SUN_MIN} + 4 * lon) / 4e0 - 180)), -1e0), 1e0)))"
+HOUR = "(hour(time) + minute(time) / 60e0 + second(time) / 3600e0)"
+SUN_DAYS = f"(date_diff('day', DATE '1970-01-01', CAST(time AS DATE)) + {HOUR} / 24e0 - 10957.5e0)"
+SUN_G = f"radians(357.528e0 + 0.9856003e0 * {SUN_DAYS})"
+SUN_L = f"radians(280.460e0 + 0.9856474e0 * {SUN_DAYS} + 1.915e0 * sin({SUN_G}) + 0.020e0 * sin(2 * {SUN_G}))"
+SUN_TILT = f"radians(23.439e0 - 0.0000004e0 * {SUN_DAYS})"
+SUN_TURN = f"radians(280.46061837e0 + 15e0 * {HOUR} - 180e0 + 0.98564736629e0 * {SUN_DAYS} + lon)"
+SUN_TRUE = f"""degrees(asin(least(greatest(sin(radians(lat)) * sin({SUN_TILT}) * sin({SUN_L})
+  + cos(radians(lat)) * (cos({SUN_TURN}) * cos({SUN_L}) + sin({SUN_TURN}) * cos({SUN_TILT}) * sin({SUN_L})), -1e0), 1e0)))"""
 SUN = f"(SELECT t + CASE WHEN t > -1e0 THEN 1.02e0 / tan(radians(t + 10.3e0 / (t + 5.11e0))) / 60e0 ELSE 0e0 END FROM (SELECT {SUN_TRUE} AS t))"
 
 

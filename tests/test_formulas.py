@@ -37,6 +37,22 @@ def test_extra_radiation_fao_example(spark):
     assert got == pytest.approx(32.2, abs=0.1)
 
 
+@pytest.mark.parametrize(
+    ("at", "lat", "lon", "want"),
+    [
+        # a published worked example of the sun's position: 39.8884 degrees under its pressure; here standard refraction
+        ("2003-10-17 19:30:30", 39.742476, -105.1786, 39.888),
+        # the solstices at the tropics' noon, and the poles
+        ("2020-06-20 21:43:40", 23.43, -145.5, 89.9),
+        ("2020-12-21 10:02:00", 90.0, 0.0, -23.44),
+        ("2020-06-20 21:43:40", 90.0, 0.0, 23.47),
+    ],
+)
+def test_solar_elevation_by_known_positions(spark, at, lat, lon, want):
+    got = spark.sql(f"SELECT TIMESTAMP_NTZ'{at}' AS t").select(radiation.solar_elevation(F.col("t"), lat, lon).alias("x")).first().x
+    assert got == pytest.approx(want, abs=0.12 if want > 80 else 0.02)
+
+
 def test_solar_elevation_at_equinox_noon(spark):
     got = spark.sql("SELECT TIMESTAMP_NTZ'2001-03-20 12:07:00' AS t").select(radiation.solar_elevation(F.col("t"), 0.0, 0.0).alias("x")).first()["x"]
     assert got == pytest.approx(90, abs=0.6)
