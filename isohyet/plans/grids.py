@@ -16,7 +16,7 @@ from isohyet.operators import spatial as sp
 from isohyet.operators import store
 from isohyet.operators import time as ti
 from isohyet.plans.catalogue import BOX, OVERLAPS, SUN, _parameters, authalic, cascade_sql, ineichen, sun
-from isohyet.plans.feeds import HOUR, OBSERVED, TARGETS, _dsn_rows, _lines, _observed, _targets
+from isohyet.plans.feeds import FRACTIONS, HOUR, OBSERVED, TARGETS, _dsn_rows, _lines, _observed, _targets
 from isohyet.plans.registry import query
 from isohyet.plans.views import GRID, ctes, fine, view
 from isohyet.sources import canonical, decode, gridded, stations
@@ -119,6 +119,16 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("metzone", F.round("area", 6).alias("area"))
 
 
+@query("overlay_fractions", f"{ctes('polygons')}, {FRACTIONS} SELECT polygon_index, lat_idx, lon_idx, round(fraction, 6) AS fraction FROM fractions WHERE fraction > 1e-7")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares of each region by cell from an overlay of the cells' own polygons with the regions."""
+    cells = sp.generate_grid(spark, sp.BoundingBox(GRID.west, GRID.south, GRID.west + GRID.columns * GRID.dlon, GRID.south + GRID.rows * GRID.dlat), GRID.dlat)
+    left = _rings(cells).select((F.col("row_id") * GRID.columns + F.col("column_id")).alias("cell"), "rings")
+    met = geo.overlay(left, _rings(view(spark, sf_dir, "polygons")).select("polygon_index", "rings"), "cell", "polygon_index", 0.25)
+    placed = met.select("polygon_index", F.floor(F.col("cell") / GRID.columns).cast("int").alias("lat_idx"), (F.col("cell") % GRID.columns).alias("lon_idx"), F.col("area").alias("overlap_area"))
+    return sp.region_fractions(placed, "polygon_index").filter("fraction > 1e-7").withColumn("fraction", F.round("fraction", 6))
+
+
 @query("geojson_weights", f"{ctes('polygons')}, {OVERLAPS} SELECT CAST(polygon_index AS VARCHAR) AS polygon, lat_idx, lon_idx, round(area / cell, 5) AS overlap FROM over")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A feature collection of each zone as text, parsed to polygons and laid over the grid."""

@@ -33,6 +33,24 @@ def test_runs_without_oracle(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
+def test_values_without_oracle(spark):
+    """What must hold of the queries that SQL can't express: totals, ranges and one row a key."""
+    from pyspark.sql import functions as F
+
+    from isohyet.plans.grids import _midnight
+
+    hours = QUERIES["olsson_hours"](spark, SF)
+    assert hours.count() == hours.select("zone", "time").distinct().count() and hours.filter("precip_mm < 0 OR precip_mm IS NULL").count() == 0
+    made = {(r.zone, r.d): r.s for r in hours.groupBy("zone", F.to_date("time").alias("d")).agg(F.sum("precip_mm").alias("s")).collect()}
+    for r in _midnight(spark, SF).collect():
+        if (r.zone, r.time.date()) in made and r.precip_mm > 0 and r.time.date() not in (min(d for _, d in made), max(d for _, d in made)):
+            assert made[r.zone, r.time.date()] == pytest.approx(r.precip_mm, abs=1e-4)
+    fit = QUERIES["cascade_fit"](spark, SF).toPandas()
+    assert len(fit) == fit["zone"].nunique()
+    rain = QUERIES["precip_hybrid_fitted"](spark, SF)
+    assert rain.filter("precip_mm < 0").count() == 0 and rain.count() == rain.select("zone", "time").distinct().count()
+
+
 def test_entry_imports():
     import __spark_entry__ as entry
 
