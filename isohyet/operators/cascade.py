@@ -124,10 +124,11 @@ def moment_scaling(series: DataFrame, key: str, value: str, time: str = "time",
     for s in range(SCALES):
         if s:
             now = now.groupBy(key, "_run", F.shiftright("_at", 1).alias("_at")).agg(F.sum("_v").alias("_v"))
-        scales.append(now.groupBy(key).agg(*[F.avg(F.pow("_v", F.lit(q))).alias(f"{q}") for q in ORDERS]).withColumn("s", F.lit(s)))
-    wide = scales[0]
+        scales.append(now.select(key, F.lit(s).alias("s"), "_v"))
+    told = scales[0]
     for more in scales[1:]:
-        wide = wide.unionByName(more)
+        told = told.unionByName(more)
+    wide = told.groupBy(key, "s").agg(*[F.avg(F.pow("_v", F.lit(q))).alias(f"{q}") for q in ORDERS])
     moments = wide.unpivot([key, "s"], [f"`{q}`" for q in ORDERS], "q", "m").withColumn("q", F.col("q").cast("double"))
     return moments.filter("m > 0").groupBy(key, "q").agg((-F.regr_slope(F.log("m"), F.log(F.pow(F.lit(2.0), SCALES - 1 - F.col("s"))))).alias("tau"))
 

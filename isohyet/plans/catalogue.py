@@ -424,7 +424,7 @@ s AS (SELECT zone, s, CAST(floor(p / pow(2e0, s)) AS BIGINT) AS g, sum(precip_mm
 m AS (SELECT zone, s, q, avg(pow(v, q)) AS m FROM s, (SELECT unnest([0.5e0, 1e0, 1.5e0, 2e0, 2.5e0, 3e0, 3.5e0, 4e0, 4.5e0, 5e0]) AS q) GROUP BY 1, 2, 3)
 SELECT zone, q, round(-regr_slope(ln(m), ln(pow(2e0, 5 - s))), 6) AS tau FROM m WHERE m > 0 GROUP BY 1, 2""")
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cas.moment_scaling(fine(spark, sf_dir), "zone", "precip_mm").select("zone", "q", F.round("tau", 6).alias("tau"))
+    return cas.moment_scaling(fine(spark, sf_dir), "zone", "precip_mm", step_seconds=3600).select("zone", "q", F.round("tau", 6).alias("tau"))
 
 
 for _unit, _how, _name, _trunc in (("D", "sum", "dsn_rollup_day", "day"), ("MS", "mean", "dsn_rollup_month", "month"), ("A", "max", "dsn_rollup_year", "year"), ("H", "min", "dsn_rollup_hour", "hour")):
