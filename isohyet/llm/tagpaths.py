@@ -18,11 +18,16 @@ settle what text statistics cannot tell (a long reader comment reads like the
 article): text under elements that by their tag, role, class or id are navigation,
 page headers, footers, sidebars, notices, adverts, forms or reader comments takes
 no part, and blocks of any kind come along inside an article element;
-``lists=False`` leaves the lists out.
-
-The parser is forgiving and linear in the page, however deep it is nested: one
-regular expression cuts it into tags, text and comments; paths are numbers of a
-tree; unclosed tags are closed by their container, p by the next block, an
+``lists=False`` leaves the lists out.  A form, or a division that only its class
+or id names, is not believed against the ratios: if it holds ``MOST`` of the
+page's fused score (half is enough if it alone holds the article element) and
+prose to show for it, it is opened, and what is named inside is judged in turn.
+Reader comments are opened only where nothing outside them reads like prose.
+Comments that no markup names are text like any other.
+
+The parser is forgiving and linear in the page, however deep it is nested: a
+regular expression cuts it into tags, text and comments, and gives quotes that
+never close up after ``TRIES`` page lengths; paths are numbers of a tree; unclosed tags are closed by their container, p by the next block, an
 unclosed script or style by the page's end, and any other unclosed element
 without text of its own (svg, object, title) by the next block.
 
@@ -38,6 +43,7 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +52,13 @@ from pyspark.sql import DataFrame
 from isohyet.llm.common import slices
 
 LEVEL = 0.5
+#: The level of a division beside a container of content, in parts of the page's.
+BESIDE = 0.25
 RADIUS = 2
+#: The part of the fused score beyond which a named wrapper is opened, and the characters of prose it must hold.
+MOST, PROSE = 0.75, 250
+#: Failed searches for the end of quoted attributes, in lengths of the page.
+TRIES = 8
 #: Paths further apart than so many edits don't smooth each other.
 EDITS = 6
 # Element names of HTML by their role here.
@@ -71,10 +83,11 @@ WORDS = frozenset(
     "nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget widgets footer masthead comment comments disqus replies related share sharing social toolbar pagination pager login".split()
 )
 JOINED = tuple("footer sidebar cookie newsletter advert navbar breadcrumb masthead comments disqus sponsor sidenav topnav subnav mainnav commentlist commentform adbox adslot adunit adsbygoogle".split())
+TALK = frozenset("comment comments disqus replies commentlist commentform".split())
 LAYOUT = frozenset("no not has have with without hide hidden show".split())
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[^<]+|<", re.S
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_QUOTED = re.compile(r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>")
+_SENTENCE = re.compile(r"[.!?…。]")
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _MARKS = re.compile(r"[.,;:!?…¿¡。、，]")
@@ -93,19 +106,25 @@ def _label(attributes: str) -> str:
     return re.sub(r"\d+", "", held.get("class") or held.get("id") or "")
 
 
-def _shunned(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element holds no content by its lists' names, and whether only its class or id says so; ``inside``: an article or main is open."""
-    sure = tag in ASIDE or tag == "header" and not inside
-    if not attributes or sure or tag in ("html", "body", "article", "main"):
-        return sure, False
-    named = False
+#: What an element's names say of it: nothing, surely no content, likely none, likely reader comments.
+CLEAR, SURE, LIKELY, COMMENTS = range(4)
+
+
+def _shunned(tag: str, attributes: str, inside: bool) -> int:
+    """Whether an element holds no content by its lists' names; ``inside``: an article or main is open."""
+    if tag in ASIDE and tag != "form" or tag == "header" and not inside:
+        return SURE
+    found = LIKELY if tag == "form" else CLEAR
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return found
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "role" and value.lower() in ROLES:
-            return True, False
+            return SURE
         if name in ("class", "id") and any(_names_boilerplate(t) for t in value.split()):
-            named = True
-    return named, named
+            talk = not TALK.isdisjoint(p.lower() for p in _PARTS.findall(value))
+            found = max(found, COMMENTS if talk else LIKELY)
+    return found if tag in BLOCK or not found else SURE
 
 
 @dataclass
@@ -118,6 +137,12 @@ class Blocks:
     parent: list[int] = field(default_factory=lambda: [-1])
     tag: list[str] = field(default_factory=lambda: [""])
     depth: list[int] = field(default_factory=lambda: [0])
+    #: The innermost named wrapper of each block (0: none), and of each wrapper the one around it, whether it is of comments, its articles and titles.
+    wrapper: list[int] = field(default_factory=list)
+    around: list[int] = field(default_factory=lambda: [-1])
+    comments: list[bool] = field(default_factory=lambda: [False])
+    articles: list[int] = field(default_factory=lambda: [0])
+    titles: list[int] = field(default_factory=lambda: [0])
 
 
 class _Parser:
@@ -127,11 +152,10 @@ class _Parser:
         self.lists, self.found, self.numbers = lists, Blocks(), {}
         self.tags: list[str] = []
         self.paths: list[int] = []
-        self.marks: list[bool] = []
-        self.named: list[bool] = []
+        self.marks: list[int] = []
+        self.wrappers: list[int] = [0]
         self.places: dict[str, list[int]] = {}
         self.bad = self.inside = 0
-        self.seen: set[str] = set()
         self.block: list[str] = []
         self.links: list[str] = []
 
@@ -152,6 +176,7 @@ class _Parser:
                 self.found.path.append(self.paths[-1] if self.paths else 0)
                 self.found.text.append(text)
                 self.found.linked.append("".join(self.links))
+                self.found.wrapper.append(self.wrappers[-1])
             self.block, self.links = [], []
 
     def pop_to(self, place: int) -> None:
@@ -161,24 +186,17 @@ class _Parser:
             tag = self.tags.pop()
             self.paths.pop()
             self.places[tag].pop()
-            self.bad -= self.marks.pop()
-            self.named.pop()
+            mark = self.marks.pop()
+            self.bad -= mark == SURE
+            if mark > SURE:
+                self.wrappers.pop()
             self.inside -= tag in ("article", "main")
 
-    def push(self, tag: str, attributes: str, wrong: bool = False) -> None:
+    def push(self, tag: str, attributes: str, mark: int = CLEAR) -> None:
         over = self.paths[-1] if self.paths else 0
-        named = False
-        if self.lists and not wrong:
-            wrong, named = _shunned(tag, attributes, self.inside > 0)
-        if tag in ("article", "main"):
-            if tag not in self.seen and (tag == "main" or not self.seen):
-                # a wrapper that only its class or id marks holds the article after all
-                for k, marked in enumerate(self.named):
-                    if marked and self.marks[k]:
-                        self.marks[k] = False
-                        self.bad -= 1
-            self.seen.add(tag)
-            self.inside += 1
+        if self.lists and not mark:
+            mark = _shunned(tag, attributes, self.inside > 0)
+        self.inside += tag in ("article", "main")
         if tag in BLOCK:
             self.end_block()
             number = self.numbers.setdefault((over, tag, _label(attributes) if tag in CLASSED else ""), len(self.found.parent))
@@ -190,9 +208,17 @@ class _Parser:
         self.places.setdefault(tag, []).append(len(self.tags))
         self.tags.append(tag)
         self.paths.append(over)
-        self.marks.append(wrong)
-        self.named.append(named)
-        self.bad += wrong
+        self.marks.append(mark)
+        self.bad += mark == SURE
+        if mark > SURE:
+            self.found.around.append(self.wrappers[-1])
+            self.found.comments.append(mark == COMMENTS)
+            self.found.articles.append(0)
+            self.found.titles.append(0)
+            self.wrappers.append(len(self.found.around) - 1)
+        if self.bad <= 0:
+            self.found.articles[self.wrappers[-1]] += tag in ("article", "main")
+            self.found.titles[self.wrappers[-1]] += tag == "h1"
 
     def open(self, tag: str, attributes: str) -> None:
         if tag in BLOCK:
@@ -214,33 +240,98 @@ class _Parser:
 def blocks(page: str, lists: bool = True) -> Blocks:
     """The blocks that may be content, in page order."""
     made, at, endless = _Parser(lists), 0, set()
-    while at < len(page):
-        m = _TOKEN.match(page, at)
-        at = m.end()
-        tag = (m[2] or m[5] or "").lower()
-        if not tag:
-            if m[0][0] != "<" or m[0] == "<":
-                made.say(m[0])
+    last, tries = page.rfind(">") + 1, TRIES * len(page)
+    while at < last:
+        start, m = at, _TAG.match(page, at)
+        if not m:
+            if page.startswith("<!--", at):
+                end = page.find("-->", at)
+                at = end + 3 if end >= 0 else len(page)
+            elif page.startswith(("<!", "<?"), at):
+                at = page.index(">", at) + 1
+            else:
+                end = page.find("<", at + 1)
+                at = end if end >= 0 else len(page)
+                made.say(page[start:at])
             continue
-        closing, attributes = m[1] or m[4], m[3] or m[6] or ""
-        if closing:
+        end = _QUOTED.match(page, m.end()) if tries > 0 else None
+        if end:
+            at = end.end()
+        else:
+            tries -= len(page) - at
+            at = page.index(">", m.end()) + 1
+        tag, attributes = m[2].lower(), page[m.end() : at - 1]
+        if m[1]:
             if (place := made.place(tag)) >= 0:
                 made.pop_to(place)
             continue
         if tag in RAW and not attributes.rstrip().endswith("/"):
-            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at)
-            if end:
-                at = end.end()
+            close = None if tag in endless else re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(page, at, last)
+            if close:
+                at = close.end()
             elif tag in ("script", "style"):
-                break
+                at = len(page)
             else:
                 endless.add(tag)
-                made.push(tag, "", wrong=True)
+                made.push(tag, "", SURE)
             continue
         made.open(tag, attributes)
+    if at < len(page):
+        made.say(page[at:].partition("<!--")[0])
     made.pop_to(0)
     made.end_block()
-    return made.found
+    return _believed(made.found)
+
+
+def _measures(found: Blocks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each block its characters, those outside links, and its punctuation."""
+    plain = lambda text: len(" ".join(html.unescape(text).split()))
+    full = np.array([plain(t) for t in found.text], float)
+    long = np.maximum(0, full - [plain(a) for a in found.linked])
+    return full, long, np.array([len(_MARKS.findall(html.unescape(t))) for t in found.text], float)
+
+
+def _believed(found: Blocks) -> Blocks:
+    """The blocks without those of named wrappers, but for wrappers that the ratios open."""
+    if not any(found.wrapper):
+        return found
+    n, at = len(found.around), np.array(found.wrapper)
+    raw = np.bincount(at, [max(0, len(t) - len(a)) for t, a in zip(found.text, found.linked, strict=True)], n)
+    free = np.zeros(n, bool)
+    free[0] = True
+    if found.articles[0] == 0 and sum(found.articles) or raw[1:].sum() >= raw[0]:
+        paths, score, *_ = path_scores(found)
+        _, long, _ = _measures(found)
+        prose = np.array([n if n >= 60 and _SENTENCE.search(t) else 0 for n, t in zip(long, found.text, strict=True)])
+        own = np.bincount(at, score[np.searchsorted(paths, found.path)] * long, n)
+        told = np.bincount(at, prose, n)
+        inner: list[list[int]] = [[] for _ in range(n)]
+        # score, prose, articles and titles of a wrapper and of all in it
+        held = [own.copy(), told.copy(), np.array(found.articles, float), np.array(found.titles, float)]
+        for w in range(n - 1, 0, -1):
+            inner[found.around[w]].append(w)
+            for sums in held:
+                sums[found.around[w]] += sums[w]
+        order = lambda w: (found.comments[w], -held[0][w], w)
+        open_score, open_prose, open_articles = own[0], told[0], found.articles[0]
+        queue = [order(w) for w in inner[0]]
+        heapify(queue)
+        while queue:
+            *_, w = heappop(queue)
+            mass, text, articles, titles = (sums[w] for sums in held)
+            part = 0.5 if articles and not open_articles else MOST
+            if found.comments[w]:
+                ours = bool(articles or titles) and not open_prose
+            else:
+                ours = bool(articles and not open_articles or text >= PROSE) and mass >= part * (mass + open_score)
+            if ours and mass > 0:
+                free[w] = True
+                open_score, open_prose, open_articles = open_score + own[w], open_prose + told[w], open_articles + found.articles[w]
+                for child in inner[w]:
+                    heappush(queue, order(child))
+    keep = [k for k, w in enumerate(found.wrapper) if free[w]]
+    found.path, found.text, found.linked, found.wrapper = ([held[k] for k in keep] for held in (found.path, found.text, found.linked, found.wrapper))
+    return found
 
 
 def edits(found: Blocks, a: int, b: int) -> int:
@@ -272,10 +363,7 @@ def smooth(values: np.ndarray, found: Blocks) -> np.ndarray:
 def path_scores(found: Blocks) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
     """Distinct paths, the fused ratio of each, the level that content reaches, and the share of each path's text outside links."""
     paths, owner = np.unique(np.array(found.path), return_inverse=True)
-    plain = lambda text: len(" ".join(html.unescape(text).split()))
-    full = np.array([plain(t) for t in found.text], float)
-    long = np.maximum(0, full - [plain(a) for a in found.linked])
-    marks = np.array([len(_MARKS.findall(html.unescape(t))) for t in found.text], float)
+    full, long, marks = _measures(found)
     count = np.bincount(owner)
     text_ratio, mark_ratio = np.bincount(owner, long) / count, np.bincount(owner, marks) / count
     spread = np.sqrt(np.maximum(np.bincount(owner, long**2) / count - text_ratio**2, 0))
@@ -304,8 +392,11 @@ def content_paths(found: Blocks, lists: bool = True) -> set[int]:
         whole[c] |= whole[parent[c]]
         if near[parent[c]] and not near[c]:
             near[c] = 1 if tag[c] in DIVIDES else near[parent[c]]
-    for p, mine in zip(paths.tolist(), own.tolist(), strict=True):
+    beside = {parent[c] for c in around if tag[c] in DIVIDES and tag[parent[c]] not in ("", "html", "body")}
+    for p, mine, own_score in zip(paths.tolist(), own.tolist(), score.tolist(), strict=True):
         leaf = tag[p] in LEAF
+        if tag[p] in CLASSED and parent[p] in beside and mine >= 0.5 and own_score >= BESIDE * level:
+            chosen.add(p)
         if whole[p] or near[p] == 2 and leaf or near[p] and mine >= 0.5 or leaf and parent[p] in around and tag[parent[p]] == "body":
             chosen.add(p)
     return chosen

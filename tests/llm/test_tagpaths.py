@@ -116,3 +116,59 @@ def test_slices_bound_rows_and_bytes():
     got = list(common.slices([batch], rows=4, size=10))
     assert [x for part in got for x in part.column("text").to_pylist()] == texts
     assert all(part.num_rows == 1 or part.num_rows <= 4 and sum(len(x or "") for x in part.column("text").to_pylist()) <= 10 for part in got)
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<form id="aspnetForm">', '<div id="ad-free-story">', '<div class="share-price">', '<div class="post share-buttons-on">', '<div class="menu-item">',
+        '<form><div class="menu-item"><div class=share>', '<div class="comments">',
+    ],
+)
+def test_named_wrappers_of_the_article_are_opened(around):
+    ends = "".join(f"</{t}>" for t in reversed(re.findall(r"<(\w+)", around)))
+    rest = "<nav><a href=1>Home</a></nav><div class=sidebar><p>Side text of a line or two, with a full stop.</p></div>"
+    assert tagpaths.main_text(f"<body>{rest}{around}<article><h1>Title</h1><p>{SAID}</p></article>{ends}<footer>Imprint.</footer></body>") == f"Title\n{TIDY}"
+    if "comments" not in around:
+        assert tagpaths.main_text(f"<body>{rest}{around}<p>{SAID}</p><p>{SAID}</p>{ends}<footer>Imprint.</footer></body>") == f"{TIDY}\n{TIDY}"
+
+
+def test_comments_and_notices_stay_out_however_long():
+    said = "A reader says that this goes on and on, without an end. " * 40
+    for comments in (f"<div class=comments><article><p>{said}</p></article></div>", f"<ol class=comment-list><li><p>{said}</p></li></ol>", f"<section id=disqus><h1>Said</h1><p>{said}</p></section>"):
+        for page in (f"{comments}<article><p>{SAID}</p></article>", f"<article><p>{SAID}</p></article>{comments}", f"<form><article><p>{SAID}</p></article>{comments}</form>", f"<div class=story><p>{SAID}</p></div>{comments}"):
+            assert tagpaths.main_text(f"<body>{page}</body>") == TIDY
+    assert tagpaths.main_text("<body><div class=cookie-banner><p>We use cookies here, as all sites do. Go on to accept them.</p></div><nav>Menu</nav></body>") == ""
+    assert tagpaths.main_text(f"<body><div class=newsletter><p>{SAID}</p></div><article><p>{SAID}Main.</p></article></body>") == f"{TIDY} Main."
+
+
+def test_lists_and_ratios_do_better_than_either():
+    pages = [
+        (f"<form id=f><div class=top><a href=1>Home</a></div><div class=story><p>{SAID}</p></div><div class=comments><p>{SAID}</p></div></form>", TIDY),
+        (f"<div class=share-price><div class=links><a href=1>One link</a> <a href=2>Two</a></div><div class=x><p>{SAID}</p><p>{SAID}</p></div></div>", f"{TIDY}\n{TIDY}"),
+    ]
+    every = lambda page: "\n".join(" ".join(t.split()) for t in tagpaths.blocks(page).text)
+    for page, want in pages:
+        assert tagpaths.main_text(page) == want
+        assert every(page) != want
+    assert tagpaths.main_text(pages[0][0], lists=False) != TIDY
+
+
+def test_divisions_beside_the_body_come_along():
+    line = "The story opens with a paragraph of its own, which tells the reader what is to come, and why."
+    page = f'<body><div class="post"><div class="intro">{line}</div><div class="body"><p>{SAID}</p><p>{SAID}</p></div><div class="outro">{line}</div></div><div class="base">Imprint</div></body>'
+    assert tagpaths.main_text(page) == f"{line}\n{TIDY}\n{TIDY}\n{line}"
+
+
+@pytest.mark.parametrize("part", ['<b x="', "<b x='", '<b x="y', "<!", "<a", "<a ", "</title ", "<title>", '<div class="a" id=\'', "<form>", "<div class=share>a. b"])
+def test_unclosed_marks_take_seconds(part):
+    for page in (f"<p>{SAID}</p>" + part * (2_000_000 // len(part)), f"<p>{SAID}</p>" + part * (300_000 // len(part)) + "<p>x</p>"):
+        began = time.process_time()
+        tagpaths.main_text(page)
+        assert time.process_time() - began < 20
+
+
+def test_quotes_that_never_close():
+    assert tagpaths.main_text(f'<p>{SAID}</p><p title="x>{SAID}</p><p>{SAID}</p>') == f"{TIDY}\n{TIDY}\n{TIDY}"
+    assert tagpaths.main_text(f"<p title='a > b'>{SAID}</p>") == TIDY
+    assert tagpaths.main_text(f"<p>{SAID}</p><p>{SAID} 1 < 2") == f"{TIDY}\n{TIDY} 1 < 2"
