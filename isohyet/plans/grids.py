@@ -17,9 +17,9 @@ from isohyet.operators import store
 from isohyet.operators import time as ti
 from isohyet.plans.catalogue import BOX, OVERLAPS, SUN, _parameters, authalic, cascade_sql, ineichen, sun
 from isohyet.plans.feeds import FRACTIONS, HOUR, OBSERVED, TARGETS, _dsn_rows, _lines, _observed, _targets
-from isohyet.plans.registry import query
+from isohyet.plans.registry import ORACLE, query
 from isohyet.plans.views import GRID, ctes, fine, view
-from isohyet.sources import canonical, decode, gridded, stations
+from isohyet.sources import canonical, decode, gridded, stations, vector
 
 # --- binary granules ------------------------------------------------------------------------------------
 
@@ -140,6 +140,49 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.filter("overlap > 1e-7").select("polygon", "lat_idx", "lon_idx", F.round("overlap", 5).alias("overlap"))
 
 
+# --- vector files of catchments -------------------------------------------------------------------------
+
+#: Two systems in which catchment files come: a zone of the transverse Mercator grid, and a state's cone in survey feet.
+MAPS = (
+    "EPSG:26915",
+    'PROJCS["South",GEOGCS["NAD83",DATUM["North_American_Datum_1983",SPHEROID["GRS 1980",6378137,298.257222101]],UNIT["degree",0.0174532925199433]],'
+    'PROJECTION["Lambert_Conformal_Conic_2SP"],PARAMETER["standard_parallel_1",45.2166666667],PARAMETER["standard_parallel_2",43.7833333333],PARAMETER["latitude_of_origin",43],'
+    'PARAMETER["central_meridian",-94],PARAMETER["false_easting",2624666.667],PARAMETER["false_northing",328083.333],UNIT["US survey foot",0.304800609601219]]',
+)
+
+
+def _shapefiles(spark: SparkSession, sf_dir: str, crs: str) -> DataFrame:
+    """path and content: the polygons of a zone as one shapefile, in a projected system."""
+    rows = _rings(view(spark, sf_dir, "polygons")).withColumnRenamed("polygon_index", "polygon")
+    return vector.encode_shapefiles(rows, "metzone", ["metzone", "polygon"], crs)
+
+
+@query("shapefile_corners", f"{ctes('polygons')} SELECT CAST(polygon_index AS VARCHAR) AS polygon, round(west, 6) AS west, round(south, 6) AS south, round(east, 6) AS east, round(north, 6) AS north FROM polygons")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes of the polygons of shapefiles in feet on a cone, moved to longitude and latitude."""
+    made = geo.boxed(vector.decode(_shapefiles(spark, sf_dir, MAPS[1])))
+    return made.select(F.col("properties")["polygon"].alias("polygon"), *[F.round(c, 6).alias(c) for c in ("west", "south", "east", "north")])
+
+
+@query("shapefile_zones", ORACLE["dissolve_geometry"].replace("SELECT metzone, round(sum(", "SELECT CAST(metzone AS VARCHAR) AS metzone, round(sum("))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones as unions of the catchments of all shapefiles, moved from their own system."""
+    made = vector.polygons(_shapefiles(spark, sf_dir, MAPS[0]), "metzone")
+    return made.select("metzone", F.round("area", 6).alias("area"))
+
+
+@query(
+    "vector_errors",
+    f"{ctes('polygons')} SELECT metzone || '.shp' AS path, count(*) AS features, false AS failed FROM polygons GROUP BY 1 UNION ALL SELECT DISTINCT 'x' || metzone || '.shp', CAST(0 AS BIGINT), true FROM polygons",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features by file; files without a coordinate system are rows of errors."""
+    good = _shapefiles(spark, sf_dir, MAPS[0])
+    bare = good.filter(~F.col("path").endswith(".prj")).withColumn("path", F.concat(F.lit("x"), "path"))
+    told = vector.decode(good.unionByName(bare))
+    return told.groupBy("path").agg(F.count("feature").alias("features"), F.bool_or(F.col("error").isNotNull()).alias("failed"))
+
+
 # --- names and units of further sources -----------------------------------------------------------------
 
 
@@ -287,6 +330,26 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stations.fetch(spark, "asos", path, names, day, day, load).select("station", "valid", "air_temp_f", "sky_cover_1")
 
 
+@query("network_store", f"{ctes('stations')} SELECT CAST(station AS VARCHAR) AS stid, {HOUR} AS time, CASE WHEN NOT gone THEN CAST(t AS DOUBLE) END AS air_temp, CAST(h AS DOUBLE) AS wind_speed, CAST(NULL AS DOUBLE) AS pressure FROM {OBSERVED}")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Time series documents of a network through a store that holds a third of its stations; variables that none reports are null."""
+    observed = _observed(spark, sf_dir).withColumn("station", F.col("station").cast("string"))
+
+    def load(pairs: DataFrame) -> DataFrame:
+        asked = observed.join(pairs.select("station"), "station", "left_semi")
+        sorted_rows = asked.groupBy("station").agg(F.array_sort(F.collect_list(F.struct("h", "t", "gone"))).alias("o"))
+        held = lambda f: F.transform("o", f)
+        series = F.struct(
+            held(lambda x: F.format_string("2001-06-01T%02d:00:00Z", x["h"])).alias("date_time"),
+            held(lambda x: F.when(~x["gone"], x["t"].cast("string"))).alias("air_temp_set_1"), held(lambda x: x["h"].cast("string")).alias("wind_speed_set_1"),
+        )
+        return sorted_rows.select(F.to_json(F.struct(F.array(F.struct(F.col("station").alias("STID"), series.alias("OBSERVATIONS"))).alias("STATION"))).alias("json"))
+
+    names, path, day = observed.select("station").distinct(), store.scratch(spark), date(2001, 6, 1)
+    stations.fetch(spark, "synoptic_hourly", path, names.filter("station % 3 = 0"), day, day, load)
+    return stations.fetch(spark, "synoptic_hourly", path, names, day, day, load).select("stid", "time", "air_temp", "wind_speed", "pressure")
+
+
 @query(
     "dsn_updated",
     f"""{ctes('fine_gaps', 'coarse')}, z AS (SELECT CAST('10' || zone AS INT) AS dsn, time, precip_mm AS value FROM fine_gaps UNION ALL SELECT CAST('13' || zone AS INT), time, precip_mm FROM coarse),
