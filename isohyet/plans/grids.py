@@ -19,7 +19,7 @@ from isohyet.plans.catalogue import BOX, OVERLAPS, SUN, _parameters, authalic, c
 from isohyet.plans.feeds import FRACTIONS, HOUR, OBSERVED, TARGETS, _dsn_rows, _lines, _observed, _targets
 from isohyet.plans.registry import ORACLE, query
 from isohyet.plans.views import GRID, ctes, fine, view
-from isohyet.sources import canonical, decode, gridded, stations, vector
+from isohyet.sources import canonical, chunked, decode, gridded, stations, vector
 
 # --- binary granules ------------------------------------------------------------------------------------
 
@@ -140,6 +140,14 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.filter("overlap > 1e-7").select("polygon", "lat_idx", "lon_idx", F.round("overlap", 5).alias("overlap"))
 
 
+@query("chunked_window", ORACLE["netcdf_granules"].replace("WHERE variable IN", "WHERE value IS NOT NULL AND variable IN"))
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells as a chunked store, of which only chunks that meet a box are read back."""
+    made, chunks = chunked.encode_store(view(spark, sf_dir, "cells").select("time", "lat", "lon", "tair_k", "rainf"), ["tair_k", "rainf"], (168, 8, 8))
+    rows = made.rows(chunks, decode.Window(("tair_k", "rainf"), BOX)).filter("value IS NOT NULL")
+    return rows.select("variable", "time", *[F.round(c, 6).alias(c) for c in ("lat", "lon", "value")])
+
+
 # --- vector files of catchments -------------------------------------------------------------------------
 
 #: Two systems in which catchment files come: a zone of the transverse Mercator grid, and a state's cone in survey feet.
