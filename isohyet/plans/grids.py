@@ -144,7 +144,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The cells as a chunked store, of which only chunks that meet a box are read back."""
     made, chunks = chunked.encode_store(view(spark, sf_dir, "cells").select("time", "lat", "lon", "tair_k", "rainf"), ["tair_k", "rainf"], (168, 8, 8))
-    rows = made.rows(chunks, decode.Window(("tair_k", "rainf"), BOX)).filter("value IS NOT NULL")
+    rows = made.rows(chunks, decode.Window(("tair_k", "rainf"), BOX), drop_missing=True)
     return rows.select("variable", "time", *[F.round(c, 6).alias(c) for c in ("lat", "lon", "value")])
 
 

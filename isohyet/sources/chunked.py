@@ -30,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isohyet.sources import decode
 from isohyet.sources.decode import EPOCH, ROWS, SCHEMA, UNIT_SECONDS, Window, wrap
 
 # Names of the axes in stores, and of the codecs inside blosc frames by their numbers.
 AXES = {"time": "time", "lat": "lat", "latitude": "lat", "y": "lat", "lon": "lon", "longitude": "lon", "x": "lon"}
 INSIDE = {1: "lz4_raw", 2: "snappy", 3: "zlib", 4: "zstd"}
+#: Rows of one record batch.
+BATCH = 65_536
+#: Places on an axis up to which a writer sends the axis to all tasks; longer ones are shuffled.
+AXIS_ROWS = 1_000_000
 KNOWN = ("zlib", "gzip", "bz2", "zstd", "lz4", "blosc")
 Bounds = dict[str, tuple[int, int]]
 
@@ -144,8 +147,8 @@ class Store:
             found |= F.coalesce(mine, F.lit(False))
         return found
 
-    def rows(self, chunks: DataFrame, window: Window | None = None) -> DataFrame:
-        """path, variable, time, lat, lon, value and error of chunks (path, content)."""
+    def rows(self, chunks: DataFrame, window: Window | None = None, drop_missing: bool = False) -> DataFrame:
+        """path, variable, time, lat, lon, value and error of chunks (path, content); missing values are NULL, or left out on request."""
         asked, store = window or Window(), self
         places = self.wanted(asked)
 
@@ -159,9 +162,17 @@ class Store:
                 where[AXES[dim]] = mine[(mine >= first) & (mine < first + long)]
                 cut.append(where[AXES[dim]] - first)
             values = grid.values(raw[np.ix_(*cut)]).transpose([[AXES[d] for d in grid.dims].index(a) for a in ("time", "lat", "lon")])
-            for k, t in enumerate(where["time"]):
-                if values[k].size:
-                    yield decode._rows(name, EPOCH + timedelta(microseconds=int(store.axes["time"][t])), store.axes["lat"][where["lat"]], store.axes["lon"][where["lon"]], values[k])
+            keep = np.flatnonzero(~np.isnan(values)) if drop_missing else np.arange(values.size)
+            for at in range(0, len(keep), BATCH):
+                mine = keep[at : at + BATCH]
+                t, i, j = np.unravel_index(mine, values.shape)
+                told = values.ravel()[mine]
+                axis = lambda a, k: store.axes[a][where[a]][k]
+                columns = [
+                    pa.array([name]).take(pa.array(np.zeros(len(mine), np.int32))), pa.array(axis("time", t).astype(np.int64)).cast(pa.timestamp("us")),
+                    pa.array(axis("lat", i).astype(float)), pa.array(axis("lon", j).astype(float)), pa.array(told, mask=np.isnan(told)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, schema=ROWS)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -217,11 +228,11 @@ def open_store(spark: SparkSession, path: str) -> Store:
     return described(told, chunk)
 
 
-def read_store(spark: SparkSession, path: str, window: Window | None = None) -> DataFrame:
+def read_store(spark: SparkSession, path: str, window: Window | None = None, drop_missing: bool = False) -> DataFrame:
     """Tidy rows of a store's window; chunks outside are not opened."""
     store = open_store(spark, path)
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return store.rows(files.filter(store.picked(F.col("_metadata.file_path"), window or Window())).select("path", "content"), window)
+    return store.rows(files.filter(store.picked(F.col("_metadata.file_path"), window or Window())).select("path", "content"), window, drop_missing)
 
 
 def encode_store(rows: DataFrame, values: list[str], chunks: tuple[int, int, int]) -> tuple[Store, DataFrame]:
@@ -235,7 +246,7 @@ def encode_store(rows: DataFrame, values: list[str], chunks: tuple[int, int, int
         found = sorted(r[0] for r in rows.filter(F.col(name).isNotNull()).select(name).distinct().collect())
         axes[name] = found
         places = spark.createDataFrame(list(enumerate(found)), f"_{name} int, {name} {dict(rows.dtypes)[name]}")
-        numbered = numbered.join(places, name)
+        numbered = numbered.join(F.broadcast(places) if len(found) <= AXIS_ROWS else places, name)
     shape = tuple(len(axes[n]) for n in ("time", "lat", "lon"))
     grid = Array(shape, chunks, "<f8", "C", None, {"id": "zlib"}, ("time", "lat", "lon"), {})
     micros = np.array([(t - EPOCH) // timedelta(microseconds=1) for t in axes["time"]], np.int64)
@@ -249,7 +260,7 @@ def encode_store(rows: DataFrame, values: list[str], chunks: tuple[int, int, int
             full = np.full(chunks, np.nan)
             np.fmax.at(full, at, table[v].cast(pa.float64()).to_numpy())
             paths.append(f"/{v}/" + ".".join(map(str, first)))
-            contents.append(zlib.compress(full.tobytes()))
+            contents.append(zlib.compress(full.tobytes(), 1))
         return pa.table({"path": paths, "content": pa.array(contents, pa.binary())})
 
     keys = [F.floor(F.col(f"_{n}") / c).cast("int").alias(f"_c{n}") for n, c in zip(("time", "lat", "lon"), chunks, strict=True)]
